@@ -4,16 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm import partenum
+from seqloom.llm import mixing, packing, partenum, secrets, toxicity
 from seqloom.llm.common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read(spark, sf_dir, "documents"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
+    "op3_mixing": op3_mixing,
+    "op5_secret_scans": op5_secret_scans,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_secret_scans": secrets.ORACLE_SQL,
+}
