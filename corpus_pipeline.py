@@ -1,23 +1,48 @@
-"""Corpus preparation in stages; see STAGES."""
+"""Corpus preparation in five stages, each one operator of ``seqloom.llm`` over all its predecessor kept.
+
+``run`` applies STAGES to the documents table; every stage's rows are written as Parquet in the shared
+folder and read again as the next one's ``docs``. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm.partenum import drop_near_copies
+from seqloom.llm import mixing, packing, partenum, secrets, toxicity
+from seqloom.llm.common import read, stage
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that multiple-instance learning predicts toxic go."""
+    return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the smallest doc_id."""
-    return drop_near_copies(docs)
+    return partenum.drop_near_copies(docs)
+
+
+def secrets_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return secrets.redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of each source up to its share of the token budget, each used once at most."""
+    return mixing.take(docs, mixing.Mix(percent=90, max_epochs=1))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return packing.pack_documents(docs)
 
 
-STAGES = [("near_copies", near_copies)]
+STAGES = [("toxicity", toxic_out), ("near_copies", near_copies_out), ("secrets", secrets_out), ("mixing", mixed), ("packing", packed)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = read(spark, sf_dir, "documents")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
