@@ -16,6 +16,10 @@ mean set size / ``hot_share`` entries, which bounds its broadcast.
 Texts that share a signature form a group. No group is expanded into pairs: the smallest id of a group
 is compared with its other members exactly, connected components follow, and only members of a group
 that still lie in different components are compared further.
+
+Before texts are compared, a lossless bound sorts out most candidates: a set's parity sketch has one bit
+for each residue of its features' hashes, the parity of their number. Every differing feature flips one
+bit, so two sketches differ in at most as many bits as the sets differ in features.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,6 +188,75 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([left["a"].take(take), left["b"].take(take)], ["a", "b"])
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, set size, parity sketch of 2 ** (band + 1) bits)."""
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
+        for i, j, data, offsets in text_slices(batch, "text"):
+            flat, at = shingle_sets(data, offsets)
+            out = []
+            for r in range(j - i):
+                own = flat[at[r] : at[r + 1]]
+                m = 8 << max(0, int(len(own)).bit_length() - 3)
+                bits = np.bincount((own & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+                out.append(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i:j].astype(np.int64)), pa.array(np.diff(at).astype(np.int32)), pa.array(out, pa.binary())], ["doc", "n", "sketch"])
+
+
+def _bits_apart(x: int, mx: int, y: int, my: int) -> int:
+    """Differing bits of two parity sketches; the longer one is folded to the shorter one's length."""
+    if mx < my:
+        x, mx, y, my = y, my, x, mx
+    while mx > my:
+        mx //= 2
+        x = (x >> mx) ^ (x & ((1 << mx) - 1))
+    return (x ^ y).bit_count()
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs that the sizes and sketches allow to link."""
+    for batch in batches:
+        a, b, na, nb, xa, xb = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"))
+        keep = [
+            100 * min(n, m) >= SIMILAR * max(n, m) and 7 * _bits_apart(int.from_bytes(x, "little"), 8 * len(x), int.from_bytes(y, "little"), 8 * len(y)) <= n + m
+            for n, m, x, y in zip(na, nb, xa, xb, strict=True)
+        ]
+        keep = np.array(keep, bool)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)[keep]), pa.array(np.array(b, np.int64)[keep])], ["a", "b"])
+
+
+def _inside(group: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one open group that lie in different components and that sizes and sketches allow to link."""
+    group = group.sort_values("node")
+    node, c, n = (group[k].to_numpy(np.int64) for k in ("node", "c", "n"))
+    size = np.array([8 * len(x) for x in group["sketch"]])
+    rows = []
+    for m in np.unique(size):
+        small = np.flatnonzero(size == m)
+        large = np.flatnonzero((size == m) | (size == 2 * m))
+        bits = np.zeros((len(large), m), np.float32)
+        for r, i in enumerate(large):
+            own = np.unpackbits(np.frombuffer(group["sketch"].iloc[i], np.uint8), bitorder="little")
+            bits[r] = own if len(own) == m else own[:m] ^ own[m:]
+        ones = bits.sum(1)
+        at = np.searchsorted(large, small)
+        for k in range(0, len(small), 512):
+            p, rp = small[k : k + 512], at[k : k + 512]
+            apart = ones[rp][:, None] + ones[None, :] - 2 * (bits[rp] @ bits.T)
+            x, y = n[p][:, None], n[large][None, :]
+            ok = (7 * apart <= x + y) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y)) & (c[p][:, None] != c[large][None, :])
+            i, j = np.nonzero(ok)
+            rows.append(np.stack([node[p[i]], node[large[j]]], 1))
+    pairs = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    return pd.DataFrame(pairs, columns=["a", "b"])
+
+
+def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    side = lambda c: sketches.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_possible, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -206,16 +280,14 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
     groups = rows.where(F.col("kind") == _GROUP).select(F.col("a").alias("g"), F.col("b").alias("node"))
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(groups.select("node")).distinct()
     texts = stage(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"), "partenum-texts")
-    links = stage(_verified(pairs, texts), "partenum-links")
+    sketches = stage(texts.mapInArrow(_sketches, "doc long, n int, sketch binary"), "partenum-sketches")
+    links = stage(_verified(stage(_allowed(pairs, sketches), "partenum-allowed"), texts), "partenum-links")
     found = components(links)
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
     open_groups = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
-    rest = inside.join(open_groups, "g").join(size.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), "node")
-    rest = stage(rest.select("g", "node", "c", "n").distinct(), "partenum-open")
-    x, y = rest.alias("x"), rest.alias("y")
-    near = (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c")) & (100 * F.least("x.n", "y.n") >= SIMILAR * F.greatest("x.n", "y.n"))
-    more = x.join(y, (F.col("x.g") == F.col("y.g")) & near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    extra = stage(_verified(more, texts), "partenum-links")
+    rest = stage(inside.join(open_groups, "g").distinct(), "partenum-open")
+    more = rest.join(sketches.withColumnRenamed("doc", "node"), "node").groupBy("g").applyInPandas(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    extra = stage(_verified(stage(more, "partenum-allowed"), texts), "partenum-links")
     if not extra.isEmpty():
         found = components(links.union(extra))
     return size.join(found, size["doc_id"] == found["node"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
