@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm import mixing, packing, partenum, secrets, toxicity
+from seqloom.llm import chunks, fingerprint, html_mincut, mixing, packing, partenum, pivots, rl_index, secrets, toxicity
 from seqloom.llm.common import read
 
 
@@ -20,10 +20,30 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
 
+def op4_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rl_index.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.main_text(read(spark, sf_dir, "pages"))
+
+
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(read(spark, sf_dir, "documents"))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.chunk_report(read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read(spark, sf_dir, "documents"))
 
@@ -32,7 +52,12 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_run_length_index": op4_run_length_index,
     "op5_secret_scans": op5_secret_scans,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
