@@ -51,7 +51,8 @@ def with_lanes(texts: DataFrame, keys: list[str], text: str, carried: list[str])
     """keys, carried, s0..s3 and ``lanes`` of each row's text. Rows with equal keys must be equal."""
     none = F.array(F.lit(None).cast("long"))
     strong = [c.alias(n) for c, n in zip(strong_lanes(F.col(text)), _STRONG_COLS, strict=True)]
-    rows = texts.select(*keys, *carried, *strong, F.posexplode(F.concat(none, pair_hashes(F.col(text)))).alias("pos", "h"))
+    wide = texts.select(*keys, *carried, *strong, F.concat(none, pair_hashes(F.col(text))).alias("units"))  # below the explode, so once a text
+    rows = wide.select(*keys, *carried, *_STRONG_COLS, F.posexplode("units").alias("pos", "h"))
     ones = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(1).cast("long"))).alias(f"b{j}") for j in range(LANES)]
     sums = rows.groupBy(*keys).agg(*ones, F.count("h").alias("n"), F.sum((F.col("pos") == 0).cast("long")).alias("m"), *[F.max(c).alias(c) for c in [*carried, *_STRONG_COLS]])
     lanes = F.array(*[F.expr(f"(2 * coalesce(b{j}, 0) - n) div m") for j in range(LANES)])
