@@ -45,29 +45,34 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component_id): the smallest node each node of ``edges(a, b)`` reaches.
 
     Every round hooks each node to the neighbour of least seeded hash and contracts the edges, so
-    chains and stars alike shrink by a constant factor a round whatever order their ids have. All
-    grouping is by partial aggregation; a node with very many edges never meets in one task. Nulls
-    and self loops are ignored; an empty input gives an empty result.
+    chains and stars alike shrink by a constant factor a round whatever order their ids have; nodes without
+    edges left take no further part. All grouping is by partial aggregation: a node with very many edges
+    never meets in one task. Nulls and self loops are ignored; an empty input gives an empty result.
     """
     spark = edges.sparkSession
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
-    edges = stage(edges.distinct(), "cc-edges")
-    labels = stage(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("label", F.col("node")), "cc-labels")
-    for k in range(max_rounds):
-        if edges.isEmpty():
-            break
+    edges = stage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
+    hooks: list[DataFrame] = []
+    while not edges.isEmpty():
+        if len(hooks) == max_rounds:
+            raise RuntimeError("components did not settle")
         both = edges.union(edges.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(F.lit(k), c).alias("h"), c.alias("v"))  # noqa: B023, E731
+        rank = lambda c: F.struct(F.xxhash64(F.lit(len(hooks)), c).alias("h"), c.alias("v"))
         hook = both.groupBy("a").agg(F.min(rank(F.col("b"))).alias("m")).select(F.col("a").alias("old"), F.least(F.col("m"), rank(F.col("a")))["v"].alias("new"))
         hook = stage(hook, "cc-hook")
-        labels = stage(labels.join(hook, labels["label"] == hook["old"], "left").select("node", F.coalesce("new", "label").alias("label")), "cc-labels")
+        hooks.append(hook)
         left = edges.join(hook, edges["a"] == hook["old"]).select(F.col("new").alias("a"), "b")
         edges = left.join(hook, left["b"] == hook["old"]).select("a", F.col("new").alias("b")).where("a <> b")
         edges = stage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges")
-    else:
-        raise RuntimeError("components did not settle")
-    least = labels.groupBy("label").agg(F.min("node").alias("component_id"))
-    return spark.createDataFrame([], "node long, component_id long").union(labels.join(least, "label").select("node", "component_id"))
+    if not hooks:
+        return spark.createDataFrame([], "node long, component_id long")
+    roots = hooks[-1]
+    for hook in hooks[-2::-1]:
+        later = roots.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
+        roots = hook.join(later, hook["new"] == F.col("_old"), "left").select("old", F.coalesce("_new", "new").alias("new"))
+    roots = stage(roots.select(F.col("old").alias("node"), F.col("new").alias("label")), "cc-roots")
+    least = roots.groupBy("label").agg(F.min("node").alias("component_id"))
+    return roots.join(least, "label").select("node", "component_id")
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

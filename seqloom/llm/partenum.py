@@ -27,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -225,18 +224,16 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)[keep]), pa.array(np.array(b, np.int64)[keep])], ["a", "b"])
 
 
-def _inside(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one open group that lie in different components and that sizes and sketches allow to link."""
-    group = group.sort_values("node")
-    node, c, n = (group[k].to_numpy(np.int64) for k in ("node", "c", "n"))
-    size = np.array([8 * len(x) for x in group["sketch"]])
-    rows = []
+def _large_group(node: np.ndarray, c: np.ndarray, n: np.ndarray, sketch: list[bytes]) -> np.ndarray:
+    """Allowed pairs of one group by bit matrices, one sketch length and the next shorter one at a time."""
+    size = np.array([8 * len(x) for x in sketch])
+    rows = [np.zeros((0, 2), np.int64)]
     for m in np.unique(size):
         small = np.flatnonzero(size == m)
         large = np.flatnonzero((size == m) | (size == 2 * m))
         bits = np.zeros((len(large), m), np.float32)
         for r, i in enumerate(large):
-            own = np.unpackbits(np.frombuffer(group["sketch"].iloc[i], np.uint8), bitorder="little")
+            own = np.unpackbits(np.frombuffer(sketch[i], np.uint8), bitorder="little")
             bits[r] = own if len(own) == m else own[:m] ^ own[m:]
         ones = bits.sum(1)
         at = np.searchsorted(large, small)
@@ -247,9 +244,47 @@ def _inside(group: pd.DataFrame) -> pd.DataFrame:
             ok = (7 * apart <= x + y) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y)) & (c[p][:, None] != c[large][None, :])
             i, j = np.nonzero(ok)
             rows.append(np.stack([node[p[i]], node[large[j]]], 1))
-    pairs = np.concatenate(rows) if rows else np.zeros((0, 2), np.int64)
-    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-    return pd.DataFrame(pairs, columns=["a", "b"])
+    return np.concatenate(rows)
+
+
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of open groups that lie in different components and that sizes and sketches allow to link.
+
+    A partition's small groups are taken together and a pair that many of them share is looked at once.
+    """
+    table = pa.Table.from_batches(list(batches))
+    if not table.num_rows:
+        return
+    g, node, c, n = (table.column(k).to_numpy().astype(np.int64) for k in ("g", "node", "c", "n"))
+    order = np.lexsort((node, g))
+    g, node, c, n = g[order], node[order], c[order], n[order]
+    sketch = table.column("sketch").take(pa.array(order))
+    first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    length = np.diff(np.append(first, len(g)))
+    found = [np.zeros((0, 2), np.int64)]
+    for f, m in zip(first[length > 64], length[length > 64], strict=True):
+        part = slice(f, f + m)
+        found.append(_large_group(node[part], c[part], n[part], sketch[f : f + m].to_pylist()))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for m in np.unique(length[length <= 64]):
+        i, j = np.triu_indices(m, 1)
+        f = first[length == m][:, None]
+        left.append((f + i).ravel())
+        right.append((f + j).ravel())
+    left, right = np.concatenate(left), np.concatenate(right)
+    ok = (c[left] != c[right]) & (100 * np.minimum(n[left], n[right]) >= SIMILAR * np.maximum(n[left], n[right]))
+    left, right = left[ok], right[ok]
+    pair = np.stack([node[left], node[right]], 1)
+    _, once = np.unique(pair, axis=0, return_index=True)
+    left, right = left[once], right[once]
+    used = np.unique(np.concatenate([left, right]))
+    raw = dict(zip(used.tolist(), sketch.take(pa.array(used)).to_pylist(), strict=True))
+    bits = {i: int.from_bytes(x, "little") for i, x in raw.items()}
+    near = [7 * _bits_apart(bits[i], 8 * len(raw[i]), bits[j], 8 * len(raw[j])) <= s for i, j, s in zip(left.tolist(), right.tolist(), (n[left] + n[right]).tolist(), strict=True)]
+    near = np.array(near, bool)
+    found.append(np.stack([node[left[near]], node[right[near]]], 1))
+    pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -286,10 +321,15 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
     open_groups = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     rest = stage(inside.join(open_groups, "g").distinct(), "partenum-open")
-    more = rest.join(sketches.withColumnRenamed("doc", "node"), "node").groupBy("g").applyInPandas(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = rest.join(sketches.withColumnRenamed("doc", "node"), "node").repartition("g").mapInArrow(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     extra = stage(_verified(stage(more, "partenum-allowed"), texts), "partenum-links")
     if not extra.isEmpty():
-        found = components(links.union(extra))
+        root = found.select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
+        lifted = extra.join(root, F.col("a") == F.col("_n"), "left").select(F.coalesce("_c", "a").alias("a"), "b")
+        lifted = lifted.join(root, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("_c", "b").alias("b"))
+        lift = components(lifted).select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
+        every = found.union(extra.select("a", "a").union(extra.select("b", "b"))).groupBy("node").agg(F.min("component_id").alias("component_id"))
+        found = every.join(lift, F.col("component_id") == F.col("_n"), "left").select("node", F.coalesce("_c", "component_id").alias("component_id"))
     return size.join(found, size["doc_id"] == found["node"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
