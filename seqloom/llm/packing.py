@@ -11,6 +11,8 @@ task that is run again gives the same sequences, whose ids hold the partition an
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -74,37 +76,66 @@ def pack(lengths: np.ndarray, window: int = WINDOW, linear: float = 1.0, quadrat
 
 
 class WordCodec:
-    """Token ids of whole texts: blank-separated words are encoded once and kept.
+    """Token ids of whole texts: blank-separated words are encoded once and kept, as bytes of their ids.
 
-    The vocabulary's pre-tokenizer never joins anything across white space, so the ids of a text are those
-    of its words in turn. The cache is emptied at ``keep`` words.
+    The vocabulary lower-cases, and its pre-tokenizer neither joins anything across white space nor letters with
+    marks, so the ids of a text are those of its words in turn. New words go to the tokenizer together, with a
+    mark between them that none of them holds. The cache is emptied at ``keep`` words.
     """
 
-    def __init__(self, path: str, keep: int = 1 << 18):
+    MARK = "~"
+    EDGE = re.compile(rb"([a-z])([.,])(?=[ \n])")
+
+    def __init__(self, path: str, keep: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, bytes] = {}
         self.keep = keep
+        (self.mark,) = self._ids(self.MARK)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if self.MARK not in w]
+        for w in words:
+            if self.MARK in w:
+                self.words[w] = self._ids(w).tobytes()
+        parts = [plain[i : i + 2000] for i in range(0, len(plain), 2000)]
+        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        for part, e in zip(parts, fast([f" {self.MARK} ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw = ids.tobytes()
+            at = 0
+            for w, end in zip(part, [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(raw)], strict=True):
+                self.words[w] = raw[at:end]
+                at = end + 4
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [self.EDGE.sub(rb"\1 \2", t.encode().lower()).decode().replace("\n", " ").split(" ") for t in texts]
         if len(self.words) > self.keep:
             self.words = {}
-        have = self.words
-        new = list({w for words in split for w in words if w not in have})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                have[w] = np.array(e.ids, "<u4")
-        return [np.concatenate([have[w] for w in words]) if words else np.zeros(0, "<u4") for words in split]
+        self._learn(list({w for words in split for w in words if w not in self.words}))
+        get = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
 
-def _packer(vocabulary: str, window: int, block: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_CODECS: dict[str, WordCodec] = {}  # one a worker process, kept between its tasks
+
+
+def codec(vocabulary: str) -> WordCodec:
+    if vocabulary not in _CODECS:
         import public_tokenizers
 
-        codec = WordCodec(public_tokenizers.path(vocabulary))
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        _CODECS[vocabulary] = WordCodec(public_tokenizers.path(vocabulary))
+    return _CODECS[vocabulary]
+
+
+def _packer(vocabulary: str, window: int, block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = codec(vocabulary)
         base = TaskContext.get().partitionId() << 32
         made = 0
         ids: list[int | None] = []
@@ -128,10 +159,10 @@ def _packer(vocabulary: str, window: int, block: int):
 
         end = np.array([END], "<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                for i, t in zip(part.column(0).to_pylist(), codec.encode(texts), strict=True):
+                for i, t in zip(part.column(0).to_pylist(), words.encode(texts), strict=True):
                     ids.append(i)
                     tokens.append(np.concatenate([t, end]))
                     held += len(t) + 1
