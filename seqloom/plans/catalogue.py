@@ -1,6 +1,374 @@
-"""Registered queries of the sequencing engine and their SQL counterparts."""
+"""Registered queries of the sequencing engine over the star tables, and their SQL counterparts.
+
+The tables hold no reads, so each query maps columns to sequences the same way in both engines: the letters of a
+text become bases (``text_dna``) or qualities. All queries read whole tables and whole texts.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seqloom.functions import scalars as S
+from seqloom.operators import anchors, controls, indexqc, library, matcher, qc
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(F.col(c), digits).alias(c) if t == "double" else F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in df.dtypes])
+
+
+_UP = "upper(regexp_replace({0}, '[^A-Za-z]', '', 'g'))"
+
+
+def _dna(x: str, bases: str = S.LETTER_BASES) -> str:
+    return f"translate({_UP.format(x)}, '{S.LETTERS}', '{bases}')"
+
+
+def _rc(x: str) -> str:
+    return f"reverse(translate({x}, '{S.COMPLEMENT[0]}', '{S.COMPLEMENT[1]}'))"
+
+
+def _n(x: str, chars: str) -> str:
+    return f"length(regexp_replace({x}, '[^{chars}]', '', 'g'))"
+
+
+# --- designs and matches: parts are designs, line items are reads, samples are line status and shipping month
+
+_SAMPLE = "concat(l_linestatus, '_', month(l_shipdate))"
+_SQL_COUNTS = f"""
+refs as (select p_partkey ref_index, {_dna("p_name")} sequence, 1::bigint n_ids from part),
+designs as (select ref_index, sequence, n_ids, length(sequence) length, 100.0::double * {_n("sequence", "GC")} / length(sequence) gc from refs),
+hits as (select {_SAMPLE} sample, l_partkey ref_index, count(*) filter (l_returnflag = 'A') e, count(*) filter (l_returnflag = 'R') n from lineitem group by 1, 2),
+samples as (select distinct sample from hits),
+f as (select s.sample, d.*, coalesce(e, 0)::bigint exact, coalesce(n, 0)::bigint near, (coalesce(e, 0) + coalesce(n, 0))::bigint total
+  from designs d cross join samples s left join hits h on h.sample = s.sample and h.ref_index = d.ref_index)"""
+
+
+def _designs(spark: SparkSession, d: str) -> DataFrame:
+    seq = S.text_dna(F.col("p_name"))
+    parts = _t(spark, d, "part").select(F.col("p_partkey").alias("ref_index"), seq.alias("sequence"), F.lit(1).cast("long").alias("n_ids"))
+    return parts.withColumns({"length": F.length("sequence"), "gc": S.gc_percent(F.col("sequence"))})
+
+
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "R", "near").otherwise("ambiguous")
+    return _t(spark, d, "lineitem").select(F.expr(_SAMPLE).alias("sample"), F.col("l_partkey").alias("ref_index"), kind.alias("match_type"))
+
+
+def _full(spark: SparkSession, d: str) -> DataFrame:
+    m = _matches(spark, d)
+    return library.zero_filled(library.count_matches(m), _designs(spark, d), m)
+
+
+@query(f"""with {_SQL_COUNTS} select sample, ref_index, sequence, exact, near, total,
+round(100.0::double * total / nullif(sum(total) over (partition by sample), 0), 6) frequency_percent,
+round(1e6::double * total / nullif(sum(total) over (partition by sample), 0), 6) reads_per_million, total > 0 detected from f""")
+def variant_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.frequencies(_full(spark, d)).select("sample", "ref_index", "sequence", "exact", "near", "total", "frequency_percent", "reads_per_million", "detected"))
+
+
+_RANK = "rank() over (partition by sample order by {0}) + (count(*) over (partition by sample, {0}) - 1) / 2.0::double"
+_CORR = "round(case when count(*) >= 3 then (sum({0} * rc) - sum({0}) * sum(rc) / count(*)) / nullif(sqrt((sum({0} * {0}) - sum({0}) * sum({0}) / count(*)) * (sum(rc * rc) - sum(rc) * sum(rc) / count(*))), 0) end, 6)"
+_DETECTED = ", ".join(f"count(*) filter (total >= {k}) detected_{k}x, round(100.0::double * count(*) filter (total >= {k}) / count(*), 6) detected_{k}x_percent" for k in (1, 10, 100, 500))
+
+
+@query(f"""with {_SQL_COUNTS},
+w as (select *, count(*) over (partition by sample) n, sum(total) over (partition by sample) s, log10(total + 1.0::double) lc,
+ row_number() over (partition by sample order by total, ref_index) up, row_number() over (partition by sample order by total desc, ref_index) down from f),
+r as (select *, {_RANK.format("length")} rl, {_RANK.format("gc")} rg, {_RANK.format("lc")} rc from w)
+select sample, sum(n_ids)::bigint designed_ids, count(*) unique_design_sequences, sum(total)::bigint mapped_reads, sum(exact)::bigint exact_mapped_reads, sum(near)::bigint near_mapped_reads,
+{_DETECTED}, count(*) filter (total = 0) dropout_sequences, round(avg(total), 6) mean_coverage, round(median(total), 6) median_coverage,
+min(total) filter (total > 0) min_nonzero_coverage, max(total) max_coverage, round(stddev_pop(total) / nullif(avg(total), 0), 6) coverage_cv,
+round(quantile_cont(total, 0.05), 6) p05_coverage, round(quantile_cont(total, 0.10), 6) p10_coverage, round(quantile_cont(total, 0.90), 6) p90_coverage, round(quantile_cont(total, 0.95), 6) p95_coverage,
+round(quantile_cont(total, 0.90) / nullif(quantile_cont(total, 0.10), 0), 6) p90_over_p10, round(quantile_cont(total, 0.95) / nullif(quantile_cont(total, 0.05), 0), 6) p95_over_p05,
+round(2.0::double * sum(up * total) / nullif(count(*) * sum(total), 0)::double - case when sum(total) > 0 then (count(*) + 1.0::double) / count(*) end, 6) gini,
+round(100.0::double * coalesce(sum(total) filter (down <= greatest(1, ceil(n * 0.01::double))), 0) / nullif(sum(total), 0), 6) top_1_percent_read_share_percent,
+round(100.0::double * coalesce(sum(total) filter (down <= greatest(1, ceil(n * 0.10::double))), 0) / nullif(sum(total), 0), 6) top_10_percent_read_share_percent,
+round(case when sum(total) > 0 then exp(-sum(case when total > 0 then total / s::double * ln(total / s::double) else 0 end)) end, 6) effective_library_size,
+{_CORR.format("rl")} spearman_length_logcount, {_CORR.format("rg")} spearman_gc_logcount from r group by sample""")
+def library_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.library_metrics(_full(spark, d)))
+
+
+@query(f"with {_SQL_COUNTS} select sample, ref_index, sequence from f where total = 0")
+def dropout_designs(spark: SparkSession, d: str) -> DataFrame:
+    return library.dropouts(_full(spark, d)).select("sample", "ref_index", "sequence")
+
+
+@query(f"with {_SQL_COUNTS}, r as (select *, row_number() over (partition by sample order by total desc, ref_index) place from f) select sample, place, ref_index, total from r where place <= 100")
+def top_variants(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.top_designs(_full(spark, d)).select("sample", "place", "ref_index", "total"))
+
+
+@query(f"with {_SQL_COUNTS} select sample, row_number() over (partition by sample order by total desc, ref_index) place, round(log10(total + 1.0::double), 6) log_count from f")
+def rank_abundance(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.rank_abundance(_full(spark, d)))
+
+
+_FLAGS = ["A", "N", "R"]
+_SQL_FLAGS = "f as (select p_partkey ref_index, " + ", ".join(f"count(*) filter (l_returnflag = '{x}') {x}" for x in _FLAGS) + " from part left join lineitem on l_partkey = p_partkey group by 1)"
+
+
+def _by_flag(spark: SparkSession, d: str) -> DataFrame:
+    m = _t(spark, d, "lineitem").select(F.col("l_returnflag").alias("sample"), F.col("l_partkey").alias("ref_index"), F.lit("exact").alias("match_type"))
+    return library.zero_filled(library.count_matches(m), _designs(spark, d).select("ref_index"), m)
+
+
+@query(f"with {_SQL_FLAGS} select * from f")
+def count_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return library.count_matrix(_by_flag(spark, d), ["ref_index"], _FLAGS)
+
+
+@query(f"with {_SQL_FLAGS} select ref_index, " + ", ".join(f"round(1e6::double * {x} / nullif(sum({x}) over (), 0), 6) {x}" for x in _FLAGS) + " from f")
+def rpm_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.rpm_matrix(_by_flag(spark, d), ["ref_index"], _FLAGS))
+
+
+@query("""with e as (select event_type, user_id from events), r as (select event_type sample, user_id from e union all select 'ALL_ASSIGNED', user_id from e where event_type <> 'error' union all select 'ALL_WITH_UNDETERMINED', user_id from e),
+c as (select sample, user_id, count(*) n from r group by 1, 2) select sample, count(*) designs, sum(n)::bigint reads, max(n) most, round(quantile_cont(n, 0.9), 6) p90 from c group by 1""")
+def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows = _t(spark, d, "events").select(F.col("event_type").alias("sample"), "user_id")
+    counts = library.with_rollups(rows, F.col("sample") == "error").groupBy("sample", "user_id").agg(F.count("*").alias("n"))
+    return _rounded(counts.groupBy("sample").agg(F.count("*").alias("designs"), F.sum("n").alias("reads"), F.max("n").alias("most"), F.percentile("n", F.lit(0.9)).alias("p90")))
+
+
+@query("select event_type category, count(*) count, round(100.0::double * count(*) / sum(count(*)) over (), 6) percent from events group by 1")
+def classification(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.classification(_t(spark, d, "events"), [], "event_type"))
+
+
+@query("select l_linestatus sample, l_returnflag category, count(*) count, round(100.0::double * count(*) / sum(count(*)) over (partition by l_linestatus), 6) percent from lineitem group by 1, 2")
+def classification_by_sample(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(library.classification(_t(spark, d, "lineitem").withColumnRenamed("l_linestatus", "sample"), ["sample"], "l_returnflag"))
+
+
+@query(f"""with m as (select {_SAMPLE} sample, case l_returnflag when 'A' then 'exact' when 'R' then 'near' else case when l_discount < 0.03 then 'phix' else 'ambiguous' end end k, l_discount >= 0.02 l, l_tax >= 0.02 r, l_linenumber dis, l_quantity < 5 hm from lineitem),
+t as (select sample, count(*) n, count(*) filter (k = 'phix') p, count(*) filter (k in ('exact', 'near')) m, count(*) filter (l) al, count(*) filter (r) ar, count(*) filter (l and r) ab, count(*) filter (hm) h, sum(dis)::bigint dis, count(*) filter (k = 'ambiguous') amb from m group by 1)
+select sample, n total_units, p phix_reads, m mapped_reads, h pair_header_mismatches, dis pair_base_disagreements, amb ambiguous_reads, n - p non_phix_units, n - p - m unresolved_non_phix_reads,
+round(100.0::double * m / n, 6) mapped_fraction_percent, round(100.0::double * p / n, 6) phix_fraction_percent, round(100.0::double * m / nullif(n - p, 0), 6) mapped_fraction_non_phix_percent, round(100.0::double * (n - p - m) / nullif(n - p, 0), 6) unresolved_non_phix_percent,
+round((n - p)::double / nullif(p, 0), 6) library_to_phix_read_ratio, round(100.0::double * al / nullif(n - p, 0), 6) left_anchor_percent, round(100.0::double * ar / nullif(n - p, 0), 6) right_anchor_percent, round(100.0::double * ab / nullif(n - p, 0), 6) both_anchors_percent from t""")
+def control_metrics(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "R", "near").when(F.col("l_discount") < 0.03, "phix").otherwise("ambiguous")
+    m = _t(spark, d, "lineitem").select(F.expr(_SAMPLE).alias("sample"), kind.alias("match_type"), (F.col("l_discount") >= 0.02).alias("left_anchor"), (F.col("l_tax") >= 0.02).alias("right_anchor"), F.col("l_linenumber").alias("disagreements"), (F.col("l_quantity") < 5).alias("header_mismatch"))
+    return _rounded(library.control_metrics(library.sample_totals(m)).drop("anchor_left", "anchor_right", "anchors_both", "anchor_missing_reads"))
+
+
+# --- read quality: documents are reads, the last two letters of the alphabet are N
+
+
+def _reads(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select("doc_id", "lang", "source", S.text_dna(F.col("text"), S.LETTER_BASES_N).alias("seq"), S.text_quality(F.col("text")).alias("qual"))
+
+
+_SQL_READS = f"reads as (select doc_id, lang, source, {_dna('text', S.LETTER_BASES_N)} seq, translate({_UP.format('text')}, '{S.LETTERS}', '{S.LETTER_QUALITIES}') qual from documents)"
+_SQL_BASES = f"{_SQL_READS}, b as (select lang, doc_id, i cycle, substr(seq, i::int, 1) base, greatest(0, ascii(substr(qual, i::int, 1)) - 33) q from (select *, unnest(range(1, length(seq) + 1)) i from reads))"
+
+
+@query(f"""with {_SQL_BASES}, t as (select lang, sum(q) q, count(*) filter (q >= 20) q20, count(*) filter (q >= 30) q30, count(*) filter (base = 'N') n from b group by 1),
+p as (select lang, count(*) total_reads, sum(length(seq))::bigint total_bases, avg(length(seq)) mean_length, min(length(seq)) min_length, nullif(max(length(seq)), 0) max_length, count(*) filter (contains(seq, 'N')) wn from reads group by 1)
+select lang, total_reads, total_bases, round(mean_length, 6) mean_length, min_length, max_length, round(q::double / nullif(total_bases, 0), 6) mean_q, round(100.0::double * q20 / nullif(total_bases, 0), 6) q20_base_percent,
+round(100.0::double * q30 / nullif(total_bases, 0), 6) q30_base_percent, round(100.0::double * n / nullif(total_bases, 0), 6) n_base_percent, round(100.0::double * wn / total_reads, 6) reads_with_n_percent from p join t using (lang)""")
+def run_qc(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(qc.read_qc(_reads(spark, d), ["lang"]))
+
+
+_SHARES = ", ".join(f"round(100.0::double * count(*) filter (base = '{x.upper()}') / count(*), 6) {x}_percent" for x in "acgtn")
+
+
+@query(f"with {_SQL_BASES} select lang, cycle, count(*) total_bases, round(avg(q), 6) mean_q, round(100.0::double * count(*) filter (q >= 20) / count(*), 6) q20_percent, round(100.0::double * count(*) filter (q >= 30) / count(*), 6) q30_percent, {_SHARES} from b group by 1, 2")
+def per_cycle_qc(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(qc.cycle_qc(_reads(spark, d), ["lang"]))
+
+
+@query(f"""with g as (select {_dna("text")} s from benchmark), w as (select s || left(s, 26) s from g where length(s) >= 27), st as (select s from w union all select {_rc("s")} from w),
+k as (select distinct substr(s, i::int, 27) kmer from (select s, unnest(range(1, length(s) - 25)) i from st)),
+r as (select doc_id, {_dna("text")} s from documents), p as (select doc_id, s, unnest(list_distinct(list_append(range(0, length(s) - 26, 7), length(s) - 27))) i from r where length(s) >= 27)
+select doc_id, count(*) hits from p where substr(s, i::int + 1, 27) in (select kmer from k) group by 1""")
+def spikein_kmers(spark: SparkSession, d: str) -> DataFrame:
+    genomes = _t(spark, d, "benchmark").select(S.text_dna(F.col("text")).alias("sequence"))
+    units = _t(spark, d, "documents").select("doc_id", S.text_dna(F.col("text")).alias("s"))
+    return controls.kmer_hits(units, ["doc_id"], [F.col("s")], controls.genome_kmers(genomes, 27), 27)
+
+
+_ANCHOR = "CTACGACA"
+
+
+@query(f"""with r as (select doc_id, {_dna("text")} s from documents), p as (select doc_id, i, hamming(substr(s, i::int + 1, {len(_ANCHOR)}), '{_ANCHOR}') dist from (select doc_id, s, unnest(range(0, least(length(s) - {len(_ANCHOR)}, 70) + 1)) i from r where length(s) >= {len(_ANCHOR)}))
+select doc_id, arg_min(i, dist * 1000 + i)::bigint as position, min(dist)::bigint as distance from p where dist <= 1 group by 1""")
+def anchor_search(spark: SparkSession, d: str) -> DataFrame:
+    rows = _t(spark, d, "documents").select("doc_id", S.text_dna(F.col("text")).alias("s"))
+    found = anchors.find_anchor(rows, "s", _ANCHOR, max_mismatches=1)
+    return _rounded(found.where("anchor is not null").select("doc_id", F.col("anchor.position").alias("position"), F.col("anchor.distance").alias("distance")))
+
+
+@query()
+def near_match(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as designs (names and types); every part also is a pair of reads, one with a changed base."""
+    parts = _t(spark, d, "part").select("p_partkey", S.text_dna(F.concat("p_name", "p_type")).alias("s"), F.col("p_size"), S.text_quality(F.concat("p_type", "p_name")).alias("q"))
+    rows = parts.select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), F.col("s").alias("sequence"))
+    designs = library.group_designs(rows)
+    at = F.pmod("p_size", F.length("s")) + 1
+    changed = F.concat(F.left("s", at - 1), F.lit("A"), F.substring("s", at + 1, F.length("s")))
+    units = parts.select(
+        F.col("p_partkey").alias("unit"), changed.alias("prefix"), F.col("q").alias("prefix_q"), F.col("s").alias("suffix"), F.reverse("q").alias("suffix_q"),
+        F.array().cast("array<string>").alias("fulls"), F.lit(True).alias("left_anchor"), F.lit(True).alias("right_anchor"),
+    )
+    return _rounded(matcher.match(units, designs.select("ref_index", "sequence"), ["unit"], signature=8, max_mismatches=2))
+
+
+# --- sample indexes: part type and name are the two parts of a barcode, each type is a sample
+
+_SQL_NEAR = f"""o as (select {_dna("p_type")} || '+' || {_dna("p_name")} b, count(*) n from part group by 1),
+e as (select p_type sample, {_dna("p_type")} i7, {_dna("min(p_name)")} i5 from part group by 1),
+c as (select sample, i7 || '+' || i5 b, 'as_given' o from e union all select sample, i7 || '+' || {_rc("i5")}, 'i5_reverse_complement' from e where {_rc("i5")} <> i5),
+x as (select o.b observed_barcode, n, c.sample, c.b expected, c.o orientation, case when length(split_part(o.b, '+', 1)) = length(split_part(c.b, '+', 1)) and length(split_part(o.b, '+', 2)) = length(split_part(c.b, '+', 2)) then hamming(o.b, c.b) else 999 end d from o cross join c),
+y as (select *, row_number() over (partition by observed_barcode order by d, sample, orientation) rn, min(d) over (partition by observed_barcode) md from x),
+near as (select observed_barcode, n count, max(sample) filter (rn = 1) nearest_sample, max(expected) filter (rn = 1) nearest_expected, md::bigint distance, max(orientation) filter (rn = 1) orientation, count(*) filter (d = md) tied_best_candidates from y group by observed_barcode, n, md)"""
+_SQL_SUBS = f"""{_SQL_NEAR}, pp as (select count n, p, split_part(observed_barcode, '+', p) o, split_part(nearest_expected, '+', p) e from near, (values (1), (2)) v(p) where distance <= 2),
+subs as (select 'I' || p index_read, i as position, substr(e, i::int, 1) expected_base, substr(o, i::int, 1) observed_base, sum(n)::bigint weighted_reads from (select *, unnest(range(1, length(e) + 1)) i from pp) group by 1, 2, 3, 4)"""
+
+
+def _nearest(spark: SparkSession, d: str) -> DataFrame:
+    parts = _t(spark, d, "part")
+    observed = parts.select(F.concat_ws("+", S.text_dna(F.col("p_type")), S.text_dna(F.col("p_name"))).alias("barcode")).groupBy("barcode").agg(F.count("*").alias("count"))
+    sheet = parts.groupBy("p_type").agg(F.min("p_name").alias("n")).select(F.col("p_type").alias("sample"), S.text_dna(F.col("p_type")).alias("i7"), S.text_dna(F.col("n")).alias("i5"))
+    return indexqc.nearest(observed, sheet)
+
+
+@query(f"with {_SQL_NEAR} select * from near")
+def barcode_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(_nearest(spark, d))
+
+
+@query(f"with {_SQL_SUBS} select * from subs")
+def barcode_substitutions(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(indexqc.substitutions(_nearest(spark, d)))
+
+
+@query(f"""with {_SQL_SUBS}, g as (select coalesce(sum(weighted_reads), 0)::bigint t, coalesce(sum(weighted_reads) filter (observed_base = 'G'), 0)::bigint g, coalesce(sum(weighted_reads) filter (observed_base = 'N'), 0)::bigint n from subs where expected_base = 'G')
+select t expected_g, g g_to_g, n g_to_n, t - g - n g_to_other, round(100.0::double * n / nullif(t, 0), 6) g_to_n_percent, round(100.0::double * (t - g - n) / nullif(t, 0), 6) g_to_other_percent from g""")
+def expected_g_profile(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(indexqc.expected_g(indexqc.substitutions(_nearest(spark, d))))
+
+
+@query(f"with {_SQL_NEAR}, v as (select orientation, sum(count)::bigint votes from near group by 1) select orientation, votes, row_number() over (order by votes desc, orientation) = 1 preferred from v")
+def orientation_vote(spark: SparkSession, d: str) -> DataFrame:
+    return indexqc.orientation_votes(_nearest(spark, d))
+
+
+@query(f"""with {_SQL_SUBS}, g as (select coalesce(sum(weighted_reads), 0)::bigint t, coalesce(sum(weighted_reads) filter (observed_base = 'G'), 0)::bigint g, coalesce(sum(weighted_reads) filter (observed_base = 'N'), 0)::bigint n from subs where expected_base = 'G'),
+h as (select sum(count)::bigint a, coalesce(sum(count) filter (distance = 0), 0)::bigint z, coalesce(sum(count) filter (distance <= 2), 0)::bigint w, coalesce(sum(count) filter (distance >= 999), 0)::bigint i from near)
+select a observed_index_reads_analyzed, z exact_expected_index_reads, w within_2_bp_expected_reads, i incomparable_index_reads, t expected_g, g g_to_g, n g_to_n, t - g - n g_to_other, round(100.0::double * n / nullif(t, 0), 6) g_to_n_percent, round(100.0::double * (t - g - n) / nullif(t, 0), 6) g_to_other_percent from g, h""")
+def index_summary(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(indexqc.summary(_nearest(spark, d)))
+
+
+@query("with s as (" + " union all ".join(f"select {_dna(c)} barcode, count(*) count, '{n}' source, {i} o from part group by 1" for i, (n, c) in enumerate(zip(indexqc.SOURCES, ("p_name", "p_type", "p_brand"), strict=True))) + ") select barcode, count, source from s order by count desc, barcode, o limit 5000")
+def top_barcodes(spark: SparkSession, d: str) -> DataFrame:
+    parts = _t(spark, d, "part")
+    count = lambda c: parts.groupBy(S.text_dna(F.col(c)).alias("barcode")).agg(F.count("*").alias("count"))
+    return indexqc.top_barcodes(dict(zip(indexqc.SOURCES, map(count, ("p_name", "p_type", "p_brand")), strict=True)))
+
+
+_HEADER = "concat('@T:1:F:1:1:1:', event_id, '/1 1:N:0:', {0})"
+_SQL_INDEX = f"case when length({_dna('event_type')}) >= 6 then {_dna('event_type')} end"
+
+
+@query(f"select event_id, '@T:1:F:1:1:1:' || event_id read_id, {_SQL_INDEX} header_index from events")
+def read_headers(spark: SparkSession, d: str) -> DataFrame:
+    e = _t(spark, d, "events").select("event_id", F.concat(F.lit("@T:1:F:1:1:1:"), "event_id", F.lit("/1 1:N:0:"), S.text_dna(F.col("event_type"))).alias("h"))
+    return e.select("event_id", S.canonical_read_id(F.col("h")).alias("read_id"), S.header_index(F.col("h")).alias("header_index"))
+
+
+@query(f"""with p as (select {_dna("o_orderpriority")} a, {_dna("o_orderpriority || o_orderstatus")} b from orders), i as (select case when length(a) between 6 and 40 then a end a, case when length(b) between 6 and 40 then b end b from p),
+u as (select a x from i where a is not null union all select b from i where b is not null and (a is null or b <> a)) select x barcode, count(*) count from u group by 1""")
+def header_index_counts(spark: SparkSession, d: str) -> DataFrame:
+    head = lambda *c: S.header_index(F.concat(F.lit("@r 1:N:0:"), S.text_dna(F.concat(*c))))
+    pairs = _t(spark, d, "orders").select(head("o_orderpriority").alias("i1"), head("o_orderpriority", "o_orderstatus").alias("i2"))
+    return indexqc.header_counts(pairs, "i1", "i2")
+
+
+@query(f"with {_SQL_READS} select lang sample, source design_key, seq observed, 'exact' match_type, count(*) count from reads where seq <> '' and not contains(seq, 'N') group by 1, 2, 3")
+def observed_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return library.observed_sequences(_reads(spark, d).select(F.col("lang").alias("sample"), F.col("source").alias("design_key"), F.col("seq").alias("observed"), F.lit("exact").alias("match_type")))
+
+
+@query(f"select {_dna('p_name')} sequence, string_agg(p_partkey::varchar, '|' order by p_partkey) ids, count(*) id_count from part group by 1 having count(*) > 1")
+def design_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    rows = _t(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), S.text_dna(F.col("p_name")).alias("sequence"))
+    return library.duplicates(library.group_designs(rows))
+
+
+@query(f"select doc_id, {_rc(_dna('text', S.LETTER_BASES_N))} rc, round(100.0::double * {_n(_dna('text'), 'GC')} / nullif(length({_dna('text')}), 0), 6) gc_percent from documents")
+def reverse_complement_gc(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(_t(spark, d, "documents").select("doc_id", S.reverse_complement(S.text_dna(F.col("text"), S.LETTER_BASES_N)).alias("rc"), S.gc_percent(S.text_dna(F.col("text"))).alias("gc_percent")))
+
+
+_LEFT, _RIGHT = "ACGTACGTACGTACGTACGT", "TTGCATTGCATTGCATTGCA"
+
+
+@query(f"""with s as (select doc_id, case doc_id % 3 when 0 then '{_LEFT}' || d || {_rc(f"'{_RIGHT}'")} when 1 then right('{_LEFT}', 15) || d || left({_rc(f"'{_RIGHT}'")}, 15) else d end x, d from (select doc_id, {_dna("text")} d from documents where length({_dna("text")}) > 0))
+select doc_id, case when starts_with(x, '{_LEFT}') and ends_with(x, {_rc(f"'{_RIGHT}'")}) and length(x) > 40 then substr(x, 21, length(x) - 40) when starts_with(x, right('{_LEFT}', 15)) and ends_with(x, left({_rc(f"'{_RIGHT}'")}, 15)) and length(x) > 30 then substr(x, 16, length(x) - 30) else x end target from s""")
+def reference_trim(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with whole primers, with their inner arms or with none, by id."""
+    right = _RIGHT.translate(str.maketrans(*S.COMPLEMENT))[::-1]
+    seq = S.text_dna(F.col("text"))
+    kind = F.col("doc_id") % 3
+    flanked = F.when(kind == 0, F.concat(F.lit(_LEFT), seq, F.lit(right))).when(kind == 1, F.concat(F.lit(_LEFT[-15:]), seq, F.lit(right[:15]))).otherwise(seq)
+    return _t(spark, d, "documents").where(F.length(seq) > 0).select("doc_id", S.trim_flanks(flanked, _LEFT, _RIGHT).alias("target"))
+
+
+@query("select p_partkey, p_name, case when levenshtein(p_name, 'small ring') > 4 then 5 else levenshtein(p_name, 'small ring') end edits, case when length(p_name) = 10 then hamming(p_name, 'small ring') else greatest(length(p_name), 10) end differing from part")
+def name_distances(spark: SparkSession, d: str) -> DataFrame:
+    parts = _t(spark, d, "part")
+    return _rounded(parts.select("p_partkey", "p_name", S.bounded_levenshtein(F.col("p_name"), F.lit("small ring"), 4).alias("edits"), S.hamming(F.col("p_name"), F.lit("small ring")).alias("differing")))
+
+
+@query("""select p_partkey, 'Plate ' || p_brand as sample, coalesce(nullif(trim(regexp_replace('Plate ' || p_brand || '.', '[^A-Za-z0-9._-]+', '_', 'g'), '._'), ''), 'sample') safe, lpad((p_size % 8 + 1)::varchar, 3, '0') lane, 'R' || (p_partkey % 2 + 1) as read from part""")
+def file_names(spark: SparkSession, d: str) -> DataFrame:
+    sample = F.concat(F.lit("Plate "), "p_brand")
+    lane = F.lpad((F.col("p_size") % 8 + 1).cast("string"), 3, "0")
+    name = F.concat(sample, F.lit("_S"), F.col("p_size"), F.lit("_L"), lane, F.lit("_R"), F.col("p_partkey") % 2 + 1, F.lit("_001.fastq.gz"))
+    parts = _t(spark, d, "part").select("p_partkey", S.file_parts(name).alias("f"))
+    return parts.select("p_partkey", F.col("f.sample").alias("sample"), S.safe_name(F.concat("f.sample", F.lit("."))).alias("safe"), F.col("f.lane").alias("lane"), F.col("f.read").alias("read"))
+
+
+@query("select l_returnflag, l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber, l_partkey) rn from lineitem) where rn <= 1000")
+def max_reads_prefix(spark: SparkSession, d: str) -> DataFrame:
+    rows = library.first_rows(_t(spark, d, "lineitem"), ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], 1000)
+    return _rounded(rows.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"))
+
+
+@query("""with a as (select conv_id, turn // 2 ord, text from conversations where turn % 2 = 0), b as (select conv_id, turn // 2 ord, text from conversations where turn % 2 = 1)
+select coalesce(a.conv_id, b.conv_id) chunk, count(*) filter (a.text is not null and b.text is not null) pairs, count(*) filter (b.ord is null) r1_only, count(*) filter (a.ord is null) r2_only from a full join b on a.conv_id = b.conv_id and a.ord = b.ord group by 1""")
+def positional_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of a conversation as the two read files of a chunk, joined by position; unequal counts show as singles."""
+    c = _t(spark, d, "conversations").withColumn("ord", F.expr("turn div 2"))
+    side = lambda k: c.where(F.col("turn") % 2 == k).select(F.col("conv_id").alias("chunk"), "ord", F.col("text").alias(f"t{k}"), F.lit(True).alias(f"in{k}"))
+    both = side(0).join(side(1), ["chunk", "ord"], "full")
+    return both.groupBy("chunk").agg(F.count_if(F.col("t0").isNotNull() & F.col("t1").isNotNull()).alias("pairs"), F.count_if(F.col("in1").isNull()).alias("r1_only"), F.count_if(F.col("in0").isNull()).alias("r2_only"))
+
+
+@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+def leftover_files(spark: SparkSession, d: str) -> DataFrame:
+    """Customers without orders: the anti-join that finds files no pair consumed."""
+    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
