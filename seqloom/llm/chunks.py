@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import byte_table, mix64, powers, stage, text_slices
+from seqloom.llm.common import byte_table, free_name, mix64, powers, stage, text_slices
 
 SHORTEST, LONGEST, BITS, ROLLED = 24, 256, 5, 32
 LEAST_RUN = 120
@@ -164,5 +164,6 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def drop_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """``docs`` with repeated runs cut out of its texts; all columns and rows stay."""
-    runs = repeated_runs(docs, least_run).select(F.col("doc").alias("_doc"), F.col("spans").alias("_spans"))
-    return docs.join(runs.hint("shuffle_hash"), docs["doc_id"] == F.col("_doc"), "left").drop("_doc").mapInArrow(_without, docs.schema)
+    key, own = free_name(docs, "_doc"), free_name(docs, "_spans")
+    runs = repeated_runs(docs, least_run).select(F.col("doc").alias(key), F.col("spans").alias(own))
+    return docs.join(runs.hint("shuffle_hash"), docs["doc_id"] == F.col(key), "left").drop(key).mapInArrow(_without, docs.schema)

@@ -41,6 +41,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added the first such name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component_id): the smallest node each node of ``edges(a, b)`` reaches.
 

@@ -91,8 +91,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     if not n:
         return blank
     cells = min(MOST_CELLS, max(1, math.ceil(n / CELL_ROWS)))
-    width = max(1, math.ceil((hi - lo + 1) / cells))
-    placed = docs.where("doc_id is not null").withColumn("cell", F.expr(f"(doc_id - {lo}L) div {width}L"))
+    width = -(-(hi - lo + 1) // cells)
+    ids = "doc_id" if hi - lo < 1 << 62 else "cast(doc_id as decimal(20, 0))"
+    placed = docs.where("doc_id is not null").withColumn("cell", F.expr(f"cast(({ids} - cast('{lo}' as decimal(20, 0))) div cast('{width}' as decimal(20, 0)) as long)" if ids != "doc_id" else f"(doc_id - cast('{lo}' as long)) div {width}L"))
     firsts = sorted((r["cell"], r["first"]) for r in placed.groupBy("cell").agg(F.min("doc_id").alias("first")).collect())
     follow = [(firsts[(i + 1) % len(firsts)][1], cell) for i, (cell, _) in enumerate(firsts)]
     heads = F.broadcast(spark.createDataFrame(follow, "doc_id long, cell long"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import stage
+from seqloom.llm.common import free_name, stage
 
 LEAF = ["domain", "lang", "source"]
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,7 +37,7 @@ class Mix:
 
     def domain(self, source: Column) -> Column:
         """The domain a source belongs to: its checksum modulo the number of domains."""
-        return F.concat(F.lit("d"), F.pmod(F.crc32(source), F.lit(self.domains)))
+        return F.concat(F.lit("d"), F.conv(F.substring(F.md5(source), 1, 4), 16, 10).cast("int") % self.domains)
 
 
 def _weight(key: Column, weights: dict[str, int]) -> Column:
@@ -115,11 +115,51 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 def take(docs: DataFrame, mix: Mix) -> DataFrame:
     """``docs`` as the mixture takes them, each at most once: a prefix keeps the text's first tokens."""
-    taken = mixture(docs, mix).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.when(F.col("epochs") > 0, F.col("n_tokens")).otherwise(F.col("prefix_tokens"))).alias("_take"), F.max("n_tokens").alias("_all"))
-    joined = docs.join(taken.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")))
-    cut = F.array_join(F.slice(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1), 1, F.col("_take").cast("int") + F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)), "")
-    short = F.col("_take") < F.col("_all")
+    key, some, every = (free_name(docs, c) for c in ("_id", "_take", "_all"))
+    taken = mixture(docs, mix).groupBy(F.col("doc_id").alias(key)).agg(F.max(F.when(F.col("epochs") > 0, F.col("n_tokens")).otherwise(F.col("prefix_tokens"))).alias(some), F.max("n_tokens").alias(every))
+    joined = docs.join(taken.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col(key)))
+    blank_first = F.when(F.col("text").rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
+    cut = F.array_join(F.slice(F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])", -1), 1, F.col(some).cast("int") + blank_first), "")
+    short = F.col(some) < F.col(every)
     change = {"text": F.when(short, cut).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         change["n_chars"] = F.when(short, F.length(cut).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.withColumns(change).select(*[F.col(c) for c in docs.columns])
+    return joined.withColumns(change).select(*docs.columns)
+
+
+def _share_sql(name: str, source: str, parents: list[str], key: str, weight: str) -> str:
+    """SQL of ``_share``: ctes ending in ``name``."""
+    by = f"partition by {', '.join(parents)}" if parents else "partition by 1"
+    keys = ", ".join([*parents, key])
+    return f"""{name}_a as (select *, {weight} w from {source}),
+{name}_b as (select *, (budget - coalesce(sum(cap) over ({by} order by cap / w::double, {key} rows between unbounded preceding and 1 preceding), 0)) * w >= cap * sum(w) over ({by} order by cap / w::double, {key} rows between current row and unbounded following) f0 from {name}_a),
+{name}_c as (select *, bool_and(f0) over ({by} order by cap / w::double, {key} rows between unbounded preceding and current row) f from {name}_b),
+{name}_d as (select *, case when f then cap else ((budget - coalesce(sum(cap) filter (f) over ({by}), 0)) * w) // sum(w) filter (not f) over ({by}) end a from {name}_c),
+{name} as (select {keys}, cap, least(cap, a + case when not f and row_number() over (partition by {', '.join([*parents, 'f'])} order by {key}) <= budget - sum(a) over ({by}) then 1 else 0 end)::bigint alloc from {name}_d)"""
+
+
+def _weight_sql(key: str, weights: dict[str, int]) -> str:
+    return f"(case {key} " + " ".join(f"when '{k}' then {w}" for k, w in sorted(weights.items())) + " else 1 end)::bigint"
+
+
+def oracle(mix: Mix = Mix()) -> str:
+    pattern = WORD.replace("'", "''")
+    total = "(select sum(cap) from domains0)"
+    return f"""with docs as (select doc_id, coalesce(source, '') source, coalesce(lang, '') lang, len(regexp_extract_all(coalesce(text, ''), '{pattern}'))::bigint n_tokens from documents),
+rows_ as (select doc_id, 'd' || (('0x' || substr(md5(source), 1, 4))::int % {mix.domains}) as domain, lang, source, n_tokens from docs),
+leaves as (select domain, lang, source, sum(n_tokens)::bigint tokens, sum(n_tokens)::bigint * {mix.max_epochs} cap from rows_ group by 1, 2, 3),
+langs0 as (select domain, lang, sum(cap)::bigint cap from leaves group by 1, 2), domains0 as (select domain, sum(cap)::bigint cap from langs0 group by 1),
+domains1 as (select *, least(({total} // {mix.max_epochs}) * {mix.percent} // 100, {total})::bigint budget from domains0),
+{_share_sql("domains2", "domains1", [], "domain", _weight_sql("domain", mix.domain_weights))},
+langs1 as (select langs0.*, d.alloc budget from langs0 join domains2 d using (domain)),
+{_share_sql("langs2", "langs1", ["domain"], "lang", _weight_sql("lang", mix.lang_weights))},
+leaves1 as (select leaves.*, l.alloc budget from leaves join langs2 l using (domain, lang)),
+{_share_sql("leaves2", "leaves1", ["domain", "lang"], "source", "1::bigint")},
+quota as (select domain, lang, source, case when tokens = 0 then 0 else alloc // tokens end epochs, case when tokens = 0 then 0 else alloc % tokens end rest from leaves2 join leaves using (domain, lang, source)),
+keyed as (select rows_.*, epochs, rest, md5({mix.seed} || '|' || epochs || '|' || coalesce(doc_id::varchar, '')) h from rows_ join quota using (domain, lang, source)),
+run as (select *, sum(n_tokens) over (partition by domain, lang, source order by h, doc_id, n_tokens rows between unbounded preceding and current row) upto from keyed),
+taken as (select doc_id, domain, lang, source, n_tokens, epochs::bigint epochs, greatest(0, least(n_tokens, rest - upto + n_tokens))::bigint prefix_tokens from run)
+select * from taken where epochs > 0 or prefix_tokens > 0"""
+
+
+ORACLE_SQL = oracle()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import components, mix64, stage, text_slices
+from seqloom.llm.common import components, free_name, mix64, stage, text_slices
 from seqloom.llm.shingles import shingle_sets
 
 SIMILAR = 75
@@ -335,5 +335,6 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component; rows without an id stay."""
-    found = jaccard_components(docs).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c")).where("_id <> _c")
-    return docs.join(found.hint("shuffle_hash"), docs["doc_id"] == F.col("_id"), "left_anti")
+    key = free_name(docs, "_id")
+    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col(key), "left_anti")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import components, stage
+from seqloom.llm.common import components, free_name, stage
 
 COSINE = 0.93
 PREFIX, SHARED, BLOCK, MOST_PIVOTS = 16, 2, 2048, 2048
@@ -131,5 +131,6 @@ def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def drop_near_vectors(vectors: DataFrame) -> DataFrame:
     """The rows of ``vectors`` whose vec_id is the smallest of its component."""
-    gone = near_vectors(vectors).where("not kept").select(F.col("vec_id").alias("_id"))
-    return vectors.join(gone, vectors["vec_id"] == F.col("_id"), "left_anti")
+    key = free_name(vectors, "_id")
+    gone = near_vectors(vectors).where("not kept").select(F.col("vec_id").alias(key))
+    return vectors.join(gone, vectors["vec_id"] == F.col(key), "left_anti")

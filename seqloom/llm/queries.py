@@ -62,5 +62,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE_SQL,
     "op5_secret_scans": secrets.ORACLE_SQL,
 }

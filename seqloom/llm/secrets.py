@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import stage
+from seqloom.llm.common import free_name, stage
 
 
 def _either(word: str) -> str:
@@ -123,20 +123,22 @@ def report(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every found span replaced by a mark and n_chars counted anew; other rows unchanged."""
     ledger, paths = scan(docs)
-    hit = findings(ledger, paths).where(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.col("blob").alias("_blob"), F.col("found").alias("_found")).dropDuplicates(["_id", "_blob"])
+    key, blob, own = (free_name(docs, c) for c in ("_id", "_blob", "_found"))
+    hit = findings(ledger, paths).where(F.size("found") > 0).select(F.col("doc_id").alias(key), F.col("blob").alias(blob), F.col("found").alias(own)).dropDuplicates([key, blob])
     text = F.coalesce("text", F.lit(""))
-    joined = docs.join(hit.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(text, 256) == F.col("_blob")), "left")
+    joined = docs.join(hit.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col(key)) & (F.sha2(text, 256) == F.col(blob)), "left")
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
         out = F.concat(acc["out"], F.substring("text", acc["at"] + 1, s["start"] - acc["at"]), F.lit(MARK))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate("_found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
-    change = {"text": F.when(F.col("_found").isNotNull(), clean).otherwise(F.col("text"))}
+    found = F.col(own).isNotNull()
+    clean = F.aggregate(own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
+    change = {"text": F.when(found, clean).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        change["n_chars"] = F.when(F.col("_found").isNotNull(), F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.withColumns(change).select(*[F.col(c) for c in docs.columns])
+        change["n_chars"] = F.when(found, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return joined.withColumns(change).select(*docs.columns)
 
 
 def _oracle() -> str:
