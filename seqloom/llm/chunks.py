@@ -73,10 +73,12 @@ def _rows(repeat: bool, doc, start, size, d1, d2) -> pa.RecordBatch:
 
 
 def _order(d1, d2, doc, start) -> tuple[np.ndarray, np.ndarray]:
+    """(first chunks of their digest by place in the corpus, later ones); a row that repeats the first's place is neither."""
     order = np.lexsort((start, doc, d2, d1))
     new = np.ones(len(order), bool)
     new[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
-    return order, new
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return order[new], order[(doc[order] != doc[head]) | (start[order] != start[head])]
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,8 +94,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.cumsum(table[data] * powers(base, len(data)), out=total[1:])
                 digests.append(mix64((total[b] - total[a]) * powers(pow(base, -1, 2**64), len(data))[a] + (b - a).astype(np.uint64)))
             doc, start = ids[i + text], a - offsets[text]
-            order, new = _order(*digests, doc, start)
-            again, once = order[~new], order[new]
+            once, again = _order(*digests, doc, start)
             yield _rows(True, doc[again], start[again], (b - a)[again], mix64(doc[again].view(np.uint64)), digests[1][again])
             yield _rows(False, doc[once], start[once], (b - a)[once], digests[0][once], digests[1][once])
 
@@ -117,8 +118,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     same[1:-1] = s[1:] == s[:-1]
     by = by[same[:-1] | same[1:]]
     doc, start, size, d1, d2 = doc[by], start[by], size[by], d1[by], d2[by]
-    order, new = _order(d1, d2, doc, start)
-    again = order[~new]
+    _, again = _order(d1, d2, doc, start)
     yield _rows(True, doc[again], start[again], size[again], d1[again], d2[again])
 
 

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of text that one NumPy step works on; bounds a Python worker's memory.
-SLICE_BYTES = 4 << 20
+#: Bytes of text that one NumPy step works on; bounds a Python worker's memory and stays near the caches.
+SLICE_BYTES = 1 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -127,6 +127,6 @@ def powers(base: int, n: int, _cache: dict = {}) -> np.ndarray:  # noqa: B006
         have = np.ones(size, np.uint64)
         have[1:] = np.uint64(base)
         have = np.cumprod(have)
-        if size <= (SLICE_BYTES << 1):
+        if size <= 4 << 20:
             _cache[base] = have
     return have[:n]

@@ -36,21 +36,29 @@ from seqloom.llm.shingles import shingle_sets
 
 SIMILAR = 75
 HOT_SHARE = 0.001
+RUN_SHINGLES = 1_400_000
 _FULL = 100  # namespace of the full domain's signatures
 _INFO, _EDGE, _GROUP = 0, 1, 2
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that at least three texts of a slice hold, with that number."""
+    """Shingles that at least three texts of a run of some 2,500 hold, with that number."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.sort(np.concatenate(held))
+        at = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])[: len(flat)])
+        n = np.diff(np.append(at, len(flat)))
+        return pa.RecordBatch.from_arrays([pa.array(flat[at][n >= 3].view(np.int64)), pa.array(n[n >= 3])], ["h", "n"])
+
+    held: list[np.ndarray] = []
     for batch in batches:
-        for _, _, data, offsets in text_slices(batch, "text", 8 << 20):
-            flat, _ = shingle_sets(data, offsets)
-            flat.sort()
-            if not len(flat):
-                continue
-            at = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-            n = np.diff(np.append(at, len(flat)))
-            yield pa.RecordBatch.from_arrays([pa.array(flat[at][n >= 3].view(np.int64)), pa.array(n[n >= 3])], ["h", "n"])
+        for _, _, data, offsets in text_slices(batch, "text"):
+            held.append(shingle_sets(data, offsets)[0])
+            if sum(map(len, held)) >= RUN_SHINGLES:
+                yield counted(held)
+                held = []
+    if held:
+        yield counted(held)
 
 
 def frequent_shingles(docs: DataFrame, share: float) -> np.ndarray:

@@ -31,8 +31,8 @@ KMER = 16
 _P1, _P2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 _T1, _T2 = byte_table(11), byte_table(12)
 _MARK, _SEGMENT = 0, 1
-_PIECE = 8 << 20
-BLOCK = 1 << 20
+_PIECE = 1 << 20
+BLOCK = 1 << 16
 
 
 def _prefix(data: np.ndarray, table: np.ndarray, base: int) -> np.ndarray:
@@ -47,12 +47,12 @@ def _range_hash(prefix: np.ndarray, base: int, a: np.ndarray, b: np.ndarray) ->
 
 
 def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
-    n = len(v) - width + 1
-    pad = -len(v) % width
-    blocks = np.concatenate([v, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, width)
-    left = np.minimum.accumulate(blocks, axis=1).ravel()
-    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(right[:n], left[width - 1 : width - 1 + n])
+    reach = 1
+    while 2 * reach <= width:
+        v = np.minimum(v[:-reach], v[reach:])
+        reach *= 2
+    rest = width - reach
+    return np.minimum(v[:-rest], v[rest:]) if rest else v
 
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -60,25 +60,29 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     one = _prefix(data, _T1, _P1)
-    at = np.arange(len(data) - KMER + 1)
-    kmer = mix64(_range_hash(one, _P1, at, at + KMER))
-    low = _sliding_min((kmer & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64), LENGTH - KMER + 1)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    start = np.arange(len(low))
-    fits = start + LENGTH <= ends[: len(low)]
-    owner = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
+    m = len(data) - KMER + 1
+    kmer = (one[KMER:] - one[:-KMER]) * powers(pow(_P1, -1, 2**64), len(one))[:m]
+    kmer ^= kmer >> np.uint64(32)
+    kmer *= np.uint64(0xBF58476D1CE4E5B9)
+    del one
+    low = _sliding_min((kmer & ~np.uint64((1 << 24) - 1)) | np.arange(m, dtype=np.uint64), LENGTH - KMER + 1)
+    fits = np.ones(len(low), bool)
+    for end in offsets[1:-1].tolist():  # windows that would run over a text's end
+        fits[max(0, end - LENGTH + 1) : end] = False
+    owner = (low & np.uint64((1 << 24) - 1)).astype(np.int32)
+    change = owner[1:] != owner[:-1]
     new = fits.copy()
-    new[1:] &= (owner[1:] != owner[:-1]) | ~fits[:-1]
+    new[1:] &= change | ~fits[:-1]
     first = np.flatnonzero(new)
-    last_new = fits.copy()
-    last_new[:-1] &= (owner[1:] != owner[:-1]) | ~fits[1:]
-    last = np.flatnonzero(last_new)
-    del low, start, fits, ends
+    end = fits.copy()
+    end[:-1] &= change | ~fits[1:]
+    last = np.flatnonzero(end)
     n = last - first + 1
     two = _prefix(data, _T2, _P2)
-    seg = mix64(_range_hash(two, _P2, first, last + LENGTH) + (n.astype(np.uint64) << np.uint64(32)) + (owner[first] - first).astype(np.uint64))
+    at = owner[first].astype(np.int64)
+    seg = mix64(_range_hash(two, _P2, first, last + LENGTH) + (n.astype(np.uint64) << np.uint64(32)) + (at - first).astype(np.uint64))
     text = np.searchsorted(offsets, first, "right") - 1
-    return text, first - offsets[text], n, kmer[owner[first]], seg
+    return text, first - offsets[text], n, kmer[at], seg
 
 
 def _rows(kind, doc, a, n, k1, k2) -> pa.RecordBatch:
@@ -91,14 +95,17 @@ ROWS = "kind byte, doc long, a int, n int, k1 long, k2 long"
 
 
 def _first_of(keys: list[np.ndarray], doc: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by keys, then place in the corpus; and whether each row in that order opens its key."""
+    """(rows that are the first of their key by place in the corpus, rows that come later); a row that repeats the
+    first one's place is neither."""
     order = np.lexsort((a, doc, *keys[::-1]))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
-    return order, new
+    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = (doc[order] != doc[head]) | (a[order] != a[head])
+    return order[new], order[later]
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
@@ -120,8 +127,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(text):
                 continue
             doc, a = ids[i + text], a + shift
-            order, new = _first_of([k1, k2], doc, a)
-            again, once = order[~new], order[new]
+            once, again = _first_of([k1, k2], doc, a)
             yield _rows(_MARK, doc[again], a[again], n[again], mix64(doc[again].view(np.uint64)), k2[again])
             yield _rows(_SEGMENT, doc[once], a[once], n[once], k1[once], k2[once])
 
@@ -147,10 +153,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc, a, n, k1, k2 = doc[order], a[order], n[order], k1[order], k2[order]
     if not len(doc):
         return
-    order, new = _first_of([k1, k2], doc, a)
-    again = order[~new]
+    once, again = _first_of([k1, k2], doc, a)
     yield _rows(_MARK, doc[again], a[again], n[again], k1[again], k2[again])
-    once = order[new]
     s = k1[once]
     same = np.zeros(len(s) + 1, bool)
     same[1:-1] = s[1:] == s[:-1]
@@ -249,7 +253,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc, a, k1 = (table.column(c).to_numpy() for c in ("doc", "a", "k1"))
     size = np.array([len(x) for x in table.column("piece").to_pylist()], np.int64)
     pieces = table.column("piece").to_pylist()
-    order = np.lexsort((a, doc, k1))
+    order, _ = _first_of([k1, doc, a], doc, a)  # rows that repeat a text fetch its segments again
     heads = np.flatnonzero(np.concatenate([[True], k1[order][1:] != k1[order][:-1]]))
     bounds = np.append(heads, len(order))
     filled, begin = 0, 0

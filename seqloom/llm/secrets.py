@@ -135,10 +135,10 @@ def redact(docs: DataFrame) -> DataFrame:
 
     found = F.col(own).isNotNull()
     clean = F.aggregate(own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
-    change = {"text": F.when(found, clean).otherwise(F.col("text"))}
+    joined = joined.withColumn("text", F.when(found, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        change["n_chars"] = F.when(found, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return joined.withColumns(change).select(*docs.columns)
+        joined = joined.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return joined.select(*docs.columns)
 
 
 def _oracle() -> str:

@@ -3,7 +3,8 @@
 A document is a bag of sentences. A sentence is toxic with probability sigmoid(bias + sum of its distinct
 words' weights); the document's probability is the noisy-or of its sentences. The weights are learnt from
 document labels alone by maximising the likelihood of the labels, which are taken to be wrong at a small
-fixed rate, so that long clean documents and stray labels don't raise the bias. The trained model
+fixed rate, so that long clean documents and stray labels don't raise the bias. The rarer toxic documents weigh more, up to
+``most_weight`` times. The trained model
 then scores every whole text and locates the sentences that carry the score.
 
 The classifier is fitted on a bounded sample of the labelled rows (``positives`` and ``negatives``, in seeded
@@ -44,6 +45,7 @@ class Fit:
     rate: float = 0.05
     shrink: float = 2e-4
     wrong: float = 0.01
+    most_weight: float = 4.0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -92,7 +94,9 @@ def fit_noisy_or(toxic: np.ndarray, plain: np.ndarray, sizes: list[np.ndarray],
     x = np.concatenate([start, [-6.0]])
     m, v = np.zeros_like(x), np.zeros_like(x)
     e = fit.wrong
-    share = 1 / max(1, len(toxic))
+    more = float(np.clip((toxic == 0).sum() / max(1, (toxic == 1).sum()), 1.0, fit.most_weight))
+    share = np.where(toxic == 1, more, 1.0)
+    share /= max(1.0, share.sum())
     for t in range(1, fit.rounds + 1):
         w, b = x[:-1], x[-1]
         z = b + np.bincount(row, w[flat], minlength=len(bags))
@@ -100,9 +104,9 @@ def fit_noisy_or(toxic: np.ndarray, plain: np.ndarray, sizes: list[np.ndarray],
         p0 = 1 / (1 + math.exp(-max(-30.0, min(30.0, b))))
         clean = np.exp(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(toxic)) + plain * math.log1p(-p0))
         q = e + (1 - 2 * e) * (1 - clean)
-        outer = -(toxic / q - (1 - toxic) / (1 - q)) * (1 - 2 * e) * clean
+        outer = -(toxic / q - (1 - toxic) / (1 - q)) * (1 - 2 * e) * clean * share
         dz = outer[owner] * p
-        grad = np.concatenate([np.bincount(flat, dz[row], minlength=len(w)), [dz.sum() + (outer * plain * p0).sum()]]) * share
+        grad = np.concatenate([np.bincount(flat, dz[row], minlength=len(w)), [dz.sum() + (outer * plain * p0).sum()]])
         grad[:-1] += fit.shrink * w
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
