@@ -1,6 +1,13 @@
 import re
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from seqloom.llm import mixing, toxicity
 from seqloom.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +36,63 @@ def test_run_and_empty_documents(spark):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, SF)
     assert docs.count() == 0
+
+
+BASE = (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), re.compile("AKIA[A-Z0-9]{12,}"), re.compile("[0-9a-f]{32,}"))
+
+
+def near_copies(texts):
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    up = {i: i for i in sets}
+
+    def root(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return [i for i in sets if root(i) == i]
+
+
+def redacted(text):
+    spans = sorted((m.start(), m.end()) for k, p in enumerate(BASE) for m in p.finditer(text) if k or len(m[2]) >= 8)
+    out, at = "", 0
+    for s, e in spans:
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_run_equals_plain_version(spark):
+    """All stages but the scores themselves, written plainly."""
+    docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    clean = {r["doc_id"] for r in toxicity.toxicity(docs, labels).where("predicted = 0").collect()}
+    table = docs.toPandas().set_index("doc_id")
+    texts = {i: t for i, t in table["text"].items() if i in clean}
+    texts = {i: redacted(texts[i]) for i in near_copies(texts)}
+    documents = table.loc[list(texts)].assign(text=list(texts.values())).reset_index()
+    c = duckdb.connect()
+    c.register("documents", documents)
+    taken = {i: (n if epochs else prefix) for i, _, _, _, n, epochs, prefix in c.execute(mixing.oracle(mixing.Mix(percent=90, max_epochs=1))).fetchall()}
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {}
+    for i, n in taken.items():
+        words = list(re.finditer(r"[^\x20\x09-\x0D]+", texts[i]))
+        text = texts[i] if n == len(words) else texts[i][: words[n].start()]
+        want[i] = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
+    got = {}
+    for r in corpus_pipeline.run(spark, SF).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert set(got) == set(want)
+    for i, pieces in got.items():
+        assert sum(p["length"] for p in pieces) == len(want[i])
+        for p in pieces:
+            assert p["ids_crc32"] == zlib.crc32(want[i][p["start"] : p["start"] + p["length"]].tobytes()), i
