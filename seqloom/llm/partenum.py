@@ -37,6 +37,7 @@ from seqloom.llm.shingles import shingle_sets
 SIMILAR = 75
 HOT_SHARE = 0.001
 RUN_SHINGLES = 1_400_000
+FIRST_GROUPS = 16
 _FULL = 100  # namespace of the full domain's signatures
 _INFO, _EDGE, _GROUP = 0, 1, 2
 
@@ -232,8 +233,13 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)[keep]), pa.array(np.array(b, np.int64)[keep])], ["a", "b"])
 
 
-def _large_group(node: np.ndarray, c: np.ndarray, n: np.ndarray, sketch: list[bytes]) -> np.ndarray:
-    """Allowed pairs of one group by bit matrices, one sketch length and the next shorter one at a time."""
+def _opens(x: frozenset, y: frozenset, g: int) -> bool:
+    """Whether no group before ``g`` is known to hold both texts."""
+    return all(k >= g for k in x & y)
+
+
+def _large_group(c: np.ndarray, n: np.ndarray, sketch: list[bytes]) -> np.ndarray:
+    """Places of allowed pairs of one group by bit matrices, one sketch length and the next longer one at a time."""
     size = np.array([8 * len(x) for x in sketch])
     rows = [np.zeros((0, 2), np.int64)]
     for m in np.unique(size):
@@ -251,14 +257,16 @@ def _large_group(node: np.ndarray, c: np.ndarray, n: np.ndarray, sketch: list[by
             x, y = n[p][:, None], n[large][None, :]
             ok = (7 * apart <= x + y) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y)) & (c[p][:, None] != c[large][None, :])
             i, j = np.nonzero(ok)
-            rows.append(np.stack([node[p[i]], node[large[j]]], 1))
+            once = (size[p[i]] != size[large[j]]) | (p[i] < large[j])
+            rows.append(np.stack([p[i], large[j]], 1)[once])
     return np.concatenate(rows)
 
 
 def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of open groups that lie in different components and that sizes and sketches allow to link.
 
-    A partition's small groups are taken together and a pair that many of them share is looked at once.
+    A partition's small groups are taken together and a pair that many of them share is looked at once. A pair is
+    given only in the first of its groups, as far as the ``low`` lists (a text's first groups) tell.
     """
     table = pa.Table.from_batches(list(batches))
     if not table.num_rows:
@@ -267,12 +275,14 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((node, g))
     g, node, c, n = g[order], node[order], c[order], n[order]
     sketch = table.column("sketch").take(pa.array(order))
+    low = [frozenset(x) for x in table.column("low").take(pa.array(order)).to_pylist()]
     first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
     length = np.diff(np.append(first, len(g)))
     found = [np.zeros((0, 2), np.int64)]
-    for f, m in zip(first[length > 64], length[length > 64], strict=True):
+    for f, m in zip(first[length > 64].tolist(), length[length > 64].tolist(), strict=True):
         part = slice(f, f + m)
-        found.append(_large_group(node[part], c[part], n[part], sketch[f : f + m].to_pylist()))
+        at = f + _large_group(c[part], n[part], sketch[f : f + m].to_pylist())
+        found.append(node[at[[_opens(low[i], low[j], int(g[i])) for i, j in at.tolist()]]])
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for m in np.unique(length[length <= 64]):
         i, j = np.triu_indices(m, 1)
@@ -282,6 +292,8 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     left, right = np.concatenate(left), np.concatenate(right)
     ok = (c[left] != c[right]) & (100 * np.minimum(n[left], n[right]) >= SIMILAR * np.maximum(n[left], n[right]))
     left, right = left[ok], right[ok]
+    by_group = np.argsort(left, kind="stable")  # so that a pair's first group is the one kept
+    left, right = left[by_group], right[by_group]
     pair = np.stack([node[left], node[right]], 1)
     _, once = np.unique(pair, axis=0, return_index=True)
     left, right = left[once], right[once]
@@ -289,8 +301,8 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw = dict(zip(used.tolist(), sketch.take(pa.array(used)).to_pylist(), strict=True))
     bits = {i: int.from_bytes(x, "little") for i, x in raw.items()}
     near = [7 * _bits_apart(bits[i], 8 * len(raw[i]), bits[j], 8 * len(raw[j])) <= s for i, j, s in zip(left.tolist(), right.tolist(), (n[left] + n[right]).tolist(), strict=True)]
-    near = np.array(near, bool)
-    found.append(np.stack([node[left[near]], node[right[near]]], 1))
+    at = np.stack([left, right], 1)[np.array(near, bool)]
+    found.append(node[at[[_opens(low[i], low[j], int(g[i])) for i, j in at.tolist()]]])
     pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -329,7 +341,8 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
     open_groups = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     rest = stage(inside.join(open_groups, "g").distinct(), "partenum-open")
-    more = rest.join(sketches.withColumnRenamed("doc", "node"), "node").repartition("g").mapInArrow(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    known = rest.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("g")), 1, FIRST_GROUPS).alias("low"))
+    more = rest.join(known.join(sketches.withColumnRenamed("doc", "node"), "node"), "node").repartition("g").mapInArrow(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     extra = stage(_verified(stage(more, "partenum-allowed"), texts), "partenum-links")
     if not extra.isEmpty():
         root = found.select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
