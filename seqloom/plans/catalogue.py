@@ -289,7 +289,6 @@ def top_barcodes(spark: SparkSession, d: str) -> DataFrame:
     return indexqc.top_barcodes(dict(zip(indexqc.SOURCES, map(count, ("p_name", "p_type", "p_brand")), strict=True)))
 
 
-_HEADER = "concat('@T:1:F:1:1:1:', event_id, '/1 1:N:0:', {0})"
 _SQL_INDEX = f"case when length({_dna('event_type')}) >= 6 then {_dna('event_type')} end"
 
 
