@@ -1,11 +1,16 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Every vector is described by its ``prefix`` nearest reference points (pivots), a seeded bounded sample of the
-vectors. An inverted list per label and pivot holds the vectors near that pivot; two vectors are retrieved if they
+Every vector is described by its ``prefix`` nearest reference points (pivots), seeded random directions. An inverted list per label and pivot holds the vectors near that pivot; two vectors are retrieved if they
 share at least ``shared`` pivots, counted in the list of the smallest pivot they share, and are then verified by
 cosine in double precision. The number of pivots follows the square root of the number of vectors, so lists
 grow with that root alone; a list longer than ``block`` is cut into blocks that meet pairwise.
 
+Pivots don't come from the data: their distribution is the same in all directions, so on average over their draw
+whether a pair is retrieved depends on its cosine and the dimension alone, not on how crowded its place is. Their number is
+halved until none of ``TRIALS`` random pairs at the least cosine is missed (in few dimensions many pivots
+would miss some); with no more pivots than ``prefix`` all pairs meet. A dense group's vectors meet in the same
+lists and are compared blockwise, which its links need anyway.
+
 Equal vectors of a label form a class first and count by their number. Lists return link counts and a
 spanning forest of the links, never the pairs.
 """
@@ -24,6 +29,7 @@ from seqloom.llm.common import components, free_name, stage
 
 COSINE = 0.93
 PREFIX, SHARED, BLOCK, MOST_PIVOTS = 16, 2, 2048, 2048
+TRIALS = 4000
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -38,6 +44,35 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(1, keepdims=True))
 
 
+def _nearest(unit: np.ndarray, points: np.ndarray) -> np.ndarray:
+    near = unit @ points.T
+    return np.argsort(-near, axis=1, kind="stable")[:, : min(PREFIX, len(points))].astype(np.int32)
+
+
+def pivots_for(dimension: int, want: int) -> np.ndarray:
+    """At most ``want`` random directions by which pairs at the least cosine are retrieved."""
+    rng = np.random.default_rng([5, dimension])
+    points = _unit(rng.standard_normal((want, dimension)))
+    x = _unit(rng.standard_normal((TRIALS, dimension)))
+    if dimension > 1:
+        aside = rng.standard_normal((TRIALS, dimension))
+        aside = _unit(aside - (aside * x).sum(1, keepdims=True) * x)
+        y = COSINE * x + math.sqrt(1 - COSINE * COSINE) * aside
+    else:
+        y = x
+    while len(points) > PREFIX:
+        shared = np.zeros(TRIALS, np.int64)
+        for k in range(0, TRIALS, 500):
+            a, b = (np.zeros((len(x[k : k + 500]), len(points)), bool) for _ in range(2))
+            np.put_along_axis(a, _nearest(x[k : k + 500], points), True, 1)
+            np.put_along_axis(b, _nearest(y[k : k + 500], points), True, 1)
+            shared[k : k + 500] = (a & b).sum(1)
+        if shared.min() >= SHARED:
+            break
+        points = points[: len(points) // 2]
+    return points
+
+
 def _indexer(pivots):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_size = pivots.value
@@ -46,9 +81,8 @@ def _indexer(pivots):
             for n in np.unique(size):
                 part = batch.filter(pa.array(size == n))
                 points = by_size[int(n)]
-                near = _unit(_matrix(part.column(3))) @ points.T
-                k = min(PREFIX, len(points))
-                top = np.argsort(-near, axis=1, kind="stable")[:, :k].astype(np.int32)
+                top = _nearest(_unit(_matrix(part.column(3))), points)
+                k = top.shape[1]
                 own = np.repeat(np.arange(part.num_rows), k)
                 take = pa.array(own)
                 perm = pa.ListArray.from_arrays(pa.array(np.arange(0, len(own) + 1, k, dtype=np.int32)), pa.array(top.ravel())).take(take)
@@ -110,8 +144,7 @@ def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     points = {}
     for r in sizes:
         want = min(MOST_PIVOTS, max(64, 1 << math.ceil(math.log2(2 * math.sqrt(r["count"])))))
-        sample = reps.where(F.size("v") == r["n"]).orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(want).select("v").collect()
-        points[r["n"]] = _unit(np.array([s["v"] for s in sample], np.float64))
+        points[r["n"]] = pivots_for(r["n"], want)
     lists = reps.mapInArrow(_indexer(spark.sparkContext.broadcast(points)), "label string, node long, weight long, v array<double>, perm array<int>, pivot int")
     lists = stage(lists.withColumn("n", F.size("v")), "pivot-lists")
     lens = lists.groupBy("label", "pivot", "n").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))

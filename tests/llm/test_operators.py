@@ -419,6 +419,26 @@ def test_vectors(spark):
     assert pivots.drop_near_vectors(df).columns == df.columns
 
 
+@pytest.mark.parametrize("size", [1500, 6000])
+def test_vectors_in_a_dense_group(spark, size):
+    """A third of a label's vectors around one centre, pairs at cosine of about 0.95: no link is lost at any size."""
+    rng = np.random.default_rng(size)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    v = unit(rng.standard_normal((size, 64)))
+    hot = size // 3
+    v[:hot] = unit(np.sqrt(0.95) * unit(rng.standard_normal((1, 64))) + np.sqrt(0.05) * v[:hot])
+    close = (v @ v.T >= pivots.COSINE).sum(1) - 1
+    assert close[:hot].sum() > 0.9 * hot * hot
+    frame = spark.createDataFrame([(i, x, "a") for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label string")
+    got = np.array([r["n_links"] for r in pivots.near_vectors(frame).orderBy("vec_id").collect()])
+    assert (got <= close).all() and got.sum() >= 0.9999 * close.sum()
+
+
+def test_pivots_of_few_dimensions_miss_nothing():
+    for dimension in (2, 3, 4):
+        assert len(pivots.pivots_for(dimension, 2048)) < 2048
+
+
 def test_toxicity_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     got = toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels")).join(read(spark, d, "labels"), "doc_id").where("held_out and toxic is not null").toPandas()
