@@ -15,7 +15,9 @@ mean set size / ``hot_share`` entries, which bounds its broadcast.
 
 Texts that share a signature form a group. No group is expanded into pairs: the smallest id of a group
 is compared with its other members exactly, connected components follow, and only members of a group
-that still lie in different components are compared further.
+that still lie in different components are compared further. Texts with equal sets are one class before anything is
+signed, and only its smallest id signs. Of a large open group, the members outside its largest component meet each
+other and that component in blocks of about ``BLOCK`` rows a side; the largest component doesn't meet itself.
 
 Before texts are compared, a lossless bound sorts out most candidates: a set's parity sketch has one bit
 for each residue of its features' hashes, the parity of their number. Every differing feature flips one
@@ -38,8 +40,9 @@ SIMILAR = 75
 HOT_SHARE = 0.001
 RUN_SHINGLES = 1_400_000
 FIRST_GROUPS = 16
+SMALL_GROUP, BLOCK = 64, 1024
 _FULL = 100  # namespace of the full domain's signatures
-_INFO, _EDGE, _GROUP = 0, 1, 2
+_EDGE, _GROUP = 1, 2
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +115,17 @@ def sign(flat: np.ndarray, at: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, set size, 128-bit digest of the set)."""
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+        for i, j, data, offsets in text_slices(batch, "text"):
+            flat, at = shingle_sets(data, offsets)
+            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(flat ^ np.uint64(seed)))]) for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+            cols = [ids[i:j], np.diff(at).astype(np.int32), *[(x[at[1:]] - x[at[:-1]]).view(np.int64) for x in sums]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "n", "d1", "d2"])
+
+
 def _signer(hot_ref):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_ref.value
@@ -120,18 +134,13 @@ def _signer(hot_ref):
             for i, j, data, offsets in text_slices(batch, "text"):
                 flat, at = shingle_sets(data, offsets)
                 sig, own = sign(flat, at, hot)
-                size, mine = np.diff(at), ids[i:j]
-                info = mix64(mine.view(np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([sig, info]).view(np.int64)), pa.array(np.concatenate([mine[own], mine])), pa.array(np.concatenate([size[own], -size - 1]).astype(np.int32))],
-                    ["sig", "doc", "n"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[i:j][own]), pa.array(np.diff(at)[own].astype(np.int32))], ["sig", "doc", "n"])
 
     return signed
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Group one shuffle partition by signature: sizes, edges to the least member, groups of three or more."""
+    """Group one shuffle partition by signature: edges to the least member, groups of three or more."""
 
     def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b.astype(np.int64))], ["kind", "a", "b"])
@@ -139,11 +148,9 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sig_, doc_, n_ = [], [], []
     for batch in batches:
         sig, doc, n = (batch.column(c).to_numpy() for c in range(3))
-        info = n < 0
-        yield rows(_INFO, doc[info], -(n[info].astype(np.int64)) - 1)
-        sig_.append(sig[~info])
-        doc_.append(doc[~info])
-        n_.append(n[~info])
+        sig_.append(sig)
+        doc_.append(doc)
+        n_.append(n)
     if not sig_:
         return
     sig, doc, n = np.concatenate(sig_), np.concatenate(doc_), np.concatenate(n_)
@@ -238,34 +245,49 @@ def _opens(x: frozenset, y: frozenset, g: int) -> bool:
     return all(k >= g for k in x & y)
 
 
-def _large_group(c: np.ndarray, n: np.ndarray, sketch: list[bytes]) -> np.ndarray:
-    """Places of allowed pairs of one group by bit matrices, one sketch length and the next longer one at a time."""
+def _large_group(c: np.ndarray, n: np.ndarray, sketch: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Places of allowed pairs between two blocks (or inside one) by bit matrices, one sketch length and the next longer one at a time."""
     size = np.array([8 * len(x) for x in sketch])
+    same = np.array_equal(left, right)
     rows = [np.zeros((0, 2), np.int64)]
-    for m in np.unique(size):
-        small = np.flatnonzero(size == m)
-        large = np.flatnonzero((size == m) | (size == 2 * m))
-        bits = np.zeros((len(large), m), np.float32)
-        for r, i in enumerate(large):
+
+    def bits(places: np.ndarray, m: int) -> np.ndarray:
+        out = np.zeros((len(places), m), np.float32)
+        for r, i in enumerate(places):
             own = np.unpackbits(np.frombuffer(sketch[i], np.uint8), bitorder="little")
-            bits[r] = own if len(own) == m else own[:m] ^ own[m:]
-        ones = bits.sum(1)
-        at = np.searchsorted(large, small)
-        for k in range(0, len(small), 512):
-            p, rp = small[k : k + 512], at[k : k + 512]
-            apart = ones[rp][:, None] + ones[None, :] - 2 * (bits[rp] @ bits.T)
-            x, y = n[p][:, None], n[large][None, :]
-            ok = (7 * apart <= x + y) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y)) & (c[p][:, None] != c[large][None, :])
+            out[r] = own if len(own) == m else own[:m] ^ own[m:]
+        return out
+
+    for x, y, lengths in ((left, right, (1, 2)), *(() if same else ((right, left, (2,)),))):
+        for m in np.unique(size[x]).tolist():
+            small, large = x[size[x] == m], y[np.isin(size[y], [k * m for k in lengths])]
+            if not len(large):
+                continue
+            p, q = bits(small, m), bits(large, m)
+            apart = p.sum(1)[:, None] + q.sum(1)[None, :] - 2 * (p @ q.T)
+            a, b = n[small][:, None], n[large][None, :]
+            ok = (7 * apart <= a + b) & (100 * np.minimum(a, b) >= SIMILAR * np.maximum(a, b)) & (c[small][:, None] != c[large][None, :])
             i, j = np.nonzero(ok)
-            once = (size[p[i]] != size[large[j]]) | (p[i] < large[j])
-            rows.append(np.stack([p[i], large[j]], 1)[once])
+            pair = np.stack([small[i], large[j]], 1)
+            rows.append(pair[(size[pair[:, 0]] != size[pair[:, 1]]) | (pair[:, 0] < pair[:, 1])] if same else pair)
     return np.concatenate(rows)
 
 
+def _across(key, table):
+    """As ``_inside`` for two blocks of a large group, or one with itself."""
+    g, bi, bj = (k.as_py() for k in key)
+    node, c, n, block = (table.column(k).to_numpy().astype(np.int64) for k in ("node", "c", "n", "block"))
+    low = [frozenset(x) for x in table.column("low").to_pylist()]
+    at = _large_group(c, n, table.column("sketch").to_pylist(), np.flatnonzero(block == bi), np.flatnonzero(block == bj))
+    at = at[np.array([_opens(low[i], low[j], g) for i, j in at.tolist()], bool)]
+    pairs = np.unique(np.sort(node[at], axis=1), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
 def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of open groups that lie in different components and that sizes and sketches allow to link.
+    """Pairs of small open groups that lie in different components and that sizes and sketches allow to link.
 
-    A partition's small groups are taken together and a pair that many of them share is looked at once. A pair is
+    A partition's groups are taken together and a pair that many of them share is looked at once. A pair is
     given only in the first of its groups, as far as the ``low`` lists (a text's first groups) tell.
     """
     table = pa.Table.from_batches(list(batches))
@@ -279,12 +301,8 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
     length = np.diff(np.append(first, len(g)))
     found = [np.zeros((0, 2), np.int64)]
-    for f, m in zip(first[length > 64].tolist(), length[length > 64].tolist(), strict=True):
-        part = slice(f, f + m)
-        at = f + _large_group(c[part], n[part], sketch[f : f + m].to_pylist())
-        found.append(node[at[[_opens(low[i], low[j], int(g[i])) for i, j in at.tolist()]]])
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for m in np.unique(length[length <= 64]):
+    for m in np.unique(length):
         i, j = np.triu_indices(m, 1)
         f = first[length == m][:, None]
         left.append((f + i).ravel())
@@ -327,22 +345,36 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    sets = stage(docs.mapInArrow(_digests, "doc long, n int, d1 long, d2 long").distinct(), "partenum-sets")
+    classes = sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"))
+    of_doc = sets.join(classes, ["n", "d1", "d2"], "left").groupBy("doc").agg(F.max("n").cast("long").alias("n_shingles"), F.array_sort(F.collect_set("rep")).alias("reps"))
+    of_doc = stage(of_doc, "partenum-classes")
+    twins = of_doc.where(F.size("reps") > 1).select(F.col("reps")[0].alias("a"), F.explode("reps").alias("b"))  # an id with several sets
+    docs = stage(docs.join(classes.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi"), "partenum-once")
     hot = spark.sparkContext.broadcast(frequent_shingles(docs, hot_share))
     rows = docs.mapInArrow(_signer(hot), "sig long, doc long, n int").repartition("sig").mapInArrow(_gather, "kind byte, a long, b long")
     rows = stage(rows, "partenum")
-    size = rows.where(F.col("kind") == _INFO).groupBy(F.col("a").alias("doc_id")).agg(F.max("b").alias("n_shingles"))
     pairs = stage(rows.where(F.col("kind") == _EDGE).select("a", "b").distinct(), "partenum-pairs")
     groups = rows.where(F.col("kind") == _GROUP).select(F.col("a").alias("g"), F.col("b").alias("node"))
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(groups.select("node")).distinct()
     texts = stage(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"), "partenum-texts")
     sketches = stage(texts.mapInArrow(_sketches, "doc long, n int, sketch binary"), "partenum-sketches")
     links = stage(_verified(stage(_allowed(pairs, sketches), "partenum-allowed"), texts), "partenum-links")
-    found = components(links)
+    found = components(links.union(twins))
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
-    open_groups = inside.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
-    rest = stage(inside.join(open_groups, "g").distinct(), "partenum-open")
+    inside = stage(inside.distinct(), "partenum-inside")
+    share = inside.groupBy("g", "c").agg(F.count("*").alias("m")).groupBy("g").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("t"))
+    rest = stage(inside.join(share.where(F.col("most.m") < F.col("t")), "g"), "partenum-open")
     known = rest.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("g")), 1, FIRST_GROUPS).alias("low"))
-    more = rest.join(known.join(sketches.withColumnRenamed("doc", "node"), "node"), "node").repartition("g").mapInArrow(_inside, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    ready = rest.join(known.join(sketches.withColumnRenamed("doc", "node").dropDuplicates(["node", "sketch"]), "node"), "node")
+    more = ready.where(F.col("t") <= SMALL_GROUP).select("g", "node", "c", "n", "sketch", "low").repartition("g").mapInArrow(_inside, "a long, b long")
+    own, deal = F.col("c") == F.col("most.c"), F.xxhash64(F.lit(7), "node")
+    large = ready.where(F.col("t") > SMALL_GROUP).withColumns({"main": F.ceil(F.col("most.m") / BLOCK).cast("int"), "side": F.ceil((F.col("t") - F.col("most.m")) / BLOCK).cast("int")})
+    large = large.withColumn("block", F.when(own, F.pmod(deal, F.col("main"))).otherwise(F.col("main") + F.pmod(deal, F.col("side"))).cast("int"))
+    others = F.sequence(F.when(own, F.col("main")).otherwise(F.lit(0)), F.col("main") + F.col("side") - 1)
+    meet = F.transform(others, lambda j: F.struct(F.least("block", j).alias("bi"), F.greatest("block", j).alias("bj")))
+    large = large.select("g", "node", "c", "n", "sketch", "low", "block", F.inline(meet)).groupBy("g", "bi", "bj").applyInArrow(_across, "a long, b long")
+    more = more.union(large).distinct().join(pairs, ["a", "b"], "left_anti")
     extra = stage(_verified(stage(more, "partenum-allowed"), texts), "partenum-links")
     if not extra.isEmpty():
         root = found.select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
@@ -351,7 +383,9 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
         lift = components(lifted).select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
         every = found.union(extra.select("a", "a").union(extra.select("b", "b"))).groupBy("node").agg(F.min("component_id").alias("component_id"))
         found = every.join(lift, F.col("component_id") == F.col("_n"), "left").select("node", F.coalesce("_c", "component_id").alias("component_id"))
-    return size.join(found, size["doc_id"] == found["node"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rep = F.coalesce(F.get("reps", F.lit(0)), F.col("doc"))
+    of_doc = of_doc.select(F.col("doc").alias("doc_id"), "n_shingles", rep.alias("rep"))
+    return of_doc.join(found, of_doc["rep"] == found["node"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -112,6 +112,48 @@ def test_jaccard_signatures_with_frequent_shingles_left_out():
             assert set(sig[own == 0]) & set(sig[own == 1])
 
 
+def test_jaccard_of_a_large_open_group(spark, monkeypatch):
+    """Exact copies sign once; blocks of a large group find all links; no task gets more than two blocks."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base)] * 150
+    for k in range(220):  # near copies and stragglers below the threshold
+        words = base.copy()
+        for at in rnd.sample(range(60), rnd.choice([1, 1, 1, 2, 3, 4])):
+            words[at] = f"x{k % 90}"
+        texts.append(" ".join(words))
+    sets = dict(enumerate(map(shingles, texts)))
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    want = union_find(sets, links)
+    signed, blocks = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    sign, across = partenum._signer, partenum._across
+
+    def counted(hot):
+        run = sign(hot)
+
+        def of(batches):
+            for batch in run(batches):
+                signed.add(len(set(batch.column(1).to_pylist())))
+                yield batch
+
+        return of
+
+    def bounded(key, table):
+        assert table.num_rows <= 2 * 64
+        blocks.add(1)
+        return across(key, table)
+
+    monkeypatch.setattr(partenum, "_signer", counted)
+    monkeypatch.setattr(partenum, "_across", bounded)
+    monkeypatch.setattr(partenum, "SMALL_GROUP", 8)
+    monkeypatch.setattr(partenum, "BLOCK", 16)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in partenum.jaccard_components(frame).collect()}
+    assert got == want and len(set(want.values())) > 3
+    assert signed.value == len({frozenset(x) for x in sets.values()}) < len(texts) - 100
+    assert blocks.value > 3
+
+
 def brute_repeats():
     seen, out = set(), {}
     for i, b in sorted(first_ids().items()):
