@@ -14,16 +14,24 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.llm.common import text_slices
+
 WINDOW = 4096
 END = 2
+# Letters folded to lower case and line ends to blanks.
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_FOLD[10] = 32
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -76,49 +84,122 @@ def pack(lengths: np.ndarray, window: int = WINDOW, linear: float = 1.0, quadrat
 
 
 class WordCodec:
-    """Token ids of whole texts: blank-separated words are encoded once and kept, as bytes of their ids.
-
-    The vocabulary lower-cases, and its pre-tokenizer neither joins anything across white space nor letters with
-    marks, so the ids of a text are those of its words in turn. New words go to the tokenizer together, with a
-    mark between them that none of them holds. The cache is emptied at ``keep`` words.
+    """Token ids of whole texts: texts are cut into pieces, and each distinct piece is encoded once and kept with its ids.
+
+    The vocabulary lower-cases, drops white space and never joins anything across it, nor a letter with an ASCII mark or digit
+    that follows. So the ids of a text are those of its pieces in turn, where a piece starts with blanks or where
+    an ASCII letter is followed by another ASCII character. Pieces are found on flat byte arrays and looked up as Arrow
+    arrays. New pieces of letters alone go to the vocabulary's merges, the others to the whole
+    tokenizer, many together with a mark between them that none of them holds. Texts that hold the opening of a special token's name
+    are encoded plainly. What is kept is emptied at ``keep`` pieces or ``KEEP_BYTES`` bytes.
     """
 
     MARK = "~"
-    EDGE = re.compile(rb"([a-z])([.,])(?=[ \n])")
+    OPENING = b"<|"
+    LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # as they are after normalisation: a-z and the small letters of Latin-1
+    MOST, KEEP_BYTES = 8 << 20, 32 << 20
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model
+        spelling = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {c: spelling.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.keep = keep
         (self.mark,) = self._ids(self.MARK)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.binary())
+        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.MARK not in w]
-        for w in words:
-            if self.MARK in w:
-                self.words[w] = self._ids(w).tobytes()
-        parts = [plain[i : i + 2000] for i in range(0, len(plain), 2000)]
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as bytes."""
+        out: list[bytes] = [b""] * len(pieces)
+        mixed = []
+        letters, merges, spelt = self.LETTERS.fullmatch, self.merges.tokenize, self.spelt
+        for i, raw in enumerate(pieces):
+            if raw.isalpha():
+                out[i] = array("I", [t.id for t in merges(raw.decode())]).tobytes()
+            elif letters(raw):
+                out[i] = array("I", [t.id for t in merges(raw.decode().translate(spelt))]).tobytes()
+            elif b"~" in raw:
+                out[i] = self._ids(raw.decode()).tobytes()
+            else:
+                mixed.append(i)
+        parts = [mixed[i : i + 2000] for i in range(0, len(mixed), 2000)]
         fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for part, e in zip(parts, fast([f" {self.MARK} ".join(p) for p in parts], add_special_tokens=False), strict=True):
+        for part, e in zip(parts, fast([f" {self.MARK} ".join(pieces[i].decode() for i in p) for p in parts], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u4")
             raw = ids.tobytes()
             at = 0
-            for w, end in zip(part, [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(raw)], strict=True):
-                self.words[w] = raw[at:end]
+            for i, end in zip(part, [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(raw)], strict=True):
+                out[i] = raw[at:end]
                 at = end + 4
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.EDGE.sub(rb"\1 \2", t.encode().lower()).decode().replace("\n", " ").split(" ") for t in texts]
-        if len(self.words) > self.keep:
-            self.words = {}
-        self._learn(list({w for words in split for w in words if w not in self.words}))
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        return out
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each of the distinct pieces is among those known; new ones are encoded and added."""
+        at = pc.index_in(pieces, value_set=self.known).to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(np.isnan(at)) if at.dtype.kind == "f" else np.zeros(0, np.int64)
+        at = np.nan_to_num(at).astype(np.int64)
+        if len(new):
+            at[new] = len(self.known) + np.arange(len(new))
+            fresh = pieces.take(pa.array(new))
+            ids = self._encoded([p.strip() for p in fresh.to_pylist()])
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids)) // 4])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), "<u4")])
+        return at
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
+        folded = _FOLD[data]
+        cut = np.zeros(n + 1, bool)
+        cut[offsets] = True
+        if n:
+            blank, letter = folded == 32, (folded >= 97) & (folded <= 122)
+            cut[1:n] |= blank[1:] & ~blank[:-1] | letter[:-1] & ~letter[1:] & (folded[1:] < 128)
+        starts = np.flatnonzero(cut).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(folded)]).dictionary_encode()
+        if len(self.known) > self.keep or self.known.nbytes > self.KEEP_BYTES:
+            self._forget()
+        code = self._places(pieces.dictionary)[pieces.indices.to_numpy()]
+        many = self.size[code]
+        at = np.concatenate([[0], np.cumsum(many)])
+        flat = self.flat[np.repeat((np.cumsum(self.size) - self.size)[code] - at[:-1], many) + np.arange(at[-1])]
+        return flat, at[np.searchsorted(starts, offsets)]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a slice, offsets of each text's ids); a very long text is worked on in parts that end at blanks."""
+        if self.OPENING in memoryview(data).tobytes():
+            parts = []
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                raw = data[a:b].tobytes()
+                parts.append(self._ids(raw.decode()) if self.OPENING in raw else self._whole(data[a:b]))
+            return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        if len(offsets) == 2:
+            ids = self._whole(data)
+            return ids, np.array([0, len(ids)])
+        return self._encode(data, offsets)
+
+    def _whole(self, data: np.ndarray) -> np.ndarray:
+        parts, at = [np.zeros(0, "<u4")], 0
+        while at < len(data):
+            end = at + self.MOST
+            if end < len(data):
+                blanks = np.flatnonzero(_FOLD[data[at:end]] == 32)
+                more = np.flatnonzero(_FOLD[data[end:]] == 32) if not len(blanks) else blanks
+                end = at + int(blanks[-1]) + 1 if len(blanks) else end + int(more[0]) + 1 if len(more) else len(data)
+            part = data[at : min(end, len(data))]
+            parts.append(self._encode(part, np.array([0, len(part)]))[0])
+            at += len(part)
+        return np.concatenate(parts)
 
 
 _CODECS: dict[str, WordCodec] = {}  # one a worker process, kept between its tasks
@@ -159,13 +240,13 @@ def _packer(vocabulary: str, window: int, block: int):
 
         end = np.array([END], "<u4")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for i, t in zip(part.column(0).to_pylist(), words.encode(texts), strict=True):
-                    ids.append(i)
-                    tokens.append(np.concatenate([t, end]))
-                    held += len(t) + 1
+            keys = batch.column(0).to_pylist()
+            for i, j, data, offsets in text_slices(batch, "text", WordCodec.MOST):
+                flat, at = words.encode(data, offsets)
+                for key, a, b in zip(keys[i:j], at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    ids.append(key)
+                    tokens.append(np.concatenate([flat[a:b], end]))
+                    held += b - a + 1
                     if held >= block:
                         yield flush()
         if tokens:

@@ -368,13 +368,24 @@ def test_packing_balances_cost():
     assert sum(n for _, _, n, _, _ in pieces) == lengths.sum()
 
 
-def test_codec_equals_plain_encoding():
+def test_codec_equals_plain_encoding(monkeypatch):
     import public_tokenizers
 
     codec = packing.WordCodec(public_tokenizers.path("word_bpe_49k.json"), keep=3)
-    texts = ["", "  ", " a\tb\r\n c", "It's we'll DON'T 'S", "ΣΑΣ ς Σ.", "é é É.", "<|endoftext|> x", "~ a~b ~~ .~", "a., b.. c., d.\n", "x\x1cy z", "123 4a5.", "Straße İst.", "́abc ́"]
+    texts = ["", "  ", " a\tb\r\n c", "It's we'll DON'T 'S", "ΣΑΣ ς Σ.", "é é É.", "<|endoftext|> x", "y<|ENDOFTEXT|> <|", "~ a~b ~~ .~", "a., b.. c., d.\n", "x\x1cy z", "123 4a5.", "Straße İst.", "́abc ́", "ab\u0301c e\u0301.", "œuvre ÿ÷ß", "q" * 300 + " " + "1" * 300]
+    rnd = random.Random(3)
+    texts += ["".join(rnd.choice("aaBcé'.,~ \n\t1%<|ſ́") for _ in range(rnd.randrange(60))) for _ in range(500)]
+    want = [e.ids for e in codec.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def encoded(part):
+        raw = [t.encode() for t in part]
+        flat, at = codec.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        return [flat[x:y].tolist() for x, y in zip(at[:-1], at[1:], strict=True)]
+
     for _ in range(2):
-        assert [x.tolist() for x in codec.encode(texts)] == [e.ids for e in codec.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert encoded(texts) == want
+    monkeypatch.setattr(packing.WordCodec, "MOST", 16)
+    assert [encoded([t])[0] for t in texts] == want
 
 
 def test_fingerprints(docs, crowded, empty):
