@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import free_name, stage
@@ -38,29 +39,32 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{12,}", 0, 16),
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),
 )
-SPAN = "array<struct<start:int,end:int>>"
+SPAN = "array<struct<start:int,end:int,first:int,last:int>>"
+HIT = "array<struct<gap:struct<n:int,b:int>,size:struct<n:int,b:int>,ok:boolean>>"
 MARK = "[SECRET]"
 
 
-def rule_spans(text: Column, rule: Rule) -> Column:
-    """Code-point spans of a rule's matches: lengths of matches and of the gaps between them, summed up."""
+def rule_hits(text: Column, rule: Rule) -> Column:
+    """A rule's matches in order: lengths of each and of the gap before it, in code points (n) and bytes (b), and
+    whether it counts. The text is read a fixed number of times, however many matches it has."""
+    both = lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b"))
     pattern = F.lit(rule.pattern)
-    gaps = F.split(text, rule.pattern, -1)
-    values = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-    sized = F.transform(
-        F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("size"), F.get(values, i).alias("value")),
-    )
-    none = F.array().cast(SPAN)
+    hits = F.arrays_zip(
+        F.transform(F.split(text, rule.pattern, -1), both).alias("gap"), F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), both).alias("size"),
+        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda v: F.length(v) >= rule.least).alias("ok"),
+    )
+    return F.when(text.rlike(rule.pattern), hits.cast(HIT)).otherwise(F.array().cast(HIT))
 
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + m["gap"]
-        end = start + m["size"]
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(m["value"] >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    spans = F.aggregate(sized, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
+def spans_of(rows: DataFrame) -> DataFrame:
+    """rows(blob, kind, version, hits) with ``spans`` (code points and bytes) for hits: running sums over one text's matches."""
+    key = ["blob", "kind", "version"]
+    line = W.partitionBy(*key).orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    upto = lambda unit: F.sum(F.col(f"h.gap.{unit}") + F.col(f"h.size.{unit}")).over(line).cast("int")
+    each = rows.where(F.size("hits") > 0).select(*key, F.posexplode("hits").alias("i", "h")).where("h.size is not null").withColumns({"end": upto("n"), "last": upto("b")})
+    span = F.struct((F.col("end") - F.col("h.size.n")).alias("start"), "end", (F.col("last") - F.col("h.size.b")).alias("first"), "last")
+    found = each.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("h.ok"), span))).cast(SPAN).alias("spans"))
+    return found.union(rows.where(F.size("hits") == 0).select(*key, F.array().cast(SPAN).alias("spans")))
 
 
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
@@ -82,21 +86,29 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     todo = todo.withColumnRenamed("blob", "_blob").hint("shuffle_hash")
     new = docs.join(todo, (docs["blob"] == F.col("_blob")) & docs["doc_id"].eqNullSafe(F.col("rep")))
     scans = [
-        F.when(F.array_contains("open", f"{r.kind}:{r.version}"), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), rule_spans(F.col("text"), r).alias("spans")))
+        F.when(F.array_contains("open", f"{r.kind}:{r.version}"), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), rule_hits(F.col("text"), r).alias("hits")))
         for r in rules
     ]
     wide = stage(new.select("blob", F.array_compact(F.array(*scans)).alias("scans")), "secret-scans")
-    rows = wide.dropDuplicates(["blob"]).select("blob", F.inline("scans"))
+    rows = stage(spans_of(wide.dropDuplicates(["blob"]).select("blob", F.inline("scans"))), "secret-ledger")
     return (rows if ledger is None else ledger.select(rows.columns).union(rows)), paths
 
 
-def findings(ledger: DataFrame, paths: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per path version: its blob's spans of each rule as an array ``found`` of (start, kind's place, end)."""
+def of_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(_blob, found): all spans of each blob that has any, as (start, kind's place, end, first and last byte) in order."""
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (f"{r.kind}:{r.version}", i)])
     hits = ledger.where(F.size("spans") > 0).withColumn("k", order[F.concat_ws(":", "kind", "version")]).where("k is not null")
-    hits = hits.groupBy("blob").agg(F.flatten(F.collect_list(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("k").alias("k"), s["end"].alias("end"))))).alias("found"))
-    hits = hits.withColumn("found", F.array_sort("found")).withColumnRenamed("blob", "_blob")
-    none = F.array().cast("array<struct<start:int,k:int,end:int>>")
+    placed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("k").alias("k"), s["end"].alias("end"), s["first"].alias("first"), s["last"].alias("last")))
+    return stage(hits.groupBy(F.col("blob").alias("_blob")).agg(F.array_sort(F.flatten(F.collect_list(placed))).alias("found")), "secret-found")
+
+
+def findings(ledger: DataFrame, paths: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per path version: its blob's spans of each rule as an array ``found`` of (start, kind's place, end, ..).
+
+    Both sides of the join are tables of their own, so that Spark may split a blob that very many paths hold.
+    """
+    hits = of_blob(ledger, rules)
+    none = F.array().cast(hits.schema["found"].dataType)
     return paths.join(hits, paths["blob"] == F.col("_blob"), "left").select("doc_id", "blob", F.coalesce("found", none).alias("found"))
 
 
@@ -121,20 +133,24 @@ def report(versions: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every found span replaced by a mark and n_chars counted anew; other rows unchanged."""
-    ledger, paths = scan(docs)
-    key, blob, own = (free_name(docs, c) for c in ("_id", "_blob", "_found"))
-    hit = findings(ledger, paths).where(F.size("found") > 0).select(F.col("doc_id").alias(key), F.col("blob").alias(blob), F.col("found").alias(own)).dropDuplicates([key, blob])
-    text = F.coalesce("text", F.lit(""))
-    joined = docs.join(hit.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col(key)) & (F.sha2(text, 256) == F.col(blob)), "left")
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        out = F.concat(acc["out"], F.substring("text", acc["at"] + 1, s["start"] - acc["at"]), F.lit(MARK))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, out).otherwise(acc["out"]).alias("out"))
+    """``docs`` with every found span replaced by a mark (one for spans that overlap) and n_chars counted anew.
 
+    Rows without spans, null and empty texts are unchanged; every row stays, repeated ones and those without an id
+    too; columns may have any name. An empty table gives an empty result.
+    """
+    ledger, _ = scan(docs)
+    blob, own = (free_name(docs, c) for c in ("_blob", "_cuts"))
+    spans = of_blob(ledger).select("_blob", F.posexplode("found").alias("i", "s"))
+    line = W.partitionBy("_blob").orderBy("i").rowsBetween(W.unboundedPreceding, -1)
+    spans = spans.withColumn("clear", F.coalesce(F.max("s.last").over(line), F.lit(0)))  # the byte up to which all is done
+    piece = F.when(F.col("s.first") >= F.col("clear"), F.struct(F.col("clear").alias("a"), F.col("s.first").alias("b")))
+    cuts = stage(spans.groupBy(F.col("_blob").alias(blob)).agg(F.struct(F.sort_array(F.collect_list(piece)).alias("pieces"), F.max("s.last").alias("end")).alias(own)), "secret-cuts")
+    joined = docs.join(cuts, F.sha2(F.coalesce("text", F.lit("")), 256) == F.col(blob), "left")
+    # the text's bytes are bound to a variable once, so that each piece costs its own length alone
+    bytes_of = F.array(F.col("text").cast("binary"))
+    part = lambda raw, c: F.concat(F.substring(raw, c["a"] + 1, c["b"] - c["a"]).cast("string"), F.lit(MARK))
+    clean = F.transform(bytes_of, lambda raw: F.concat(F.array_join(F.transform(F.col(f"{own}.pieces"), lambda c: part(raw, c)), ""), F.substring(raw, F.col(f"{own}.end") + 1, F.octet_length(raw)).cast("string")))[0]
     found = F.col(own).isNotNull()
-    clean = F.aggregate(own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text"))))
     joined = joined.withColumn("text", F.when(found, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(found, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
