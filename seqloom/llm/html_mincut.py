@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|iframe)\b.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+from seqloom.llm.common import stage
+
+# Comments, elements without prose, declarations and bogus comments, tags. A quoted value counts as one only if a blank, / or > follows it, so an
+# unpaired quote doesn't hide what comes after it. All loops are possessive. {} is what ends a tag.
+_TOKEN = r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template|svg|textarea|iframe)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|<(?:[!?]|/[^a-zA-Z])[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+){}"
+CAREFUL = re.compile(_TOKEN.format(r"((?:[^>=]++|=\s*+\"[^\"]*+\"(?=[\s/>])|=\s*+'[^']*+'(?=[\s/>])|=)*+)>") + "|(<)(?=/?[a-zA-Z])", re.S | re.I)
+PLAIN = re.compile(_TOKEN.format(r"([^>]*+)(?:>|\Z)"), re.S | re.I)
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Element names of HTML and usual names of page parts.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,44 +41,85 @@ BAD_NAME = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|bann
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 
 
+# What holds for an element or one it lies in.
+IN_GOOD, IN_BAD, BAD_NAMED, GOOD_NAMED, IN_PROSE, IN_HEADING = (1 << i for i in range(6))
+FAR = 32  # steps between blocks in the document tree beyond which an edge has no weight
+
+
+@dataclass(frozen=True, eq=False)
+class Node:
+    """An element: its parent, depth and what it has from its ancestors, so that no block needs its whole path."""
+
+    tag: str
+    parent: Node | None
+    depth: int
+    marks: int
+
+
+ROOT = Node("", None, 0, 0)
+
+
 @dataclass
 class Block:
-    """A run of text between block boundaries, with the path of open elements."""
+    """A run of text between block boundaries, in its innermost open element."""
 
     text: str
-    path: tuple[tuple[int, str, int], ...]  # (serial, tag, -1 bad / 0 / 1 good by name)
+    node: Node
     link: int
 
 
-def _flag(attributes: str) -> int:
+def _child(parent: Node, tag: str, attributes: str) -> Node:
     names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else ""
-    if not names:
-        return 0
-    return -1 if BAD_NAME.search(names) else 1 if GOOD_NAME.search(names) else 0
+    marks = parent.marks
+    if names:
+        marks |= BAD_NAMED if BAD_NAME.search(names) else GOOD_NAMED if GOOD_NAME.search(names) else 0
+    marks |= (IN_GOOD if tag in GOOD else 0) | (IN_BAD if tag in BAD else 0) | (IN_PROSE if tag in ("p", "pre", "blockquote") else 0)
+    marks |= IN_HEADING if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else 0
+    return Node(tag, parent, parent.depth + 1, marks)
+
+
+# Which open element the start of another one closes.
+CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}
+CLOSES |= {t: ("p",) for t in "p h1 h2 h3 h4 h5 h6 div ul ol table section article".split()}
 
 
 def parse(page: str) -> list[Block]:
-    """Text blocks in page order; comments, scripts and styles are gone, references decoded, white space folded."""
+    """Text blocks in page order; comments, scripts and styles are gone, references decoded, white space folded.
+
+    One pass: an element is opened and closed once, a closing tag without an open element is passed over by a count,
+    and where quotes leave a tag without its end, this and all later tags of the page end at the next >.
+    """
     out: list[Block] = []
-    stack: list[tuple[int, str, int]] = []
+    stack = [ROOT]
+    blocks: list[int] = []  # places of block elements on the stack
+    opened: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
     anchors = 0
-    serial = 0
 
     def flush() -> None:
         nonlocal held, linked
-        text = " ".join(html.unescape("".join(held)).split())
+        text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, tuple(stack), min(linked, len(text))))
+            out.append(Block(text, stack[-1], min(linked, len(text))))
         held, linked = [], 0
 
-    at = 0
-    for m in TOKEN.finditer(page):
+    def close(place: int) -> None:
+        for node in stack[place:]:
+            opened[node.tag] -= 1
+        del stack[place:]
+        while blocks and blocks[-1] >= place:
+            blocks.pop()
+
+    at, token = 0, CAREFUL
+    while m := token.search(page, at):
+        if token is CAREFUL and m[5]:
+            token = PLAIN
+            m = token.match(page, m.start())
         raw = page[at : m.start()]
         at = m.end()
         if raw:
-            held.append(raw)
+            held.append(html.unescape(raw))
             linked += len(raw) if anchors else 0
         tag = (m[3] or "").lower()
         if not tag:
@@ -82,54 +129,62 @@ def parse(page: str) -> list[Block]:
                 anchors = max(0, anchors - 1)
             if tag in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][1] == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                place = len(stack) - 1
+                while stack[place].tag != tag:
+                    place -= 1
+                close(place)
             continue
         if tag == "br":
             held.append(" ")
         if tag in BLOCKS:
             flush()
-            if tag in ("li", "p", "dd", "dt", "td", "th", "tr", "option") or tag[0] == "h" and tag[1:].isdigit() or tag in ("div", "ul", "ol", "table", "section", "article"):
-                close = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "option": ("option",)}.get(tag, ("p",))
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][1] in close:
-                        del stack[k:]
-                        break
-                    if stack[k][1] in BLOCKS:
-                        break
+            if tag in CLOSES and blocks and stack[blocks[-1]].tag in CLOSES[tag]:
+                close(blocks[-1])
         if tag not in VOID and not m[4].rstrip().endswith("/"):
-            serial += 1
             anchors += tag == "a"
-            stack.append((serial, tag, _flag(m[4])))
-    held.append(page[at:])
+            opened[tag] += 1
+            if tag in BLOCKS:
+                blocks.append(len(stack))
+            stack.append(_child(stack[-1], tag, m[4]))
+    held.append(html.unescape(page[at:]))
     flush()
     return out
 
 
+def apart(a: Node, b: Node) -> int:
+    """Steps between two elements in the document tree; over FAR if they are further apart."""
+    steps = 0
+    while a is not b and steps <= FAR:
+        steps += 1
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return steps
+
+
 FEATURES = 14
 
 
 def features(b: Block, hide: bool = False) -> list[float]:
-    tags = [t for _, t, _ in b.path]
-    flags = [f for _, _, f in b.path]
+    marks, inner = b.node.marks, b.node.tag
     words = b.text.count(" ") + 1
-    inner = tags[-1] if tags else ""
     stops = sum(b.text.count(c) for c in ".,;:!?")
+    shown = 0 if hide else marks
     return [
         1.0,
-        0.0 if hide else float(any(t in GOOD for t in tags)),
-        0.0 if hide else float(any(t in BAD for t in tags)),
-        0.0 if hide else float(-1 in flags),
-        0.0 if hide else float(1 in flags),
+        float(bool(shown & IN_GOOD)),
+        float(bool(shown & IN_BAD)),
+        float(bool(shown & BAD_NAMED)),
+        float(bool(shown & GOOD_NAMED)),
         b.link / len(b.text),
         math.log1p(words) / 4,
         min(1.0, stops / words),
         float(b.text[-1] in ".!?:\"'"),
-        float(any(t in ("p", "pre", "blockquote") for t in tags)),
+        float(bool(marks & IN_PROSE)),
         float(inner in ("li", "dt", "dd", "td", "th")),
-        float(any(len(t) == 2 and t[0] == "h" and t[1].isdigit() for t in tags)),
+        float(bool(marks & IN_HEADING)),
         float("\N{COPYRIGHT SIGN}" in b.text),
         float(words <= 3),
     ]
@@ -137,10 +192,9 @@ def features(b: Block, hide: bool = False) -> list[float]:
 
 def weak_label(b: Block) -> int | None:
     """What the markup says of a block: 1 content, 0 boilerplate, None nothing."""
-    tags = {t for _, t, _ in b.path}
-    if any(t in BAD for t in tags) or any(f < 0 for _, _, f in b.path):
+    if b.node.marks & (IN_BAD | BAD_NAMED):
         return 0
-    return 1 if any(t in GOOD for t in tags) else None
+    return 1 if b.node.marks & IN_GOOD else None
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,8 +215,10 @@ PRIOR = np.array([-1.0, 4.0, -7.0, -7.0, 1.0, -2.0, 1.0, 0.5, 0.5, 0.5, -0.5, 0.
 
 
 def train(pages: DataFrame, most: int = 400, rounds: int = 200, shrink: float = 0.02) -> np.ndarray:
-    """Weights of the block classifier; the prior without examples. Fitted on ``most`` pages in seeded order."""
-    sample = pages.select(F.substring("html", 1, 1 << 20).alias("html")).where("html is not null").orderBy(F.xxhash64("html")).limit(most)
+    """Weights of the block classifier; the prior without examples. Fitted on ``most`` different pages, those of least hash, read whole."""
+    hashed = pages.select("html", F.xxhash64("html").alias("h")).where("html is not null")
+    chosen = stage(hashed.select("h").distinct().orderBy("h").limit(most), "html-chosen")
+    sample = hashed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.max("html").alias("html")).select("html")
     got = sample.repartition(12).mapInArrow(_examples, "x array<double>, y double").groupBy("x", "y").agg(F.count("*").alias("n")).toPandas()
     w = PRIOR.copy()
     if not len(got):
@@ -248,15 +304,14 @@ def extract(page: str, weights: np.ndarray, tie: float = 0.6) -> str:
         return ""
     gain = np.clip(np.array([features(b) for b in blocks]) @ weights, -30, 30)
     edges = []
-    last: dict[int, int] = {}
+    last: dict[Node, int] = {}
     for i, b in enumerate(blocks):
-        depth = len(b.path)
         if i:
-            before = blocks[i - 1].path
-            shared = sum(1 for x, y in zip(before, b.path, strict=False) if x[0] == y[0])
-            edges.append((i - 1, i, tie * 0.5 ** (len(before) + depth - 2 * shared)))
-        if depth > 1:
-            parent = b.path[-2][0]
+            steps = apart(blocks[i - 1].node, b.node)
+            if steps <= FAR:
+                edges.append((i - 1, i, tie * 0.5**steps))
+        parent = b.node.parent
+        if parent is not None and parent is not ROOT:
             if parent in last and last[parent] < i - 1:
                 edges.append((last[parent], i, tie / 2))
             last[parent] = i

@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -258,6 +259,29 @@ def test_secrets(docs, crowded, empty):
     assert secrets.redact(crowded).columns == crowded.columns
 
 
+def test_secrets_are_linear_in_matches(spark):
+    """100,000 matches in one text, spans of several bytes a character before them."""
+    text = "é" + "token: abcdefgh1 " * 50_000 + ("0af9" * 8 + "é") * 50_000
+    df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    began = time.time()
+    (r,) = secrets.report(df).collect()
+    (clean,) = secrets.redact(df).collect()
+    assert time.time() - began < 20
+    assert (r["n_assign"], r["n_access"], r["n_hex"]) == (50_000, 0, 50_000) and r["spans"] == brute_secrets(text)[1]
+    assert clean["text"] == "é" + "[SECRET] " * 50_000 + "[SECRET]é" * 50_000 and clean["n_chars"] == len(clean["text"])
+
+
+def test_secrets_that_overlap(spark):
+    texts = ["0af9" * 8 + "api_key: abcdefgh1 é", "AKIA" + "Q" * 12 + "TOKEN=abcdefgh2", "secret=token : abcdefgh1", "é token=" + "f" * 40 + "=é", "password=AKIA" + "Z" * 20]
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        out, at = "", 0
+        for s, _, e in brute_secrets(t)[0]:
+            out += t[at:s] + secrets.MARK if s >= at else ""
+            at = max(at, e)
+        assert got[i] == out + t[at:]
+
+
 def test_secret_ledger_scans_only_new_pairs(docs):
     old, new = docs.where("doc_id < 23"), docs
     ledger, _ = secrets.scan(old)
@@ -427,6 +451,27 @@ def test_html():
     assert html_mincut.extract("", w) == "" and html_mincut.extract("<nav>x</nav>", w) == "" and html_mincut.parse("plain <b>text") [0].text == "plain text"
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<a \"" * 260_000, "<div>" * 210_000, "<div>x" * 170_000, "<font>x<table><tr><td>y" * 45_000, "<font>" * 170_000, "<p title=\"x>y" * 80_000, "<a =\">\"" * 140_000, "<i>" * 170_000 + "</b><p>x" * 60_000,
+     "<!--" * 260_000, "<![CDATA[" * 110_000, "<script>" * 130_000, "<a class='" * 100_000, "&amp" * 200_000, "<p>a<p>b.<nav>c</nav>" * 50_000, "<" * 1_000_000, "class=" * 170_000 + "<p class" + " " * 500_000 + ">"],
+)
+def test_html_is_linear_in_a_page(page):
+    began = time.time()
+    text = html_mincut.extract(page, html_mincut.PRIOR)
+    assert time.time() - began < 10
+    assert not re.search("</?[a-z]+[ >]", text)
+
+
+def test_html_with_unpaired_quotes():
+    blocks = lambda page: [b.text for b in html_mincut.parse(page)]
+    assert blocks('<article><p title="x>first para here.</p><p>second para here.</p>') == ["first para here.", "second para here."]
+    assert blocks('<p title="x>first</p><p class="y">second</p>') == ["first", "second"]
+    assert blocks("<p title='a > b' data-x=\"<b>\" class=y>one</p><p title = \"a\nb\">two<br/>three</p>") == ["one", "two three"]
+    assert blocks('<p title="x"class="y">one</p><a "><p>two') == ["one", "two"]
+    assert blocks("one<p>two<b unfinished") == ["one", "two"]
+
+
 def test_html_min_cut_is_minimal():
     rng = random.Random(1)
     for _ in range(40):
