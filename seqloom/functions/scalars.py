@@ -73,9 +73,9 @@ def _char_class(lo: int, hi: int) -> str:
 
 
 def header_index(header: Column) -> Column:
-    """Sample index of a read header: the last ':' field of its last word, with '+' between the parts; else null."""
+    """Sample index of a read header: the last ':' field of its last word, upper case, with '+' between the parts; else null."""
     words = F.split(F.btrim(header), r"\s+")
-    field = F.element_at(F.split(F.element_at(words, -1), ":"), -1)
+    field = F.upper(F.element_at(F.split(F.element_at(words, -1), ":"), -1))
     size = F.length(F.replace(field, F.lit("+"), F.lit("")))
     good = (F.size(words) >= 2) & (size >= 6) & (size <= 40) & field.rlike(INDEX_FIELD)
     return F.when(good, F.translate(field, "-_", "++"))
@@ -96,10 +96,16 @@ def log10_count(n: Column) -> Column:
 
 
 def kmer_windows(seq: Column, k: int, stride: int = 1) -> Column:
-    """Windows at 0, stride, 2 * stride, .. and the last one; none for sequences under k."""
-    last = F.length(seq) - k
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(stride)), F.array(last)))
-    return F.when(last >= 0, F.transform(starts, lambda p: F.substring(seq, p + 1, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """Windows at 0, stride, 2 * stride, .. and the last one; none for sequences under k.
+
+    The sequence's bytes are bound once, so that a window costs its own length, not its place. One byte a letter.
+    """
+    last = F.octet_length(seq) - k
+    steps = F.sequence(F.lit(0), last, F.lit(stride))
+    starts = steps if stride == 1 else F.when(last % stride == 0, steps).otherwise(F.concat(steps, F.array(last)))
+    window = lambda raw, p: F.substring(raw, p + 1, F.lit(k)).cast("string")
+    cut = F.transform(F.array(seq.cast("binary")), lambda raw: F.transform(starts, lambda p: window(raw, p)))[0]
+    return F.when(last >= 0, cut).otherwise(F.array().cast("array<string>"))
 
 
 def trim_flanks(seq: Column, left_primer: str, right_primer: str, mode: str = "auto") -> Column:
@@ -128,16 +134,17 @@ def text_quality(text: Column) -> Column:
     return F.translate(F.upper(F.regexp_replace(text, "[^A-Za-z]", "")), LETTERS, LETTER_QUALITIES)
 
 
-# Fixed value: layout of demultiplexed file names.
-FILE_NAME = r"(?i)^(.+?)(?:_S\d+)?(?:_L(\d{3}))?_(R?[12]|I[12])(?:_(\d{3}))?\.(?:fastq|fq)(?:\.gz)?$"
+# Layout of demultiplexed file names; a name may also be nothing but the read and its chunk.
+FILE_NAME = r"(?i)^(?:(.+?)(?:_S\d+)?(?:_L(\d{3}))?[_.](R?[12]|I[12])(?:[_.](\d+))?|[_.]((?-i:[RI][12]))(?:[_.](\d+))?)\.(?:fastq|fq)(?:\.gz)?$"
+SHEET_NUMBER = r"_S\d+$"
 
 
 def file_parts(name: Column) -> Column:
-    """sample, lane, read (R1, R2, I1, I2) and chunk of a FASTQ file name; null if it is none."""
+    """sample, lane, read (R1, R2, I1, I2) and chunk of a FASTQ file name, '' for what it lacks; null if it is none."""
     part = lambda i: F.regexp_extract(name, FILE_NAME, i)
-    read = F.upper(part(3))
+    read = F.upper(F.concat(part(3), part(5)))
     fields = F.struct(
-        part(1).alias("sample"), F.coalesce(F.nullif(part(2), F.lit("")), F.lit("000")).alias("lane"),
-        F.when(F.length(read) == 1, F.concat(F.lit("R"), read)).otherwise(read).alias("read"), F.coalesce(F.nullif(part(4), F.lit("")), F.lit("001")).alias("chunk"),
+        F.regexp_replace(part(1), SHEET_NUMBER, "").alias("sample"), part(2).alias("lane"),
+        F.when(F.length(read) == 1, F.concat(F.lit("R"), read)).otherwise(read).alias("read"), F.concat(part(4), part(6)).alias("chunk"),
     )
     return F.when(name.rlike(FILE_NAME), fields)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions.scalars import INCOMPARABLE, index_distance, pct, reverse_complement
@@ -35,19 +34,51 @@ def candidates(expected: DataFrame) -> DataFrame:
     return expected.select("sample", F.inline(ways))
 
 
+NEAR = 2  # distances up to this are found by equal parts of barcodes
+DEALS = 64  # tasks that share one form's remaining barcodes
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of pairs(observed_barcode, count, d, sample, orientation, expected): the nearest and how many are tied with it, by partial aggregates."""
+    at = pairs.groupBy("observed_barcode", "count", "d").agg(F.min(F.struct("sample", "orientation", "expected")).alias("b"), F.count("*").alias("n"))
+    best = at.groupBy("observed_barcode", "count").agg(F.min_by(F.struct("d", "b", "n"), "d").alias("x"))
+    return best.select("observed_barcode", "count", F.col("x.b.sample").alias("nearest_sample"), F.col("x.b.expected").alias("nearest_expected"), F.col("x.d").alias("distance"), F.col("x.b.orientation").alias("orientation"), F.col("x.n").alias("tied_best_candidates"))
+
+
+def _parts(barcode: Column) -> Column:
+    """The barcode in NEAR + 1 parts: two barcodes of one form within NEAR substitutions have an equal one."""
+    size = F.length(barcode)
+    at = [F.floor(size * F.lit(i) / (NEAR + 1)).cast("int") for i in range(NEAR + 2)]
+    return F.array(*[F.substring(barcode, a + 1, b - a) for a, b in zip(at, at[1:])])  # noqa: B905
+
+
 def nearest(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """The nearest expected barcode of each observed(barcode, count), with the number tied at its distance.
 
-    The sample sheet is compared whole with each barcode: an all-to-all of a run's samples by design. It is joined by
-    the barcode's form (single or dual), so either side may be partitioned; equal barcodes are counted beforehand.
+    Barcodes of one form (the lengths of their parts) are compared. What lies within NEAR substitutions shares a part, so an equi-join on form and part finds
+    it with all its ties. Only what is left meets all expected barcodes of its form, dealt to DEALS tasks each; a barcode without any of its form
+    is INCOMPARABLE to all of its kind (single or dual). Equal barcodes are counted beforehand.
     """
-    o = observed.withColumn("single", ~F.col("barcode").contains("+")).withColumnRenamed("barcode", "observed_barcode")
-    rows = o.join(candidates(expected).withColumnRenamed("barcode", "expected"), "single").withColumn("d", index_distance(F.col("observed_barcode"), F.col("expected")))
-    best = rows.groupBy("observed_barcode", "count").agg(F.min(F.struct("d", "sample", "orientation", "expected")).alias("b"), F.collect_list("d").alias("all"))
-    return best.select(
-        "observed_barcode", "count", F.col("b.sample").alias("nearest_sample"), F.col("b.expected").alias("nearest_expected"), F.col("b.d").alias("distance"),
-        F.col("b.orientation").alias("orientation"), F.size(F.filter("all", lambda d: d == F.col("b.d"))).cast("long").alias("tied_best_candidates"),
+    form = lambda c: F.transform(F.split(c, "[+]"), F.length)
+    single = ~F.col("observed_barcode").contains("+")
+    o = observed.select(F.col("barcode").alias("observed_barcode"), "count").withColumns({"form": form(F.col("observed_barcode")), "single": single})
+    e = candidates(expected).withColumnRenamed("barcode", "expected").withColumn("form", form(F.col("expected")))
+    distance = index_distance(F.col("observed_barcode"), F.col("expected"))
+    left = o.withColumn("parts", _parts(F.col("observed_barcode"))).select("*", F.posexplode("parts").alias("at", "part"))
+    right = e.withColumn("others", _parts(F.col("expected"))).select("*", F.posexplode("others").alias("at", "part"))
+    first = F.array_position(F.zip_with("parts", "others", lambda x, y: x == y), True) - 1  # so that a pair counts once
+    close = left.join(right, ["form", "single", "at", "part"]).where(F.col("at") == first).withColumn("d", distance).where(F.col("d") <= NEAR)
+    near = _best(close)
+    rest = o.join(near.select("observed_barcode"), "observed_barcode", "left_anti").withColumn("deal", F.pmod(F.xxhash64("observed_barcode"), F.lit(DEALS)))
+    dealt = e.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))))
+    far = _best(rest.join(dealt, ["form", "single", "deal"]).withColumn("d", distance))
+    alone = rest.join(e.select("form", "single").distinct(), ["form", "single"], "left_anti")
+    kind = e.groupBy("single").agg(F.min(F.struct("sample", "orientation", "expected")).alias("b"), F.count("*").alias("n"))
+    apart = alone.join(kind, "single").select(
+        "observed_barcode", "count", F.col("b.sample").alias("nearest_sample"), F.col("b.expected").alias("nearest_expected"), F.lit(INCOMPARABLE).alias("distance"),
+        F.col("b.orientation").alias("orientation"), F.col("n").alias("tied_best_candidates"),
     )
+    return near.union(far).union(apart)
 
 
 def substitutions(near: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -71,15 +102,53 @@ def expected_g(subs: DataFrame) -> DataFrame:
 
 def orientation_votes(near: DataFrame) -> DataFrame:
     """Reads per orientation of the nearest barcode; ``preferred`` marks the most, ties by name."""
-    votes = near.groupBy("orientation").agg(F.sum("count").alias("votes"))
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("votes"), "orientation"))
-    return votes.select("orientation", "votes", (place == 1).alias("preferred"))
+    votes = near.groupBy("orientation").agg(F.sum("count").alias("votes"))  # three rows at most
+    first = votes.agg(F.min(F.struct(-F.col("votes"), F.col("orientation").alias("o"))).alias("f")).select(F.col("f.o").alias("_first"))
+    return votes.join(first, F.col("orientation") == F.col("_first"), "left").select("orientation", "votes", F.col("_first").isNotNull().alias("preferred"))
+
+
+def source_figures(sources: dict[str, DataFrame]) -> DataFrame:
+    """One row: reads counted and different barcodes of each source of SOURCES."""
+    every = None
+    for name, counts in sources.items():
+        part = counts.select(F.lit(name).alias("source"), "barcode", "count")
+        every = part if every is None else every.unionByName(part)
+    reads = lambda n: F.coalesce(F.sum(F.when(F.col("source") == n, F.col("count"))), F.lit(0)).cast("long")
+    kinds = lambda n: F.count_if(F.col("source") == n)
+    raw, head, unknown = SOURCES
+    return every.groupBy("source", "barcode").agg(F.sum("count").alias("count")).agg(
+        reads(raw).alias("raw_I1_I2_index_reads_counted"), kinds(raw).alias("raw_I1_I2_unique_retained"),
+        reads(head).alias("header_index_reads_counted"), kinds(head).alias("header_index_unique_retained"), reads(unknown).alias("top_unknown_reads_counted"),
+    )
+
+
+def unit_figures(totals: DataFrame) -> DataFrame:
+    """One row from totals(undetermined, units, phix): how the units split into assigned and undetermined, spike-in and others."""
+    part = lambda c, und: F.coalesce(F.sum(F.when(F.col("undetermined") == und, F.col(c))), F.lit(0)).cast("long")
+    rest = lambda und: F.greatest(F.lit(0).cast("long"), part("units", und) - part("phix", und))
+    a, u = part("units", False), part("units", True)
+    return totals.agg(
+        a.alias("assigned_read_pairs_or_reads"), u.alias("undetermined_read_pairs_or_reads"), pct(a, a + u).alias("assigned_read_fraction_percent"), pct(u, a + u).alias("undetermined_read_fraction_percent"),
+        part("phix", False).alias("assigned_phix_reads"), part("phix", True).alias("undetermined_phix_reads"), rest(False).alias("assigned_non_phix_reads"), rest(True).alias("undetermined_non_phix_reads"),
+        pct(rest(True), rest(False) + rest(True)).alias("undetermined_non_phix_fraction_percent"),
+    )
 
 
 def summary(near: DataFrame, max_distance: int = 2) -> DataFrame:
-    """Reads analysed, exactly expected and within the distance, and the expected-G profile."""
-    within = F.sum(F.when(F.col("distance") <= max_distance, F.col("count")).otherwise(0))
-    exact = F.sum(F.when(F.col("distance") == 0, F.col("count")).otherwise(0))
-    apart = F.sum(F.when(F.col("distance") >= INCOMPARABLE, F.col("count")).otherwise(0))
-    head = near.agg(F.sum("count").alias("observed_index_reads_analyzed"), exact.alias("exact_expected_index_reads"), within.alias(f"within_{max_distance}_bp_expected_reads"), apart.alias("incomparable_index_reads"))
-    return head.crossJoin(F.broadcast(expected_g(substitutions(near, max_distance))))
+    """One row: reads analysed, exactly expected and within the distance, the expected-G profile and the preferred orientation."""
+    within = F.coalesce(F.sum(F.when(F.col("distance") <= max_distance, F.col("count"))), F.lit(0))
+    exact = F.coalesce(F.sum(F.when(F.col("distance") == 0, F.col("count"))), F.lit(0))
+    apart = F.coalesce(F.sum(F.when(F.col("distance") >= INCOMPARABLE, F.col("count"))), F.lit(0))
+    head = near.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("observed_index_reads_analyzed"), exact.alias("exact_expected_index_reads"), within.alias(f"within_{max_distance}_bp_expected_reads"), apart.alias("incomparable_index_reads"))
+    names = {"expected_g": "expected_G_position_weighted_reads_within_threshold", "g_to_g": "expected_G_to_G", "g_to_n": "expected_G_to_N", "g_to_other": "expected_G_to_other", "g_to_n_percent": "expected_G_to_N_percent", "g_to_other_percent": "expected_G_to_other_percent"}
+    profile = expected_g(substitutions(near, max_distance)).withColumnsRenamed(names)
+    voted = near.groupBy("orientation").agg(F.sum("count").alias("votes")).agg(F.min_by("orientation", F.struct(-F.col("votes"), F.col("orientation"))).alias("preferred_i5_orientation"))
+    return one_row(head, profile, voted)
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Frames of one row each, side by side."""
+    out = frames[0].withColumn("_k", F.lit(0))
+    for f in frames[1:]:
+        out = out.join(f.withColumn("_k", F.lit(0)), "_k")
+    return out.drop("_k")

@@ -1,38 +1,127 @@
-"""Read quality per file and per cycle."""
+"""Read quality per file and per cycle.
+
+Both are sums over bases. An Arrow task adds them up with NumPy, batch by batch, and hands on one row per group (and
+cycle) of a batch; Spark sums those. A base costs a few vector operations and no row of its own.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from seqloom.functions.scalars import pct
+
+_BASES = "ACGT"
+_READ_SUMS = ["total_reads", "total_bases", "min_length", "max_length", "q", "q20", "q30", "ns", "with_n"]
+_CYCLE_SUMS = ["total_bases", "q", "q20", "q30", *_BASES.lower(), "n"]
+_CODE = np.full(256, 4, np.uint8)
+_CODE[np.frombuffer(_BASES.encode(), np.uint8)] = np.arange(4)
+#: Bases that one step works on.
+STEP = 1 << 20
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(letters of all rows, where each row's begin); nulls are empty, letters outside ASCII are one '?' each."""
+    rows = [(x or "").encode("ascii", "replace") for x in column.to_pylist()]
+    return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+
+
+def _groups(batch: pa.RecordBatch, by: list[str]) -> tuple[list[pa.Array], np.ndarray]:
+    """(distinct keys as columns, the key of each row)."""
+    columns = [batch.column(batch.schema.get_field_index(c)) for c in by]
+    numbers: dict[tuple, int] = {}
+    code = np.array([numbers.setdefault(k, len(numbers)) for k in (zip(*[c.to_pylist() for c in columns], strict=True) if by else [()] * batch.num_rows)], np.int64)
+    _, first = np.unique(code, return_index=True)
+    return [c.take(pa.array(first)) for c in columns], code
+
 
-from seqloom.functions.scalars import count_of, pct, phred_sum, phred_values
+def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, base codes, qualities, offsets) of whole reads, about STEP bases at a time."""
+    seq, qual = (batch.column(batch.schema.get_field_index(c)) for c in ("seq", "qual"))
+    sizes = np.array([len(x or "") for x in seq.to_pylist()], np.int64)
+    ends = np.cumsum(sizes)
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + STEP, "right")))
+        (bases, at), (quals, at_q) = _bytes(seq.slice(i, j - i)), _bytes(qual.slice(i, j - i))
+        if not np.array_equal(at, at_q):
+            raise ValueError("a read has unequal numbers of bases and qualities")
+        yield i, j, _CODE[bases], np.maximum(quals.astype(np.int64) - 33, 0), at
+        i = j
+
+
+def _summed(reads: DataFrame, by: list[str], sums: list[str], run, extra: str = "") -> DataFrame:
+    keys = [reads.schema[c] for c in by]
+    schema = T.StructType([*keys, *T.StructType.fromDDL(extra + ", ".join(f"`{c}` long" for c in sums)).fields])
+    return reads.select(*by, "seq", "qual").mapInArrow(run, schema)
 
 
 def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
-    """Totals, lengths, mean quality and shares of good and N bases per group of reads(seq, qual)."""
-    per = reads.select(
-        *by, F.length("seq").cast("long").alias("n"), phred_sum(F.col("qual")).alias("q"), phred_sum(F.col("qual"), 20).alias("q20"),
-        phred_sum(F.col("qual"), 30).alias("q30"), count_of(F.col("seq"), "N").cast("long").alias("ns"),
-    )
-    bases = F.sum("n")
+    """Totals, lengths, mean quality and shares of good and N bases per group of reads(seq, qual).
+
+    Letters other than N count as bases; null reads are empty; unequal numbers of bases and qualities fail.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_base = np.uint8(ord("N"))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, code = _groups(batch, by)
+            groups = int(code.max()) + 1
+            out = {c: np.zeros(groups, np.int64) for c in _READ_SUMS}
+            out["min_length"] += np.iinfo(np.int64).max
+            seq = batch.column(batch.schema.get_field_index("seq"))
+            for i, j, _, q, at in _steps(batch):
+                total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[at])  # noqa: B023, E731
+                own, size = code[i:j], np.diff(at)
+                ns = total(_bytes(seq.slice(i, j - i))[0] == n_base)
+                for name, value in (("total_reads", np.ones_like(size)), ("total_bases", size), ("q", total(q)), ("q20", total(q >= 20)), ("q30", total(q >= 30)), ("ns", ns), ("with_n", ns > 0)):
+                    np.add.at(out[name], own, value)
+                np.minimum.at(out["min_length"], own, size)
+                np.maximum.at(out["max_length"], own, size)
+            yield pa.RecordBatch.from_arrays([*keys, *[pa.array(out[c]) for c in _READ_SUMS]], [*by, *_READ_SUMS])
+
+    per, bases = _summed(reads, by, _READ_SUMS, run), F.sum("total_bases")
     return per.groupBy(*by).agg(
-        F.count("*").alias("total_reads"), bases.alias("total_bases"), F.avg("n").alias("mean_length"), F.min("n").alias("min_length"), F.nullif(F.max("n"), F.lit(0)).alias("max_length"),
+        F.sum("total_reads").alias("total_reads"), bases.alias("total_bases"), F.try_divide(bases.cast("double"), F.sum("total_reads").cast("double")).alias("mean_length"),
+        F.min("min_length").alias("min_length"), F.nullif(F.max("max_length"), F.lit(0)).alias("max_length"),
         F.try_divide(F.sum("q").cast("double"), bases.cast("double")).alias("mean_q"), pct(F.sum("q20"), bases).alias("q20_base_percent"), pct(F.sum("q30"), bases).alias("q30_base_percent"),
-        pct(F.sum("ns"), bases).alias("n_base_percent"), pct(F.count_if(F.col("ns") > 0), F.count("*")).alias("reads_with_n_percent"),
+        pct(F.sum("ns"), bases).alias("n_base_percent"), pct(F.sum("with_n"), F.sum("total_reads")).alias("reads_with_n_percent"),
     )
 
 
 def cycle_qc(reads: DataFrame, by: list[str]) -> DataFrame:
-    """The same per position in the read, with base composition; other letters count as N.
+    """The same per position in the read, with base composition; other letters count as N."""
 
-    Partial aggregation leaves a row per group and cycle of each task, whatever the number of reads.
-    """
-    letters = F.filter(F.split("seq", ""), lambda c: c != "")
-    rows = reads.select(*by, F.posexplode(F.arrays_zip(letters.alias("base"), phred_values(F.col("qual")).alias("q"))).alias("pos", "x"))
-    n = F.count("*")
-    share = lambda ok: pct(F.count_if(ok), n)
-    base = F.col("x.base")
-    return rows.groupBy(*by, (F.col("pos") + 1).alias("cycle")).agg(
-        n.alias("total_bases"), F.avg("x.q").alias("mean_q"), share(F.col("x.q") >= 20).alias("q20_percent"), share(F.col("x.q") >= 30).alias("q30_percent"),
-        *[share(base == b).alias(f"{b.lower()}_percent") for b in "ACGT"], share(~base.isin("A", "C", "G", "T")).alias("n_percent"),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, code = _groups(batch, by)
+            for i, j, base, q, at in _steps(batch):
+                if not len(base):
+                    continue
+                cycle = np.arange(len(base)) - np.repeat(at[:-1], np.diff(at))
+                longest = np.zeros(int(code.max()) + 1, np.int64)
+                np.maximum.at(longest, code[i:j], np.diff(at))
+                begin = np.concatenate([[0], np.cumsum(longest)])
+                cell = cycle + np.repeat(begin[code[i:j]], np.diff(at))  # a cell for each group and cycle that occurs
+                cells = int(begin[-1])
+                sums = [np.bincount(cell, minlength=cells), np.bincount(cell, q, cells), np.bincount(cell[q >= 20], minlength=cells), np.bincount(cell[q >= 30], minlength=cells)]
+                sums += list(np.bincount(cell * 5 + base, minlength=5 * cells).reshape(cells, 5).T)
+                group = np.repeat(np.arange(len(longest)), longest)
+                columns = [*[k.take(pa.array(group)) for k in keys], pa.array(np.arange(cells) - begin[group] + 1), *[pa.array(x.astype(np.int64)) for x in sums]]
+                yield pa.RecordBatch.from_arrays(columns, [*by, "cycle", *_CYCLE_SUMS])
+
+    per, n = _summed(reads, by, _CYCLE_SUMS, run, "cycle long, "), F.sum("total_bases")
+    share = lambda c: pct(F.sum(c), n)
+    return per.groupBy(*by, "cycle").agg(
+        n.alias("total_bases"), F.try_divide(F.sum("q").cast("double"), n.cast("double")).alias("mean_q"), share("q20").alias("q20_percent"), share("q30").alias("q30_percent"),
+        *[share(b).alias(f"{b}_percent") for b in "acgt"], share("n").alias("n_percent"),
     )

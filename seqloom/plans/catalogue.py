@@ -220,7 +220,30 @@ def anchor_search(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(found.where("anchor is not null").select("doc_id", F.col("anchor.position").alias("position"), F.col("anchor.distance").alias("distance")))
 
 
-@query()
+_SIG = 8
+# The decision table in SQL: candidates by ends within one substitution, consensus base by base, best candidate and ties.
+_SQL_MATCH = f"""r as (select p_partkey unit, {_dna("p_name || p_type")} s, p_size, translate({_UP.format("p_type || p_name")}, '{S.LETTERS}', '{S.LETTER_QUALITIES}') q from part),
+u as (select unit, s, q, reverse(q) sq, left(s, (p_size % length(s))::int) || 'A' || substr(s, (p_size % length(s))::int + 2) p from r),
+ids as (select s sequence, min(unit) f from r group by 1),
+designs as (select sequence, row_number() over (order by f::varchar, sequence) - 1 ref_index from ids),
+lists as (select list(distinct left(sequence, {_SIG})) a, list(distinct right(sequence, {_SIG})) b from designs),
+heads as (select x from (select unnest(a) x from lists)), tails as (select x from (select unnest(b) x from lists)),
+up as (select unit, x from (select unit, left(p, {_SIG}) k from u) join heads on hamming(k, x) <= 1), us as (select unit, x from (select unit, right(s, {_SIG}) k from u) join tails on hamming(k, x) <= 1),
+cp as (select unit, ref_index from up join designs on left(sequence, {_SIG}) = x), cs as (select unit, ref_index from us join designs on right(sequence, {_SIG}) = x),
+both_ as (select unit, ref_index from cp intersect select unit, ref_index from cs), either_ as (select unit, ref_index from cp union select unit, ref_index from cs),
+c as (select * from both_ union all select * from either_ where unit not in (select unit from both_)),
+w as (select unit, ref_index, sequence, length(sequence) n, p, q, s, sq, least(length(sequence), length(p)) np, least(length(sequence), length(s)) ns from c join u using (unit) join designs using (ref_index)),
+b as (select *, unnest(range(1, n + 1)) i from w),
+l as (select unit, ref_index, n, i, substr(sequence, i::int, 1) want, case when i <= np then substr(p, i::int, 1) end a, case when i <= np then greatest(0, ascii(substr(q, i::int, 1)) - 33) end qa,
+ case when i > n - ns then substr(s, (length(s) - n + i)::int, 1) end z, case when i > n - ns then greatest(0, ascii(substr(sq, (length(sq) - n + i)::int, 1)) - 33) end qz from b),
+m as (select *, case when a is null then z when z is null or z = a or qz <= qa then a else z end base from l),
+d as (select unit, ref_index, count(*) filter (base <> want) distance, count(*) filter (a <> z) disagreements, string_agg(coalesce(base, 'N'), '' order by i) observed, count(base) / any_value(n)::double >= 0.95 enough from m group by 1, 2),
+k as (select *, row_number() over (partition by unit order by distance, disagreements, ref_index, observed) rn, count(*) over (partition by unit, distance) tied from d where enough),
+f as (select unit, ref_index, distance, disagreements, observed, case when tied > 1 then 'ambiguous' when distance = 0 then 'exact' when distance <= 2 then 'near' else 'too_many_mismatches' end match_type from k where rn = 1)"""
+
+
+@query(f"""with {_SQL_MATCH} select unit, coalesce(match_type, case when unit in (select unit from c) then 'insufficient_evidence' else 'no_candidate' end) match_type,
+case when match_type in ('exact', 'near') then ref_index end ref_index, observed, distance, coalesce(disagreements, 0) disagreements from u left join f using (unit)""")
 def near_match(spark: SparkSession, d: str) -> DataFrame:
     """Parts as designs (names and types); every part also is a pair of reads, one with a changed base."""
     parts = _t(spark, d, "part").select("p_partkey", S.text_dna(F.concat("p_name", "p_type")).alias("s"), F.col("p_size"), S.text_quality(F.concat("p_type", "p_name")).alias("q"))
@@ -275,18 +298,33 @@ def orientation_vote(spark: SparkSession, d: str) -> DataFrame:
     return indexqc.orientation_votes(_nearest(spark, d))
 
 
+_SOURCE_COLUMNS = dict(zip(indexqc.SOURCES, ("p_name", "p_type", "p_brand"), strict=True))
+
+
+def _sources(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    parts = _t(spark, d, "part")
+    return {n: parts.groupBy(S.text_dna(F.col(c)).alias("barcode")).agg(F.count("*").alias("count")) for n, c in _SOURCE_COLUMNS.items()}
+
+
 @query(f"""with {_SQL_SUBS}, g as (select coalesce(sum(weighted_reads), 0)::bigint t, coalesce(sum(weighted_reads) filter (observed_base = 'G'), 0)::bigint g, coalesce(sum(weighted_reads) filter (observed_base = 'N'), 0)::bigint n from subs where expected_base = 'G'),
-h as (select sum(count)::bigint a, coalesce(sum(count) filter (distance = 0), 0)::bigint z, coalesce(sum(count) filter (distance <= 2), 0)::bigint w, coalesce(sum(count) filter (distance >= 999), 0)::bigint i from near)
-select a observed_index_reads_analyzed, z exact_expected_index_reads, w within_2_bp_expected_reads, i incomparable_index_reads, t expected_g, g g_to_g, n g_to_n, t - g - n g_to_other, round(100.0::double * n / nullif(t, 0), 6) g_to_n_percent, round(100.0::double * (t - g - n) / nullif(t, 0), 6) g_to_other_percent from g, h""")
+h as (select sum(count)::bigint a, coalesce(sum(count) filter (distance = 0), 0)::bigint z, coalesce(sum(count) filter (distance <= 2), 0)::bigint w, coalesce(sum(count) filter (distance >= 999), 0)::bigint i from near),
+v as (select orientation from near group by 1 order by sum(count) desc, orientation limit 1),
+u as (select count(*) filter (l_linestatus = 'O') a, count(*) filter (l_linestatus = 'F') u, count(*) filter (l_linestatus = 'O' and l_returnflag = 'R') ap, count(*) filter (l_linestatus = 'F' and l_returnflag = 'R') up from lineitem),
+k as (select count(*) n, count(distinct {_dna("p_name")}) a, count(distinct {_dna("p_type")}) b from part)
+select (select count(*) from e) expected_index_count, u.a assigned_read_pairs_or_reads, u.u undetermined_read_pairs_or_reads, round(100.0::double * u.a / nullif(u.a + u.u, 0), 6) assigned_read_fraction_percent, round(100.0::double * u.u / nullif(u.a + u.u, 0), 6) undetermined_read_fraction_percent,
+ap assigned_phix_reads, up undetermined_phix_reads, u.a - ap assigned_non_phix_reads, u.u - up undetermined_non_phix_reads, round(100.0::double * (u.u - up) / nullif(u.a - ap + u.u - up, 0), 6) undetermined_non_phix_fraction_percent,
+k.n raw_I1_I2_index_reads_counted, k.a raw_I1_I2_unique_retained, k.n header_index_reads_counted, k.b header_index_unique_retained, k.n top_unknown_reads_counted,
+h.a observed_index_reads_analyzed, z exact_expected_index_reads, w within_2_bp_expected_reads, i incomparable_index_reads, t expected_G_position_weighted_reads_within_threshold, g.g expected_G_to_G, g.n expected_G_to_N, t - g.g - g.n expected_G_to_other,
+round(100.0::double * g.n / nullif(t, 0), 6) expected_G_to_N_percent, round(100.0::double * (t - g.g - g.n) / nullif(t, 0), 6) expected_G_to_other_percent, v.orientation preferred_i5_orientation from g, h, u, k, v""")
 def index_summary(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(indexqc.summary(_nearest(spark, d)))
+    lines = _t(spark, d, "lineitem").groupBy((F.col("l_linestatus") == "F").alias("undetermined")).agg(F.count("*").alias("units"), F.count_if(F.col("l_returnflag") == "R").alias("phix"))
+    sheet = _t(spark, d, "part").agg(F.count_distinct("p_type").alias("expected_index_count"))
+    return _rounded(indexqc.one_row(sheet, indexqc.unit_figures(lines), indexqc.source_figures(_sources(spark, d)), indexqc.summary(_nearest(spark, d))))
 
 
-@query("with s as (" + " union all ".join(f"select {_dna(c)} barcode, count(*) count, '{n}' source, {i} o from part group by 1" for i, (n, c) in enumerate(zip(indexqc.SOURCES, ("p_name", "p_type", "p_brand"), strict=True))) + ") select barcode, count, source from s order by count desc, barcode, o limit 5000")
+@query("with s as (" + " union all ".join(f"select {_dna(c)} barcode, count(*) count, '{n}' source, {i} o from part group by 1" for i, (n, c) in enumerate(_SOURCE_COLUMNS.items())) + ") select barcode, count, source from s order by count desc, barcode, o limit 5000")
 def top_barcodes(spark: SparkSession, d: str) -> DataFrame:
-    parts = _t(spark, d, "part")
-    count = lambda c: parts.groupBy(S.text_dna(F.col(c)).alias("barcode")).agg(F.count("*").alias("count"))
-    return indexqc.top_barcodes(dict(zip(indexqc.SOURCES, map(count, ("p_name", "p_type", "p_brand")), strict=True)))
+    return indexqc.top_barcodes(_sources(spark, d))
 
 
 _SQL_INDEX = f"case when length({_dna('event_type')}) >= 6 then {_dna('event_type')} end"
@@ -294,14 +332,17 @@ _SQL_INDEX = f"case when length({_dna('event_type')}) >= 6 then {_dna('event_typ
 
 @query(f"select event_id, '@T:1:F:1:1:1:' || event_id read_id, {_SQL_INDEX} header_index from events")
 def read_headers(spark: SparkSession, d: str) -> DataFrame:
-    e = _t(spark, d, "events").select("event_id", F.concat(F.lit("@T:1:F:1:1:1:"), "event_id", F.lit("/1 1:N:0:"), S.text_dna(F.col("event_type"))).alias("h"))
+    letters = S.text_dna(F.col("event_type"))
+    index = F.when(F.col("event_id") % 2 == 1, F.lower(letters)).otherwise(letters)
+    e = _t(spark, d, "events").select("event_id", F.concat(F.lit("@T:1:F:1:1:1:"), "event_id", F.lit("/1 1:N:0:"), index).alias("h"))
     return e.select("event_id", S.canonical_read_id(F.col("h")).alias("read_id"), S.header_index(F.col("h")).alias("header_index"))
 
 
 @query(f"""with p as (select {_dna("o_orderpriority")} a, {_dna("o_orderpriority || o_orderstatus")} b from orders), i as (select case when length(a) between 6 and 40 then a end a, case when length(b) between 6 and 40 then b end b from p),
 u as (select a x from i where a is not null union all select b from i where b is not null and (a is null or b <> a)) select x barcode, count(*) count from u group by 1""")
 def header_index_counts(spark: SparkSession, d: str) -> DataFrame:
-    head = lambda *c: S.header_index(F.concat(F.lit("@r 1:N:0:"), S.text_dna(F.concat(*c))))
+    cased = lambda x: F.when(F.col("o_orderkey") % 2 == 1, F.lower(x)).otherwise(x)
+    head = lambda *c: S.header_index(F.concat(F.lit("@r 1:N:0:"), cased(S.text_dna(F.concat(*c)))))
     pairs = _t(spark, d, "orders").select(head("o_orderpriority").alias("i1"), head("o_orderpriority", "o_orderstatus").alias("i2"))
     return indexqc.header_counts(pairs, "i1", "i2")
 
@@ -342,13 +383,33 @@ def name_distances(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(parts.select("p_partkey", "p_name", S.bounded_levenshtein(F.col("p_name"), F.lit("small ring"), 4).alias("edits"), S.hamming(F.col("p_name"), F.lit("small ring")).alias("differing")))
 
 
-@query("""select p_partkey, 'Plate ' || p_brand as sample, coalesce(nullif(trim(regexp_replace('Plate ' || p_brand || '.', '[^A-Za-z0-9._-]+', '_', 'g'), '._'), ''), 'sample') safe, lpad((p_size % 8 + 1)::varchar, 3, '0') lane, 'R' || (p_partkey % 2 + 1) as read from part""")
+# The layouts that file names are tried in: (before the read, mark before the read, read, rest, sample, lane, chunk).
+_LAYOUTS = [
+    ("{s}_S7_L{l}", "_", "R{r}", "_001.fastq.gz", "{s}", "{l}", "001"), ("{s}", ".", "R{r}", ".fastq.gz", "{s}", "", ""), ("{s}_S12", "_", "{r}", ".fq", "{s}", "", ""),
+    ("{s}", "_", "R{r}", "_0001.fastq", "{s}", "", "0001"), ("{s}_L{l}", ".", "I{r}", ".2.FQ.GZ", "{s}", "{l}", "2"), ("{s}_S3_S4", "_", "r{r}", "_1.fastq", "{s}", "", "1"), ("", "_", "R{r}", "_003.fastq", "", "", "003"), ("{s}", "-", "R{r}", ".txt", None, None, None),
+]
+
+
+def _layout_case(field: int, sample: str, lane: str, read: str) -> str:
+    def text(pattern: str | None) -> str:
+        if pattern is None:
+            return "null"
+        parts = pattern.replace("{s}", "\0{s}\0").replace("{l}", "\0{l}\0").replace("{r}", "\0{r}\0").split("\0")
+        return "concat('', " + ", ".join({"{s}": sample, "{l}": lane, "{r}": read}.get(x, f"'{x}'") for x in parts) + ")"
+
+    return "case p_partkey % 8 " + " ".join(f"when {i} then {text(''.join(x[:4]) if field < 0 else x[field])}" for i, x in enumerate(_LAYOUTS)) + " end"
+
+
+_PLATE = ("concat('Plate ', p_brand)", "lpad(cast(p_size % 8 + 1 as varchar(3)), 3, '0')", "cast((p_partkey % 2 + 1) as varchar(3))")
+
+
+@query(f"""select p_partkey, {_layout_case(4, *_PLATE)} as sample, case when p_partkey % 8 = 7 then null else coalesce(nullif(trim(regexp_replace(concat({_layout_case(4, *_PLATE)}, '.'), '[^A-Za-z0-9._-]+', '_', 'g'), '._'), ''), 'sample') end safe,
+{_layout_case(5, *_PLATE)} as lane, case p_partkey % 8 when 7 then null when 4 then concat('I', {_PLATE[2]}) else concat('R', {_PLATE[2]}) end as "read", {_layout_case(6, *_PLATE)} as chunk from part""")
 def file_names(spark: SparkSession, d: str) -> DataFrame:
-    sample = F.concat(F.lit("Plate "), "p_brand")
-    lane = F.lpad((F.col("p_size") % 8 + 1).cast("string"), 3, "0")
-    name = F.concat(sample, F.lit("_S"), F.col("p_size"), F.lit("_L"), lane, F.lit("_R"), F.col("p_partkey") % 2 + 1, F.lit("_001.fastq.gz"))
-    parts = _t(spark, d, "part").select("p_partkey", S.file_parts(name).alias("f"))
-    return parts.select("p_partkey", F.col("f.sample").alias("sample"), S.safe_name(F.concat("f.sample", F.lit("."))).alias("safe"), F.col("f.lane").alias("lane"), F.col("f.read").alias("read"))
+    """Names of all layouts, by part."""
+    parts = _t(spark, d, "part").select("p_partkey", S.file_parts(F.expr(_layout_case(-1, *_PLATE))).alias("f"))
+    safe = F.when(F.col("f").isNotNull(), S.safe_name(F.concat("f.sample", F.lit("."))))
+    return parts.select("p_partkey", F.col("f.sample").alias("sample"), safe.alias("safe"), F.col("f.lane").alias("lane"), F.col("f.read").alias("read"), F.col("f.chunk").alias("chunk"))
 
 
 @query("select l_returnflag, l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber, l_partkey) rn from lineitem) where rn <= 1000")
@@ -367,7 +428,11 @@ def positional_pairs(spark: SparkSession, d: str) -> DataFrame:
     return both.groupBy("chunk").agg(F.count_if(F.col("t0").isNotNull() & F.col("t1").isNotNull()).alias("pairs"), F.count_if(F.col("in1").isNull()).alias("r1_only"), F.count_if(F.col("in0").isNull()).alias("r2_only"))
 
 
-@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("""with p as (select p_partkey, case when p_partkey % 3 = 0 then p_type else p_name end || '|' || p_size chunk, case when p_partkey % 2 = 0 then 'R1' else 'R2' end r from part),
+paired as (select chunk from p group by 1 having count(distinct r) = 2) select p_partkey, chunk, r as "read" from p where chunk not in (select chunk from paired)""")
 def leftover_files(spark: SparkSession, d: str) -> DataFrame:
-    """Customers without orders: the anti-join that finds files no pair consumed."""
-    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    """Parts as files of chunks, even ones R1 and odd ones R2: the anti-join that finds files no pair consumed."""
+    chunk = F.concat_ws("|", F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).otherwise(F.col("p_name")), "p_size")
+    files = _t(spark, d, "part").select("p_partkey", chunk.alias("chunk"), F.when(F.col("p_partkey") % 2 == 0, "R1").otherwise("R2").alias("read"))
+    paired = files.groupBy("chunk").agg(F.count_distinct("read").alias("n")).where("n = 2")
+    return files.join(paired, "chunk", "left_anti").select("p_partkey", "chunk", "read")

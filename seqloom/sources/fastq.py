@@ -17,7 +17,7 @@ from itertools import islice, zip_longest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from seqloom.functions.scalars import FILE_NAME
+from seqloom.functions.scalars import FILE_NAME, SHEET_NUMBER
 
 _NAME = re.compile(FILE_NAME)
 READS = "path string, sample string, lane string, read string, chunk string, ord bigint, header string, seq string, qual string"
@@ -38,6 +38,10 @@ class FastqFile:
     def key(self) -> str:
         return f"{self.sample}|{self.lane}|{self.chunk}"
 
+    @property
+    def label(self) -> str:
+        return f"{self.sample}:{self.read}:{self.lane or '-'}:{self.chunk or '-'}"
+
     @property
     def undetermined(self) -> bool:
         return self.sample.lower().startswith("undetermined")
@@ -47,8 +51,8 @@ def parse_name(path: str) -> FastqFile | None:
     m = _NAME.match(os.path.basename(path))
     if not m:
         return None
-    read = m[3].upper()
-    return FastqFile(path, m[1], m[2] or "000", read if len(read) == 2 else f"R{read}", m[4] or "001")
+    read = (m[3] or m[5]).upper()
+    return FastqFile(path, re.sub(SHEET_NUMBER, "", m[1] or ""), m[2] or "", read if len(read) == 2 else f"R{read}", m[4] or m[6] or "")
 
 
 @dataclass(frozen=True)
