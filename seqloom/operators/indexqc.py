@@ -136,14 +136,14 @@ def unit_figures(totals: DataFrame) -> DataFrame:
 
 def summary(near: DataFrame, max_distance: int = 2) -> DataFrame:
     """One row: reads analysed, exactly expected and within the distance, the expected-G profile and the preferred orientation."""
-    within = F.coalesce(F.sum(F.when(F.col("distance") <= max_distance, F.col("count"))), F.lit(0))
-    exact = F.coalesce(F.sum(F.when(F.col("distance") == 0, F.col("count"))), F.lit(0))
-    apart = F.coalesce(F.sum(F.when(F.col("distance") >= INCOMPARABLE, F.col("count"))), F.lit(0))
-    head = near.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("observed_index_reads_analyzed"), exact.alias("exact_expected_index_reads"), within.alias(f"within_{max_distance}_bp_expected_reads"), apart.alias("incomparable_index_reads"))
+    reads = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("count"))), F.lit(0))
+    d = F.col("distance")
+    figures = {"observed_index_reads_analyzed": d >= 0, "exact_expected_index_reads": d == 0, f"within_{max_distance}_bp_expected_reads": d <= max_distance, "incomparable_index_reads": d >= INCOMPARABLE}
+    voted = near.groupBy("orientation").agg(*[reads(ok).alias(n) for n, ok in figures.items()])
+    votes = F.struct(-F.col("observed_index_reads_analyzed"), F.col("orientation"))
+    head = voted.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in figures], F.min_by("orientation", votes).alias("preferred_i5_orientation"))
     names = {"expected_g": "expected_G_position_weighted_reads_within_threshold", "g_to_g": "expected_G_to_G", "g_to_n": "expected_G_to_N", "g_to_other": "expected_G_to_other", "g_to_n_percent": "expected_G_to_N_percent", "g_to_other_percent": "expected_G_to_other_percent"}
-    profile = expected_g(substitutions(near, max_distance)).withColumnsRenamed(names)
-    voted = near.groupBy("orientation").agg(F.sum("count").alias("votes")).agg(F.min_by("orientation", F.struct(-F.col("votes"), F.col("orientation"))).alias("preferred_i5_orientation"))
-    return one_row(head, profile, voted)
+    return one_row(head, expected_g(substitutions(near, max_distance)).withColumnsRenamed(names))
 
 
 def one_row(*frames: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,13 @@ STEP = 1 << 20
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(letters of all rows, where each row's begin); nulls are empty, letters outside ASCII are one '?' each."""
-    rows = [(x or "").encode("ascii", "replace") for x in column.to_pylist()]
-    return np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    column = pc.fill_null(column.cast(pa.string()), "")
+    if pc.sum(pc.binary_length(column)).as_py() != pc.sum(pc.utf8_length(column)).as_py():
+        column = pc.replace_substring_regex(column, r"[^\x00-\x7F]", "?")
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    letters = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    return letters, at - at[0]
 
 
 def _groups(batch: pa.RecordBatch, by: list[str]) -> tuple[list[pa.Array], np.ndarray]:
@@ -43,15 +49,14 @@ def _groups(batch: pa.RecordBatch, by: list[str]) -> tuple[list[pa.Array], np.nd
 def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, base codes, qualities, offsets) of whole reads, about STEP bases at a time."""
     seq, qual = (batch.column(batch.schema.get_field_index(c)) for c in ("seq", "qual"))
-    sizes = np.array([len(x or "") for x in seq.to_pylist()], np.int64)
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(seq), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     i = 0
     while i < batch.num_rows:
         j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + STEP, "right")))
         (bases, at), (quals, at_q) = _bytes(seq.slice(i, j - i)), _bytes(qual.slice(i, j - i))
         if not np.array_equal(at, at_q):
             raise ValueError("a read has unequal numbers of bases and qualities")
-        yield i, j, _CODE[bases], np.maximum(quals.astype(np.int64) - 33, 0), at
+        yield i, j, _CODE[bases], np.maximum(quals, 33) - np.uint8(33), at
         i = j
 
 
@@ -78,7 +83,7 @@ def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
             out["min_length"] += np.iinfo(np.int64).max
             seq = batch.column(batch.schema.get_field_index("seq"))
             for i, j, _, q, at in _steps(batch):
-                total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[at])  # noqa: B023, E731
+                total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[at])  # noqa: B023, E731
                 own, size = code[i:j], np.diff(at)
                 ns = total(_bytes(seq.slice(i, j - i))[0] == n_base)
                 for name, value in (("total_reads", np.ones_like(size)), ("total_bases", size), ("q", total(q)), ("q20", total(q >= 20)), ("q30", total(q >= 30)), ("ns", ns), ("with_n", ns > 0)):
@@ -107,14 +112,13 @@ def cycle_qc(reads: DataFrame, by: list[str]) -> DataFrame:
             for i, j, base, q, at in _steps(batch):
                 if not len(base):
                     continue
-                cycle = np.arange(len(base)) - np.repeat(at[:-1], np.diff(at))
                 longest = np.zeros(int(code.max()) + 1, np.int64)
                 np.maximum.at(longest, code[i:j], np.diff(at))
                 begin = np.concatenate([[0], np.cumsum(longest)])
-                cell = cycle + np.repeat(begin[code[i:j]], np.diff(at))  # a cell for each group and cycle that occurs
+                cell = np.arange(len(base)) + np.repeat(begin[code[i:j]] - at[:-1], np.diff(at))  # a cell for each group and cycle that occurs
                 cells = int(begin[-1])
-                sums = [np.bincount(cell, minlength=cells), np.bincount(cell, q, cells), np.bincount(cell[q >= 20], minlength=cells), np.bincount(cell[q >= 30], minlength=cells)]
-                sums += list(np.bincount(cell * 5 + base, minlength=5 * cells).reshape(cells, 5).T)
+                kinds = np.bincount(cell * 16 + (base + 5 * ((q >= 20).astype(np.uint8) + (q >= 30))), minlength=16 * cells).reshape(cells, 16)[:, :15].reshape(cells, 3, 5)
+                sums = [kinds.sum((1, 2)), np.bincount(cell, q, cells), kinds[:, 1:].sum((1, 2)), kinds[:, 2].sum(1), *kinds.sum(1).T]
                 group = np.repeat(np.arange(len(longest)), longest)
                 columns = [*[k.take(pa.array(group)) for k in keys], pa.array(np.arange(cells) - begin[group] + 1), *[pa.array(x.astype(np.int64)) for x in sums]]
                 yield pa.RecordBatch.from_arrays(columns, [*by, "cycle", *_CYCLE_SUMS])

@@ -1,24 +1,29 @@
 """A whole run: FASTQ folder and designs in, tables and reports out.
 
-``python -m seqloom.plans.run --config run.ini`` or ``analyse(spark, RunConfig(...))``. The reads are scanned and
-assigned once; the per-unit result, without sequences of reads, is written as a table that all statistics read.
+``python -m seqloom.plans.run --config run.ini`` or ``analyse(spark, RunConfig(...))``. The FASTQ files
+are scanned once into tables that all statistics read; the evidence of the pairs and the per-unit result are tables too.
 """
 
 from __future__ import annotations
 
 import argparse
+import html
 import os
+import shutil
+import sys
 import time
+from collections.abc import Iterable, Iterator
 from dataclasses import asdict, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.functions.scalars import canonical_read_id, header_index
+from seqloom import __version__
+from seqloom.functions.scalars import INCOMPARABLE, canonical_read_id, header_index
 from seqloom.operators import anchors, controls, indexqc, library, matcher, qc
 from seqloom.sinks import tables as sink
 from seqloom.sources import tables as source
-from seqloom.sources.fastq import discover, read_fastq
+from seqloom.sources.fastq import FastqFile, discover, read_fastq
 
 UNIT = ["sample", "is_undetermined", "chunk_key", "ord"]
 
@@ -30,16 +35,9 @@ def read_pairs(spark: SparkSession, root: str, max_reads: int | None = None) ->
     return library.first_rows(pairs, ["sample"], ["chunk_key", "ord"], max_reads) if max_reads else pairs
 
 
-def classify(pairs: DataFrame, designs: DataFrame, c: source.RunConfig, genome: DataFrame | None) -> DataFrame:
+def classify(pairs: DataFrame, evidence: DataFrame, designs: DataFrame, c: source.RunConfig, spiked: DataFrame | None) -> DataFrame:
     """One row per unit: match_type, ref_index, observed, distance, disagreements, anchors, orientation, header mismatch."""
     info = pairs.select(*UNIT, (F.coalesce(canonical_read_id(F.col("h1")) != canonical_read_id(F.col("h2")), F.lit(False))).alias("header_mismatch"))
-    rest = pairs
-    spiked = None
-    if genome is not None:
-        kmers = controls.genome_kmers(genome, c.phix_kmer_length)
-        spiked = controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits)
-        rest = pairs.join(spiked, UNIT, "left_anti")
-    evidence = anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches)
     found = matcher.match(evidence, designs, UNIT, c.signature_length, c.max_mismatches)
     rows = evidence.select(*UNIT, "left_anchor", "right_anchor", "orientation").join(found, UNIT)
     if spiked is not None:
@@ -47,100 +45,229 @@ def classify(pairs: DataFrame, designs: DataFrame, c: source.RunConfig, genome:
     return rows.join(info, UNIT)
 
 
-def index_sources(spark: SparkSession, pairs: DataFrame, c: source.RunConfig) -> dict[str, DataFrame]:
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once and read from there: what it takes is done once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Files:
+    """The FASTQ files of a run: which are read as pairs, as index reads, or are left over."""
+
+    def __init__(self, c: source.RunConfig):
+        self.chunks, self.files, self.warnings = discover(c.input_dir)
+        used = [(k.key, [k.files[r] for r in ("R1", "R2") if r in k.files]) for k in self.chunks]
+        self.mates = {path: (key, str(i + 1)) for key, paths in used for i, path in enumerate(paths)}
+        index = {k.files[r] for k in self.chunks for r in ("I1", "I2") if r in k.files}
+        self.index = [f for f in self.files if f.path in index]
+        self.left = [f for f in self.files if f.path not in index and f.path not in self.mates]
+        self.limit = {"limit": str(c.max_reads)} if c.max_reads else {}
+        self.root = c.input_dir
+
+    def samples(self) -> list[str]:
+        names = list(dict.fromkeys(k.sample for k in self.chunks if {"R1", "R2"} & k.files.keys()))
+        if not names:
+            raise ValueError(f"no R1 or R2 files in {self.root}")
+        clash = [n for n in names if len([m for m in names if _file(m).lower() == _file(n).lower()]) > 1]
+        if clash:
+            raise ValueError(f"sample names that give one file name: {clash}")
+        return names
+
+    def reads(self, spark: SparkSession, files: list[FastqFile]) -> DataFrame:
+        return read_fastq(spark, self.root, only="\n".join(f.path for f in files), **self.limit)
+
+    def quality(self, spark: SparkSession, pairs: DataFrame, others: DataFrame) -> DataFrame:
+        """(path, seq, qual) of every read that is used."""
+        mate = lambda k: F.struct(F.lit(str(k)).alias("mate"), F.col(f"s{k}").alias("seq"), F.col(f"q{k}").alias("qual"))
+        mates = spark.createDataFrame([(path, key, k) for path, (key, k) in self.mates.items()], "path string, chunk_key string, mate string")
+        used = pairs.select("chunk_key", F.inline(F.array(mate(1), mate(2)))).where("seq is not null").join(mates, ["chunk_key", "mate"])
+        return used.select("path", "seq", "qual").union(others.select("path", "seq", "qual"))
+
+    def described(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(f.path, f.label, f.sample, f.read) for f in self.files], "path string, label string, sample string, read string")
+
+
+def index_sources(spark: SparkSession, pairs: DataFrame, index: DataFrame, left: DataFrame, c: source.RunConfig) -> dict[str, DataFrame]:
     """Barcode counts of index reads, read headers and the table of unknown barcodes, in order of preference."""
-    limit = {"limit": str(c.max_reads)} if c.max_reads else {}
-    raw = read_fastq(spark, c.input_dir, reads="I1,I2", **limit)
-    both = raw.groupBy("sample", "lane", "chunk", "ord").agg(F.concat_ws("+", F.max(F.when(F.col("read") == "I1", F.col("seq"))), F.max(F.when(F.col("read") == "I2", F.col("seq")))).alias("barcode"))
+    both = index.groupBy("sample", "lane", "chunk", "ord").agg(F.concat_ws("+", F.max(F.when(F.col("read") == "I1", F.col("seq"))), F.max(F.when(F.col("read") == "I2", F.col("seq")))).alias("barcode"))
     heads = pairs.select(header_index(F.col("h1")).alias("i1"), header_index(F.col("h2")).alias("i2"))
+    heads = heads.union(left.where(F.col("read").isin("R1", "R2")).select(header_index(F.col("header")), F.lit(None).cast("string")))
     unknown = source.unknown_barcodes(spark, c.top_unknown) if c.top_unknown else spark.createDataFrame([], "barcode string, count long")
     return dict(zip(indexqc.SOURCES, (both.groupBy("barcode").agg(F.count("*").alias("count")), indexqc.header_counts(heads, "i1", "i2"), unknown), strict=True))
 
 
-def analyse(spark: SparkSession, c: source.RunConfig) -> dict[str, dict]:
+def run_quality(spark: SparkSession, files: Files, pairs: DataFrame, others: DataFrame, outdir: str) -> list[dict]:
+    """Writes quality by file and by cycle; returns the rows by file. Index files of a chunk that differ in length fail."""
+    reads, about = files.quality(spark, pairs, others), files.described(spark)
+    by_file = about.join(qc.read_qc(reads, ["path"]), "path", "left").fillna(0, ["total_reads", "total_bases", "min_length"]).select(*sink.FILE_COLUMNS)
+    rows = [r.asDict() for r in by_file.orderBy("sample", "read", "path").collect()]
+    size = {r["path"]: r["total_reads"] for r in rows}
+    for k in files.chunks:
+        if {"I1", "I2"} <= k.files.keys() and size[k.files["I1"]] != size[k.files["I2"]]:
+            raise ValueError(f"{k.key}: the index files differ in their number of reads")
+    sink.write_rows(os.path.join(outdir, "run_qc_summary.tsv"), sink.FILE_COLUMNS, rows)
+    cycles = about.join(qc.cycle_qc(reads, ["path"]), "path").withColumnsRenamed({f"{b}_percent": f"{b.upper()}_percent" for b in "acgtn"})
+    sink.write_tsv(cycles.orderBy("sample", "read", "path", "cycle").select(*sink.CYCLE_COLUMNS), os.path.join(outdir, "per_cycle_qc.tsv"))
+    return rows
+
+
+def index_quality(spark: SparkSession, c: source.RunConfig, barcodes: dict[str, DataFrame], rows: dict[str, dict], warnings: list[str], outdir: str) -> dict:
+    """Writes the index tables; returns the summary by name."""
+    at = lambda name: os.path.join(outdir, "index_qc", name)
+    sink.write_tsv(indexqc.top_barcodes(barcodes), at("top_observed_barcodes.tsv"))
+    sheet = source.sample_sheet(spark, c.sample_sheet) if c.sample_sheet else spark.createDataFrame([], "sample string, i7 string, i5 string")
+    expected = sheet.count()
+    some = [n for n, b in barcodes.items() if not b.isEmpty()]
+    if not expected:
+        warnings.append("no usable sample sheet: barcodes were counted, not compared")
+    if not some:
+        warnings.append("no barcodes in index reads, headers or a table of unknown ones")
+    chosen = some[0] if some else indexqc.SOURCES[-1]
+    near = indexqc.nearest(barcodes[chosen], sheet).cache()
+    shown = near.orderBy(F.desc("count"), "observed_barcode").withColumn("distance", F.when(F.col("distance") < INCOMPARABLE, F.col("distance")))
+    sink.write_tsv(shown, at("nearest_expected_barcodes.tsv"))
+    sink.write_tsv(indexqc.substitutions(near, c.max_index_distance).orderBy("index_read", "position", "expected_base", "observed_base"), at("index_position_substitutions.tsv"))
+    units = [(und, m["total_units"], m["phix_reads"]) for s, m in rows.items() if not s.startswith("ALL_") for und in (bool(m["is_undetermined"]),)]
+    figures = {"expected_index_count": expected} | indexqc.unit_figures(spark.createDataFrame(units, "undetermined boolean, units long, phix long")).first().asDict()
+    figures["index_substitution_analysis_source"] = chosen
+    figures |= indexqc.source_figures(barcodes).first().asDict() | {"raw_I1_I2_counter_pruned": False, "header_index_counter_pruned": False}
+    figures |= {k: v for k, v in indexqc.summary(near, c.max_index_distance).first().asDict().items()}
+    if not expected:
+        figures["observed_index_reads_analyzed"] = barcodes[chosen].agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    span = f"within {c.max_index_distance} substitutions of their nearest expected index"
+    figures["note"] = f"substitution shares cover only failed or unknown index reads {span}" if chosen == indexqc.SOURCES[-1] else f"substitution shares cover {chosen} barcodes {span}; others are not in the denominator"
+    sink.write_figures(at("index_summary.tsv"), figures)
+    near.unpersist()
+    return figures
+
+
+def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict[str, dict]:
     """Writes all outputs below ``c.outdir``; returns the metrics by sample and roll-up."""
     began = time.time()
     c = c.checked()
     sink.prepare_folder(c.outdir, c.overwrite)
     at = lambda *p: os.path.join(c.outdir, *p)
+    files = Files(c)
+    names, warnings = files.samples(), files.warnings
     designs = source.designs(spark, c.reference, c.left_primer, c.right_primer, c.reference_mode, id_column=c.id_column, sequence_column=c.sequence_column).cache()
-    sink.write_tsv(library.duplicates(designs), at("reference", "design_duplicates.tsv"))
-    chunks, files, warnings = discover(c.input_dir)
-    names = list(dict.fromkeys(k.sample for k in chunks if {"R1", "R2"} & k.files.keys()))
-    clash = [n for n in names if len([m for m in names if m.lower() == n.lower()]) > 1]
-    if clash:
-        raise ValueError(f"sample names that give one file name: {clash}")
-    genome = source.genome(spark, c.phix_reference) if c.phix_qc and c.phix_reference else None
-    pairs = read_pairs(spark, c.input_dir, c.max_reads)
-    classify(pairs, designs, c, genome).write.parquet(at("tables", "units"))
-    units = spark.read.parquet(at("tables", "units"))
-    used = pairs.select(*UNIT, F.explode(F.array(F.struct(F.lit("1").alias("mate"), F.col("s1").alias("seq"), F.col("q1").alias("qual")), F.struct(F.lit("2").alias("mate"), F.col("s2").alias("seq"), F.col("q2").alias("qual")))).alias("r"))
-    reads = used.where("r.seq is not null").select("sample", "chunk_key", "r.mate", "r.seq", "r.qual")
-    sink.write_tsv(qc.read_qc(reads, ["sample", "chunk_key", "mate"]).orderBy("sample", "chunk_key", "mate"), at("qc", "run_qc_summary.tsv"))
-    sink.write_tsv(qc.cycle_qc(reads, ["sample", "mate"]).orderBy("sample", "mate", "cycle"), at("qc", "per_cycle_qc.tsv"))
-    single = {k.files[r] for k in chunks for r in k.files}
-    left = spark.createDataFrame([(f.path,) for f in files if f.path not in single] or [], "path string")
-    if not left.isEmpty():
-        extra = read_fastq(spark, c.input_dir, reads="R1,R2").join(left, "path", "left_semi")
-        sink.write_tsv(qc.read_qc(extra, ["sample", "path", "read"]), at("qc", "unpaired_qc_summary.tsv"))
-
-    und = F.col("is_undetermined")
-    rolled = library.with_rollups(units, und)
-    full = library.zero_filled(library.count_matches(rolled), designs, rolled).cache()
+    twice = library.duplicates(designs).select(F.col("sequence").alias("target_sequence"), F.col("ids").alias("variant_ids"), "id_count")
+    sink.write_tsv(twice.orderBy("variant_ids"), at("design_sequence_duplicates.tsv"))
+    n_twice = twice.count()
+    if n_twice:
+        warnings.append(f"{n_twice} design sequences are listed more than once and can't be told apart")
+
+    pairs = _kept(read_pairs(spark, c.input_dir, c.max_reads), at("tables", "reads"))
+    index, left = (_kept(files.reads(spark, part), at("tables", name)) for name, part in (("index_reads", files.index), ("leftover_reads", files.left)))
+    spiked, rest = None, pairs
+    if c.phix_qc:
+        kmers = controls.genome_kmers(source.genome(spark, c.phix_reference), c.phix_kmer_length)
+        spiked = _kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), at("tables", "spike_in"))
+        rest = pairs.join(spiked, UNIT, "left_anti")
+    evidence = _kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), at("tables", "evidence"))
+    units = _kept(classify(pairs, evidence, designs, c, spiked), at("tables", "units"))
+    qc_rows = run_quality(spark, files, pairs, index.union(left), c.outdir)
+
+    rolled = library.with_rollups(units, F.col("is_undetermined"))
+    counted = library.count_matches(rolled)
+    full = library.zero_filled(counted, designs, rolled).cache()
     counts = library.frequencies(full)
-    shown = ["sample", "ids", "n_ids", "sequence", "length", "gc", "exact", "near", "total", "frequency_percent", "reads_per_million", "detected"]
+    key = F.array_join("ids", "|")
+    shown = counts.select(
+        "sample", key.alias("sequence_key"), key.alias("variant_ids"), F.col("n_ids").alias("duplicate_id_count"), F.col("sequence").alias("target_sequence"), "length", F.col("gc").alias("gc_percent"),
+        F.col("exact").alias("exact_count"), F.col("near").alias("near_count"), F.col("total").alias("total_count"), "frequency_percent", "reads_per_million", F.col("detected").cast("int").alias("detected"), "ref_index",
+    )
     totals = library.control_metrics(library.sample_totals(rolled)).drop("mapped_reads")
     metrics = library.library_metrics(full).join(totals, "sample").withColumn("is_undetermined", F.lower("sample").startswith("undetermined"))
     rows = {r["sample"]: r.asDict() for r in metrics.toLocalIterator()}
-    categories = library.classification(rolled, ["sample"], "match_type").orderBy("sample", "category")
-    tables = {"variant_counts": counts.select(*shown), "dropout_variants": library.dropouts(counts).select(*shown), "top_variants": library.top_designs(counts).select(*shown), "classification": categories}
-    for name, df in tables.items():
-        df.write.partitionBy("sample").parquet(at("tables", name))
-        saved = spark.read.parquet(at("tables", name)).select(df.columns)
-        order = ["ids"] if name.startswith(("variant", "dropout")) else [F.desc("total"), "ids"] if name == "top_variants" else ["category"]
-        for sample in rows:
-            sink.write_tsv(saved.where(F.col("sample") == sample).orderBy(*order), at("combined" if sample.startswith("ALL_") else "samples", _file(sample), f"{name}.tsv"))
-    order = sorted({k for m in rows.values() for k in m})
-    sink.write_rows(at("combined", "all_sample_metrics.tsv"), order, rows.values())
-    sink.write_rows(at("combined", "combined_metrics.tsv"), order, [m for s, m in rows.items() if s.startswith("ALL_")])
+    rows = {s: rows[s] for s in [*names, library.ASSIGNED, library.EVERYTHING] if s in rows}
+    categories = library.classification(rolled, ["sample"], "match_type")
+
+    def paths(name: str):
+        own = lambda s: at("samples", _file(s), f"{_file(s)}_{name}.tsv")
+        return lambda s: [own(s), at("combined", f"{_file(s)}_{name}.tsv")] if s.startswith("ALL_") else [own(s)]
+
+    designs_of = lambda df: df.select("sample", *sink.DESIGN_COLUMNS)
+    by_design = shown.orderBy("sample", "ref_index")
+    sink.write_tsvs(designs_of(by_design), "sample", paths("variant_counts"), [], rows)
+    sink.write_tsvs(designs_of(by_design.where("total_count = 0")), "sample", paths("dropout_variants"), [], rows)
+    top = library.top_designs(shown.withColumn("total", F.col("total_count")), "sequence_key")
+    sink.write_tsvs(designs_of(top.orderBy("sample", "place")), "sample", paths("top_variants"), [], rows)
+    sink.write_tsvs(categories.orderBy("sample", "category"), "sample", paths("classification"), [], rows)
+    named = {s: {name: m.get(column) for name, column in sink.METRICS.items()} for s, m in rows.items()}
+    for s, m in named.items():
+        for path in paths("library_metrics")(s):
+            sink.write_figures(path, m)
+    order = sorted(sink.METRICS)
+    sink.write_rows(at("combined", "all_sample_metrics.tsv"), order, named.values())
+    sink.write_rows(at("combined", "combined_metrics.tsv"), order, [m for s, m in named.items() if s.startswith("ALL_")])
     keys = ["ref_index", "ids", "sequence", "length", "gc"]
     own = full.where(F.col("sample").isin(names))
-    sink.write_tsv(library.count_matrix(own, keys, names).orderBy("ref_index").drop("ref_index"), at("combined", "count_matrix.tsv"))
-    sink.write_tsv(library.rpm_matrix(own, keys, names).orderBy("ref_index").drop("ref_index"), at("combined", "rpm_matrix.tsv"))
-    sink.write_tsv(units.groupBy("sample", "orientation").agg(F.count("*").alias("units")), at("qc", "orientations.tsv"))
-    sink.write_tsv(units.where("distance is not null").groupBy("sample", "distance").agg(F.count("*").alias("units")), at("qc", "distances.tsv"))
+    for name, matrix in (("variant_count_matrix", library.count_matrix(own, keys, names)), ("variant_rpm_matrix", library.rpm_matrix(own, keys, names))):
+        columns = [key.alias("sequence_key"), key.alias("variant_ids"), F.col("sequence").alias("target_sequence"), "length", F.col("gc").alias("gc_percent"), *[F.col(f"`{n}`").alias(_file(n)) for n in names]]
+        sink.write_tsv(matrix.orderBy("ref_index").select(*columns), at("combined", f"{name}.tsv"))
+    sink.write_tsv(units.groupBy("sample", "orientation").agg(F.count("*").alias("units")).orderBy("sample", "orientation"), at("qc", "orientations.tsv"))
+    sink.write_tsv(units.where("distance is not null").groupBy("sample", "distance").agg(F.count("*").alias("units")).orderBy("sample", "distance"), at("qc", "distances.tsv"))
     if c.write_observed_sequences:
-        key = F.coalesce(F.array_join("ids", "|"), F.lit(""))
-        seen = units.join(designs.select("ref_index", "ids"), "ref_index", "left").withColumn("design_key", key)
+        seen = units.join(designs.select("ref_index", "ids"), "ref_index", "left").withColumn("design_key", F.coalesce(key, F.lit("")))
         sink.write_observed(library.observed_sequences(seen), at("observed_sequences"))
 
-    barcodes = index_sources(spark, pairs, c)
-    sink.write_tsv(indexqc.top_barcodes(barcodes), at("index_qc", "top_observed_barcodes.tsv"))
-    if c.sample_sheet:
-        chosen = next((n for n, b in barcodes.items() if not b.isEmpty()), indexqc.SOURCES[-1])
-        near = indexqc.nearest(barcodes[chosen], source.sample_sheet(spark, c.sample_sheet)).cache()
-        sink.write_tsv(near.orderBy(F.desc("count"), "observed_barcode"), at("index_qc", "nearest_expected_barcodes.tsv"))
-        sink.write_tsv(indexqc.substitutions(near, c.max_index_distance).orderBy("index_read", "position", "expected_base", "observed_base"), at("index_qc", "index_position_substitutions.tsv"))
-        figures = indexqc.summary(near, c.max_index_distance).first().asDict()
-        votes = indexqc.orientation_votes(near).where("preferred").first()
-        both, assigned = rows.get(library.EVERYTHING, {}), rows.get(library.ASSIGNED, {})
-        adrift = (both.get("non_phix_units") or 0) - (assigned.get("non_phix_units") or 0)
-        figures |= {"index_substitution_analysis_source": chosen, "preferred_i5_orientation": votes["orientation"] if votes else None}
-        figures["undetermined_non_phix_fraction_percent"] = 100.0 * adrift / both["non_phix_units"] if both.get("non_phix_units") else None
-        sink.write_rows(at("index_qc", "index_summary.tsv"), ["metric", "value"], [{"metric": k, "value": v} for k, v in figures.items()])
-    else:
-        warnings.append("no sample sheet: barcodes were counted, not compared")
-
-    points = [(r["place"], r["log_count"]) for r in library.rank_abundance(full.where(F.col("sample") == library.ASSIGNED)).toLocalIterator()]
-    head = ["sample", "total_units", "mapped_reads", "mapped_fraction_percent", "phix_reads", "detected_1x", "dropout_sequences", "gini"]
-    sink.write_report(at("report.html"), c.target_name, [("Samples", sink.html_table(head, rows.values())), ("Rank and abundance", sink.rank_svg(points))])
-    sink.write_summary(at("summary.txt"), c.target_name, rows)
-    sink.write_manifest(at("manifest.json"), asdict(c), c.reference, warnings, time.time() - began)
+    figures = index_quality(spark, c, index_sources(spark, pairs, index, left, c), rows, warnings, c.outdir)
+    kinds: dict[str, dict] = {s: {} for s in rows}
+    for r in categories.orderBy("sample", "category").collect():
+        kinds[r["sample"]][r["category"]] = r["count"]
+    curves = "".join(f"<h3>{html.escape(s)}</h3>" + sink.curve(points) for s, points in _curves(full, rows))
+    n_ids, n_unique = designs.agg(F.sum("n_ids"), F.count("*")).first()
+    facts = {"design_ids": n_ids, "unique_designs": n_unique, "duplicated_designs": n_twice, "fastq_files": len(files.files), "samples": len(names), "units": rows[library.EVERYTHING]["total_units"]}
+    _write_reports(c, command, facts, qc_rows, named, kinds, figures, curves, warnings)
+    for name in ("reads", "index_reads", "leftover_reads", "spike_in", "evidence"):  # the reads are the user's own; only the units stay
+        shutil.rmtree(at("tables", name), ignore_errors=True)
     full.unpersist()
     designs.unpersist()
+    sink.write_manifest(at("manifest.json"), __version__, command, asdict(c), names, facts, warnings, time.time() - began)
     return rows
 
 
+def _curves(full: DataFrame, samples: Iterable[str]) -> Iterator[tuple[str, list[tuple[int, float]]]]:
+    """(sample, points) of every sample's curve; equal counts are one step, so a sample has few points."""
+    steps = library.rank_abundance(full).groupBy("sample", "log_count").agg(F.min("place").alias("first"), F.max("place").alias("last"))
+    found: dict[str, list] = {s: [] for s in samples}
+    for r in steps.toLocalIterator():
+        if r["sample"] in found:
+            found[r["sample"]] += [(r["first"], r["log_count"]), (r["last"], r["log_count"])]
+    yield from found.items()
+
+
+# What the report shows of each sample and each file, by title.
+SAMPLE_TITLES = {"sample": "Sample", "total_read_pairs_or_reads": "Pairs or reads", "phix_fraction_percent": "Spike-in %", "mapped_fraction_percent": "Assigned %", "mapped_fraction_non_phix_percent": "Assigned % without spike-in", "detected_1x_percent": "Detected %", "dropout_sequences": "Dropouts", "mean_coverage": "Mean count", "gini": "Gini", "top_10_percent_read_share_percent": "Share of top 10 %"}
+FILE_TITLES = {"sample": "Sample", "read": "Read", "total_reads": "Reads", "mean_q": "Mean quality", "q30_base_percent": "Q30 %", "n_base_percent": "N %"}
+
+
+def _write_reports(c: source.RunConfig, command: str, facts: dict, qc_rows: list[dict], named: dict, kinds: dict, figures: dict, curves: str, warnings: list[str]) -> None:
+    note = f"<p>{library.EVERYTHING} serves diagnosis: where another library with these designs was in the run, it isn't a sample's count.</p>"
+    sections = [
+        ("Run quality", sink.grid(qc_rows, FILE_TITLES)), ("Samples", sink.grid(named.values(), SAMPLE_TITLES) + note), ("Rank and abundance", curves),
+        ("Indexes", sink.grid([{"k": k, "v": v} for k, v in figures.items()], {"k": "Figure", "v": "Value"})), ("Warnings", sink.listing(warnings)),
+        ("Reproducibility", sink.listing([command or "called from Python", f"seqloom {__version__}", *[f"{k} = {v}" for k, v in asdict(c).items()]])),
+    ]
+    sink.write_report(os.path.join(c.outdir, "report.html"), f"{c.target_name}: sequencing quality", sections)
+    whole = named[library.EVERYTHING]
+    spike: dict | list = ["spike-in classification is off"]
+    if c.phix_qc:
+        seen = whole["phix_fraction_percent"]
+        spike = {"spike-in reads": whole["phix_reads"], "all reads": whole["total_read_pairs_or_reads"], "observed percent": seen, "library to spike-in ratio": whole["library_to_phix_read_ratio"]}
+        if c.expected_phix_percent is not None and seen is not None:
+            spike |= {"expected percent": c.expected_phix_percent, "observed minus expected": seen - c.expected_phix_percent}
+        if c.max_reads:
+            spike["note"] = "reads were limited by sample, so the combined fraction isn't that of the run"
+    settings = facts | {"left primer": c.left_primer, "right primer": c.right_primer, "mismatches allowed": c.max_mismatches, "reads a sample": c.max_reads or "all", "spike-in genome": c.phix_reference if c.phix_qc else "none", "expected spike-in percent": c.expected_phix_percent}
+    quality = [f"{r['sample']} {r['read']}: {sink.fmt_int(r['total_reads'])} reads, mean quality {sink.fmt_float(r['mean_q'])}, Q30 {sink.fmt_float(r['q30_base_percent'])} %, N {sink.fmt_float(r['n_base_percent'], 4)} %" for r in qc_rows]
+    blocks: dict[str, list[str] | dict] = {"settings": settings, "run quality": quality, "indexes": figures, "spike-in": spike}
+    for s, m in named.items():
+        blocks[f"sample {s}"] = {k: v for k, v in m.items() if k != "sample"} | {f"class {k}": n for k, n in kinds[s].items()}
+    blocks["warnings"] = warnings
+    sink.write_summary(os.path.join(c.outdir, "RESULTS_TO_SHARE.txt"), f"{c.target_name}: summary of the run", blocks)
+
+
 def _file(sample: str) -> str:
     kept = "".join(ch if ch.isascii() and (ch.isalnum() or ch in "._-") else "_" for ch in sample).strip("._")
     return kept or "sample"
@@ -163,7 +290,7 @@ def main(argv: list[str] | None = None) -> int:
     path = given.pop("config")
     config = source.RunConfig.load(path) if path else source.RunConfig()
     config = replace(config, **{k: v for k, v in given.items() if v is not None})
-    analyse(SparkSession.builder.appName("seqloom").getOrCreate(), config)
+    analyse(SparkSession.builder.appName("seqloom").getOrCreate(), config, " ".join(["seqloom.plans.run", *(sys.argv[1:] if argv is None else argv)]))
     return 0
 
 

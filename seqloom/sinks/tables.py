@@ -1,7 +1,7 @@
 """Report files: tables in TSV, an HTML page, a text summary and a manifest.
 
-Only aggregated frames come here (designs by samples at most); they are streamed through the driver row by row. The
-large table of observed sequences is written by the executors.
+Only aggregated frames come here (designs by samples at most). Their lines are formatted in tasks and streamed through
+the driver, which writes the files; the large table of observed sequences is written by the executors.
 """
 
 from __future__ import annotations
@@ -11,12 +11,35 @@ import html
 import json
 import math
 import os
+import platform
 import shutil
-from collections.abc import Iterable
+import time
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Names and order of a sample's metrics in its file, with the column that holds each.
+METRICS = {
+    name: source or name
+    for name, source in (
+        ("sample", ""), ("is_undetermined", ""), ("designed_ids", ""), ("unique_design_sequences", ""), ("total_read_pairs_or_reads", "total_units"), ("phix_reads", ""),
+        ("phix_fraction_percent", ""), ("non_phix_read_pairs_or_reads", "non_phix_units"), ("library_to_phix_read_ratio", ""), ("mapped_reads", ""), ("exact_mapped_reads", ""),
+        ("near_mapped_reads", ""), ("mapped_fraction_percent", ""), ("mapped_fraction_non_phix_percent", ""), ("unresolved_non_phix_reads", ""), ("unresolved_non_phix_percent", ""),
+        ("detected_1x", ""), ("detected_1x_percent", ""), ("detected_10x", ""), ("detected_10x_percent", ""), ("detected_100x", ""), ("detected_100x_percent", ""),
+        ("detected_500x", ""), ("detected_500x_percent", ""), ("dropout_sequences", ""), ("mean_coverage", ""), ("median_coverage", ""), ("min_nonzero_coverage", ""),
+        ("max_coverage", ""), ("coverage_cv", ""), ("p05_coverage", ""), ("p10_coverage", ""), ("p90_coverage", ""), ("p95_coverage", ""), ("p90_over_p10", ""), ("p95_over_p05", ""),
+        ("gini", ""), ("top_1_percent_read_share_percent", ""), ("top_10_percent_read_share_percent", ""), ("effective_library_size", ""), ("spearman_length_logcount", ""),
+        ("spearman_gc_logcount", ""), ("left_anchor_percent", ""), ("right_anchor_percent", ""), ("both_anchors_percent", ""), ("pair_header_mismatches", ""),
+        ("pair_base_disagreements", ""), ("ambiguous_reads", ""), ("anchor_missing_reads", ""), ("unassigned_reads", "unresolved_non_phix_reads"),
+    )
+}
+# Columns of the tables of designs, of files and of cycles.
+DESIGN_COLUMNS = ["sequence_key", "variant_ids", "duplicate_id_count", "target_sequence", "length", "gc_percent", "exact_count", "near_count", "total_count", "frequency_percent", "reads_per_million", "detected"]
+FILE_COLUMNS = ["label", "sample", "read", "path", "total_reads", "total_bases", "mean_length", "min_length", "max_length", "mean_q", "q20_base_percent", "q30_base_percent", "n_base_percent", "reads_with_n_percent"]
+CYCLE_COLUMNS = ["label", "sample", "read", "cycle", "total_bases", "mean_q", "q20_percent", "q30_percent", "A_percent", "C_percent", "G_percent", "T_percent", "N_percent"]
+
 
 def cell(value: object) -> str:
     """None as NA, floats with eight significant digits, arrays joined by '|', the rest as Python prints it."""
@@ -37,8 +60,40 @@ def write_rows(path: str, names: list[str], rows: Iterable[dict]) -> None:
             out.write("\t".join(cell(row[n]) if n in row else "" for n in names) + "\n")
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    write_rows(path, df.columns, (r.asDict() for r in df.toLocalIterator()))
+def write_figures(path: str, figures: dict) -> None:
+    write_rows(path, ["metric", "value"], [{"metric": k, "value": v} for k, v in figures.items()])
+
+
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["\t".join(map(cell, r)) for r in rows], pa.string())], ["key", "line"])
+
+
+def write_tsv(df: DataFrame, path: str, order: list | None = None) -> None:
+    write_tsvs(df.select(F.lit("").alias("key"), "*"), "key", lambda _: [path], order or [], [""])
+
+
+def write_tsvs(df: DataFrame, key: str, paths: Callable[[str], list[str]], order: list, keys: Iterable[str]) -> None:
+    """A file for each of ``keys`` (and a copy at each further path), of the rows that have it, in order. One job writes all files."""
+    names = [c for c in df.columns if c != key]
+    header = "\t".join(names) + "\n"
+    for k in keys:
+        for path in paths(k):
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "w", encoding="utf-8", newline="") as out:
+                out.write(header)
+    rows = df.orderBy(key, *order) if order else df
+    now, files = None, []
+    for r in rows.select(F.col(key).cast("string"), *names).mapInArrow(_lines, "key string, line string").toLocalIterator(prefetchPartitions=True):
+        if r["key"] != now:
+            for f in files:
+                f.close()
+            now, files = r["key"], [open(p, "a", encoding="utf-8", newline="") for p in paths(r["key"])]
+        for f in files:
+            f.write(r["line"] + "\n")
+    for f in files:
+        f.close()
 
 
 def write_observed(df: DataFrame, path: str) -> None:
@@ -63,39 +118,62 @@ def fmt_float(value: float | None, digits: int = 2) -> str:
     return "NA" if value is None or not math.isfinite(value) else f"{value:.{digits}f}"
 
 
-def rank_svg(points: list[tuple[int, float]], width: int = 640, height: int = 220) -> str:
-    """Rank-abundance polyline of (place, log10(count + 1))."""
-    if not points:
-        return "<p>no designs</p>"
-    most, top = max(p for p, _ in points), max(y for _, y in points) or 1.0
-    line = " ".join(f"{40 + (width - 60) * (p - 1) / max(1, most - 1):.1f},{height - 30 - (height - 50) * y / top:.1f}" for p, y in sorted(points))
-    return f'<svg viewBox="0 0 {width} {height}" width="{width}" height="{height}"><polyline fill="none" stroke="currentColor" points="{line}"/></svg>'
+def _show(value: object, digits: int = 3) -> str:
+    return fmt_float(value, digits) if isinstance(value, float) else f"{value:,}" if isinstance(value, int) and not isinstance(value, bool) else cell(value)
 
 
-def html_table(names: list[str], rows: Iterable[dict]) -> str:
-    head = "".join(f"<th>{html.escape(n)}</th>" for n in names)
-    body = "".join("<tr>" + "".join(f"<td>{html.escape(cell(r.get(n)))}</td>" for n in names) + "</tr>" for r in rows)
-    return f"<table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table>"
+def grid(rows: Iterable[dict], columns: dict[str, str]) -> str:
+    """HTML table of ``columns`` (title by key), numbers to the right."""
+    rows = list(rows)
+    if not rows:
+        return "<p class=none>nothing to show</p>"
+    parts = ["<table>", "<tr>", *[f"<th>{html.escape(t)}" for t in columns.values()]]
+    for row in rows:
+        parts.append("<tr>")
+        for key in columns:
+            value = row.get(key)
+            parts.append(f"<td{' class=number' if isinstance(value, int | float) else ''}>{html.escape(_show(value))}")
+    return "".join([*parts, "</table>"])
+
+
+def curve(points: list[tuple[int, float]]) -> str:
+    """Rank-abundance curve: log10(count + 1) by place, drawn in a box of 100 by 40 units."""
+    most, top = max((p for p, _ in points), default=0), max((y for _, y in points), default=0.0)
+    if top <= 0:
+        return "<p class=none>no reads assigned</p>"
+    path = "L".join(f"{100 * (p - 1) / max(1, most - 1):.2f} {40 - 38 * y / top:.2f}" for p, y in sorted(points))
+    return f"<figure><svg viewBox='0 0 100 40' preserveAspectRatio='none'><path d='M{path}' vector-effect='non-scaling-stroke'/></svg><figcaption>{most:,} designs by falling count; top of the scale: log10(count + 1) = {top:.2f}</figcaption></figure>"
+
+
+STYLE = "body{font:15px/1.4 sans-serif;max-width:70rem;margin:auto;padding:1rem}table{border-collapse:collapse}td,th{padding:.2rem .6rem;border-bottom:1px solid #ccc;text-align:left}.number{text-align:right}svg{width:100%;height:12rem;fill:none;stroke:#246}.none{color:#777}"
 
 
 def write_report(path: str, title: str, sections: list[tuple[str, str]]) -> None:
-    parts = "".join(f"<h2>{html.escape(name)}</h2>{body}" for name, body in sections)
+    links = " · ".join(f"<a href='#s{i}'>{html.escape(name)}</a>" for i, (name, _) in enumerate(sections))
+    parts = "".join(f"<section id=s{i}><h2>{html.escape(name)}</h2>{body}</section>" for i, (name, body) in enumerate(sections))
     with open(path, "w", encoding="utf-8") as out:
-        out.write(f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>{parts}</body></html>\n")
+        out.write(f"<!DOCTYPE html><html lang=en><meta charset=utf-8><title>{html.escape(title)}</title><style>{STYLE}</style><h1>{html.escape(title)}</h1><nav>{links}</nav>{parts}</html>\n")
+
+
+def listing(lines: list[str]) -> str:
+    return "<ul>" + "".join(f"<li>{html.escape(x)}" for x in lines) + "</ul>" if lines else "<p class=none>none</p>"
 
 
-def write_summary(path: str, title: str, metrics: dict[str, dict]) -> None:
-    """Plain text to share: the main figures of each sample."""
-    counts = ("total_units", "mapped_reads", "detected_1x", "dropout_sequences", "phix_reads", "ambiguous_reads")
-    shares = ("mapped_fraction_percent", "mapped_fraction_non_phix_percent", "phix_fraction_percent", "gini", "effective_library_size", "p90_over_p10")
+def write_summary(path: str, title: str, blocks: dict[str, list[str] | dict]) -> None:
+    """Plain text to share: titled blocks of lines, or of figures by name."""
     with open(path, "w", encoding="utf-8") as out:
         out.write(f"{title}\n{'=' * len(title)}\n")
-        for sample, m in metrics.items():
-            out.write(f"\n{sample}\n" + "".join(f"  {k}: {fmt_int(m.get(k))}\n" for k in counts) + "".join(f"  {k}: {fmt_float(m.get(k))}\n" for k in shares))
+        for name, block in blocks.items():
+            lines = [f"{k}: {_show(v, 4)}" for k, v in block.items()] if isinstance(block, dict) else block
+            out.write(f"\n[{name}]\n" + "".join(f"{x}\n" for x in lines or ["none"]))
 
 
-def write_manifest(path: str, config: dict, reference: str, warnings: list[str], seconds: float) -> None:
-    with open(reference, "rb") as f:
+def write_manifest(path: str, version: str, command: str, config: dict, samples: list[str], counts: dict, warnings: list[str], seconds: float) -> None:
+    with open(config["reference"], "rb") as f:
         digest = hashlib.file_digest(f, "sha256").hexdigest()
+    facts = {
+        "pipeline": "seqloom", "version": version, "generated_at": time.strftime("%Y-%m-%dT%H:%M:%S"), "runtime_seconds": round(seconds, 3), "python": platform.python_version(), "command": command,
+        "reference_path": config["reference"], "reference_sha256": digest, "input_dir": config["input_dir"], "sample_names": samples, "counts": counts, "arguments": config, "warnings": warnings,
+    }
     with open(path, "w", encoding="utf-8") as out:
-        json.dump({"config": config, "reference_sha256": digest, "warnings": warnings, "runtime_seconds": round(seconds, 3)}, out, indent=2, sort_keys=True)
+        json.dump(facts, out, indent=2, ensure_ascii=False)

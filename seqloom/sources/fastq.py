@@ -121,15 +121,21 @@ class _Reader(DataSourceReader):
         self.pairs = options.get("pairs", "false").lower() == "true"
         self.reads = set(options.get("reads", "R1,R2,I1,I2").upper().split(","))
         self.limit = int(options["limit"]) if options.get("limit") else None
+        self.only = set(options["only"].split("\n")) if "only" in options else None
 
     def partitions(self) -> list[InputPartition]:
+        return self._found() or [FilePartition((), self.limit)]
+
+    def _found(self) -> list[InputPartition]:
         chunks, files, _ = discover(self.root)
         if not self.pairs:
-            return [FilePartition((f,), self.limit) for f in files if f.read in self.reads]
+            return [FilePartition((f,), self.limit) for f in files if f.read in self.reads and (self.only is None or f.path in self.only)]
         mates = [tuple(parse_name(c.files[r]) for r in ("R1", "R2") if r in c.files) for c in chunks]
         return [FilePartition(m, self.limit) for m in mates if m]
 
     def read(self, partition: FilePartition) -> Iterator[tuple]:
+        if not partition.files:
+            return
         first, *more = partition.files
         rows = zip_longest(*[islice(records(f.path), partition.limit) for f in partition.files])
         for ord_, row in enumerate(rows):
@@ -143,7 +149,7 @@ class _Reader(DataSourceReader):
 
 
 class FastqSource(DataSource):
-    """Options: path, pairs (true: mates side by side), reads (R1,R2,I1,I2), limit (reads of each file)."""
+    """Options: path, pairs (true: mates side by side), reads (R1,R2,I1,I2), only (paths, a line each), limit (reads of each file)."""
 
     @classmethod
     def name(cls) -> str:

@@ -169,9 +169,20 @@ class RunConfig:
             values[k] = v.lower() in ("1", "yes", "true", "on") if kind == "bool" else int(v) if kind.startswith("int") else float(v) if kind.startswith("float") else v
             if k in ("input_dir", "reference", "outdir", "sample_sheet", "top_unknown", "phix_reference"):
                 values[k] = os.path.normpath(os.path.join(os.path.dirname(os.path.abspath(path)), v))
-        return RunConfig(**values).checked()
+        return RunConfig(**values)
 
     def checked(self) -> RunConfig:
+        """The same with clean primers and name; raises ValueError for what is missing, absent or out of bounds."""
+        for name in ("input_dir", "reference", "outdir", "left_primer", "right_primer"):
+            if not getattr(self, name):
+                raise ValueError(f"{name} is required")
+        if self.phix_qc and not self.phix_reference:
+            raise ValueError("phix_reference is required unless phix_qc is off")
+        if not os.path.isdir(self.input_dir):
+            raise ValueError(f"input_dir is no folder: {self.input_dir}")
+        for name in ("reference", "sample_sheet", "top_unknown", *(["phix_reference"] if self.phix_qc else [])):
+            if getattr(self, name) and not os.path.isfile(getattr(self, name)):
+                raise ValueError(f"{name} is no file: {getattr(self, name)}")
         rules = (
             (self.reference_mode in ("auto", "target", "amplicon"), "reference_mode is auto, target or amplicon"),
             (self.signature_length >= 8, "signature_length is at least 8"), (0 <= self.max_mismatches <= 5, "max_mismatches is 0 to 5"),
@@ -182,4 +193,4 @@ class RunConfig:
         for ok, message in rules:
             if not ok:
                 raise ValueError(message)
-        return replace(self, left_primer=clean_dna(self.left_primer) if self.left_primer else "", right_primer=clean_dna(self.right_primer) if self.right_primer else "")
+        return replace(self, target_name=" ".join(self.target_name.split()) or "target", left_primer=clean_dna(self.left_primer), right_primer=clean_dna(self.right_primer))

@@ -64,7 +64,7 @@ def make_run(root, seed=7):
     with open(f"{root}/run.ini", "w") as out:
         out.write(
             f"[input]\ninput_dir = fastq\nreference = design.csv\noutdir = out\nsample_sheet = sheet.csv\ntop_unknown = unknown.csv\n"
-            f"[amplicon]\nleft_primer = {LEFT}\nright_primer = {RIGHT}\n[control_qc]\nphix_reference = phix.fasta\n"
+            f"[amplicon]\nleft_primer = {LEFT}\nright_primer = {RIGHT}\n[control_qc]\nphix_reference = phix.fasta\nexpected_phix_percent = 5\n"
         )
     return targets
 

@@ -1,12 +1,15 @@
 import json
 import os
 import random
+import shutil
+from dataclasses import replace
 
 import pytest
 
-from helpers import LEFT, RIGHT, make_run, naive_match, rc
+from helpers import COUNTS, LEFT, RIGHT, STRAY, make_run, naive_match, rc
 from seqloom.operators import anchors, matcher
 from seqloom.plans.run import analyse
+from seqloom.sinks import tables as sinks
 from seqloom.sources import fastq, tables
 from seqloom.streaming import ingest
 
@@ -35,21 +38,95 @@ def test_golden_figures(run):
     assert e["library_to_phix_read_ratio"] == pytest.approx(20.86)
 
 
+def table(path):
+    head, *rows = (x.rstrip("\n").split("\t") for x in open(path))
+    return [dict(zip(head, r, strict=True)) for r in rows]
+
+
+def figures(path):
+    return {r["metric"]: r["value"] for r in table(path)}
+
+
 def test_outputs(run):
     root, config, _ = run
-    for path in ("report.html", "summary.txt", "manifest.json", "qc/run_qc_summary.tsv", "qc/per_cycle_qc.tsv", "combined/count_matrix.tsv", "combined/ALL_ASSIGNED/variant_counts.tsv", "samples/pDNA/classification.tsv", "index_qc/nearest_expected_barcodes.tsv", "observed_sequences"):
-        assert os.path.exists(f"{root}/out/{path}"), path
-    figures = dict(x.rstrip("\n").split("\t") for x in open(f"{root}/out/index_qc/index_summary.tsv"))
-    assert figures["index_substitution_analysis_source"] == "I1_I2_FASTQ"
-    assert (figures["observed_index_reads_analyzed"], figures["exact_expected_index_reads"], figures["within_2_bp_expected_reads"]) == ("200", "180", "200")
-    assert (figures["expected_g"], figures["g_to_g"], figures["g_to_n"], figures["g_to_n_percent"]) == ("400", "380", "20", "5")
-    assert figures["preferred_i5_orientation"] == "I1_only"
-    assert float(figures["undetermined_non_phix_fraction_percent"]) == pytest.approx(8.916587, abs=1e-5)
-    assert len(json.load(open(f"{root}/out/manifest.json"))["reference_sha256"]) == 64
+    out = f"{root}/out"
+    for path in ("report.html", "RESULTS_TO_SHARE.txt", "manifest.json", "combined/ALL_ASSIGNED_variant_counts.tsv", "samples/ALL_ASSIGNED/ALL_ASSIGNED_variant_counts.tsv", "index_qc/nearest_expected_barcodes.tsv", "observed_sequences", "qc/orientations.tsv"):
+        assert os.path.exists(f"{out}/{path}"), path
+    f = figures(f"{out}/index_qc/index_summary.tsv")
+    want = {
+        "expected_index_count": "1", "assigned_read_pairs_or_reads": "950", "undetermined_read_pairs_or_reads": "143", "assigned_phix_reads": "0", "undetermined_phix_reads": "50", "assigned_non_phix_reads": "950",
+        "undetermined_non_phix_reads": "93", "index_substitution_analysis_source": "I1_I2_FASTQ", "raw_I1_I2_index_reads_counted": "200", "raw_I1_I2_unique_retained": "2", "raw_I1_I2_counter_pruned": "False",
+        "header_index_reads_counted": "1093", "header_index_unique_retained": "3", "top_unknown_reads_counted": "100", "observed_index_reads_analyzed": "200", "exact_expected_index_reads": "180",
+        "within_2_bp_expected_reads": "200", "expected_G_position_weighted_reads_within_threshold": "400", "expected_G_to_G": "380", "expected_G_to_N": "20", "expected_G_to_other": "0", "expected_G_to_N_percent": "5", "preferred_i5_orientation": "I1_only",
+    }
+    assert {k: f[k] for k in want} == want and "nearest expected index" in f["note"]
+    assert float(f["assigned_read_fraction_percent"]) == pytest.approx(100 * 950 / 1093, abs=1e-5) and float(f["undetermined_non_phix_fraction_percent"]) == pytest.approx(8.916587, abs=1e-5)
+    m = json.load(open(f"{out}/manifest.json"))
+    assert len(m["reference_sha256"]) == 64 and m["sample_names"] == ["pDNA", "Undetermined"] and m["counts"]["units"] == 1093 and m["arguments"]["left_primer"] == LEFT and m["version"] and m["warnings"] == []
+    assert sorted(os.listdir(f"{out}/tables")) == ["units"]
     with pytest.raises(FileExistsError):
         analyse(None, config)
 
 
+def test_sample_files(run):
+    root, _, rows = run
+    m = table(f"{root}/out/samples/pDNA/pDNA_library_metrics.tsv")
+    assert [x["metric"] for x in m] == list(sinks.METRICS) and len(m) == 50
+    assert {x["metric"]: x["value"] for x in m}["total_read_pairs_or_reads"] == "950" == {x["metric"]: x["value"] for x in m}["mapped_reads"]
+    d = table(f"{root}/out/samples/pDNA/pDNA_variant_counts.tsv")
+    assert list(d[0]) == sinks.DESIGN_COLUMNS and [x["sequence_key"] for x in d] == [f"V{i:02d}" for i in range(20)] and [int(x["total_count"]) for x in d] == COUNTS
+    assert sum(int(x["near_count"]) for x in d) == 10 and sum(int(x["exact_count"]) for x in d) == 940
+    assert [x["detected"] for x in d][-3:] == ["1", "0", "0"] and float(d[0]["frequency_percent"]) == pytest.approx(100 * 200 / 950, abs=1e-5)
+    assert [x["sequence_key"] for x in table(f"{root}/out/samples/pDNA/pDNA_dropout_variants.tsv")] == ["V18", "V19"]
+    assert [int(x["total_count"]) for x in table(f"{root}/out/samples/pDNA/pDNA_top_variants.tsv")] == sorted(COUNTS, reverse=True)
+    assert {x["category"]: x["count"] for x in table(f"{root}/out/samples/Undetermined/Undetermined_classification.tsv")} == {"exact": "93", "phix": "50"}
+    every = table(f"{root}/out/combined/all_sample_metrics.tsv")
+    assert [x["sample"] for x in every] == ["pDNA", "Undetermined", "ALL_ASSIGNED", "ALL_WITH_UNDETERMINED"] and list(every[0]) == sorted(sinks.METRICS)
+    matrix = table(f"{root}/out/combined/variant_count_matrix.tsv")
+    assert [(int(x["pDNA"]), int(x["Undetermined"])) for x in matrix] == list(zip(COUNTS, STRAY, strict=True))
+    assert float(table(f"{root}/out/combined/variant_rpm_matrix.tsv")[0]["pDNA"]) == pytest.approx(1e6 * 200 / 950, rel=1e-6)
+
+
+def test_quality_files_and_reports(run):
+    root = run[0]
+    q = table(f"{root}/out/run_qc_summary.tsv")
+    assert [(x["label"], x["total_reads"]) for x in q] == [("Run:I1:001:001", "200"), ("Undetermined:R1:001:001", "143"), ("Undetermined:R2:001:001", "143"), ("pDNA:R1:001:001", "950"), ("pDNA:R2:001:001", "950")]
+    assert list(q[0]) == sinks.FILE_COLUMNS and q[3]["path"].endswith("pDNA_S1_L001_R1_001.fastq.gz") and q[3]["mean_q"] == "40" and q[3]["mean_length"] == "150" and q[0]["n_base_percent"] == "1.25"
+    cycles = table(f"{root}/out/per_cycle_qc.tsv")
+    assert list(cycles[0]) == sinks.CYCLE_COLUMNS and len(cycles) == 8 + 4 * 150 and cycles[6]["N_percent"] == "10" and cycles[6]["G_percent"] == "90"
+    text, page = open(f"{root}/out/RESULTS_TO_SHARE.txt").read(), open(f"{root}/out/report.html").read()
+    for line in ("expected percent: 5.0000", "observed minus expected: -0.4254", "spike-in reads: 50", "pDNA R1: 950 reads, mean quality 40.00, Q30 100.00 %, N 0.0000 %", "expected_G_to_N: 20", "[sample ALL_ASSIGNED]", "class near: 10", "unique_designs: 20", "[warnings]\nnone"):
+        assert line in text, line
+    for name in ("Run quality", "Samples", "Rank and abundance", "Indexes", "Warnings", "Reproducibility"):
+        assert f"<h2>{name}</h2>" in page
+    assert page.count("<svg") == 4 and "within_2_bp_expected_reads" in page and "left_primer" in page
+
+
+def test_leftover_files_and_limits(spark, run, tmp_path):
+    """A second file for one read leaves the first over: it has quality figures and header indexes, up to the limit."""
+    root = run[0]
+    shutil.copytree(f"{root}/fastq", tmp_path / "fastq")
+    os.makedirs(tmp_path / "fastq/more")
+    shutil.copy(tmp_path / "fastq/pDNA_S1_L001_R1_001.fastq.gz", tmp_path / "fastq/more/pDNA_S1_L001_R1_001.fastq.gz")
+    config = replace(run[1], input_dir=str(tmp_path / "fastq"), outdir=str(tmp_path / "out"), max_reads=60, sample_sheet="", top_unknown="", phix_qc=False)
+    rows = analyse(spark, config)
+    assert rows["ALL_WITH_UNDETERMINED"]["total_units"] == 120 and rows["ALL_WITH_UNDETERMINED"]["phix_reads"] == 0
+    q = table(tmp_path / "out/run_qc_summary.tsv")
+    assert sorted(x["total_reads"] for x in q) == ["60"] * 6
+    f = figures(tmp_path / "out/index_qc/index_summary.tsv")
+    assert (f["header_index_reads_counted"], f["expected_index_count"], f["preferred_i5_orientation"], f["raw_I1_I2_index_reads_counted"]) == ("180", "0", "NA", "60")
+    text = open(tmp_path / "out/RESULTS_TO_SHARE.txt").read()
+    assert "second R1 file" in text and "no usable sample sheet" in text and "spike-in classification is off" in text
+
+
+def test_arguments(run):
+    config = run[1]
+    for change, message in (({"left_primer": ""}, "left_primer is required"), ({"phix_reference": ""}, "phix_reference is required"), ({"reference": "/none"}, "reference is no file"), ({"input_dir": "/none"}, "no folder"), ({"sample_sheet": "/none"}, "sample_sheet is no file"), ({"max_reads": 0}, "above 0")):
+        with pytest.raises(ValueError, match=message):
+            replace(config, **change).checked()
+    assert replace(config, target_name="  a  b ").checked().target_name == "a b"
+
+
 def test_flanked_designs_load_alike(spark, run):
     root = run[0]
     plain, oligo = (tables.designs(spark, f"{root}/{n}.csv", LEFT, RIGHT).select("ref_index", "ids", "sequence").collect() for n in ("design", "oligo"))
@@ -79,7 +156,9 @@ def test_file_errors(tmp_path):
     path.write_text(good.replace("ACGT", "acgn"))
     assert list(fastq.records(str(path))) == [("@a 1", "ACGN", "@III")]
     assert fastq.parse_name("/x/A_b_S3_L002_R2_001.fastq.gz") == fastq.FastqFile("/x/A_b_S3_L002_R2_001.fastq.gz", "A_b", "002", "R2", "001")
-    assert fastq.parse_name("x.txt") is None
+    for name, want in {"a.R1.fastq.gz": ("a", "", "R1", ""), "S_R1_0001.fastq.gz": ("S", "", "R1", "0001"), "S_R1_1.fastq": ("S", "", "R1", "1"), "S_1.fq": ("S", "", "R1", ""), "S_S2_L003.i2.7.FQ": ("S", "003", "I2", "7"), "_R2_9.fastq": ("", "", "R2", "9")}.items():
+        assert fastq.parse_name(name) == fastq.FastqFile(name, *want)
+    assert fastq.parse_name("x.txt") is None and fastq.parse_name("_r2.fastq") is None and fastq.parse_name("xR2.fastq") is None
 
 
 def test_matcher_against_plain_table(spark):
