@@ -3,15 +3,16 @@ also starts earlier in the corpus.
 
 Routing. Every 100-byte window of a text is owned by its minimizer, the leftmost 16-byte string of least
 hash in it, so equal windows are owned by equal minimizers at equal offsets. Consecutive windows with one
-owner make a segment of at most 184 bytes. Segments meet by their minimizer's hash in one shuffle; equal
-segments in one slice of a task are reduced to the first before that, so a string that a third of all
-texts hold arrives once a slice. A segment that occurred before is marked whole.
-
-Index. Where one minimizer has different segments, their first occurrences are fetched and gathered by
-minimizer into blocks of bounded size. For a block a run-compressed Burrows-Wheeler transform with run
-heads, run starts, LF bases and samples at run ends is built over the segments in corpus order. The segments are
-streamed backwards through LF; each position's row gives its matching statistic, cut at 100: whether the
-longest match with a string that starts earlier reaches 100 bytes. Those windows are marked.
+owner make a segment of at most 184 bytes. Segments meet by their minimizer's hash; equal ones of some
+megabytes of text are reduced to the first before that, so a string that a third of all texts hold arrives once a
+run. Of each minimizer with several segments, the bytes of the different ones are fetched. Window hashes then say
+which windows to index, namely the first of those that occur again, and which to stream. They mark nothing.
+
+Index. The windows to index, joined to strings where they overlap, are put into blocks of at most about ``BLOCK`` bytes. Of each block a run-compressed
+Burrows-Wheeler transform is kept: run heads and starts, the LF images of the starts and text positions sampled at both ends of each run; the suffix array is
+dropped. The later windows are streamed backwards through it. Matching statistics follow: within a run by LF, otherwise from the nearer sampled
+run end by the length it has in common with the match so far, cut at 100. A window whose statistic is 100 is marked if the sampled place of its match lies
+earlier. A segment that occurs again elsewhere is streamed once; what it matches marks its later copies.
 """
 
 from __future__ import annotations
@@ -30,9 +31,12 @@ LENGTH = 100
 KMER = 16
 _P1, _P2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 _T1, _T2 = byte_table(11), byte_table(12)
-_MARK, _SEGMENT = 0, 1
+_MARK, _SEGMENT, _COPY = 0, 1, 2
 _PIECE = 1 << 20
-BLOCK = 1 << 16
+RUN = 1 << 23  # bytes of text whose equal segments are reduced to one
+CHUNK = 1 << 21  # bytes of segments that are planned together
+BLOCK = 1 << 18  # bytes of an index
+LAST = 2**63 - 1  # rows without an id come after all others
 
 
 def _prefix(data: np.ndarray, table: np.ndarray, base: int) -> np.ndarray:
@@ -85,27 +89,30 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, first - offsets[text], n, kmer[at], seg
 
 
-def _rows(kind, doc, a, n, k1, k2) -> pa.RecordBatch:
-    m = len(doc)
-    cols = [np.full(m, kind, np.int8), doc.astype(np.int64), a.astype(np.int32), n.astype(np.int32), k1.view(np.int64), k2.view(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "doc", "a", "n", "k1", "k2"])
+ROWS = "kind byte, doc long, tag int, a int, n int, k1 long, k2 long"
 
 
-ROWS = "kind byte, doc long, a int, n int, k1 long, k2 long"
+def _rows(kind, doc, tag, a, n, k1, k2) -> pa.RecordBatch:
+    m = len(doc)
+    cols = [np.full(m, kind, np.int8), doc.astype(np.int64), tag.astype(np.int32), a.astype(np.int32), n.astype(np.int32), k1.view(np.int64), k2.view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "doc", "tag", "a", "n", "k1", "k2"])
 
 
-def _first_of(keys: list[np.ndarray], doc: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that are the first of their key by place in the corpus, rows that come later); a row that repeats the
-    first one's place is neither."""
-    order = np.lexsort((a, doc, *keys[::-1]))
+def _first_of(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows that are the first of their key by place in the corpus, rows that come later, for each of those its place among the first ones);
+    a row that repeats the first one's place is neither."""
+    order = np.lexsort((*place[::-1], *keys[::-1]))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    later = (doc[order] != doc[head]) | (a[order] != a[head])
-    return order[new], order[later]
+    number = np.cumsum(new) - 1
+    head = order[new][number]
+    later = np.zeros(len(order), bool)
+    for p in place:
+        later |= p[order] != p[head]
+    return order[new], order[later], number[later]
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
@@ -120,99 +127,164 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray,
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of each run of texts, equal ones once; marks of the others, which the index of the run decides."""
+    held: list[tuple[np.ndarray, ...]] = []
+    texts: list[np.ndarray] = []
+    size = 0
+
+    def reduced() -> Iterator[pa.RecordBatch]:
+        doc, tag, a, n, k1, k2, at = (np.concatenate(x) for x in zip(*held, strict=True))
+        data = np.concatenate(texts)
+        once, again, number = _first_of([k1, k2], [doc, tag, a])
+        twice = np.unique(number)
+        first = once[twice]
+        first = first[np.lexsort((a[first], tag[first], doc[first]))]
+        raw = data.tobytes()
+        whole = np.zeros(len(doc), bool)
+        for part in _chunks(k1[first], n[first] + LENGTH - 1):
+            own = np.sort(part)  # in the corpus' order again
+            f = first[own]
+            strings = [raw[x:y] for x, y in zip(at[f].tolist(), (at[f] + n[f] + LENGTH - 1).tolist(), strict=True)]
+            found = long_matches(strings, k1[f], np.ones(len(f), bool))
+            whole[f] = np.bincount(found[0], minlength=len(f)) == n[f]
+        sure = whole[once[number]]
+        done, more = again[sure], again[~sure]
+        yield _rows(_MARK, doc[done], tag[done], a[done], n[done], mix64(doc[done].view(np.uint64)), k2[done])
+        keep = np.concatenate([once, more])
+        yield _rows(_SEGMENT, doc[keep], tag[keep], a[keep], n[keep], k1[keep], k2[keep])
+
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, tags = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
         for i, _, shift, data, offsets in _pieces(batch):
             text, a, n, k1, k2 = segments(data, offsets)
             if not len(text):
                 continue
-            doc, a = ids[i + text], a + shift
-            once, again = _first_of([k1, k2], doc, a)
-            yield _rows(_MARK, doc[again], a[again], n[again], mix64(doc[again].view(np.uint64)), k2[again])
-            yield _rows(_SEGMENT, doc[once], a[once], n[once], k1[once], k2[once])
+            held.append((ids[i + text], tags[i + text], a + shift, n, k1, k2, size + offsets[text] + a))
+            texts.append(data)
+            size += len(data)
+            if size >= RUN:
+                yield from reduced()
+                held, texts, size = [], [], 0
+    if held:
+        yield from reduced()
+
+
+def _chunks(group: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of whole groups, about CHUNK bytes together."""
+    order = np.argsort(group, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]])[: len(order)])
+    upto = np.cumsum(size[order])
+    begin = 0
+    while begin < len(order):
+        want = np.searchsorted(upto, (upto[begin - 1] if begin else 0) + CHUNK)
+        k = np.searchsorted(heads, want, "right") if want < len(order) else len(heads)
+        end = int(heads[k]) if k < len(heads) else len(order)
+        yield order[begin:end]
+        begin = end
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks for segments that occurred before; first occurrences of minimizers with different segments."""
-    held: list[list[np.ndarray]] = []
-    for batch in batches:
-        cols = [c.to_numpy() for c in batch.columns]
-        mark = cols[0] == _MARK
+    """Of minimizers in several places: the first of each different segment, and copies of those. Rows come in order of k1."""
+    for table in _by_minimizer(batches, 1 << 18):
+        mark = table.column("kind").to_numpy() == _MARK
         if mark.any():
-            yield batch.filter(pa.array(mark))
-        held.append([c[~mark] for c in cols[1:]])
-    if not held:
-        return
-    doc, a, n, k1, k2 = (np.concatenate([h[i] for h in held]) for i in range(5))
-    del held
-    order = np.argsort(k1, kind="stable")
-    s = k1[order]
-    same = np.zeros(len(s) + 1, bool)
-    same[1:-1] = s[1:] == s[:-1]
-    order = order[same[:-1] | same[1:]]
-    doc, a, n, k1, k2 = doc[order], a[order], n[order], k1[order], k2[order]
-    if not len(doc):
-        return
-    once, again = _first_of([k1, k2], doc, a)
-    yield _rows(_MARK, doc[again], a[again], n[again], k1[again], k2[again])
-    s = k1[once]
-    same = np.zeros(len(s) + 1, bool)
-    same[1:-1] = s[1:] == s[:-1]
-    once = once[same[:-1] | same[1:]]
-    yield _rows(_SEGMENT, doc[once], a[once], n[once], k1[once], k2[once])
+            yield from table.filter(pa.array(mark)).to_batches()
+            table = table.filter(pa.array(~mark))
+        doc, tag, a, n, k1, k2 = (table.column(c).to_numpy() for c in ("doc", "tag", "a", "n", "k1", "k2"))
+        same = np.zeros(len(k1) + 1, bool)
+        order = np.argsort(k1, kind="stable")
+        s = k1[order]
+        same[1:-1] = s[1:] == s[:-1]
+        order = order[same[:-1] | same[1:]]
+        doc, tag, a, n, k1, k2 = (x[order] for x in (doc, tag, a, n, k1, k2))
+        once, again, _ = _first_of([k1, k2], [doc, tag, a])
+        several = np.isin(k1[once], k1[again]) | np.isin(k1[once], _repeated(k1[once]))
+        once = once[several]
+        yield _rows(_COPY, doc[again], tag[again], a[again], n[again], k1[again], k2[again])
+        yield _rows(_SEGMENT, doc[once], tag[once], a[once], n[once], k1[once], k2[once])
+
+
+def _repeated(x: np.ndarray) -> np.ndarray:
+    s = np.sort(x)
+    return s[1:][s[1:] == s[:-1]]
+
+
+def _by_minimizer(batches: Iterator[pa.RecordBatch], rows: int, size: int | None = None) -> Iterator[pa.Table]:
+    """Tables of whole minimizers, of about ``rows`` rows or ``size`` bytes, from batches in order of k1."""
+    held: list[pa.RecordBatch] = []
+    many = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k1 = batch.column(batch.schema.get_field_index("k1")).to_numpy()
+        if held and (many >= rows or size and sum(b.nbytes for b in held) >= size):
+            end = int(np.searchsorted(k1, held[-1].column(held[-1].schema.get_field_index("k1"))[-1].as_py(), "right"))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches([*held, batch.slice(0, end)])
+                held, many, batch = [], 0, batch.slice(end)
+        held.append(batch)
+        many += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 class RunLengthIndex:
     """Run-compressed BWT of strings, each followed by a terminator that sorts before all bytes, earlier ones first.
 
-    Kept: run heads and starts, the LF image of each run's start, text positions sampled at run ends, and the
-    rows at which the first ``depth`` symbols change. The suffix array itself is not kept.
+    Kept: the text, run heads and starts, the LF image of each run's start, and text positions sampled at the first and last row
+    of each run. The suffix array itself is not kept.
     """
 
     def __init__(self, strings: list[bytes], depth: int = LENGTH):
         size = np.array([len(s) for s in strings], np.int64)
+        self.depth = depth
         self.ends = np.cumsum(size + 1) - 1
         symbols = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1
         symbols[self.ends] = 0
         n = len(symbols)
-        end = np.repeat(self.ends, size + 1)
-        left = end - np.arange(n)  # symbols before the terminator
-        sa, rank, half = self._sort(symbols, left, int(size.max(initial=0)) + 1, depth)
-        owner = np.repeat(np.arange(len(strings)), size + 1)
-        sa = sa[np.lexsort((owner[sa], rank[sa]))]
-        step, at = half
-        key = np.stack([at[sa], np.where(left[sa] >= depth, at[np.minimum(sa + depth - step, n - 1)], -1 - sa)])
-        self.changes = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
+        left = np.repeat(self.ends, size + 1) - np.arange(n)  # symbols before the terminator
+        sa = self._sort(symbols, left, int(size.max(initial=0)) + 1)
+        self.text = np.concatenate([symbols, np.zeros(depth + 16, np.int64)]).astype(np.uint16)
         bwt = symbols[sa - 1]
         starts = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
         self.run_start, self.run_head = starts, bwt[starts]
-        run_size = np.diff(np.append(starts, n))
+        run_end = np.append(starts[1:], n)
         by_head = np.argsort(self.run_head, kind="stable")
-        base = np.empty(len(starts), np.int64)
-        base[by_head] = np.concatenate([[0], np.cumsum(run_size[by_head])[:-1]])
-        self.lf_base = base
-        self.run_end_sample = sa[np.append(starts[1:], n) - 1]
+        self.lf_base = np.empty(len(starts), np.int64)
+        self.lf_base[by_head] = np.concatenate([[0], np.cumsum((run_end - starts)[by_head])[:-1]])
+        self.first_sample, self.last_sample = sa[starts], sa[run_end - 1]
+        self.run_end = run_end - 1
+        self.by_head = by_head
+        self.head_key = self.run_head[by_head] * len(starts) + by_head  # to find the next run of a head
         self.rows = n
 
     @staticmethod
-    def _sort(symbols: np.ndarray, left: np.ndarray, longest: int, depth: int) -> tuple[np.ndarray, np.ndarray, tuple[int, np.ndarray]]:
-        """Order by up to ``longest`` symbols, never past a terminator, by doubling; and the last ranks of a step in depth / 2 .. depth."""
+    def _sort(symbols: np.ndarray, left: np.ndarray, longest: int) -> np.ndarray:
+        """The suffix array: suffixes by their symbols up to the terminator, equal ones by place. Doubling; what is settled isn't sorted again."""
         n = len(symbols)
         at = np.arange(n)
         key = np.zeros(n, np.int64)
         for j in range(7):
             key = key * 257 + np.where(j <= left, symbols[np.minimum(at + j, n - 1)], 0)
-        step, kept = 7, None
+        order = np.argsort(key)
+        slots, step = at, 7
+        rank = np.empty(n, np.int64)
+        sub, value = order, key[order]
         while True:
-            order = np.argsort(key)
-            s = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
-            if 2 * step >= depth and kept is None and step <= depth:
-                kept = (step, rank)
-            if step >= longest and kept is not None:
-                return order, rank, kept
-            key = rank * n + np.where(left >= step, rank[np.minimum(at + step, n - 1)], 0)
+            new = np.concatenate([[True], value[1:] != value[:-1]])
+            rank[sub] = slots[np.maximum.accumulate(np.where(new, np.arange(len(sub)), 0))]
+            open_ = ~(new & np.append(new[1:], True))
+            slots, sub = slots[open_], sub[open_]
+            if not len(slots):
+                return order
+            if step >= longest:
+                by = np.lexsort((sub, rank[sub]))
+                order[slots] = sub[by]
+                return order
+            value = rank[sub] * (n + 1) + np.where(left[sub] >= step, rank[np.minimum(sub + step, n - 1)] + 1, 0)
+            by = np.argsort(value)
+            sub, value = sub[by], value[by]
+            order[slots] = sub
             step *= 2
 
     def back(self, row: np.ndarray) -> np.ndarray:
@@ -220,66 +292,166 @@ class RunLengthIndex:
         run = np.searchsorted(self.run_start, row, "right") - 1
         return self.lf_base[run] + row - self.run_start[run]
 
-    def classes(self, strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Stream the indexed strings backwards: (string, position, class of its first ``depth`` symbols)."""
-        size = np.array([len(s) for s in strings], np.int64)
-        live = np.arange(len(strings))
-        row = live.copy()  # the terminator of the i-th string is the i-th smallest suffix
+    def _common(self, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Symbols that the texts from p and q on have in common, at most ``most``."""
+        out = np.zeros(len(p), np.int64)
+        live, lane = np.arange(len(p)), np.arange(16)
+        for at in range(0, self.depth, 16):
+            same = self.text[(p[live] + at)[:, None] + lane] == self.text[(q[live] + at)[:, None] + lane]
+            full = same.all(1)
+            out[live] += np.where(full, 16, same.argmin(1))
+            live = live[full & (out[live] < most[live])]
+            if not len(live):
+                break
+        return np.minimum(out, most)
+
+    def statistics(self, patterns: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Stream patterns backwards: (pattern, position, length of its longest match cut at ``depth``, place of that match)."""
+        size = np.array([len(s) for s in patterns], np.int64)
+        data = np.frombuffer(b"".join(patterns), np.uint8)
+        end = np.cumsum(size)
+        live = np.argsort(-size, kind="stable")
+        row, place, length = np.zeros(len(size), np.int64), np.full(len(size), self.first_sample[0]), np.zeros(len(size), np.int64)
+        runs = len(self.run_start)
         for back in range(1, int(size.max(initial=0)) + 1):
-            stay = size[live] >= back
-            live, row = live[stay], self.back(row[stay])
-            if back >= LENGTH:
-                yield live, size[live] - back, np.searchsorted(self.changes, row, "right") - 1
+            some = int(np.searchsorted(-size[live], -back, "right"))
+            live, row, place, length = live[:some], row[:some], place[:some], length[:some]
+            c = data[end[live] - back].astype(np.int64) + 1
+            run = np.searchsorted(self.run_start, row, "right") - 1
+            absent = np.zeros(some, bool)
+            turn = np.flatnonzero(self.run_head[run] != c)
+            if len(turn):
+                k = np.searchsorted(self.head_key, c[turn] * runs + run[turn])
+                above, below = self.by_head[np.maximum(k - 1, 0)], self.by_head[np.minimum(k, runs - 1)]
+                up, down = self.last_sample[above], self.first_sample[below]
+                best = [np.where(self.run_head[r] == c[turn], self._common(place[turn], q, length[turn]), -1) for r, q in ((above, up), (below, down))]
+                first = best[0] >= best[1]
+                run[turn] = np.where(first, above, below)
+                row[turn] = np.where(first, self.run_end[above], self.run_start[below])
+                place[turn] = np.where(first, up, down)
+                length[turn] = np.maximum(*best)
+                absent[turn] = length[turn] < 0
+            row = np.where(absent, 0, self.lf_base[run] + row - self.run_start[run])
+            place = np.where(absent, self.first_sample[0], place - 1)
+            length = np.where(absent, 0, np.minimum(length + 1, self.depth))
+            yield live, size[live] - back, length, place
+
+
+def _joined(which: np.ndarray, string: np.ndarray, at: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, windows) of maximal runs of neighbouring windows of a string in one block."""
+    new = np.ones(len(which), bool)
+    new[1:] = (string[which][1:] != string[which][:-1]) | (at[which][1:] != at[which][:-1] + 1) | (block[which][1:] != block[which][:-1])
+    first = np.flatnonzero(new)
+    return which[first], np.diff(np.append(first, len(which)))
+
 
+def long_matches(strings: list[bytes], group: np.ndarray, copied: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(string, window, string of its match) of windows with a match of at least 100 bytes; the match is at the first string that holds it.
 
-def earlier_windows(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(string, position) of all 100-byte windows that also start in an earlier string or position."""
-    index = RunLengthIndex(strings)
-    parts = list(index.classes(strings))
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    which, at, cls = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    order = np.lexsort((at, which, cls))
-    again = np.zeros(len(order), bool)
-    again[1:] = cls[order][1:] == cls[order][:-1]
-    return which[order[again]], at[order[again]]
+    ``strings`` come in the order of the corpus, and only those of one ``group`` can have windows in common. All windows of ``copied`` ones are
+    streamed, of the others those that also start earlier.
+    """
+    size = np.array([len(s) for s in strings], np.int64)
+    n = size - LENGTH + 1
+    begin = np.cumsum(size) - size
+    raw = b"".join(strings)
+    string = np.repeat(np.arange(len(strings)), n)
+    at = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
+    total = _prefix(np.frombuffer(raw, np.uint8), _T2, _P2)
+    start = begin[string] + at
+    key = mix64(_range_hash(total, _P2, start, start + LENGTH))
+    order = np.argsort(key)
+    heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(order)])
+    many = np.diff(np.append(heads, len(order)))
+    first = np.zeros(len(order), np.int64)
+    if len(order):
+        first[order] = np.repeat(np.minimum.reduceat(order, heads), many)
+    again = first != np.arange(len(first))
+    wanted = np.zeros(len(first), bool)
+    stream = again | copied[string]
+    wanted[first[stream]] = True
+    # blocks: whole groups one after the other; a group that alone outgrows a block is dealt by the windows' hashes
+    _, of = np.unique(group, return_inverse=True)
+    groups = int(of.max()) + 1 if len(of) else 0
+    runs, _ = _joined(np.flatnonzero(wanted), string, at, np.zeros(len(string), np.int64))
+    windows, weight = np.bincount(of[string], wanted, groups), np.bincount(of[string[runs]], minlength=groups) * (LENGTH - 1.0)
+    weight += windows
+    parts = np.where(weight > BLOCK, np.ceil(windows * LENGTH / BLOCK), 1).astype(np.int64)
+    upto = np.cumsum(np.where(parts > 1, BLOCK, weight))
+    base = (upto // BLOCK).astype(np.int64) + np.concatenate([[0], np.cumsum(parts - 1)[:-1]]).astype(np.int64)
+    block = base[of[string]] + (key % parts[of[string]].astype(np.uint64)).astype(np.int64)
+    sides = []
+    for mask in (wanted, stream):
+        w, m = _joined(np.flatnonzero(mask), string, at, block)
+        by = np.argsort(block[w], kind="stable")
+        sides.append((w[by], m[by]))
+    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+    (iw, im), (pw, pm) = sides
+    for b in np.unique(block[pw]):
+        x, y = (slice(*np.searchsorted(block[w], (b, b + 1))) for w in (iw, pw))
+        cut = lambda w, m: [raw[s : s + k + LENGTH - 1] for s, k in zip(start[w].tolist(), m.tolist(), strict=True)]
+        index = RunLengthIndex(cut(iw[x], im[x]))
+        owner = string[iw[x]]
+        for which, where, length, place in index.statistics(cut(pw[y], pm[y])):
+            hit = length >= LENGTH
+            if hit.any():
+                w = pw[y][which[hit]] + where[hit]
+                out.append((string[w], at[w], owner[np.searchsorted(index.ends, place[hit])]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks from the run-length index over the segments of one partition, block by block of whole minimizers."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
-        return
-    doc, a, k1 = (table.column(c).to_numpy() for c in ("doc", "a", "k1"))
-    size = np.array([len(x) for x in table.column("piece").to_pylist()], np.int64)
-    pieces = table.column("piece").to_pylist()
-    order, _ = _first_of([k1, doc, a], doc, a)  # rows that repeat a text fetch its segments again
-    heads = np.flatnonzero(np.concatenate([[True], k1[order][1:] != k1[order][:-1]]))
-    bounds = np.append(heads, len(order))
-    filled, begin = 0, 0
-    for g in range(len(heads)):
-        filled += int(size[order[bounds[g] : bounds[g + 1]]].sum())
-        if filled >= BLOCK or g == len(heads) - 1:
-            own = order[begin : bounds[g + 1]]
-            own = own[np.lexsort((a[own], doc[own]))]
-            which, at = earlier_windows([pieces[r] for r in own])
-            r = own[which]
-            yield _rows(_MARK, doc[r], a[r] + at, np.ones(len(r), np.int64), k1[r], k1[r])
-            filled, begin = 0, bounds[g + 1]
+    """Marks from the run-length index over the segments of one partition, whole minimizers at a time."""
+    for table in _by_minimizer(batches, 1 << 20, CHUNK):
+        bare = table.column("piece").is_null().to_numpy()
+        doc, tag, a, n, k1, k2 = (table.column(c).to_numpy() for c in ("doc", "tag", "a", "n", "k1", "k2"))
+        order = np.lexsort((k1, a, tag, doc))
+        order = order[~bare[order]]
+        new = np.ones(len(order), bool)  # rows that repeat a text fetch its segments again
+        for c in (k1, a, tag, doc):
+            new[1:] &= c[order][1:] == c[order][:-1]
+        new[1:] = ~new[1:]
+        order = order[new]
+        if not len(order):
+            continue
+        strings = [x.as_py() for x in table.column("piece").take(pa.array(order))]
+        name = mix64(k1.view(np.uint64)) ^ k2.view(np.uint64)
+        copies = np.flatnonzero(bare)
+        by = np.argsort(name[order])
+        of = by[np.minimum(np.searchsorted(name[order][by], name[copies]), len(by) - 1)]
+        copied = np.zeros(len(order), bool)
+        copied[of] = True
+        s, w, match = long_matches(strings, k1[order], copied)
+        whole = np.bincount(s, minlength=len(order)) == n[order]
+        sure = copies[whole[of]]
+        yield _rows(_MARK, doc[sure], tag[sure], a[sure], n[sure], k1[sure], k2[sure])
+        earlier = match < s
+        s, w = s[earlier], w[earlier]
+        by = np.lexsort((w, s))
+        s, w = s[by], w[by]
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (w[1:] != w[:-1] + 1)
+        head = np.flatnonzero(new)
+        r = order[s[head]]
+        yield _rows(_MARK, doc[r], tag[r], a[r] + w[head], np.diff(np.append(head, len(s))), k1[r], k2[r])
+
+
+PIECES = "doc long, tag int, a int, n int, k1 long, k2 long, piece binary"
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted segments of each text."""
     for batch in batches:
-        doc, a, k1, piece = [], [], [], []
-        for d, text, want in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-            raw = (text or "").encode()
-            for w in want:
-                doc.append(d)
-                a.append(w["a"])
-                k1.append(w["k1"])
-                piece.append(raw[w["a"] : w["a"] + w["n"] - 1 + LENGTH])
-        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(a, pa.int32()), pa.array(k1, pa.int64()), pa.array(piece, pa.binary())], ["doc", "a", "k1", "piece"])
+        doc, tag, rows, piece = [], [], [], []
+        for d, t, text, want in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+            raw = text.encode()
+            doc += [d] * len(want)
+            tag += [t] * len(want)
+            rows += [(w["a"], w["n"], w["k1"], w["k2"]) for w in want]
+            piece += [raw[w["a"] : w["a"] + w["n"] - 1 + LENGTH] for w in want]
+        a, n, k1, k2 = zip(*rows, strict=True) if rows else ([],) * 4
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((doc, tag, a, n, k1, k2, piece), kinds, strict=True)], ["doc", "tag", "a", "n", "k1", "k2", "piece"])
 
 
 def union_of(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,15 +482,19 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ``spans`` of every row.
 
-    Null texts are empty; texts under 100 bytes lose nothing by themselves. Rows whose doc_id is null are
-    passed over; rows that repeat a doc_id with its text are one document and share its result. Further columns
-    are ignored; empty input gives an empty result.
+    Null texts are empty; texts under 100 bytes lose nothing by themselves. Documents are ordered by doc_id and, where rows with different texts
+    share one, by the text's hash; rows without an id come last. Rows that repeat a doc_id with its text are one document and share its
+    result. Further columns are ignored; empty input gives an empty result.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    found = stage(docs.mapInArrow(_cut, ROWS).repartition("k1").mapInArrow(_meet, ROWS), "rl-meet")
-    wanted = found.where(F.col("kind") == _SEGMENT).groupBy("doc").agg(F.collect_set(F.struct("a", "n", "k1")).alias("want"))
-    pieces = docs.join(wanted.hint("shuffle_hash"), docs["doc_id"] == wanted["doc"]).select("doc_id", "text", "want").mapInArrow(_fetch, "doc long, a int, k1 long, piece binary")
-    marks = found.where(F.col("kind") == _MARK).select("doc", "a", "n").union(pieces.repartition("k1").mapInArrow(_stream, ROWS).select("doc", "a", "n"))
-    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("a", "n")).alias("marks"))
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.hash(text).alias("tag"))
+    cut = docs.select("doc", "tag", "text").mapInArrow(_cut, ROWS).repartition("k1").sortWithinPartitions("k1")
+    found = stage(cut.mapInArrow(_meet, ROWS), "rl-meet")
+    key = ["doc", "tag"]
+    wanted = found.where(F.col("kind") == _SEGMENT).groupBy(*key).agg(F.collect_list(F.struct("a", "n", "k1", "k2")).alias("want"))
+    pieces = docs.join(wanted.hint("shuffle_hash"), key).select(*key, "text", "want").mapInArrow(_fetch, PIECES)
+    copies = found.where(F.col("kind") == _COPY).select(*key, "a", "n", "k1", "k2", F.lit(None).cast("binary").alias("piece"))
+    streamed = pieces.union(copies).repartition("k1").sortWithinPartitions("k1").mapInArrow(_stream, ROWS)
+    marks = found.where(F.col("kind") == _MARK).union(streamed).groupBy(*key).agg(F.collect_list(F.struct("a", "n")).alias("marks"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
-    return docs.join(marks.hint("shuffle_hash"), docs["doc_id"] == marks["doc"], "left").select("doc_id", "text", "marks").mapInArrow(_finish, schema)
+    return docs.join(marks.hint("shuffle_hash"), key, "left").select("doc_id", "text", "marks").mapInArrow(_finish, schema)

@@ -155,9 +155,17 @@ def test_jaccard_of_a_large_open_group(spark, monkeypatch):
     assert blocks.value > 3
 
 
-def brute_repeats():
+def tag_of(spark, texts):
+    """32-bit hash that orders different texts of one doc_id."""
+    return {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in set(texts)], "t string").select("t", F.hash("t").alias("h")).collect()}
+
+
+def brute_repeats(spark, given):
+    """For each row of (doc_id, text) what stays, by the rules for repeated and missing ids."""
+    tags = tag_of(spark, [t or "" for _, t in given])
     seen, out = set(), {}
-    for i, b in sorted(first_ids().items()):
+    for i, _, t in sorted({(2**63 - 1 if i is None else i, tags[t or ""], t or "") for i, t in given}):
+        b = t.encode()
         covered = bytearray(len(b))
         for s in range(len(b) - 99):
             w = b[s : s + 100]
@@ -165,17 +173,78 @@ def brute_repeats():
                 covered[s : s + 100] = b"\1" * 100
             seen.add(w)
         kept = bytes(x for x, c in zip(b, covered, strict=True) if not c)
-        out[i] = (i, len(b), len(b) - len(kept), len(re.findall(b"\1+", covered)), hashlib.sha256(kept).hexdigest())
-    return out
+        out[i, t] = (len(b), len(b) - len(kept), len(re.findall(b"\1+", covered)), hashlib.sha256(kept).hexdigest())
+    return sorted([(i, *out[2**63 - 1 if i is None else i, t or ""]) for i, t in given], key=str)
+
 
+REPEATS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
-def test_run_length_index(crowded, empty):
-    want = brute_repeats()
-    got = rows(rl_index.remove_repeats(crowded), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    assert got == sorted((want[i] for i, *_ in odd_rows() if i is not None), key=str)
+
+def test_run_length_index(spark, crowded, empty):
+    assert rows(rl_index.remove_repeats(crowded), *REPEATS) == brute_repeats(spark, [(i, t) for i, t, *_ in odd_rows()])
     assert rl_index.remove_repeats(empty).count() == 0
 
 
+def shared_ids():
+    """Rows that share an id with other texts or with none, copies and shifted passages among them."""
+    rnd = random.Random(9)
+    prose = lambda n: " ".join(rnd.choice(["alpha", "beta", "gamma", "délta", "x", "of"]) + str(rnd.randrange(40)) for _ in range(n))
+    p = prose(80)
+    return [(2, prose(30) + p + prose(20)), (2, prose(10) + p), (2, None), (2, prose(10) + p), (1, prose(60)), (3, p), (3, p), (3, p + "."), (None, prose(5) + p[50:]), (None, p), (None, None), (4, p * 3), (4, "é" * 300)]
+
+
+def test_run_length_index_of_shared_ids(spark):
+    given = shared_ids()
+    assert rows(rl_index.remove_repeats(spark.createDataFrame(given, "doc_id long, text string")), *REPEATS) == brute_repeats(spark, given)
+
+
+@pytest.mark.parametrize(("run", "chunk", "block"), [(1 << 23, 1 << 21, 1 << 18), (1, 1, 256), (5000, 3000, 900)])
+def test_run_length_index_of_many_contexts(spark, monkeypatch, run, chunk, block):
+    """One passage in hundreds of different contexts: exact for any size of runs, chunks and blocks, and blocks stay bounded."""
+    for name, value in (("RUN", run), ("CHUNK", chunk), ("BLOCK", block)):
+        monkeypatch.setattr(rl_index, name, value)
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(30))
+    near = [passage[:k] + "#" + passage[k + 1 :] for k in (20, 100, 101, 180)]
+    given = [(i, " ".join(word() for _ in range(rnd.randrange(25))) + rnd.choice([passage, passage, *near]) + " ".join(word() for _ in range(rnd.randrange(25)))) for i in range(150)]
+    want = {i: r for i, *r in brute_repeats(spark, given)}
+    places = sorted((b.decode() for b in [t.encode() for _, t in given]), key=len)
+    largest = []
+    build = rl_index.RunLengthIndex
+
+    class Watched(build):
+        def __init__(self, strings, depth=100):
+            largest.append(sum(map(len, strings)))
+            super().__init__(strings, depth)
+
+    monkeypatch.setattr(rl_index, "RunLengthIndex", Watched)
+    marked = {}
+    for batch in plain_run(given):
+        for kind, doc, _, a, n in zip(*(batch[c] for c in ("kind", "doc", "tag", "a", "n")), strict=True):
+            assert kind == 0
+            marked.setdefault(doc, set()).update(range(a, a + n + 99))
+    assert places and all(len(marked.get(i, ())) == want[i][1] for i, _ in given)
+    assert max(largest) < 3 * block + 1000
+
+
+def plain_run(given):
+    """The operator's tasks one after the other, without Spark."""
+    import pyarrow as pa
+
+    docs = pa.RecordBatch.from_pydict({"doc": [i for i, _ in given], "tag": pa.array([0] * len(given), pa.int32()), "text": [t for _, t in given]})
+    table = pa.Table.from_batches(rl_index._cut(iter([docs]))).sort_by("k1")
+    met = pa.Table.from_batches(rl_index._meet(iter(table.to_batches())))
+    texts = {i: t.encode() for i, t in given}
+    keep = met.filter(pa.compute.not_equal(met["kind"], 0)).to_pylist()
+    for r in keep:
+        r["piece"] = texts[r["doc"]][r["a"] : r["a"] + r["n"] + 99] if r["kind"] == 1 else None
+    sent = pa.Table.from_pylist(keep, pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("a", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("piece", pa.binary())])).sort_by("k1")
+    yield met.filter(pa.compute.equal(met["kind"], 0)).to_pydict()
+    for batch in rl_index._stream(iter(sent.to_batches())):
+        yield batch.to_pydict()
+
+
 def test_run_length_index_maps_rows_back():
     strings = [b"banana" * 20, b"ananas" * 25, b"banana" * 19, b"\0\xff" * 60]
     index = rl_index.RunLengthIndex(strings)
@@ -189,14 +258,47 @@ def test_run_length_index_maps_rows_back():
             row = index.back(row)
             assert row[0] == place[ends[k] - len(s) + j]
     assert len(index.run_start) < index.rows / 3
-    which, at = rl_index.earlier_windows(strings)
-    seen, want = set(), set()
-    for k, s in enumerate(strings):
-        for p in range(len(s) - 99):
-            if s[p : p + 100] in seen:
-                want.add((k, p))
-            seen.add(s[p : p + 100])
-    assert set(zip(which.tolist(), at.tolist(), strict=True)) == want
+
+
+def test_matching_statistics():
+    """Against the longest matches found plainly, with places that hold them."""
+    rnd = random.Random(6)
+    make = lambda n, letters: bytes(rnd.choice(letters) for _ in range(n))
+    for letters in (b"ab", b"abcdefghijklm", b"\0\xffz"):
+        strings = [make(rnd.randrange(1, 60), letters) for _ in range(12)]
+        strings += [strings[0] + strings[1], strings[2][:20] + strings[0]]
+        patterns = [make(30, letters), strings[0], strings[3][5:] + b"?" + strings[0] + strings[1][:9], b"!!", strings[12] + strings[12]]
+        index = rl_index.RunLengthIndex(strings, 40)
+        text = b"".join(s + b"\n" for s in strings)
+        got = {}
+        for which, at, length, place in index.statistics(patterns):
+            got |= {(w, i): (k, p) for w, i, k, p in zip(which.tolist(), at.tolist(), length.tolist(), place.tolist(), strict=True)}
+        for w, pattern in enumerate(patterns):
+            for i in range(len(pattern)):
+                best = max(k for k in range(min(40, len(pattern) - i) + 1) if any(pattern[i : i + k] in s for s in strings))
+                k, p = got[w, i]
+                assert k == best and text[p : p + k] == pattern[i : i + k]
+
+
+def test_marks_depend_on_samples():
+    """Matches are found and placed by the samples at run ends: wrong ones change them."""
+    rnd = random.Random(8)
+    base = bytes(rnd.choice(b"abcdefgh") for _ in range(170))
+    strings = [base, base[:140] + b"#" * 9, b"%" * 5 + base[20:]]  # the first pattern ends inside the indexed string
+    group, none = np.zeros(3, np.uint64), np.zeros(3, bool)
+    right = set(zip(*map(np.ndarray.tolist, rl_index.long_matches(strings, group, none)), strict=True))
+    windows = [{s[i : i + 100] for i in range(len(s) - 99)} for s in strings]
+    want = {(k, i, min(j for j in range(k) if s[i : i + 100] in windows[j])) for k, s in enumerate(strings) for i in range(len(s) - 99) if any(s[i : i + 100] in windows[j] for j in range(k))}
+    assert right == want and {m for *_, m in right} == {0}
+    build = rl_index.RunLengthIndex.__init__
+
+    def shifted(self, *args):
+        build(self, *args)
+        self.first_sample, self.last_sample = (np.roll(x, len(x) // 2) for x in (self.first_sample, self.last_sample))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rl_index.RunLengthIndex, "__init__", shifted)
+        assert set(zip(*map(np.ndarray.tolist, rl_index.long_matches(strings, group, none)), strict=True)) != right
 
 
 def test_chunks(crowded, empty):
