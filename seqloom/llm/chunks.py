@@ -1,6 +1,6 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over a text's bytes; a chunk ends where its six leading bits are zero, so that chunks
+A gear hash rolls over a text's bytes; a chunk ends where its four leading bits are zero, so that chunks
 resist shifts from insertions. Chunks are matched by a 128-bit digest; every chunk but the first of
 its digest in the corpus is a repeat. Adjacent repeats join to runs, and runs of at least ``least_run``
 bytes are removed: shorter ones are chance matches of common phrases.
@@ -15,21 +15,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import byte_table, free_name, mix64, powers, stage, text_slices
 
-SHORTEST, LONGEST, BITS, ROLLED = 24, 256, 5, 32
+SHORTEST, LONGEST, BITS, ROLLED = 16, 256, 4, 16
 LEAST_RUN = 120
 _GEAR = (byte_table(21) >> np.uint64(32)).astype(np.uint32)
 _DIGESTS = ((0x9E3779B97F4A7C15 | 1, byte_table(22)), (0xC2B2AE3D27D4EB4F | 1, byte_table(23)))
-ROWS = "repeat boolean, doc long, start int, size int, d1 long, d2 long"
+ROWS = "repeat boolean, doc long, tag long, start int, size int, d1 long, d2 long"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
-    """Rolling hash at each byte: the sum of the last 32 bytes' gear values, each shifted by its distance."""
+    """Rolling hash at each byte: the sum of the last 16 bytes' gear values, each shifted by its distance."""
     h = _GEAR[data]
     width = 1
     while width < ROLLED:
@@ -67,23 +67,23 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.array(text, np.int64), np.array(starts, np.int64), np.array(ends, np.int64)
 
 
-def _rows(repeat: bool, doc, start, size, d1, d2) -> pa.RecordBatch:
-    cols = [np.full(len(doc), repeat), doc.astype(np.int64), start.astype(np.int32), size.astype(np.int32), d1.view(np.int64), d2.view(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["repeat", "doc", "start", "size", "d1", "d2"])
+def _rows(repeat: bool, doc, tag, start, size, d1, d2) -> pa.RecordBatch:
+    cols = [np.full(len(doc), repeat), doc.astype(np.int64), tag.astype(np.int64), start.astype(np.int32), size.astype(np.int32), d1.view(np.int64), d2.view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["repeat", "doc", "tag", "start", "size", "d1", "d2"])
 
 
-def _order(d1, d2, doc, start) -> tuple[np.ndarray, np.ndarray]:
+def _order(d1, d2, doc, tag, start) -> tuple[np.ndarray, np.ndarray]:
     """(first chunks of their digest by place in the corpus, later ones); a row that repeats the first's place is neither."""
-    order = np.lexsort((start, doc, d2, d1))
+    order = np.lexsort((start, tag, doc, d2, d1))
     new = np.ones(len(order), bool)
     new[1:] = (d1[order][1:] != d1[order][:-1]) | (d2[order][1:] != d2[order][:-1])
     head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    return order[new], order[(doc[order] != doc[head]) | (start[order] != start[head])]
+    return order[new], order[(doc[order] != doc[head]) | (tag[order] != tag[head]) | (start[order] != start[head])]
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, tags = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "tag"))
         for i, _, data, offsets in text_slices(batch, "text"):
             if not len(data):
                 continue
@@ -93,10 +93,10 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total = np.zeros(len(data) + 1, np.uint64)
                 np.cumsum(table[data] * powers(base, len(data)), out=total[1:])
                 digests.append(mix64((total[b] - total[a]) * powers(pow(base, -1, 2**64), len(data))[a] + (b - a).astype(np.uint64)))
-            doc, start = ids[i + text], a - offsets[text]
-            once, again = _order(*digests, doc, start)
-            yield _rows(True, doc[again], start[again], (b - a)[again], mix64(doc[again].view(np.uint64)), digests[1][again])
-            yield _rows(False, doc[once], start[once], (b - a)[once], digests[0][once], digests[1][once])
+            doc, tag, start = ids[i + text], tags[i + text], a - offsets[text]
+            once, again = _order(*digests, doc, tag, start)
+            yield _rows(True, doc[again], tag[again], start[again], (b - a)[again], mix64(doc[again].view(np.uint64)), digests[1][again])
+            yield _rows(False, doc[once], tag[once], start[once], (b - a)[once], digests[0][once], digests[1][once])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,40 +110,46 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append([c[~known] for c in cols[1:]])
     if not held:
         return
-    doc, start, size, d1, d2 = (np.concatenate([h[i] for h in held]) for i in range(5))
+    doc, tag, start, size, d1, d2 = (np.concatenate([h[i] for h in held]) for i in range(6))
     del held
     by = np.argsort(d1)
     s = d1[by]
     same = np.zeros(len(s) + 1, bool)
     same[1:-1] = s[1:] == s[:-1]
     by = by[same[:-1] | same[1:]]
-    doc, start, size, d1, d2 = doc[by], start[by], size[by], d1[by], d2[by]
-    _, again = _order(d1, d2, doc, start)
-    yield _rows(True, doc[again], start[again], size[again], d1[again], d2[again])
+    doc, tag, start, size, d1, d2 = (c[by] for c in (doc, tag, start, size, d1, d2))
+    _, again = _order(d1, d2, doc, tag, start)
+    yield _rows(True, doc[again], tag[again], start[again], size[again], d1[again], d2[again])
+
+
+def _tag(text) -> Column:
+    """Orders different texts of one id, and tells them apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def repeated_runs(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """(doc, spans): the byte runs of each text that repeat earlier text, ascending."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(_chunk, ROWS).repartition("d1").mapInArrow(_meet, ROWS)
-    marks = rows.select("doc", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
-    line = W.partitionBy("doc").orderBy("start")
+    """(doc, tag, spans): the byte runs of each text that repeat earlier text, ascending. A document is an id with a text's tag."""
+    given = docs.select(F.col("doc_id").cast("long"), "text", _tag(F.col("text")).alias("tag")).where("doc_id is not null")
+    rows = given.mapInArrow(_chunk, ROWS).repartition("d1").mapInArrow(_meet, ROWS)
+    marks = rows.select("doc", "tag", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    line = W.partitionBy("doc", "tag").orderBy("start")
     runs = marks.withColumn("new", (F.coalesce(F.lag("end").over(line), F.lit(-1)) != F.col("start")).cast("int"))
-    runs = runs.withColumn("run", F.sum("new").over(line)).groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    runs = runs.withColumn("run", F.sum("new").over(line)).groupBy("doc", "tag", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     runs = runs.where(F.col("end") - F.col("start") >= least_run)
-    return runs.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    return runs.groupBy("doc", "tag").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def chunk_report(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the removed byte ``spans`` of every row.
 
-    Null texts are empty. The first occurrence by (doc_id, place) stays. Rows whose doc_id is null lose
+    Null texts are empty. The first occurrence stays, by doc_id, then by the text's hash where texts share an id, then by place. Rows whose doc_id is null lose
     nothing; rows that repeat a doc_id with its text are one document and share its result. Further columns are
     ignored; empty input gives an empty result.
     """
     runs = stage(repeated_runs(docs, least_run), "chunk-runs")
-    sizes = docs.select(F.col("doc_id").cast("long"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
+    sizes = docs.select(F.col("doc_id").cast("long"), _tag(F.col("text")).alias("_tag"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    out = sizes.join(runs, sizes["doc_id"] == runs["doc"], "left").withColumn("spans", F.coalesce("spans", none))
+    out = sizes.join(runs, (sizes["doc_id"] == runs["doc"]) & (sizes["_tag"] == runs["tag"]), "left").withColumn("spans", F.coalesce("spans", none))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "spans")
 
@@ -163,7 +169,11 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """``docs`` with repeated runs cut out of its texts; all columns and rows stay."""
-    key, own = free_name(docs, "_doc"), free_name(docs, "_spans")
-    runs = repeated_runs(docs, least_run).select(F.col("doc").alias(key), F.col("spans").alias(own))
-    return docs.join(runs.hint("shuffle_hash"), docs["doc_id"] == F.col(key), "left").drop(key).mapInArrow(_without, docs.schema)
+    """``docs`` with repeated runs cut out of its texts, as ``chunk_report`` finds them; all columns and rows stay, whatever their names.
+
+    Null and empty texts and rows without an id are unchanged; an empty table gives an empty result.
+    """
+    key, tag, own = (free_name(docs, c) for c in ("_doc", "_tag", "_spans"))
+    runs = repeated_runs(docs, least_run).select(F.col("doc").alias(key), F.col("tag").alias(tag), F.col("spans").alias(own))
+    joined = docs.join(runs.hint("shuffle_hash"), (docs["doc_id"] == F.col(key)) & (_tag(docs["text"]) == F.col(tag)), "left")
+    return joined.drop(key, tag).mapInArrow(_without, docs.schema)

@@ -25,9 +25,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where the session names none (tests)."""
+    """The cluster's checkpoint folder; a temporary one only where a local session names none (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -1,7 +1,7 @@
 """Document fingerprints by a homomorphic multiset hash, in DataFrame functions only.
 
-A paragraph (line) is hashed to a wide vector: four lanes of its own 32-bit hashes, and 64 lanes in which each pair
-of neighbouring words of the paragraph counts +1 or -1 by a bit of the pair's hash. A document's
+A paragraph (line) is hashed to a wide vector: four lanes of its own 32-bit hashes, and 256 lanes in which each pair
+of neighbouring words of the paragraph counts +1 or -1 by a bit of the pair's hashes. A document's
 fingerprint is the sum of its paragraphs' vectors modulo powers of two. It doesn't depend on their order, and
 paragraphs are inserted or deleted by adding or subtracting their vectors. The first lanes tell equality;
 the cosine of the others estimates how much of two texts is alike.
@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from seqloom.llm.common import stage
 
-LANES = 64
+HASHES = 4
+FIELD = 16
+LANES = HASHES * 64
+PART_BITS = 15
 STRONG = 4
 STRONG_MOD = 1 << 32
 LANE_MOD = 1 << 20
-CELL_ROWS = 250
-MOST_CELLS = 200_000
 _STRONG_COLS = [f"s{i}" for i in range(STRONG)]
 
 
@@ -48,80 +49,102 @@ def pair_hashes(text: Column) -> Column:
 
 
 def with_lanes(texts: DataFrame, keys: list[str], text: str, carried: list[str]) -> DataFrame:
-    """keys, carried, s0..s3 and ``lanes`` of each row's text. Rows with equal keys must be equal."""
+    """keys, carried, s0..s3 and ``lanes`` of each row's text; no two rows have equal keys.
+
+    A sum holds four lanes of FIELD bits, so PART pairs of words are added up before they could run into each other; the parts
+    of a longer text are added lane by lane.
+    """
     none = F.array(F.lit(None).cast("long"))
     strong = [c.alias(n) for c, n in zip(strong_lanes(F.col(text)), _STRONG_COLS, strict=True)]
     wide = texts.select(*keys, *carried, *strong, F.concat(none, pair_hashes(F.col(text))).alias("units"))  # below the explode, so once a text
     rows = wide.select(*keys, *carried, *_STRONG_COLS, F.posexplode("units").alias("pos", "h"))
-    ones = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(1).cast("long"))).alias(f"b{j}") for j in range(LANES)]
-    sums = rows.groupBy(*keys).agg(*ones, F.count("h").alias("n"), F.sum((F.col("pos") == 0).cast("long")).alias("m"), *[F.max(c).alias(c) for c in [*carried, *_STRONG_COLS]])
-    lanes = F.array(*[F.expr(f"(2 * coalesce(b{j}, 0) - n) div m") for j in range(LANES)])
-    return sums.select(*keys, *carried, *_STRONG_COLS, F.transform(lanes, lambda x: F.pmod(x + LANE_MOD // 2, F.lit(LANE_MOD)) - LANE_MOD // 2).alias("lanes"))
+    hashed = rows.select(*keys, *carried, *_STRONG_COLS, F.shiftright("pos", PART_BITS).alias("_part"), F.col("h").isNotNull().alias("_some"), *[F.xxhash64(F.lit(k), "h").alias(f"h{k}") for k in range(HASHES)])
+    field = F.lit(sum(1 << FIELD * i for i in range(4)))
+    packed = [F.sum(F.when(F.col("_some"), F.shiftrightunsigned(f"h{k}", j).bitwiseAND(field)).otherwise(F.lit(0).cast("long"))).alias(f"b{k}_{j}") for k in range(HASHES) for j in range(FIELD)]
+    sums = hashed.groupBy(*keys, "_part").agg(*packed, F.count_if("_some").alias("n"), *[F.max(c).alias(c) for c in [*carried, *_STRONG_COLS]])
+    ones = lambda s, i: F.shiftrightunsigned(s, FIELD * i).bitwiseAND(F.lit((1 << FIELD) - 1))
+    counts = F.flatten(F.transform(F.array(*[f"b{k}_{j}" for k in range(HASHES) for j in range(FIELD)]), lambda s: F.array(*[ones(s, i) for i in range(4)])))
+    parts = sums.select(*keys, *carried, *_STRONG_COLS, F.struct("n", counts.alias("c")).alias("p")).groupBy(*keys).agg(F.collect_list("p").alias("p"), *[F.max(c).alias(c) for c in [*carried, *_STRONG_COLS]])
+    lane_sums = lambda ps: F.aggregate(F.slice(ps, 2, F.size(ps)), ps[0]["c"], lambda acc, x: F.zip_with(acc, x["c"], lambda u, v: u + v))
+    pairs = F.aggregate("p", F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    lanes = F.transform(F.array(F.struct(lane_sums(F.col("p")).alias("c"), pairs.alias("n"))), lambda x: F.transform(x["c"], lambda v: wrapped(2 * v - x["n"])))[0]
+    return parts.select(*keys, *carried, *_STRONG_COLS, lanes.alias("lanes"))
+
+
+def wrapped(x: Column) -> Column:
+    """Modulo LANE_MOD, between -LANE_MOD / 2 and LANE_MOD / 2."""
+    return (F.pmod(x + LANE_MOD // 2, F.lit(LANE_MOD)) - LANE_MOD // 2).cast("int")
 
 
 def as_text(strong: list[Column], lanes: Column) -> Column:
     """Fixed-width hexadecimal form of a fingerprint."""
     head = [F.lpad(F.hex(s), 8, "0") for s in strong]
-    return F.lower(F.concat(*head, F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(LANE_MOD))), 5, "0")), "")))
+    return F.lower(F.concat(*head, F.array_join(F.transform(lanes, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(LANE_MOD)).cast("long")), 5, "0")), "")))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Lanes of two texts put together (sign 1), or of a without b (sign -1)."""
-    return F.zip_with(a, b, lambda x, y: F.pmod(x + sign * y + LANE_MOD // 2, F.lit(LANE_MOD)) - LANE_MOD // 2)
+    return F.zip_with(a, b, lambda x, y: wrapped(x + sign * y))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Cosine of two lane vectors, not below 0; vectors of empty texts are alike only to each other."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: (p * q).cast("double")), F.lit(0.0), lambda acc, v: acc + v)
-    size = F.sqrt(dot(a, a) * dot(b, b))
-    return F.when(a == b, F.lit(1.0)).when(size == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), dot(a, b) / size)))
+    """Cosine of two lane vectors above what chance gives unlike texts (one over the root of the number of lanes); vectors of empty texts are alike only to each other."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda acc, v: acc + v)
+    size, chance = F.sqrt(dot(a, a) * dot(b, b)), 1 / math.sqrt(LANES)
+    return F.when(a == b, F.lit(1.0)).when(size == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (dot(a, b) / size - chance) / (1 - chance))))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, hash, and the next document's next_id, next_hash, next_text by ascending doc_id; the first follows the last.
+def with_next(keys: DataFrame) -> DataFrame:
+    """keys(doc_id, hash, ..) with next_id and next_hash by ascending doc_id, then hash; the first follows the last.
 
-    Rows fall into cells of equal id ranges, about CELL_ROWS rows each, and each cell also gets the first
-    document of the next one; so no task orders more than a cell. The first ids of the cells, MOST_CELLS at most,
-    pass through the driver. Rows without an id have no next document.
+    Keys alone are ordered: dealt by range to the session's shuffle partitions, so by their number and not by how ids are spread, and followed up inside each. What
+    joins the partitions is the first key of each.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    blank = docs.where("doc_id is null").select("doc_id", "text", "hash", F.lit(None).cast("long").alias("next_id"), F.lit(None).cast("long").alias("next_hash"), F.lit("").alias("next_text"))
-    lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    if not n:
-        return blank
-    cells = min(MOST_CELLS, max(1, math.ceil(n / CELL_ROWS)))
-    width = -(-(hi - lo + 1) // cells)
-    ids = "doc_id" if hi - lo < 1 << 62 else "cast(doc_id as decimal(20, 0))"
-    placed = docs.where("doc_id is not null").withColumn("cell", F.expr(f"cast(({ids} - cast('{lo}' as decimal(20, 0))) div cast('{width}' as decimal(20, 0)) as long)" if ids != "doc_id" else f"(doc_id - cast('{lo}' as long)) div {width}L"))
-    firsts = sorted((r["cell"], r["first"]) for r in placed.groupBy("cell").agg(F.min("doc_id").alias("first")).collect())
-    follow = [(firsts[(i + 1) % len(firsts)][1], cell) for i, (cell, _) in enumerate(firsts)]
-    heads = F.broadcast(spark.createDataFrame(follow, "doc_id long, cell long"))
-    tail = placed.drop("cell").join(heads, "doc_id").withColumn("extra", F.lit(1))
-    rows = placed.withColumn("extra", F.lit(0)).unionByName(tail)
-    line = W.partitionBy("cell").orderBy("extra", "doc_id", "hash")
-    nexts = {f"next_{k}": F.lead(v).over(line) for k, v in (("id", "doc_id"), ("hash", "hash"), ("text", "text"))}
-    return rows.withColumns(nexts).where("extra = 0").select("doc_id", "text", "hash", *nexts).union(blank)
+    spark = keys.sparkSession
+    dealt = keys.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "hash")
+    dealt = stage(dealt.withColumn("cell", F.spark_partition_id()), "fingerprint-order")
+    pair = F.struct(F.col("doc_id").alias("i"), F.col("hash").alias("h"))
+    every = W.partitionBy(F.lit(0)).orderBy("cell")  # one row a partition
+    heads = dealt.groupBy("cell").agg(F.min(pair).alias("head"))
+    after = heads.select("cell", F.coalesce(F.lead("head").over(every), F.first("head").over(every)).alias("after"))
+    following = F.coalesce(F.lead(pair).over(W.partitionBy("cell").orderBy("doc_id", "hash")), F.col("after"))
+    out = dealt.join(after, "cell").withColumn("_next", following).drop("cell", "after")
+    return out.withColumns({"next_id": F.col("_next.i"), "next_hash": F.col("_next.h")}).drop("_next")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every distinct (doc_id, text) of ``docs`` and of its edited text, and their likeness.
+    """Fingerprints of every row of ``docs`` and of its edited text, and their likeness.
 
-    Null texts are empty. Rows that repeat doc_id and text share one result row; rows that repeat a doc_id
+    Null texts are empty. Rows that repeat doc_id and text are one document with equal result rows; rows that share a doc_id
     with other texts follow each other by hash. A row without an id is edited with nothing and is near no
     next document. Further columns are ignored; empty input gives an empty result.
     """
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    keys = stage(docs.groupBy("doc_id", "hash").agg(F.count("*").alias("times")), "fingerprint-keys")
+    if not keys.where("times > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id", "hash"])
+    none = F.lit(None).cast("long")
+    order = stage(with_next(keys.where("doc_id is not null")).unionByName(keys.where("doc_id is null").withColumns({"next_id": none, "next_hash": none})), "fingerprint-next")
     k = F.expr("length(text) div 4")
-    pairs = with_next(docs).withColumn("edited", F.concat(F.left("text", F.length("text") - k), F.left(F.coalesce("next_text", F.lit("")), k)))
+    own = docs.join(order.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_h"), "times", "next_id", "next_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["hash"] == F.col("_h"))).drop("_id", "_h")
+    # what a document gives the one before it: as many characters as that one loses
+    asked = own.where("next_id is not null").select(F.col("next_id").alias("_id"), F.col("next_hash").alias("_h"), F.col("doc_id").alias("to_id"), F.col("hash").alias("to_hash"), k.alias("k"))
+    given = docs.join(asked, (docs["doc_id"] == F.col("_id")) & (docs["hash"] == F.col("_h"))).select("to_id", "to_hash", F.left("text", F.col("k")).alias("given"))
+    pairs = own.join(given, (own["doc_id"] == given["to_id"]) & (own["hash"] == given["to_hash"]), "left")
+    pairs = pairs.withColumn("edited", F.concat(F.left("text", F.length("text") - k), F.coalesce("given", F.lit(""))))
     pairs = pairs.withColumns({"n_chars": F.length("text").cast("long"), "edited_sha256": F.sha2("edited", 256)})
     both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t"))))
-    rows = pairs.select("doc_id", "hash", "edited_sha256", "next_id", "next_hash", "n_chars", both.alias("x")).select("*", "x.which", F.col("x.t").alias("t"))
-    prints = stage(with_lanes(rows, ["doc_id", "hash", "edited_sha256", "which"], "t", ["next_id", "next_hash", "n_chars"]), "fingerprints")
+    about = ["edited_sha256", "times", "next_id", "next_hash", "n_chars"]
+    rows = pairs.select("doc_id", "hash", *about, both.alias("x")).select("*", "x.which", F.col("x.t").alias("t"))
+    prints = with_lanes(rows, ["doc_id", "hash", "which"], "t", about)
     text = as_text([F.col(c) for c in _STRONG_COLS], F.col("lanes"))
-    own = prints.where("which = 0").withColumn("fingerprint", text).drop(*_STRONG_COLS, "which")
-    edited = prints.where("which = 1").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("edited_sha256").alias("_sha"), text.alias("edited_fingerprint"), F.col("lanes").alias("_edited"))
-    after = prints.where("which = 0").select(F.col("doc_id").alias("_nid"), F.col("hash").alias("_nhash"), F.col("lanes").alias("_next")).dropDuplicates(["_nid", "_nhash"])
-    joined = own.join(edited, own["doc_id"].eqNullSafe(F.col("_id")) & (own["hash"] == F.col("_hash")) & (own["edited_sha256"] == F.col("_sha")))
-    joined = joined.join(after, (F.col("next_id") == F.col("_nid")) & (F.col("next_hash") == F.col("_nhash")), "left")
+    side = lambda w, c: F.max(F.when(F.col("which") == w, F.col(c)))
+    prints = prints.withColumn("print", text).groupBy("doc_id", "hash").agg(
+        *[F.max(c).alias(c) for c in about], side(0, "print").alias("fingerprint"), side(1, "print").alias("edited_fingerprint"), side(0, "lanes").alias("lanes"), side(1, "lanes").alias("edited_lanes"),
+    )
+    prints = stage(prints.withColumn("near_edited", likeness(F.col("lanes"), F.col("edited_lanes"))).drop("edited_lanes"), "fingerprints")
+    after = prints.where("doc_id is not null").select(F.col("doc_id").alias("_nid"), F.col("hash").alias("_nhash"), F.col("lanes").alias("_next"))
+    joined = prints.join(after, (F.col("next_id") == F.col("_nid")) & (F.col("next_hash") == F.col("_nhash")), "left")
     near_next = F.coalesce(likeness(F.col("lanes"), F.col("_next")), F.lit(0.0))
-    return joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("lanes"), F.col("_edited")).alias("near_edited"), near_next.alias("near_next"))
+    out = joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", near_next.alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return out.drop("col")

@@ -114,7 +114,11 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def take(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` as the mixture takes them, each at most once: a prefix keeps the text's first tokens."""
+    """``docs`` as the mixture takes them, each at most once: a prefix keeps the text's first tokens.
+
+    Rows that share an id are all taken as far as the most that one of them is taken; rows without an id count as sharing one. Null and empty texts
+    have no tokens and come only with whole epochs. Columns may have any name; an empty table gives an empty result.
+    """
     key, some, every = (free_name(docs, c) for c in ("_id", "_take", "_all"))
     taken = mixture(docs, mix).groupBy(F.col("doc_id").alias(key)).agg(F.max(F.when(F.col("epochs") > 0, F.col("n_tokens")).otherwise(F.col("prefix_tokens"))).alias(some), F.max("n_tokens").alias(every))
     joined = docs.join(taken.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col(key)))

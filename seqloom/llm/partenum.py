@@ -1,15 +1,18 @@
 """Exact n-gram Jaccard join by PartEnum signatures.
 
-Two sets of sizes a <= b with Jaccard similarity of at least 3/4 differ in at most (a + b) / 7 <= a / 3
-features. The feature domain (64-bit shingle hashes) is cut into parts by leading bits; the number of
-parts depends on the size band (powers of two), and a set that may have partners in the next band
-signs there too. Of the parts that either set of a linked pair occupies, at most k differ, so among the
-first k + 1 of those at least one is equal in both: signing the first floor(a / 3) + 1 occupied parts
-of every set loses no link as long as one of the two occupies more than k parts.
+Two sets of sizes a <= b with Jaccard similarity of at least 3/4 differ in at most (a + b) / 7 features, that is a / 3 at most. Sizes fall
+into bands (powers of two); a set that may have partners in the next band signs there too. In a band the feature domain (64-bit
+shingle hashes) is cut into first-level parts by hash, each of which has SECOND second-level parts. A set signs, for each first-level part
+and each subset of SECOND - 1 of its second-level parts, what it holds in that subset, unless that is nothing.
+
+Of a pair that differs in k features at most k second-level parts differ. A first-level part with at most one differing part and an equal one that isn't empty
+gives the pair a common signature: the subset without the differing part. Only first-level parts with two or more differing parts fail, k / 2 at most, and each
+hides one equal part at most. So if either set occupies more than k + k // 2 second-level parts, the pair shares a signature; and signing the leading
+first-level parts up to that number is enough.
 
 Very frequent shingles (in at least ``hot_share`` of the texts) are left out of the signed domain, which
 never increases the number of differing features. Sets that then occupy too few parts sign single
-features of the full domain besides; two such sets always meet there. The frequent list is an
+features of the full domain besides, k + 1 of them in order; two such sets always meet there. The frequent list is an
 efficiency measure alone: whatever it holds, the result is the same. It has at most
 mean set size / ``hot_share`` entries, which bounds its broadcast.
 
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import components, free_name, mix64, stage, text_slices
@@ -72,65 +76,79 @@ def frequent_shingles(docs: DataFrame, share: float) -> np.ndarray:
     return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
 
 
-def sign(flat: np.ndarray, at: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+SECOND = 3
+SPREAD = 2  # second-level parts a band has for each feature of its smallest sets
+
+
+def sign(flat: np.ndarray, at: np.ndarray, hot: np.ndarray, fallback: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(signature, index of its set) for sorted sets ``flat[at[i]:at[i + 1]]``."""
     size = np.diff(at)
     if not len(flat):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(size)), size)
-    k = size // 3
     rare = np.ones(len(flat), bool)
     if len(hot):
         rare = hot[np.minimum(np.searchsorted(hot, flat), len(hot) - 1)] != flat
     band = np.where(size > 0, np.floor(np.log2(np.maximum(size, 1))).astype(np.int64), 0)
     above = 4 * size >= 3 * (np.int64(2) << band)
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    enough = np.ones(len(size), bool)
+    short = np.zeros(len(size), bool)
     one_way = mix64(flat)
-
-    def parts(select: np.ndarray, bits: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        idx = np.flatnonzero(select)
-        if not len(idx):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for step, who in ((0, size > 0), (1, above & (size > 0))):
+        idx = np.flatnonzero(rare & who[owner])
         own = owner[idx]
-        part = np.where(bits[own] == 0, np.uint64(0), flat[idx] >> (np.uint64(64) - np.maximum(bits[own], 1).astype(np.uint64)))
+        space = band[own] + step
+        # the features' order is that of their parts: leading bits times the number of parts
+        parts = ((SPREAD << space) // SECOND + 1) * SECOND
+        part = ((flat[idx] >> np.uint64(32)) * parts.astype(np.uint64)) >> np.uint64(32)
         new = np.ones(len(idx), bool)
         new[1:] = (own[1:] != own[:-1]) | (part[1:] != part[:-1])
         first = np.flatnonzero(new)
-        sums = np.add.reduceat(one_way[idx], first)
-        own = own[first]
-        run = np.arange(len(first)) - np.searchsorted(own, own)
-        keep = run <= k[own]
-        sig = mix64(mix64(sums ^ (space[own].astype(np.uint64) << np.uint64(56))) + part[first])
-        return sig[keep], own[keep]
-
-    for step, who in ((0, size > 0), (1, above & (size > 0))):
-        bits = band + step
-        sig, own = parts(rare & who[owner], bits, bits)
-        found.append((sig, own))
-        enough &= ~who | (np.bincount(own, minlength=len(size)) > k)
-    short = ~enough
-    sig, own = parts(short[owner], np.full(len(size), 63), np.full(len(size), _FULL))
-    found.append((sig, own))
+        own, part, space = own[first], part[first].astype(np.int64), space[first]
+        value = np.add.reduceat(one_way[idx], first) if len(first) else np.zeros(0, np.uint64)
+        most = np.minimum(size // 3, (size + (np.int64(2) << (band + step)) - 1) // 7)
+        need = most + most // 2 + 1
+        short |= who & (np.bincount(own, minlength=len(size)) < need)
+        run = np.arange(len(own)) - np.searchsorted(own, own)
+        lead, second = part // SECOND, part % SECOND
+        group = np.ones(len(own), bool)
+        group[1:] = (own[1:] != own[:-1]) | (lead[1:] != lead[:-1])
+        heads = np.flatnonzero(group)
+        table = np.zeros((len(heads), SECOND), np.uint64)
+        table[np.cumsum(group) - 1, second] = value
+        heads_own, signed = own[heads], run[heads] < need[own[heads]]
+        for without in range(SECOND):
+            keep = table.copy()
+            keep[:, without] = 0
+            full = signed & keep.any(1)
+            sig = mix64(lead[heads].astype(np.uint64) * np.uint64(SECOND) + np.uint64(without) + (space[heads].astype(np.uint64) << np.uint64(56)))
+            for k in range(SECOND):
+                sig = mix64(sig ^ keep[:, k]) + np.uint64(k)
+            found.append((sig[full], heads_own[full]))
+    if fallback and short.any():
+        idx = np.flatnonzero(short[owner])
+        own = owner[idx]
+        keep = np.arange(len(idx)) - np.searchsorted(own, own) <= size[own] // 3
+        found.append((mix64(one_way[idx][keep] ^ np.uint64(_FULL << 56)), own[keep]))
     return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, set size, 128-bit digest of the set)."""
+    """(doc_id, tag, set size, 128-bit digest of the set)."""
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, tags = batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("tag"))
         for i, j, data, offsets in text_slices(batch, "text"):
             flat, at = shingle_sets(data, offsets)
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(flat ^ np.uint64(seed)))]) for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-            cols = [ids[i:j], np.diff(at).astype(np.int32), *[(x[at[1:]] - x[at[:-1]]).view(np.int64) for x in sums]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc", "n", "d1", "d2"])
+            cols = [np.diff(at).astype(np.int32), *[(x[at[1:]] - x[at[:-1]]).view(np.int64) for x in sums]]
+            yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), tags.slice(i, j - i), *[pa.array(c) for c in cols]], ["doc_id", "tag", "n", "d1", "d2"])
 
 
 def _signer(hot_ref):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_ref.value
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = batch.column(batch.schema.get_field_index("node")).to_numpy(zero_copy_only=False).astype(np.int64)
             for i, j, data, offsets in text_slices(batch, "text"):
                 flat, at = shingle_sets(data, offsets)
                 sig, own = sign(flat, at, hot)
@@ -206,7 +224,7 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, set size, parity sketch of 2 ** (band + 1) bits)."""
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
+        ids = batch.column(batch.schema.get_field_index("node")).to_numpy(zero_copy_only=False)
         for i, j, data, offsets in text_slices(batch, "text"):
             flat, at = shingle_sets(data, offsets)
             out = []
@@ -331,36 +349,42 @@ def _allowed(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
+def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE, tagged: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs(doc_id, text)``.
 
-    Null and wordless texts have an empty set and are their own component. Rows whose doc_id is null
-    are passed over; rows that repeat a doc_id count as one set each and share the result of the id's
-    largest set. Other columns are ignored. Empty input gives an empty result.
+    Null and wordless texts have an empty set and are their own component. Every row is a document: rows that share an id, with equal texts or not, each have their own
+    text's set and component; rows without an id take part too, but their component's smallest id is that of the others, null if there is none.
+    Other columns are ignored. Empty input gives an empty result. ``tagged`` adds the text's hash as ``tag``.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    sets = stage(docs.mapInArrow(_digests, "doc long, n int, d1 long, d2 long").distinct(), "partenum-sets")
-    classes = sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"))
-    of_doc = sets.join(classes, ["n", "d1", "d2"], "left").groupBy("doc").agg(F.max("n").cast("long").alias("n_shingles"), F.array_sort(F.collect_set("rep")).alias("reps"))
-    of_doc = stage(of_doc, "partenum-classes")
-    twins = of_doc.where(F.size("reps") > 1).select(F.col("reps")[0].alias("a"), F.explode("reps").alias("b"))  # an id with several sets
-    docs = stage(docs.join(classes.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi"), "partenum-once")
+    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tag", F.xxhash64("text"))
+    sets = docs.mapInArrow(_digests, "doc_id long, tag long, n int, d1 long, d2 long").groupBy("doc_id", "tag", "n", "d1", "d2").agg(F.count("*").alias("rows"))
+    # a node is the id itself, or a hash for further texts of an id and for texts without one
+    same_id = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("tag"))).orderBy("tag", "n", "d1", "d2")
+    node = F.when((F.row_number().over(same_id) == 1) & F.col("doc_id").isNotNull(), F.col("doc_id")).otherwise(F.xxhash64(F.lit(3), "doc_id", "tag"))
+    sets = stage(sets.withColumn("node", node), "partenum-sets")
+    classes = sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct("node", "doc_id", "tag")).alias("r"))
+    reps = classes.select("n", "d1", "d2", F.col("r.node").alias("rep"), F.col("r.doc_id").alias("_id"), F.col("r.tag").alias("_tag"))
+    reps = stage(reps, "partenum-classes")
+    of_row = sets.join(reps.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"], "left").select("doc_id", "tag", "rows", F.col("n").cast("long").alias("n_shingles"), F.coalesce("rep", "node").alias("rep"))
+    chosen = reps.select(F.col("rep").alias("node"), "_id", "_tag").hint("shuffle_hash")
+    docs = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["tag"] == F.col("_tag"))).select("node", "text")
+    docs = stage(docs, "partenum-once")
     hot = spark.sparkContext.broadcast(frequent_shingles(docs, hot_share))
     rows = docs.mapInArrow(_signer(hot), "sig long, doc long, n int").repartition("sig").mapInArrow(_gather, "kind byte, a long, b long")
     rows = stage(rows, "partenum")
     pairs = stage(rows.where(F.col("kind") == _EDGE).select("a", "b").distinct(), "partenum-pairs")
     groups = rows.where(F.col("kind") == _GROUP).select(F.col("a").alias("g"), F.col("b").alias("node"))
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(groups.select("node")).distinct()
-    texts = stage(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"), "partenum-texts")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct()
+    texts = stage(docs.join(wanted.hint("shuffle_hash"), "node", "left_semi"), "partenum-texts")
     sketches = stage(texts.mapInArrow(_sketches, "doc long, n int, sketch binary"), "partenum-sketches")
     links = stage(_verified(stage(_allowed(pairs, sketches), "partenum-allowed"), texts), "partenum-links")
-    found = components(links.union(twins))
+    found = components(links)
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
     inside = stage(inside.distinct(), "partenum-inside")
     share = inside.groupBy("g", "c").agg(F.count("*").alias("m")).groupBy("g").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("t"))
@@ -383,13 +407,19 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE) -> DataFra
         lift = components(lifted).select(F.col("node").alias("_n"), F.col("component_id").alias("_c"))
         every = found.union(extra.select("a", "a").union(extra.select("b", "b"))).groupBy("node").agg(F.min("component_id").alias("component_id"))
         found = every.join(lift, F.col("component_id") == F.col("_n"), "left").select("node", F.coalesce("_c", "component_id").alias("component_id"))
-    rep = F.coalesce(F.get("reps", F.lit(0)), F.col("doc"))
-    of_doc = of_doc.select(F.col("doc").alias("doc_id"), "n_shingles", rep.alias("rep"))
-    return of_doc.join(found, of_doc["rep"] == found["node"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
+    parts = stage(of_row.join(found, of_row["rep"] == found["node"], "left").select("doc_id", "tag", "rows", "n_shingles", F.coalesce("component_id", "rep").alias("part")), "partenum-parts")
+    least = parts.groupBy(F.col("part").alias("_part")).agg(F.min("doc_id").alias("component_id"))
+    out = parts.join(least, parts["part"] == F.col("_part")).select("doc_id", "tag", "n_shingles", "component_id", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    return out.select("doc_id", "n_shingles", "component_id", *(["tag"] if tagged else []))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component; rows without an id stay."""
-    key = free_name(docs, "_id")
-    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias(key))
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col(key), "left_anti")
+    """The rows of ``docs`` whose doc_id is the smallest of their text's component.
+
+    Rows without an id stay, since nothing names them; rows that repeat the smallest id with a text of the same component all stay. Other columns
+    may have any name; an empty table gives an empty result.
+    """
+    key, tag = free_name(docs, "_id"), free_name(docs, "_tag")
+    found = jaccard_components(docs.select("doc_id", "text"), tagged=True)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key), F.col("tag").alias(tag)).distinct()
+    return docs.join(gone.hint("shuffle_hash"), (docs["doc_id"] == F.col(key)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag)), "left_anti")

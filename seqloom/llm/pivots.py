@@ -163,7 +163,11 @@ def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def drop_near_vectors(vectors: DataFrame) -> DataFrame:
-    """The rows of ``vectors`` whose vec_id is the smallest of its component."""
+    """The rows of ``vectors`` whose vec_id is the smallest of its component.
+
+    Vectors that link with nothing stay, null ones too; rows that repeat an id stay or go together, rows without an id stay. Columns may have any name; an
+    empty table gives an empty result.
+    """
     key = free_name(vectors, "_id")
     gone = near_vectors(vectors).where("not kept").select(F.col("vec_id").alias(key))
     return vectors.join(gone, vectors["vec_id"] == F.col(key), "left_anti")

@@ -115,12 +115,15 @@ def fit_noisy_or(toxic: np.ndarray, plain: np.ndarray, sizes: list[np.ndarray],
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> tuple[dict[str, float], float]:
-    """(weight by feature, bias) from labels(doc_id, toxic) of rows that aren't held out; ({}, -30) without both classes."""
+    """(weight by feature, bias) from labels(doc_id, toxic) of rows that aren't held out; ({}, -30) without both classes.
+
+    An id enters the sample once: where rows share it, with the greatest of their texts and of its labels.
+    """
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("o", F.xxhash64("doc_id"))
     pick = lambda c, n: known.where(F.col("toxic") == c).orderBy("o", "doc_id").limit(n)
     chosen = stage(pick(1, fit.positives).union(pick(0, fit.negatives)).select("doc_id", "toxic"), "toxic-chosen")
-    sample = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int")).repartition(12), "toxic-sample")
+    sample = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").cast("int").alias("toxic")).select("text", "toxic").repartition(12), "toxic-sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return {}, -30.0
@@ -190,7 +193,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic; all columns stay."""
+    """The rows of ``docs`` that aren't predicted toxic; all columns stay, whatever their names.
+
+    Null and empty texts and rows without an id are scored like others (they aren't toxic) and repeated rows each; an empty table gives an empty result.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
     names = docs.columns
 

@@ -84,30 +84,72 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_jaccard(docs, crowded, empty):
-    sets = {i: shingles(b.decode()) for i, b in first_ids().items()}
+def brute_components(given):
+    """(doc_id, set size, smallest id reachable) of each row of (doc_id, text)."""
+    sets = {k: shingles(t) for k, (_, t) in enumerate(given)}
     links = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
     comp = union_find(sets, links)
-    want = sorted([(i, len(sets[i]), comp[i]) for i in sets], key=str)
+    least = {}
+    for k, (i, _) in enumerate(given):
+        if i is not None:
+            least[comp[k]] = min(i, least.get(comp[k], i))
+    return sorted([(i, len(sets[k]), least.get(comp[k])) for k, (i, _) in enumerate(given)], key=str)
+
+
+def test_jaccard(docs, crowded, empty):
+    want = brute_components([(i, t) for i, t, *_ in odd_rows()])
     assert rows(partenum.jaccard_components(crowded)) == want
     assert rows(partenum.jaccard_components(docs, hot_share=0.0)) == want
-    assert partenum.jaccard_components(empty).count() == 0
+    assert partenum.jaccard_components(empty).count() == 0 and partenum.drop_near_copies(empty).count() == 0
     kept = partenum.drop_near_copies(crowded)
     assert kept.columns == crowded.columns
-    assert sorted(r[0] for r in kept.where("doc_id is not null").collect()) == sorted(i for i, *_ in odd_rows() if i is not None and comp[i] == i)
+    assert sorted(r[0] for r in kept.where("doc_id is not null").collect()) == sorted(i for i, _, c in want if i is not None and c == i)
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_jaccard_of_shared_ids(spark):
+    """Rows with one id and other texts are documents of their own."""
+    rnd = random.Random(2)
+    prose = lambda n: " ".join(f"w{rnd.randrange(500)}" for _ in range(n))
+    p, q = prose(60), prose(40)
+    given = [(5, p), (5, q), (5, None), (5, p), (3, p + " more"), (7, q + " x"), (2, q), (None, p + " y"), (None, "a b c"), (None, None), (9, "a b c"), (9, "A b c")]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+    assert rows(partenum.jaccard_components(frame)) == brute_components(given)
+    left = [tuple(r) for r in partenum.drop_near_copies(frame).collect()]
+    assert sorted(left, key=str) == sorted([(5, None), (3, p + " more"), (2, q), (None, p + " y"), (None, "a b c"), (None, None), (9, "a b c"), (9, "A b c")], key=str)
+
+
+def linked_pairs(rng, size):
+    """Pairs of sets of hashes at a similarity of 3/4 or a little more, of about this size."""
+    for _ in range(60):
+        both = rng.integers(0, 2**63, size, dtype=np.uint64) << np.uint64(1) | rng.integers(0, 2, size, dtype=np.uint64)
+        cut = size // 8 + int(rng.integers(0, 2))
+        a, b = np.unique(both[: size - int(rng.integers(0, 2 * cut + 1))]), np.unique(both[int(rng.integers(0, cut + 1)) :])
+        if 4 * len(np.intersect1d(a, b)) >= 3 * len(np.union1d(a, b)):
+            yield both, a, b
+
+
+def test_jaccard_signatures_by_subsets_alone():
+    """Linked sets whose features are spread over enough parts share a subset signature; no single features are signed."""
+    rng = np.random.default_rng(1)
+    seen = 0
+    for size in (12, 40, 90, 300, 1000, 3000):
+        for _, a, b in linked_pairs(rng, size):
+            sets = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+            sig, own = partenum.sign(*sets, np.zeros(0, np.uint64), fallback=False)
+            with_all, _ = partenum.sign(*sets, np.zeros(0, np.uint64))
+            if len(with_all) == len(sig):  # neither set needs the full domain
+                seen += 1
+                assert set(sig[own == 0]) & set(sig[own == 1])
+                assert len(sig) < 1.6 * (len(a) + len(b)) + 20
+    assert seen > 200
+
+
 def test_jaccard_signatures_with_frequent_shingles_left_out():
     """Linked sets share a signature whatever is called frequent."""
     rng = np.random.default_rng(1)
     for size in (4, 7, 12, 40, 300):
-        for _ in range(30):
-            both = rng.integers(0, 2**63, size, dtype=np.uint64) << np.uint64(1)
-            cut = size // 8
-            a, b = np.unique(both[: size - cut]), np.unique(both[cut:])
-            if 4 * len(np.intersect1d(a, b)) < 3 * len(np.union1d(a, b)):
-                continue
+        for both, a, b in linked_pairs(rng, size):
             hot = np.sort(rng.choice(both, rng.integers(0, size), replace=False))
             sig, own = partenum.sign(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), hot)
             assert set(sig[own == 0]) & set(sig[own == 1])
@@ -164,7 +206,7 @@ def brute_repeats(spark, given):
     """For each row of (doc_id, text) what stays, by the rules for repeated and missing ids."""
     tags = tag_of(spark, [t or "" for _, t in given])
     seen, out = set(), {}
-    for i, _, t in sorted({(2**63 - 1 if i is None else i, tags[t or ""], t or "") for i, t in given}):
+    for i, _, t in sorted({(2**63 - 1 if i is None else i, tags[t or ""] & -2, t or "") for i, t in given}):
         b = t.encode()
         covered = bytearray(len(b))
         for s in range(len(b) - 99):
@@ -325,6 +367,62 @@ def test_chunks(crowded, empty):
     assert chunks.chunk_report(empty).count() == 0 and chunks.drop_repeats(empty).count() == 0
 
 
+def test_chunks_of_shared_ids(spark):
+    """Rows with one id and other texts, or none, keep apart; a cut never splits a character."""
+    given = shared_ids()
+    tags = {r["t"]: r["h"] for r in spark.createDataFrame([(t or "",) for _, t in given], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    seen, want = set(), {}
+    for i, _, t in sorted({(i, tags[t or ""], t or "") for i, t in given if i is not None}):
+        b, spans = t.encode(), []
+        _, s, e = chunks.cut(np.frombuffer(b, np.uint8), np.array([0, len(b)])) if b else ([], np.zeros(0, int), np.zeros(0, int))
+        for x, y in zip(s.tolist(), e.tolist(), strict=True):
+            if b[x:y] in seen:
+                if spans and spans[-1][1] == x:
+                    spans[-1][1] = y
+                else:
+                    spans.append([x, y])
+            seen.add(b[x:y])
+        want[i, t] = [x for x in spans if x[1] - x[0] >= chunks.LEAST_RUN]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], [[x["start"], x["end"]] for x in r["spans"]]) for r in chunks.chunk_report(frame).collect()]
+    plain = [(i, len((t or "").encode()), sum(y - x for x, y in want.get((i, t or ""), [])), want.get((i, t or ""), [])) for i, t in given]
+    assert sorted(got, key=str) == sorted(plain, key=str) and any(s for *_, s in plain)
+    left = []
+    for i, t in given:
+        b = (t or "").encode()
+        for x, y in reversed(want.get((i, t or ""), [])):
+            b = b[:x] + b[y:]
+        left.append((i, None if t is None else b.decode()))
+    assert rows(chunks.drop_repeats(frame), "doc_id", "text") == sorted(left, key=str)
+
+
+def test_chunks_find_passages_of_51_words(spark):
+    """A passage of just over 50 words in two different texts is found, wherever it lies and for the most part."""
+    words = [w for t in read(spark, SF, "documents").where("lang = 'en'").select("text").toPandas()["text"] for w in (t or "").split()]
+    rnd = random.Random(7)
+    missed, covered = 0, []
+    for k in range(300):
+        take = lambda n: (lambda at: " ".join(words[at : at + n]))(rnd.randrange(len(words) - n))
+        passage = take(51).encode()
+        hits = []
+        for _ in range(2):
+            before = f"{k} {rnd.random()} {take(rnd.randrange(1, 60))} ".encode()
+            b = before + passage + f" {take(20)}".encode()
+            _, s, e = chunks.cut(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
+            hits.append([(b[x:y], x, y) for x, y in zip(s.tolist(), e.tolist(), strict=True)])
+        both = [(x, y) for c, x, y in hits[1] if c in {c for c, *_ in hits[0]}]
+        runs = []
+        for x, y in both:
+            if runs and runs[-1][1] == x:
+                runs[-1][1] = y
+            else:
+                runs.append([x, y])
+        found = sum(y - x for x, y in runs if y - x >= chunks.LEAST_RUN)
+        missed += not found
+        covered.append(found / len(passage))
+    assert missed <= 3 and np.mean(covered) > 0.75
+
+
 def test_chunks_resist_shifts():
     rnd = random.Random(2)
     passage = bytes(rnd.choice(b"abcdefghijklmnop ") for _ in range(340))
@@ -514,22 +612,62 @@ def test_codec_equals_plain_encoding(monkeypatch):
     assert [encoded([t])[0] for t in texts] == want
 
 
-def test_fingerprints(docs, crowded, empty):
-    got = {(r["doc_id"], r["fingerprint"], r["edited_sha256"]): r for r in fingerprint.report(crowded).collect()}
-    seen = sorted({(i, t or "") for i, t, *_ in odd_rows() if i is not None})
-    assert len(got) == len(seen) + 2
-    for (i, t), (_, after) in zip(seen, [*seen[1:], seen[0]], strict=True):
-        k = len(t) // 4
-        sha = hashlib.sha256((t[: len(t) - k] + after[:k]).encode()).hexdigest()
-        (r,) = [r for r in got.values() if r["doc_id"] == i]
-        assert r["edited_sha256"] == sha and r["n_chars"] == len(t) and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
-        if k == 0:
-            assert r["near_edited"] == 1.0 and r["fingerprint"] == r["edited_fingerprint"]
-    by = {i: r["fingerprint"] for (i, *_), r in got.items()}
-    assert by[0] == by[1] and by[0] != by[2] and by[4] == by[5]
-    assert got and fingerprint.report(empty).count() == 0
-    big = [r for r in got.values() if r["doc_id"] in (24, 25)]
-    assert all(r["near_edited"] > 0.5 > r["near_next"] + 0.05 for r in big)
+def plain_prints(spark, texts):
+    """text -> (fingerprint, lanes) from hashes of lines and word pairs that Spark gives, everything else written plainly."""
+    import math
+
+    lines = sorted({line for t in texts for line in t.split("\n")})
+    pairs = sorted({p for line in lines for w in [re.findall(r"[^\x20\x09-\x0D]+", line)] for p in zip([None, *w], w, strict=False)}, key=str)
+    h = lambda df, *c: df.select("*", *c).collect()
+    line_hash = {r["t"]: (r["a"], r["b"]) for r in h(spark.createDataFrame([(x,) for x in lines], "t string"), F.xxhash64(F.lit(0), "t").alias("a"), F.xxhash64(F.lit(1), "t").alias("b"))}
+    frame = spark.createDataFrame(pairs or [("", "")], "x string, y string").withColumn("h", F.xxhash64(F.lit(7), "x", "y"))
+    pair_hash = {(r["x"], r["y"]): [r[f"h{k}"] for k in range(4)] for r in h(frame, *[F.xxhash64(F.lit(k), "h").alias(f"h{k}") for k in range(4)])}
+    out = {}
+    for t in texts:
+        strong, lanes, n = [0] * 4, [0] * 256, 0
+        for line in t.split("\n"):
+            for k, v in enumerate(line_hash[line]):
+                strong[2 * k] += v & (2**32 - 1)
+                strong[2 * k + 1] += v >> 32 & (2**32 - 1)
+            w = re.findall(r"[^\x20\x09-\x0D]+", line)
+            for p in zip([None, *w], w, strict=False):  # the first word of a line pairs with nothing
+                for k, v in enumerate(pair_hash[p]):
+                    for j in range(16):
+                        for i in range(4):  # lanes of one sum follow each other
+                            lanes[64 * k + 4 * j + i] += 1 if v >> (j + 16 * i) & 1 else -1
+        out[t] = "".join(f"{x % 2**32:08x}" for x in strong) + "".join(f"{x % 2**20:05x}" for x in lanes), lanes
+
+    def near(a, b):
+        a, b = out[a][1], out[b][1]
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+        size = math.sqrt(dot(a, a) * dot(b, b))
+        return 1.0 if a == b else 0.0 if not size else min(1.0, max(0.0, (dot(a, b) / size - 1 / 16) / (15 / 16)))
+
+    return out, near
+
+
+def test_fingerprints(spark, docs, crowded, empty, monkeypatch):
+    monkeypatch.setattr(fingerprint, "PART_BITS", 9)  # so that long texts are added up from parts
+    given = [(i, t or "") for i, t, *_ in odd_rows()] + [(2, "another text of an id"), (2, "and one more\nof it")]
+    more = docs.select("doc_id", "text").union(spark.createDataFrame(given[-2:], "doc_id long, text string")).withColumns({c: F.lit("clash") for c in EXTRA})
+    hashes = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for _, t in given], "t string").select("t", F.xxhash64("t").alias("h")).distinct().collect()}
+    line = sorted({x for x in given if x[0] is not None}, key=lambda x: (x[0], hashes[x[1]]))
+    after = dict(zip(line, [*line[1:], line[0]], strict=True))
+    edited = {x: x[1][: len(x[1]) - len(x[1]) // 4] + (after[x][1][: len(x[1]) // 4] if x in after else "") for x in given}
+    prints, near = plain_prints(spark, {t for _, t in given} | set(edited.values()))
+    want = [(x[0], len(x[1]), hashlib.sha256(edited[x].encode()).hexdigest(), prints[x[1]][0], prints[edited[x]][0], round(near(x[1], edited[x]), 9), round(near(x[1], after[x][1]), 9) if x in after else 0.0) for x in given]
+    got = fingerprint.report(more).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.round("near_edited", 9).alias("e"), F.round("near_next", 9).alias("n"))
+    assert rows(got) == sorted(want, key=str)
+    assert fingerprint.report(empty).count() == 0
+    by = {i: f for i, _, _, f, *_ in want}
+    assert by[0] == by[1] and by[4] == by[5] and by[0] != by[3]
+
+
+def test_fingerprint_likeness(spark):
+    """Unlike texts are hardly alike, edited ones are; ids far apart don't matter."""
+    some = read(spark, "/root/testdata/sf0.01", "documents").where("n_chars > 400").withColumn("doc_id", F.when(F.col("doc_id") % 9 == 0, F.col("doc_id") * 10**12).otherwise(F.col("doc_id")))
+    near = fingerprint.report(some).select("near_edited", "near_next").toPandas()
+    assert near["near_next"].quantile(0.95) < 0.1 and near["near_edited"].quantile(0.1) > 0.5
 
 
 def test_fingerprint_is_homomorphic(spark):

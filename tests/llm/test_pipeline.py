@@ -4,6 +4,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -38,6 +39,26 @@ def test_run_and_empty_documents(spark):
     assert docs.count() == 0
 
 
+def test_odd_rows_pass_all_stages(spark):
+    """Nulls, empty and long texts, repeats, shared ids and clashing columns; every stage does what its docstring says."""
+    from test_operators import DOCS, EXTRA, odd_rows, shared_ids
+
+    given = odd_rows() + [(i, t, None, "s9", None) for i, t in shared_ids()] + [(500, "word " * 60_000 + "token: abcdefgh1", "en", "s0", 300_016)]
+    docs = spark.createDataFrame(given, DOCS).withColumns({c: F.lit("clash") for c in EXTRA})
+    names, before = docs.columns, len(given)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, SF).cache()
+        assert docs.columns == names, name
+        now = docs.count()
+        assert 0 < now <= before and (name != "secrets" or now == before), name
+        if name == "near_copies":
+            assert docs.where("doc_id is null").count() == 5
+        before = now
+    assert "[SECRET]" in docs.where("doc_id = 500").first()["text"] or docs.where("doc_id = 500").first()["n_chars"] < 300_000
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r["doc_id"] for r in pieces.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
 BASE = (re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), re.compile("AKIA[A-Z0-9]{12,}"), re.compile("[0-9a-f]{32,}"))
 
 
