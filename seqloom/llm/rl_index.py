@@ -487,8 +487,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     result. Further columns are ignored; empty input gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.hash(text).alias("tag"))
-    cut = docs.select("doc", "tag", "text").mapInArrow(_cut, ROWS).repartition("k1").sortWithinPartitions("k1")
+    unnamed = F.col("doc_id").isNull()
+    tag = F.hash(text).bitwiseAND(F.lit(-2)).bitwiseOR(unnamed.cast("int")).alias("tag")  # the last bit says that there is no id
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), tag, text.alias("text"))  # both joins read this one exchange
+    cut = docs.mapInArrow(_cut, ROWS).repartition("k1").sortWithinPartitions("k1")
     found = stage(cut.mapInArrow(_meet, ROWS), "rl-meet")
     key = ["doc", "tag"]
     wanted = found.where(F.col("kind") == _SEGMENT).groupBy(*key).agg(F.collect_list(F.struct("a", "n", "k1", "k2")).alias("want"))
@@ -497,4 +499,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     streamed = pieces.union(copies).repartition("k1").sortWithinPartitions("k1").mapInArrow(_stream, ROWS)
     marks = found.where(F.col("kind") == _MARK).union(streamed).groupBy(*key).agg(F.collect_list(F.struct("a", "n")).alias("marks"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
-    return docs.join(marks.hint("shuffle_hash"), key, "left").select("doc_id", "text", "marks").mapInArrow(_finish, schema)
+    name = F.when(F.col("tag").bitwiseAND(F.lit(1)) == 0, F.col("doc"))
+    return docs.join(marks.hint("shuffle_hash"), key, "left").select(name.alias("doc_id"), "text", "marks").mapInArrow(_finish, schema)
