@@ -45,6 +45,7 @@ HOT_SHARE = 0.001
 RUN_SHINGLES = 1_400_000
 FIRST_GROUPS = 16
 SMALL_GROUP, BLOCK = 64, 1024
+KEPT = 5  # bytes of a signature that are sent besides its part; what falls together by chance is verified away
 _FULL = 100  # namespace of the full domain's signatures
 _EDGE, _GROUP = 1, 2
 
@@ -77,7 +78,7 @@ def frequent_shingles(docs: DataFrame, share: float) -> np.ndarray:
 
 
 SECOND = 3
-SPREAD = 2  # second-level parts a band has for each feature of its smallest sets
+SPREAD = 1  # second-level parts a band has for each feature of its smallest sets; fewer make larger signatures, and too few occupied parts
 
 
 def sign(flat: np.ndarray, at: np.ndarray, hot: np.ndarray, fallback: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +145,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), tags.slice(i, j - i), *[pa.array(c) for c in cols]], ["doc_id", "tag", "n", "d1", "d2"])
 
 
-def _signer(hot_ref):
+SENT = "p int, sigs binary, node array<long>, n array<int>, times array<int>"
+
+
+def _signer(hot_ref, parts: int):
+    """A row for each of ``parts`` of a slice: KEPT bytes of each signature, and for each set its size and how many are its own."""
+
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_ref.value
         for batch in batches:
@@ -152,27 +158,51 @@ def _signer(hot_ref):
             for i, j, data, offsets in text_slices(batch, "text"):
                 flat, at = shingle_sets(data, offsets)
                 sig, own = sign(flat, at, hot)
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(ids[i:j][own]), pa.array(np.diff(at)[own].astype(np.int32))], ["sig", "doc", "n"])
+                if not len(sig):
+                    continue
+                part = ((sig >> np.uint64(8 * KEPT)) % np.uint64(parts)).astype(np.int64)
+                order = np.lexsort((own, part))
+                sig, own, part = sig[order], own[order], part[order]
+                new = np.ones(len(sig), bool)
+                new[1:] = (part[1:] != part[:-1]) | (own[1:] != own[:-1])
+                runs = np.flatnonzero(new)
+                heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                packed = np.ascontiguousarray(sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT]).ravel()
+                cuts = (np.append(heads, len(sig)) * KEPT).astype(np.int32)
+                lists = np.append(np.searchsorted(runs, heads), len(runs)).astype(np.int32)
+                listed = lambda x: pa.ListArray.from_arrays(pa.array(lists), pa.array(x))  # noqa: B023, E731
+                columns = [
+                    pa.array(part[heads].astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(cuts), pa.py_buffer(packed)]),
+                    listed(ids[i:j][own[runs]]), listed(np.diff(at)[own[runs]].astype(np.int32)), listed(np.diff(np.append(runs, len(sig))).astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["p", "sigs", "node", "n", "times"])
 
     return signed
 
 
+def _sent(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, node, set size) of all entries of a batch of ``SENT`` rows."""
+    p, sigs, node, n, times = (batch.column(batch.schema.get_field_index(c)) for c in ("p", "sigs", "node", "n", "times"))
+    at = np.frombuffer(sigs.buffers()[1], np.int32)[sigs.offset : sigs.offset + len(sigs) + 1]
+    raw = np.frombuffer(sigs.buffers()[2], np.uint8)[at[0] : at[-1]].reshape(-1, KEPT)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :KEPT] = raw
+    sig = wide.view("<u8").ravel() | (np.repeat(p.to_numpy().astype(np.uint64), np.diff(at) // KEPT) << np.uint64(8 * KEPT))
+    many = times.flatten().to_numpy()
+    return sig, np.repeat(node.flatten().to_numpy(), many), np.repeat(n.flatten().to_numpy(), many)
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Group one shuffle partition by signature: edges to the least member, groups of three or more."""
 
     def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b.astype(np.int64))], ["kind", "a", "b"])
 
-    sig_, doc_, n_ = [], [], []
-    for batch in batches:
-        sig, doc, n = (batch.column(c).to_numpy() for c in range(3))
-        sig_.append(sig)
-        doc_.append(doc)
-        n_.append(n)
-    if not sig_:
+    held = [_sent(batch) for batch in batches if batch.num_rows]
+    if not held:
         return
-    sig, doc, n = np.concatenate(sig_), np.concatenate(doc_), np.concatenate(n_)
-    del sig_, doc_, n_
+    sig, doc, n = (np.concatenate(c) for c in zip(*held, strict=True))
+    del held
     order = np.argsort(sig, kind="stable")
     sig = sig[order]
     same = np.zeros(len(sig) + 1, bool)
@@ -376,7 +406,8 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE, tagged: bo
     docs = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["tag"] == F.col("_tag"))).select("node", "text")
     docs = stage(docs, "partenum-once")
     hot = spark.sparkContext.broadcast(frequent_shingles(docs, hot_share))
-    rows = docs.mapInArrow(_signer(hot), "sig long, doc long, n int").repartition("sig").mapInArrow(_gather, "kind byte, a long, b long")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.mapInArrow(_signer(hot, parts), SENT).repartitionById(parts, F.col("p")).mapInArrow(_gather, "kind byte, a long, b long")
     rows = stage(rows, "partenum")
     pairs = stage(rows.where(F.col("kind") == _EDGE).select("a", "b").distinct(), "partenum-pairs")
     groups = rows.where(F.col("kind") == _GROUP).select(F.col("a").alias("g"), F.col("b").alias("node"))
