@@ -52,12 +52,12 @@ def with_lanes(texts: DataFrame, keys: list[str], text: str, carried: list[str])
     """keys, carried, s0..s3 and ``lanes`` of each row's text; no two rows have equal keys.
 
     A sum holds four lanes of FIELD bits, so PART pairs of words are added up before they could run into each other; the parts
-    of a longer text are added lane by lane.
+    of a longer text are added lane by lane. ``carried`` are numbers, so that pairs are hashed to their sums and not sorted.
     """
     none = F.array(F.lit(None).cast("long"))
     strong = [c.alias(n) for c, n in zip(strong_lanes(F.col(text)), _STRONG_COLS, strict=True)]
     wide = texts.select(*keys, *carried, *strong, F.concat(none, pair_hashes(F.col(text))).alias("units"))  # below the explode, so once a text
-    rows = wide.select(*keys, *carried, *_STRONG_COLS, F.posexplode("units").alias("pos", "h"))
+    rows = wide.select(*keys, *carried, *_STRONG_COLS, F.posexplode_outer("units").alias("pos", "h"))  # outer: no filter that computes the units again
     hashed = rows.select(*keys, *carried, *_STRONG_COLS, F.shiftright("pos", PART_BITS).alias("_part"), F.col("h").isNotNull().alias("_some"), *[F.xxhash64(F.lit(k), "h").alias(f"h{k}") for k in range(HASHES)])
     field = F.lit(sum(1 << FIELD * i for i in range(4)))
     packed = [F.sum(F.when(F.col("_some"), F.shiftrightunsigned(f"h{k}", j).bitwiseAND(field)).otherwise(F.lit(0).cast("long"))).alias(f"b{k}_{j}") for k in range(HASHES) for j in range(FIELD)]
@@ -94,22 +94,25 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(size == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (dot(a, b) / size - chance) / (1 - chance))))
 
 
+LAST = 2**63 - 1  # key of rows without an id
+
+
 def with_next(keys: DataFrame) -> DataFrame:
-    """keys(doc_id, hash, ..) with next_id and next_hash by ascending doc_id, then hash; the first follows the last.
+    """keys(doc, hash, ..) with next_doc and next_hash by ascending doc, then hash; the first follows the last.
 
     Keys alone are ordered: dealt by range to the session's shuffle partitions, so by their number and not by how ids are spread, and followed up inside each. What
     joins the partitions is the first key of each.
     """
     spark = keys.sparkSession
-    dealt = keys.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id", "hash")
+    dealt = keys.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc", "hash")
     dealt = stage(dealt.withColumn("cell", F.spark_partition_id()), "fingerprint-order")
-    pair = F.struct(F.col("doc_id").alias("i"), F.col("hash").alias("h"))
+    pair = F.struct(F.col("doc").alias("i"), F.col("hash").alias("h"))
     every = W.partitionBy(F.lit(0)).orderBy("cell")  # one row a partition
     heads = dealt.groupBy("cell").agg(F.min(pair).alias("head"))
     after = heads.select("cell", F.coalesce(F.lead("head").over(every), F.first("head").over(every)).alias("after"))
-    following = F.coalesce(F.lead(pair).over(W.partitionBy("cell").orderBy("doc_id", "hash")), F.col("after"))
+    following = F.coalesce(F.lead(pair).over(W.partitionBy("cell").orderBy("doc", "hash")), F.col("after"))
     out = dealt.join(after, "cell").withColumn("_next", following).drop("cell", "after")
-    return out.withColumns({"next_id": F.col("_next.i"), "next_hash": F.col("_next.h")}).drop("_next")
+    return out.withColumns({"next_doc": F.col("_next.i"), "next_hash": F.col("_next.h")}).drop("_next")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -118,33 +121,37 @@ def report(docs: DataFrame) -> DataFrame:
     Null texts are empty. Rows that repeat doc_id and text are one document with equal result rows; rows that share a doc_id
     with other texts follow each other by hash. A row without an id is edited with nothing and is near no
     next document. Further columns are ignored; empty input gives an empty result.
+
+    The texts are shuffled once, by their key; each document asks its next one for as many characters as it loses, and gets those alone.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    keys = stage(docs.groupBy("doc_id", "hash").agg(F.count("*").alias("times")), "fingerprint-keys")
+    text, unnamed = F.coalesce("text", F.lit("")), F.col("doc_id").isNull()
+    mark = F.xxhash64(text).bitwiseAND(F.lit(-2).cast("long")).bitwiseOR(unnamed.cast("long"))  # the last bit says that there is no id
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), mark.alias("hash"), text.alias("text"))
+    key = ["doc", "hash"]
+    keys = stage(docs.groupBy(*key).agg(F.count("*").alias("times"), F.max(F.length("text")).alias("n_chars")), "fingerprint-keys")
     if not keys.where("times > 1").isEmpty():
-        docs = docs.dropDuplicates(["doc_id", "hash"])
-    none = F.lit(None).cast("long")
-    order = stage(with_next(keys.where("doc_id is not null")).unionByName(keys.where("doc_id is null").withColumns({"next_id": none, "next_hash": none})), "fingerprint-next")
-    k = F.expr("length(text) div 4")
-    own = docs.join(order.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_h"), "times", "next_id", "next_hash"), docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["hash"] == F.col("_h"))).drop("_id", "_h")
-    # what a document gives the one before it: as many characters as that one loses
-    asked = own.where("next_id is not null").select(F.col("next_id").alias("_id"), F.col("next_hash").alias("_h"), F.col("doc_id").alias("to_id"), F.col("hash").alias("to_hash"), k.alias("k"))
-    given = docs.join(asked, (docs["doc_id"] == F.col("_id")) & (docs["hash"] == F.col("_h"))).select("to_id", "to_hash", F.left("text", F.col("k")).alias("given"))
-    pairs = own.join(given, (own["doc_id"] == given["to_id"]) & (own["hash"] == given["to_hash"]), "left")
-    pairs = pairs.withColumn("edited", F.concat(F.left("text", F.length("text") - k), F.coalesce("given", F.lit(""))))
-    pairs = pairs.withColumns({"n_chars": F.length("text").cast("long"), "edited_sha256": F.sha2("edited", 256)})
+        docs = docs.dropDuplicates(key)
+    named, none = F.col("hash").bitwiseAND(F.lit(1).cast("long")) == 0, F.lit(None).cast("long")
+    order = with_next(keys.where(named)).unionByName(keys.where(~named).withColumns({"next_doc": none, "next_hash": none}))
+    order = stage(order.withColumns({"n_chars": F.col("n_chars").cast("long"), "k": F.expr("n_chars div 4").cast("int")}), "fingerprint-next")
+    asked = order.where("next_doc is not null and k > 0").select(F.col("next_doc").alias("doc"), F.col("next_hash").alias("hash"), F.col("doc").alias("to_doc"), F.col("hash").alias("to_hash"), "k")
+    given = docs.join(asked.hint("shuffle_hash"), key).select(F.col("to_doc").alias("doc"), F.col("to_hash").alias("hash"), F.left("text", F.col("k")).alias("given"))
+    pairs = docs.join(order.hint("shuffle_hash"), key).join(given.hint("shuffle_hash"), key, "left")
+    pairs = pairs.withColumn("edited", F.concat(F.left("text", F.col("n_chars").cast("int") - F.col("k")), F.coalesce("given", F.lit(""))))
+    about = ["times", "next_doc", "next_hash", "n_chars"]
     both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t"))))
-    about = ["edited_sha256", "times", "next_id", "next_hash", "n_chars"]
-    rows = pairs.select("doc_id", "hash", *about, both.alias("x")).select("*", "x.which", F.col("x.t").alias("t"))
-    prints = with_lanes(rows, ["doc_id", "hash", "which"], "t", about)
-    text = as_text([F.col(c) for c in _STRONG_COLS], F.col("lanes"))
-    side = lambda w, c: F.max(F.when(F.col("which") == w, F.col(c)))
-    prints = prints.withColumn("print", text).groupBy("doc_id", "hash").agg(
-        *[F.max(c).alias(c) for c in about], side(0, "print").alias("fingerprint"), side(1, "print").alias("edited_fingerprint"), side(0, "lanes").alias("lanes"), side(1, "lanes").alias("edited_lanes"),
+    rows = pairs.withColumn("edited_sha256", F.sha2("edited", 256)).select(*key, "edited_sha256", *about, both.alias("x")).select("*", "x.which", F.col("x.t").alias("t"))
+    prints = with_lanes(rows, [*key, "edited_sha256", "which"], "t", about)
+    prints = prints.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("which", "edited_sha256", *about, *_STRONG_COLS, "lanes"))).alias("two"))
+    own = F.col("two")[0]
+    prints = prints.select(*key, *[own[c].alias(c) for c in ("edited_sha256", *about)], own.alias("own"), F.col("two")[1].alias("edited"))
+    prints = stage(prints.withColumn("near_edited", likeness(F.col("own.lanes"), F.col("edited.lanes"))), "fingerprints")
+    after = prints.where(named).select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), F.col("own.lanes").alias("_next"))
+    joined = prints.join(after, (F.col("next_doc") == F.col("_doc")) & (F.col("next_hash") == F.col("_hash")), "left")
+    near_next = F.coalesce(likeness(F.col("own.lanes"), F.col("_next")), F.lit(0.0))
+    shown = lambda c: as_text([F.col(f"{c}.{s}") for s in _STRONG_COLS], F.col(f"{c}.lanes"))
+    out = joined.select(
+        F.when(named, F.col("doc")).alias("doc_id"), "n_chars", "edited_sha256", shown("own").alias("fingerprint"), shown("edited").alias("edited_fingerprint"),
+        "near_edited", near_next.alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))),
     )
-    prints = stage(prints.withColumn("near_edited", likeness(F.col("lanes"), F.col("edited_lanes"))).drop("edited_lanes"), "fingerprints")
-    after = prints.where("doc_id is not null").select(F.col("doc_id").alias("_nid"), F.col("hash").alias("_nhash"), F.col("lanes").alias("_next"))
-    joined = prints.join(after, (F.col("next_id") == F.col("_nid")) & (F.col("next_hash") == F.col("_nhash")), "left")
-    near_next = F.coalesce(likeness(F.col("lanes"), F.col("_next")), F.lit(0.0))
-    out = joined.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", near_next.alias("near_next"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
     return out.drop("col")
