@@ -24,9 +24,9 @@ def count_matches(matches: DataFrame) -> DataFrame:
 def zero_filled(counts: DataFrame, designs: DataFrame, samples: DataFrame) -> DataFrame:
     """Every design of ``designs`` for every sample, with exact, near and total; absent counts are 0.
 
-    ``samples`` is the list of sample names of a run (a handful); it is replicated to the designs.
+    ``samples`` has the sample names of a run; the result has designs times samples rows by definition.
     """
-    grid = designs.crossJoin(F.broadcast(samples.select("sample").distinct()))
+    grid = designs.crossJoin(samples.select("sample").distinct())
     full = grid.join(counts, ["sample", "ref_index"], "left").fillna(0, ["exact", "near"])
     return full.withColumn("total", F.col("exact") + F.col("near"))
 
@@ -52,45 +52,61 @@ def rank_abundance(full: DataFrame) -> DataFrame:
     return full.select("sample", place.alias("place"), log10_count(F.col("total")).alias("log_count"))
 
 
-def average_rank(by: str, *parts: str) -> Column:
-    """Rank with ties averaged."""
-    ties = F.count("*").over(W.partitionBy(*parts, by))
-    return F.rank().over(W.partitionBy(*parts).orderBy(by)) + (ties - 1) / F.lit(2.0)
+def _steps(cells: DataFrame, by: str) -> DataFrame:
+    """Values of ``by`` per sample with their number ``m``, how many are below and above, and their average ``rank``."""
+    up, down = W.partitionBy("sample").orderBy(by), W.partitionBy("sample").orderBy(F.desc(by))
+    seen = lambda line: F.coalesce(F.sum("m").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    steps = cells.groupBy("sample", by).agg(F.sum("m").alias("m")).withColumns({"below": seen(up), "above": seen(down)})
+    return steps.withColumn("rank", F.col("below") + (F.col("m") + 1) / F.lit(2.0))
 
 
-def correlation(x: str, y: str, least: int = 3) -> Column:
-    """Pearson correlation of two columns in a group; null under ``least`` rows or without variance."""
-    n = F.count("*").cast("double")
-    cov = F.sum(F.col(x) * F.col(y)) - F.sum(x) * F.sum(y) / n
-    var = lambda c: F.sum(F.col(c) * F.col(c)) - F.sum(c) * F.sum(c) / n
-    return F.when(F.count("*") >= least, F.try_divide(cov, F.sqrt(var(x) * var(y))))
+def _spearman(cells: DataFrame, x: str, y: str, name: str, least: int = 3) -> DataFrame:
+    """Correlation of the average ranks of two columns per sample; null under ``least`` rows or without variance."""
+    side = lambda c, k: _steps(cells, c).select(F.col("sample").alias(f"_s{k}"), F.col(c).alias(f"_v{k}"), F.col("rank").alias(f"_r{k}"))
+    joint = cells.groupBy("sample", x, y).agg(F.sum("m").alias("m"))
+    for c, k in ((x, 0), (y, 1)):
+        joint = joint.join(side(c, k), (F.col("sample") == F.col(f"_s{k}")) & F.col(c).eqNullSafe(F.col(f"_v{k}")))
+    n, total = F.sum("m").cast("double"), lambda v: F.sum(F.col("m") * v)
+    a, b = F.col("_r0"), F.col("_r1")
+    var = lambda v: total(v * v) - total(v) * total(v) / n
+    return joint.groupBy("sample").agg(F.when(F.sum("m") >= least, F.try_divide(total(a * b) - total(a) * total(b) / n, F.sqrt(var(a) * var(b)))).alias(name))
 
 
 def library_metrics(full: DataFrame) -> DataFrame:
-    """One row per sample of full(sample, ref_index, n_ids, length, gc, exact, near, total)."""
-    by_sample = W.partitionBy("sample")
-    up = F.row_number().over(by_sample.orderBy("total", "ref_index"))
-    down = F.row_number().over(by_sample.orderBy(F.desc("total"), "ref_index"))
-    d = full.withColumns({"_n": F.count("*").over(by_sample), "_all": F.sum("total").over(by_sample), "_up": up, "_down": down, "_log": log10_count(F.col("total"))})
-    d = d.withColumns({f"_r_{c}": average_rank(c, "sample") for c in ("length", "gc", "_log")})
-    top = lambda share: F.sum(F.when(F.col("_down") <= F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(share))), F.col("total")).otherwise(0))
-    p = F.col("total") / F.col("_all").cast("double")
-    n, all_ = F.count("*"), F.sum("total")
-    quantile = lambda q: F.percentile("total", F.lit(q))
-    detected = [x.alias(f"detected_{k}x{end}") for k in (1, 10, 100, 500) for c in [F.count_if(F.col("total") >= k)] for x, end in ((c, ""), (pct(c, n), "_percent"))]
-    return d.groupBy("sample").agg(
-        F.sum("n_ids").alias("designed_ids"), n.alias("unique_design_sequences"), all_.alias("mapped_reads"),
-        F.sum("exact").alias("exact_mapped_reads"), F.sum("near").alias("near_mapped_reads"), *detected,
-        F.count_if(F.col("total") == 0).alias("dropout_sequences"), F.avg("total").alias("mean_coverage"), F.median("total").alias("median_coverage"),
-        F.min(F.when(F.col("total") > 0, F.col("total"))).alias("min_nonzero_coverage"), F.max("total").alias("max_coverage"),
-        F.try_divide(F.stddev_pop("total"), F.avg("total")).alias("coverage_cv"),
+    """One row per sample of full(sample, ref_index, n_ids, length, gc, exact, near, total).
+
+    Designs are added up to cells of equal length, gc and count first; everything is computed from those with their numbers, so
+    no window or sort sees single designs.
+    """
+    cells = full.groupBy("sample", "length", "gc", "total").agg(F.count("*").alias("m"), F.sum("n_ids").alias("ids"), F.sum("exact").alias("exact"), F.sum("near").alias("near"))
+    own = W.partitionBy("sample")
+    total, m = F.col("total"), F.col("m")
+    steps = _steps(cells, "total").withColumns({"n": F.sum("m").over(own), "all": F.sum(m * total).over(own)})
+    mean = F.try_divide(F.col("all").cast("double"), F.col("n").cast("double"))
+    top = lambda share: F.sum(F.least(F.greatest(F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(share))) - F.col("above"), F.lit(0)), m) * total)
+    p = total / F.col("all").cast("double")
+    n, all_ = F.sum("m"), F.sum(m * total)
+    quantile = lambda q: F.percentile("total", F.lit(q), m)
+    some = lambda ok: F.coalesce(F.sum(F.when(ok, m)), F.lit(0))
+    detected = [x.alias(f"detected_{k}x{end}") for k in (1, 10, 100, 500) for c in [some(total >= k)] for x, end in ((c, ""), (pct(c, n), "_percent"))]
+    places = m * F.col("below") + m * (m + 1) / F.lit(2.0)  # the sum of the places that a step's designs take
+    figures = steps.groupBy("sample").agg(
+        n.alias("unique_design_sequences"), all_.alias("mapped_reads"), *detected,
+        some(total == 0).alias("dropout_sequences"), F.max(mean).alias("mean_coverage"), quantile(0.5).alias("median_coverage"),
+        F.min(F.when(total > 0, total)).alias("min_nonzero_coverage"), F.max("total").alias("max_coverage"),
+        F.try_divide(F.sqrt(F.sum(m * (total - mean) * (total - mean)) / n), F.max(mean)).alias("coverage_cv"),
         quantile(0.05).alias("p05_coverage"), quantile(0.10).alias("p10_coverage"), quantile(0.90).alias("p90_coverage"), quantile(0.95).alias("p95_coverage"),
         F.try_divide(quantile(0.90), quantile(0.10)).alias("p90_over_p10"), F.try_divide(quantile(0.95), quantile(0.05)).alias("p95_over_p05"),
-        (F.try_divide(2.0 * F.sum(F.col("_up") * F.col("total")), n * all_.cast("double")) - F.when(all_ > 0, (n + 1.0) / n)).alias("gini"),
+        (F.try_divide(2.0 * F.sum(places * total), n * all_.cast("double")) - F.when(all_ > 0, (n + 1.0) / n)).alias("gini"),
         pct(top(0.01), all_).alias("top_1_percent_read_share_percent"), pct(top(0.10), all_).alias("top_10_percent_read_share_percent"),
-        F.when(all_ > 0, F.exp(-F.sum(F.when(F.col("total") > 0, p * F.log(p)).otherwise(0.0)))).alias("effective_library_size"),
-        correlation("_r_length", "_r__log").alias("spearman_length_logcount"), correlation("_r_gc", "_r__log").alias("spearman_gc_logcount"),
+        F.when(all_ > 0, F.exp(-F.sum(F.when(total > 0, m * p * F.log(p)).otherwise(0.0)))).alias("effective_library_size"),
     )
+    sums = cells.groupBy("sample").agg(F.sum("ids").alias("designed_ids"), F.sum("exact").alias("exact_mapped_reads"), F.sum("near").alias("near_mapped_reads"))
+    logged = cells.withColumn("log", log10_count(total))
+    out = sums.join(figures, "sample")
+    for c in ("length", "gc"):
+        out = out.join(_spearman(logged, c, "log", f"spearman_{c}_logcount"), "sample")
+    return out
 
 
 def sample_totals(matches: DataFrame) -> DataFrame:
