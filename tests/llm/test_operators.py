@@ -788,6 +788,57 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(all(s["p"] >= 0.5 for s in x) for x in got["sentences"])
 
 
+def test_toxicity_is_a_plain_noisy_or():
+    """Scores and located sentences, written plainly from the weights."""
+    import math
+
+    rnd = random.Random(5)
+    words = ["bad", "worse", "word", "fine", "nice", "straße", "éclair", "x"]
+    weights = {f: rnd.uniform(-2, 3) for w in words for f in toxicity.features_of(w) if rnd.random() < 0.7}
+    scorer = toxicity.Scorer(weights, -2.0, keep=3)
+    for _ in range(200):
+        text = "".join(rnd.choice([*words, "BAD", "Unknown", "12", ". ", "! ", "\n", " ", " ", ", "]) + rnd.choice(["", " "]) for _ in range(rnd.randrange(40)))
+        clean, found = 1.0, []
+        for m in re.finditer(r"[^.!?\n]+", text):
+            z = -2.0 + sum(weights.get(f, 0.0) for w in set(re.findall(r"[^\W\d_]+", m[0].lower())) for f in toxicity.features_of(w))
+            p = 1 / (1 + math.exp(-z))
+            clean *= 1 - p
+            found += [(m.start(), m.end())] if p >= 0.5 else []
+        score, spans = scorer.score(text)
+        assert score == pytest.approx(1 - clean, abs=1e-9) and [(x["start"], x["end"]) for x in spans] == found
+
+
+def test_toxicity_fit_descends_the_likelihood():
+    """The loss of fit_noisy_or, written plainly, is lower at its result than at the start and no step away lowers it much."""
+    import math
+
+    rng = np.random.default_rng(3)
+    docs = [[[int(f) for f in rng.choice(6, rng.integers(1, 3), replace=False)] for _ in range(rng.integers(0, 4))] for _ in range(80)]
+    toxic = np.array([float(any(0 in bag or 1 in bag for bag in d)) for d in docs])
+    plain = rng.integers(0, 3, 80).astype(float)
+    fit = toxicity.Fit(rounds=800, rate=0.03)
+
+    def loss(w, b):
+        share = np.where(toxic == 1, np.clip((toxic == 0).sum() / (toxic == 1).sum(), 1, fit.most_weight), 1.0)
+        out = fit.shrink / 2 * sum(x * x for x in w)
+        for d, t, k, s in zip(docs, toxic, plain, share / share.sum(), strict=True):
+            clean = (1 - 1 / (1 + math.exp(-b))) ** k
+            for bag in d:
+                clean *= 1 - 1 / (1 + math.exp(-b - sum(w[f] for f in bag)))
+            q = fit.wrong + (1 - 2 * fit.wrong) * (1 - clean)
+            out -= s * (t * math.log(q) + (1 - t) * math.log(1 - q))
+        return out
+
+    sizes = [np.array([len(b) for b in d], np.int64) for d in docs]
+    flat = np.array([f for d in docs for b in d for f in b], np.int64)
+    w, b = toxicity.fit_noisy_or(toxic, plain, sizes, flat, np.zeros(6), fit)
+    best = loss(w, b)
+    assert best < 0.5 * loss(np.zeros(6), -6.0) and min(w[0], w[1]) > 2 > max(w[2:])
+    for k in range(7):
+        for step in (-0.2, 0.2):
+            assert loss(w + step * (np.arange(6) == k), b + step * (k == 6)) > best - 1e-3
+
+
 def test_toxicity_edges(docs, crowded, empty, spark):
     labels = spark.createDataFrame([(0, None, 1), (0, 1, 0), (2, 1, 1), (24, 1, 0), (None, 1, 1), (3, 1, None), (12, 1, 1)], "doc_id long, quality int, toxic int")
     for given in (labels, labels.limit(0)):
