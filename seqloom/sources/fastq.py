@@ -2,18 +2,21 @@
 
 ``spark.read.format("fastq").load(dir)`` gives one row per read and one partition per file; with the option
 ``pairs`` one partition per chunk, which reads both mates side by side, so pairing needs no shuffle. A file is
-framed by line count. gzip can't be split: repartition after the scan where files are few and large.
+framed by line count, some thousand reads at a time, which go to Spark as Arrow batches. gzip can't be split: repartition after the scan where files are few and large.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice, zip_longest
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -65,18 +68,26 @@ class Chunk:
     files: dict[str, str]
 
 
+def _located(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path and its name there; a path without a scheme is local."""
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
 def discover(root: str) -> tuple[list[Chunk], list[FastqFile], list[str]]:
-    """(chunks: assigned samples first, all recognised files, warnings). Of two files for one read the last is used."""
+    """(chunks: assigned samples first, all recognised files, warnings). Of two files for one read the last is used.
+
+    ``root`` is a folder or a URI that Arrow opens (file, hdfs, s3, gs); it is looked through with its subfolders.
+    """
     files, warnings = [], []
-    for folder, _, names in sorted(os.walk(root)):
-        for name in sorted(names):
-            if not re.search(r"\.(fastq|fq)(\.gz)?$", name, re.I):
-                continue
-            found = parse_name(os.path.join(folder, name))
-            if found is None:
-                warnings.append(f"name not recognised: {name}")
-            else:
-                files.append(found)
+    store, base = _located(root)
+    for info in sorted(store.get_file_info(pafs.FileSelector(base, recursive=True)), key=lambda i: i.path.split("/")):
+        if not info.is_file or not re.search(r"\.(fastq|fq)(\.gz)?$", info.path, re.I):
+            continue
+        found = parse_name(root.rstrip("/") + info.path[len(base.rstrip("/")) :])
+        if found is None:
+            warnings.append(f"name not recognised: {info.base_name}")
+        else:
+            files.append(found)
     chunks: dict[str, Chunk] = {}
     for f in files:
         c = chunks.setdefault(f.key, Chunk(f.key, f.sample, f.undetermined, {}))
@@ -86,27 +97,41 @@ def discover(root: str) -> tuple[list[Chunk], list[FastqFile], list[str]]:
     return sorted(chunks.values(), key=lambda c: (c.undetermined, c.sample, c.key)), files, warnings
 
 
-def open_text(path: str):
-    if path.lower().endswith(".gz"):
-        return gzip.open(path, "rt", encoding="utf-8", errors="replace")
-    return open(path, encoding="utf-8", errors="replace")
+def open_text(path: str) -> io.TextIOWrapper:
+    store, name = _located(path)
+    raw = store.open_input_stream(name, compression=None)
+    return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.lower().endswith(".gz") else raw, encoding="utf-8", errors="replace")
 
 
-def records(path: str) -> Iterator[tuple[str, str, str]]:
-    """(header, upper-case sequence, qualities) of each record; malformed files raise ValueError."""
+#: Reads that are checked and handed on together.
+READS_AT_ONCE = 5000
+
+
+def batches(path: str, limit: int | None = None) -> Iterator[tuple[list[str], list[str], list[str]]]:
+    """(headers, upper-case sequences, qualities) of some thousand records at a time; malformed files raise ValueError."""
+    done = 0
     with open_text(path) as lines:
-        for n in range(10**18):
-            four = list(islice(lines, 4))
-            if not four:
+        while limit is None or done < limit:
+            some = READS_AT_ONCE if limit is None else min(READS_AT_ONCE, limit - done)
+            block = [x.rstrip("\r\n") for x in islice(lines, 4 * some)]
+            if not block:
                 return
-            head, seq, plus, qual = [x.rstrip("\r\n") for x in four] + [""] * (4 - len(four))
-            if len(four) < 4:
-                raise ValueError(f"{path}: record {n + 1} is cut off")
-            if not head.startswith("@") or not plus.startswith("+"):
-                raise ValueError(f"{path}: record {n + 1} doesn't start with @ or lacks its +")
-            if len(seq) != len(qual):
-                raise ValueError(f"{path}: record {n + 1} has {len(seq)} bases and {len(qual)} qualities")
-            yield head, seq.upper(), qual
+            heads, seqs, plus, quals = (block[k::4] for k in range(4))
+            for n, (head, seq, mark, qual) in enumerate(zip_longest(heads, seqs, plus, quals), done + 1):
+                if qual is None:
+                    raise ValueError(f"{path}: record {n} is cut off")
+                if not head.startswith("@") or not mark.startswith("+"):
+                    raise ValueError(f"{path}: record {n} doesn't start with @ or lacks its +")
+                if len(seq) != len(qual):
+                    raise ValueError(f"{path}: record {n} has {len(seq)} bases and {len(qual)} qualities")
+            yield heads, [x.upper() for x in seqs], quals
+            done += len(heads)
+
+
+def records(path: str) -> Iterator[tuple[str, str, str]]:
+    """(header, upper-case sequence, qualities) of each record."""
+    for columns in batches(path):
+        yield from zip(*columns, strict=True)
 
 
 @dataclass
@@ -133,19 +158,25 @@ class _Reader(DataSourceReader):
         mates = [tuple(parse_name(c.files[r]) for r in ("R1", "R2") if r in c.files) for c in chunks]
         return [FilePartition(m, self.limit) for m in mates if m]
 
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
+    def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
         if not partition.files:
             return
         first, *more = partition.files
-        rows = zip_longest(*[islice(records(f.path), partition.limit) for f in partition.files])
-        for ord_, row in enumerate(rows):
-            if not self.pairs:
-                yield (first.path, first.sample, first.lane, first.read, first.chunk, ord_, *row[0])
-                continue
-            if any(r is None for r in row):
+        names = [x.split()[0] for x in (PAIRS if self.pairs else READS).split(", ")]
+        kinds = {"ord": pa.int64(), "is_undetermined": pa.bool_()}
+        done = 0
+        for mates in zip_longest(*[batches(f.path, partition.limit) for f in partition.files]):
+            n = len(mates[0][0]) if mates[0] else 0
+            if any(m is None or len(m[0]) != n for m in mates):
                 raise ValueError(f"{first.key}: the mates' files differ in their number of reads")
-            two = row[1] if more else (None, None, None)
-            yield (first.sample, first.undetermined, first.key, ord_, *row[0], *two)
+            order, same = list(range(done, done + n)), lambda x: [x] * n  # noqa: B023
+            if self.pairs:
+                two = mates[1] if more else (same(None),) * 3
+                columns = [same(first.sample), same(first.undetermined), same(first.key), order, *mates[0], *two]
+            else:
+                columns = [same(first.path), same(first.sample), same(first.lane), same(first.read), same(first.chunk), order, *mates[0]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(k, pa.string())) for k, c in zip(names, columns, strict=True)], names)
+            done += n
 
 
 class FastqSource(DataSource):

@@ -167,7 +167,7 @@ class RunConfig:
                 continue
             kind = known[k]
             values[k] = v.lower() in ("1", "yes", "true", "on") if kind == "bool" else int(v) if kind.startswith("int") else float(v) if kind.startswith("float") else v
-            if k in ("input_dir", "reference", "outdir", "sample_sheet", "top_unknown", "phix_reference"):
+            if k in ("input_dir", "reference", "outdir", "sample_sheet", "top_unknown", "phix_reference") and "://" not in v:
                 values[k] = os.path.normpath(os.path.join(os.path.dirname(os.path.abspath(path)), v))
         return RunConfig(**values)
 
@@ -178,7 +178,7 @@ class RunConfig:
                 raise ValueError(f"{name} is required")
         if self.phix_qc and not self.phix_reference:
             raise ValueError("phix_reference is required unless phix_qc is off")
-        if not os.path.isdir(self.input_dir):
+        if "://" not in self.input_dir and not os.path.isdir(self.input_dir):
             raise ValueError(f"input_dir is no folder: {self.input_dir}")
         for name in ("reference", "sample_sheet", "top_unknown", *(["phix_reference"] if self.phix_qc else [])):
             if getattr(self, name) and not os.path.isfile(getattr(self, name)):

@@ -161,6 +161,14 @@ def test_file_errors(tmp_path):
     assert fastq.parse_name("x.txt") is None and fastq.parse_name("_r2.fastq") is None and fastq.parse_name("xR2.fastq") is None
 
 
+def test_fastq_by_uri(spark, run):
+    """A folder named by a URI is read alike, but for the names of its files."""
+    root = run[0]
+    plain, by_uri = (fastq.read_fastq(spark, f"{x}{root}/fastq", pairs="true").collect() for x in ("", "file://"))
+    assert len(plain) == 1093 and sorted(plain) == sorted(by_uri)
+    assert {f.path for f in fastq.discover(f"file://{root}/fastq/")[1]} == {f"file://{f.path}" for f in fastq.discover(f"{root}/fastq")[1]}
+
+
 def test_matcher_against_plain_table(spark):
     rnd = random.Random(3)
     dna = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
