@@ -419,7 +419,8 @@ def jaccard_components(docs: DataFrame, hot_share: float = HOT_SHARE, tagged: bo
     inside = groups.join(found, "node", "left").select("g", "node", F.coalesce("component_id", "node").alias("c"))
     inside = stage(inside.distinct(), "partenum-inside")
     share = inside.groupBy("g", "c").agg(F.count("*").alias("m")).groupBy("g").agg(F.max(F.struct("m", "c")).alias("most"), F.sum("m").alias("t"))
-    rest = stage(inside.join(share.where(F.col("most.m") < F.col("t")), "g"), "partenum-open")
+    open_groups = stage(share.where(F.col("most.m") < F.col("t")), "partenum-share")  # a table of its own, so that Spark may split a large group in the join
+    rest = stage(inside.join(open_groups, "g"), "partenum-open")
     known = rest.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("g")), 1, FIRST_GROUPS).alias("low"))
     ready = rest.join(known.join(sketches.withColumnRenamed("doc", "node").dropDuplicates(["node", "sketch"]), "node"), "node")
     more = ready.where(F.col("t") <= SMALL_GROUP).select("g", "node", "c", "n", "sketch", "low").repartition("g").mapInArrow(_inside, "a long, b long")
