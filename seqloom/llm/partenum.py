@@ -455,3 +455,14 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     found = jaccard_components(docs.select("doc_id", "text"), tagged=True)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key), F.col("tag").alias(tag)).distinct()
     return docs.join(gone.hint("shuffle_hash"), (docs["doc_id"] == F.col(key)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(tag)), "left_anti")
+
+
+# All pairs that share a shingle, counted; then what each document reaches. For small tables.
+ORACLE_SQL = r"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (select doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end) g from w),
+n as (select w.doc_id, count(g) n from w left join s using (doc_id) group by 1),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id a, doc_id b from n union select r.a, e.b from r join e on r.b = e.a)
+select n.doc_id, n.n::bigint n_shingles, min(r.b)::bigint component_id from n join r on r.a = n.doc_id group by 1, 2"""

@@ -64,4 +64,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_secret_scans": secrets.ORACLE_SQL,
+    "op10_ngram_jaccard_join": partenum.ORACLE_SQL,
 }
