@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm import chunks, fingerprint, html_mincut, mixing, packing, partenum, pivots, rl_index, secrets, toxicity
+from seqloom.llm import align, chunks, fingerprint, html_mincut, mixing, packing, partenum, pivots, radix, rl_index, secrets, toxicity, trie
 from seqloom.llm.common import read
 
 
@@ -48,6 +48,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix.copies(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -59,10 +71,15 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op5_secret_scans": secrets.ORACLE_SQL,
     "op10_ngram_jaccard_join": partenum.ORACLE_SQL,
+    "op12_exact_dedup": radix.ORACLE_SQL,
+    "op13_prefix_trie": trie.ORACLE_SQL,
 }
