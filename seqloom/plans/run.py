@@ -23,16 +23,14 @@ from seqloom.functions.scalars import INCOMPARABLE, canonical_read_id, header_in
 from seqloom.operators import anchors, controls, indexqc, library, matcher, qc
 from seqloom.sinks import tables as sink
 from seqloom.sources import tables as source
-from seqloom.sources.fastq import FastqFile, discover, read_fastq
+from seqloom.sources.fastq import discover, read_fastq
 
 UNIT = ["sample", "is_undetermined", "chunk_key", "ord"]
 
 
 def read_pairs(spark: SparkSession, root: str, max_reads: int | None = None) -> DataFrame:
-    """Mates side by side; at most ``max_reads`` of each sample, in the order of its chunks."""
-    limit = {"limit": str(max_reads)} if max_reads else {}
-    pairs = read_fastq(spark, root, pairs="true", **limit)
-    return library.first_rows(pairs, ["sample"], ["chunk_key", "ord"], max_reads) if max_reads else pairs
+    """Mates side by side; at most ``max_reads`` of each sample, in the order of its chunks, which the scan itself keeps to."""
+    return read_fastq(spark, root, pairs="true", per_sample=max_reads)
 
 
 def classify(pairs: DataFrame, evidence: DataFrame, designs: DataFrame, c: source.RunConfig, spiked: DataFrame | None) -> DataFrame:
@@ -56,11 +54,9 @@ class Files:
 
     def __init__(self, c: source.RunConfig):
         self.chunks, self.files, self.warnings = discover(c.input_dir)
-        used = [(k.key, [k.files[r] for r in ("R1", "R2") if r in k.files]) for k in self.chunks]
-        self.mates = {path: (key, str(i + 1)) for key, paths in used for i, path in enumerate(paths)}
-        index = {k.files[r] for k in self.chunks for r in ("I1", "I2") if r in k.files}
-        self.index = [f for f in self.files if f.path in index]
-        self.left = [f for f in self.files if f.path not in index and f.path not in self.mates]
+        used = lambda *reads: {path: (k.key, str(i + 1)) for k in self.chunks for i, path in enumerate(k.files[r] for r in reads if r in k.files)}
+        self.mates, self.index = used("R1", "R2"), used("I1", "I2")
+        self.left = [f for f in self.files if f.path not in self.index and f.path not in self.mates]
         self.limit = {"limit": str(c.max_reads)} if c.max_reads else {}
         self.root = c.input_dir
 
@@ -73,15 +69,22 @@ class Files:
             raise ValueError(f"sample names that give one file name: {clash}")
         return names
 
-    def reads(self, spark: SparkSession, files: list[FastqFile]) -> DataFrame:
-        return read_fastq(spark, self.root, only="\n".join(f.path for f in files), **self.limit)
+    def leftover(self, spark: SparkSession) -> DataFrame:
+        return read_fastq(spark, self.root, only="\n".join(f.path for f in self.left), **self.limit)
 
-    def quality(self, spark: SparkSession, pairs: DataFrame, others: DataFrame) -> DataFrame:
+    def index_reads(self, spark: SparkSession) -> DataFrame:
+        """I1 and I2 side by side."""
+        return read_fastq(spark, self.root, pairs="true", mates="I1,I2", **self.limit)
+
+    def quality(self, spark: SparkSession, pairs: DataFrame, index: DataFrame, left: DataFrame) -> DataFrame:
         """(path, seq, qual) of every read that is used."""
         mate = lambda k: F.struct(F.lit(str(k)).alias("mate"), F.col(f"s{k}").alias("seq"), F.col(f"q{k}").alias("qual"))
-        mates = spark.createDataFrame([(path, key, k) for path, (key, k) in self.mates.items()], "path string, chunk_key string, mate string")
-        used = pairs.select("chunk_key", F.inline(F.array(mate(1), mate(2)))).where("seq is not null").join(mates, ["chunk_key", "mate"])
-        return used.select("path", "seq", "qual").union(others.select("path", "seq", "qual"))
+        out = left.select("path", "seq", "qual")
+        for reads, places in ((pairs, self.mates), (index, self.index)):
+            files = spark.createDataFrame([(path, key, k) for path, (key, k) in places.items()], "path string, chunk_key string, mate string")
+            used = reads.select("chunk_key", F.inline(F.array(mate(1), mate(2)))).where("seq is not null").join(files, ["chunk_key", "mate"])
+            out = out.union(used.select("path", "seq", "qual"))
+        return out
 
     def described(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(f.path, f.label, f.sample, f.read) for f in self.files], "path string, label string, sample string, read string")
@@ -89,22 +92,18 @@ class Files:
 
 def index_sources(spark: SparkSession, pairs: DataFrame, index: DataFrame, left: DataFrame, c: source.RunConfig) -> dict[str, DataFrame]:
     """Barcode counts of index reads, read headers and the table of unknown barcodes, in order of preference."""
-    both = index.groupBy("sample", "lane", "chunk", "ord").agg(F.concat_ws("+", F.max(F.when(F.col("read") == "I1", F.col("seq"))), F.max(F.when(F.col("read") == "I2", F.col("seq")))).alias("barcode"))
+    both = index.select(F.concat_ws("+", "s1", "s2").alias("barcode"))
     heads = pairs.select(header_index(F.col("h1")).alias("i1"), header_index(F.col("h2")).alias("i2"))
     heads = heads.union(left.where(F.col("read").isin("R1", "R2")).select(header_index(F.col("header")), F.lit(None).cast("string")))
     unknown = source.unknown_barcodes(spark, c.top_unknown) if c.top_unknown else spark.createDataFrame([], "barcode string, count long")
     return dict(zip(indexqc.SOURCES, (both.groupBy("barcode").agg(F.count("*").alias("count")), indexqc.header_counts(heads, "i1", "i2"), unknown), strict=True))
 
 
-def run_quality(spark: SparkSession, files: Files, pairs: DataFrame, others: DataFrame, outdir: str) -> list[dict]:
-    """Writes quality by file and by cycle; returns the rows by file. Index files of a chunk that differ in length fail."""
-    reads, about = files.quality(spark, pairs, others), files.described(spark)
+def run_quality(spark: SparkSession, files: Files, reads: DataFrame, outdir: str) -> list[dict]:
+    """Writes quality by file and by cycle; returns the rows by file."""
+    about = files.described(spark)
     by_file = about.join(qc.read_qc(reads, ["path"]), "path", "left").fillna(0, ["total_reads", "total_bases", "min_length"]).select(*sink.FILE_COLUMNS)
     rows = [r.asDict() for r in by_file.orderBy("sample", "read", "path").collect()]
-    size = {r["path"]: r["total_reads"] for r in rows}
-    for k in files.chunks:
-        if {"I1", "I2"} <= k.files.keys() and size[k.files["I1"]] != size[k.files["I2"]]:
-            raise ValueError(f"{k.key}: the index files differ in their number of reads")
     sink.write_rows(os.path.join(outdir, "run_qc_summary.tsv"), sink.FILE_COLUMNS, rows)
     cycles = about.join(qc.cycle_qc(reads, ["path"]), "path").withColumnsRenamed({f"{b}_percent": f"{b.upper()}_percent" for b in "acgtn"})
     sink.write_tsv(cycles.orderBy("sample", "read", "path", "cycle").select(*sink.CYCLE_COLUMNS), os.path.join(outdir, "per_cycle_qc.tsv"))
@@ -157,7 +156,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
         warnings.append(f"{n_twice} design sequences are listed more than once and can't be told apart")
 
     pairs = _kept(read_pairs(spark, c.input_dir, c.max_reads), at("tables", "reads"))
-    index, left = (_kept(files.reads(spark, part), at("tables", name)) for name, part in (("index_reads", files.index), ("leftover_reads", files.left)))
+    index, left = _kept(files.index_reads(spark), at("tables", "index_reads")), _kept(files.leftover(spark), at("tables", "leftover_reads"))
     spiked, rest = None, pairs
     if c.phix_qc:
         kmers = controls.genome_kmers(source.genome(spark, c.phix_reference), c.phix_kmer_length)
@@ -165,7 +164,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
         rest = pairs.join(spiked, UNIT, "left_anti")
     evidence = _kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), at("tables", "evidence"))
     units = _kept(classify(pairs, evidence, designs, c, spiked), at("tables", "units"))
-    qc_rows = run_quality(spark, files, pairs, index.union(left), c.outdir)
+    qc_rows = run_quality(spark, files, files.quality(spark, pairs, index, left), c.outdir)
 
     rolled = library.with_rollups(units, F.col("is_undetermined"))
     counted = library.count_matches(rolled)
