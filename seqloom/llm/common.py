@@ -55,7 +55,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
     """``left`` joined with ``right``, whose non-null ``keys`` are unique and have ``weight`` rows each in ``left``.
 
     Keys with over one in ``share`` of the rows are dealt to several tasks by salts. Fewer than ``share`` keys are so, hence the
-    broadcast list of their hashes is bounded. ``right`` is read more than once.
+    broadcast list of their hashes is bounded. ``right`` is read more than once. The join is a merge at every size, so what is shuffled grows with the input.
     """
     hash_, salts, salt = (free_name(left.join(right, keys), c) for c in ("_hash", "_salts", "_salt"))
     least = max(1, (right.agg(F.sum(weight)).first()[0] or 0) // share)
@@ -63,7 +63,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str,
     hot = right.where(F.col(weight) > least).groupBy(named).agg(F.ceil(F.max(weight) / least).cast("int").alias(salts))
     dealt = left.select("*", named).join(F.broadcast(hot), hash_, "left").withColumn(salt, F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col(salts)), F.lit(0)).cast("int"))
     copied = right.select("*", named).join(F.broadcast(hot), hash_, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)))
-    return dealt.drop(hash_, salts).join(copied.drop(hash_, salts), [*keys, salt], how).drop(salt)
+    return dealt.drop(hash_, salts).join(copied.drop(hash_, salts).hint("merge"), [*keys, salt], how).drop(salt)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

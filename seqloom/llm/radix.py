@@ -23,18 +23,18 @@ FIRST, GROWTH, MOST = 64, 16, 1 << 20
 
 def _grouped(rows: DataFrame, first: int, growth: int, most: int) -> DataFrame:
     """(doc_id, row, keep_id, group_size, kept, text_sha256) of ``rows(doc_id, row, text)``."""
-    rest = F.coalesce("text", F.lit("")).cast("binary")
-    open_ = rows.select("doc_id", "row", rest.alias("rest"), F.lit(0).cast("long").alias("group"))
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    open_ = rows.select("doc_id", "row", text.alias("rest"), F.lit(0).cast("long").alias("group"), F.sha2(text, 256).alias("sha"))
     width, turn, ended = first, 0, []
     while True:
-        keyed = open_.withColumns({"slice": F.substring("rest", 1, width), "ends": F.octet_length("rest") <= width})
+        slice_, after = F.substring("rest", 1, width), F.substring("rest", width + 1, 2**31 - 1)
+        keyed = open_.select("doc_id", "row", "group", "sha", slice_.alias("slice"), (F.octet_length("rest") <= width).alias("ends"), after.alias("rest"))
         key = ["group", "slice", "ends"]
         many = keyed.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
         many = stage(many.withColumn("next", F.monotonically_increasing_id()), "radix-groups")
         met = salted_join(keyed, many, key, "n", "left")
         on = F.col("next").isNotNull() & ~F.col("ends")
-        sha = F.sha2("rest", 256) if not turn else F.col("sha")
-        met = met.select("doc_id", "row", F.lit(turn).alias("turn"), F.col("next").alias("group"), on.alias("on"), sha.alias("sha"), F.when(on, F.substring("rest", width + 1, 2**31 - 1)).alias("rest"))
+        met = met.select("doc_id", "row", F.lit(turn).alias("turn"), F.col("next").alias("group"), on.alias("on"), "sha", F.when(on, F.col("rest")).alias("rest"))
         met = stage(met, "radix-round")
         ended.append(met.where("not on").drop("on", "rest"))
         open_ = met.where("on").select("doc_id", "row", "rest", "group", "sha")
