@@ -36,7 +36,8 @@ _PIECE = 1 << 20
 RUN = 1 << 23  # bytes of text whose equal segments are reduced to one
 CHUNK = 1 << 21  # bytes of segments that are planned together
 BLOCK = 1 << 18  # bytes of an index
-LAST = 2**63 - 1  # rows without an id come after all others
+TURN = 1 << 21  # windows that are worked on together
+LAST = 2**63 - 1  # rows without an id come after all others, told apart by length and hash
 
 
 def _prefix(data: np.ndarray, table: np.ndarray, base: int) -> np.ndarray:
@@ -89,12 +90,12 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, first - offsets[text], n, kmer[at], seg
 
 
-ROWS = "kind byte, doc long, tag int, a int, n int, k1 long, k2 long"
+ROWS = "kind byte, doc long, tag long, a int, n int, k1 long, k2 long"
 
 
 def _rows(kind, doc, tag, a, n, k1, k2) -> pa.RecordBatch:
     m = len(doc)
-    cols = [np.full(m, kind, np.int8), doc.astype(np.int64), tag.astype(np.int32), a.astype(np.int32), n.astype(np.int32), k1.view(np.int64), k2.view(np.int64)]
+    cols = [np.full(m, kind, np.int8), doc.astype(np.int64), tag.astype(np.int64), a.astype(np.int32), n.astype(np.int32), k1.view(np.int64), k2.view(np.int64)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "doc", "tag", "a", "n", "k1", "k2"])
 
 
@@ -220,12 +221,20 @@ def _by_minimizer(batches: Iterator[pa.RecordBatch], rows: int, size: int | None
         if held and (many >= rows or size and sum(b.nbytes for b in held) >= size):
             end = int(np.searchsorted(k1, held[-1].column(held[-1].schema.get_field_index("k1"))[-1].as_py(), "right"))
             if end < batch.num_rows:
-                yield pa.Table.from_batches([*held, batch.slice(0, end)])
-                held, many, batch = [], 0, batch.slice(end)
+                held.append(batch.slice(0, end))
+                yield _taken(held)
+                many, batch = 0, batch.slice(end)
         held.append(batch)
         many += batch.num_rows
     if held:
-        yield pa.Table.from_batches(held)
+        yield _taken(held)
+
+
+def _taken(held: list[pa.RecordBatch]) -> pa.Table:
+    """The batches as a table that only its receiver holds."""
+    table = pa.Table.from_batches(held)
+    held.clear()
+    return table
 
 
 class RunLengthIndex:
@@ -345,59 +354,94 @@ def _joined(which: np.ndarray, string: np.ndarray, at: np.ndarray, block: np.nda
     return which[first], np.diff(np.append(first, len(which)))
 
 
-def long_matches(strings: list[bytes], group: np.ndarray, copied: np.ndarray) -> tuple[np.ndarray, ...]:
+def _windows(strings: list[bytes], turn: int, turns: int) -> tuple[np.ndarray, ...]:
+    """(string, place in it, hash) of the windows of one turn, which takes a share of all hashes; some megabytes are hashed at a time."""
+    found: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    size = np.array([len(s) for s in strings], np.int64)
+    upto = np.cumsum(size)
+    low = 0
+    while low < len(strings):
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + CHUNK, "right")))
+        own = size[low:high]
+        n = own - LENGTH + 1
+        string = np.repeat(np.arange(high - low), n)
+        at = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
+        start = (np.cumsum(own) - own)[string] + at
+        key = mix64(_range_hash(_prefix(np.frombuffer(b"".join(strings[low:high]), np.uint8), _T2, _P2), _P2, start, start + LENGTH))
+        if turns > 1:
+            some = np.flatnonzero((key >> np.uint64(40)) % np.uint64(turns) == turn)
+            string, at, key = string[some], at[some], key[some]
+        found.append((string + low, at, key))
+        low = high
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def matches(strings: list[bytes], group: np.ndarray, copied: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """(string, window, string of its match) of windows with a match of at least 100 bytes; the match is at the first string that holds it.
 
     ``strings`` come in the order of the corpus, and only those of one ``group`` can have windows in common. All windows of ``copied`` ones are
-    streamed, of the others those that also start earlier.
+    streamed, of the others those that also start earlier. Windows are worked on ``TURN`` at a time, by their hashes, so that equal ones meet: beside the strings themselves a turn's
+    memory is bounded.
     """
-    size = np.array([len(s) for s in strings], np.int64)
-    n = size - LENGTH + 1
-    begin = np.cumsum(size) - size
-    raw = b"".join(strings)
-    string = np.repeat(np.arange(len(strings)), n)
-    at = np.arange(len(string)) - np.repeat(np.cumsum(n) - n, n)
-    total = _prefix(np.frombuffer(raw, np.uint8), _T2, _P2)
-    start = begin[string] + at
-    key = mix64(_range_hash(total, _P2, start, start + LENGTH))
-    order = np.argsort(key)
-    heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(order)])
-    many = np.diff(np.append(heads, len(order)))
-    first = np.zeros(len(order), np.int64)
-    if len(order):
-        first[order] = np.repeat(np.minimum.reduceat(order, heads), many)
-    again = first != np.arange(len(first))
-    wanted = np.zeros(len(first), bool)
-    stream = again | copied[string]
-    wanted[first[stream]] = True
-    # blocks: whole groups one after the other; a group that alone outgrows a block is dealt by the windows' hashes
     _, of = np.unique(group, return_inverse=True)
     groups = int(of.max()) + 1 if len(of) else 0
-    runs, _ = _joined(np.flatnonzero(wanted), string, at, np.zeros(len(string), np.int64))
-    windows, weight = np.bincount(of[string], wanted, groups), np.bincount(of[string[runs]], minlength=groups) * (LENGTH - 1.0)
-    weight += windows
-    parts = np.where(weight > BLOCK, np.ceil(windows * LENGTH / BLOCK), 1).astype(np.int64)
-    upto = np.cumsum(np.where(parts > 1, BLOCK, weight))
-    base = (upto // BLOCK).astype(np.int64) + np.concatenate([[0], np.cumsum(parts - 1)[:-1]]).astype(np.int64)
-    block = base[of[string]] + (key % parts[of[string]].astype(np.uint64)).astype(np.int64)
-    sides = []
-    for mask in (wanted, stream):
-        w, m = _joined(np.flatnonzero(mask), string, at, block)
-        by = np.argsort(block[w], kind="stable")
-        sides.append((w[by], m[by]))
-    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
-    (iw, im), (pw, pm) = sides
-    for b in np.unique(block[pw]):
-        x, y = (slice(*np.searchsorted(block[w], (b, b + 1))) for w in (iw, pw))
-        cut = lambda w, m: [raw[s : s + k + LENGTH - 1] for s, k in zip(start[w].tolist(), m.tolist(), strict=True)]
-        index = RunLengthIndex(cut(iw[x], im[x]))
-        owner = string[iw[x]]
-        for which, where, length, place in index.statistics(cut(pw[y], pm[y])):
-            hit = length >= LENGTH
-            if hit.any():
-                w = pw[y][which[hit]] + where[hit]
-                out.append((string[w], at[w], owner[np.searchsorted(index.ends, place[hit])]))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    turns = max(1, -(-sum(len(s) - LENGTH + 1 for s in strings) // TURN))
+    for turn in range(turns):
+        string, at, key = _windows(strings, turn, turns)
+        order = np.argsort(key)
+        heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])[: len(order)])
+        many = np.diff(np.append(heads, len(order)))
+        first = np.zeros(len(order), np.int64)
+        if len(order):
+            first[order] = np.repeat(np.minimum.reduceat(order, heads), many)
+        again = first != np.arange(len(first))
+        wanted = np.zeros(len(first), bool)
+        stream = again | copied[string]
+        wanted[first[stream]] = True
+        del order, heads, many, first, again
+        # blocks: whole groups one after the other; a group that alone outgrows a block is dealt by the windows' hashes
+        runs, _ = _joined(np.flatnonzero(wanted), string, at, np.zeros(len(string), np.int64))
+        windows, weight = np.bincount(of[string], wanted, groups), np.bincount(of[string[runs]], minlength=groups) * (LENGTH - 1.0)
+        weight += windows
+        parts = np.where(weight > BLOCK, np.ceil(windows * LENGTH / BLOCK), 1).astype(np.int64)
+        upto = np.cumsum(np.where(parts > 1, BLOCK, weight))
+        base = (upto // BLOCK).astype(np.int64) + np.concatenate([[0], np.cumsum(parts - 1)[:-1]]).astype(np.int64)
+        block = base[of[string]] + (key % parts[of[string]].astype(np.uint64)).astype(np.int64)
+        sides = []
+        for mask in (wanted, stream):
+            w, m = _joined(np.flatnonzero(mask), string, at, block)
+            by = np.argsort(block[w], kind="stable")
+            sides.append((w[by], m[by]))
+        (iw, im), (pw, pm) = sides
+        cut = lambda w, m: [strings[s][x : x + k + LENGTH - 1] for s, x, k in zip(string[w].tolist(), at[w].tolist(), m.tolist(), strict=True)]  # noqa: B023, E731
+        for b in np.unique(block[pw]):
+            x, y = (slice(*np.searchsorted(block[w], (b, b + 1))) for w in (iw, pw))
+            index = RunLengthIndex(cut(iw[x], im[x]))
+            owner = string[iw[x]]
+            out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+            for which, where, length, place in index.statistics(cut(pw[y], pm[y])):
+                hit = length >= LENGTH
+                if hit.any():
+                    w = pw[y][which[hit]] + where[hit]
+                    out.append((string[w], at[w], owner[np.searchsorted(index.ends, place[hit])]))
+            yield tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
+def long_matches(strings: list[bytes], group: np.ndarray, copied: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All that ``matches`` finds, of few strings."""
+    return tuple(map(np.concatenate, zip((np.zeros(0, np.int64),) * 3, *matches(strings, group, copied), strict=True)))
+
+
+def _marked(strings: list[bytes], group: np.ndarray, copied: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether each string is matched whole, a bit for each window that an earlier string holds, first window of each string)."""
+    n = np.array([len(s) - LENGTH + 1 for s in strings], np.int64)
+    begin = np.cumsum(n) - n
+    hits, marked = np.zeros(len(strings), np.int64), np.zeros(int(n.sum()), bool)
+    for s, w, match in matches(strings, group, copied):
+        hits += np.bincount(s, minlength=len(strings))
+        earlier = match < s
+        marked[begin[s[earlier]] + w[earlier]] = True
+    return hits == n, marked, begin
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,29 +458,29 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order[new]
         if not len(order):
             continue
-        strings = [x.as_py() for x in table.column("piece").take(pa.array(order))]
+        strings = table.column("piece").take(pa.array(order)).to_pylist()
+        del table
         name = mix64(k1.view(np.uint64)) ^ k2.view(np.uint64)
         copies = np.flatnonzero(bare)
         by = np.argsort(name[order])
         of = by[np.minimum(np.searchsorted(name[order][by], name[copies]), len(by) - 1)]
         copied = np.zeros(len(order), bool)
         copied[of] = True
-        s, w, match = long_matches(strings, k1[order], copied)
-        whole = np.bincount(s, minlength=len(order)) == n[order]
+        whole, marked, begin = _marked(strings, k1[order], copied)
         sure = copies[whole[of]]
         yield _rows(_MARK, doc[sure], tag[sure], a[sure], n[sure], k1[sure], k2[sure])
-        earlier = match < s
-        s, w = s[earlier], w[earlier]
-        by = np.lexsort((w, s))
-        s, w = s[by], w[by]
-        new = np.ones(len(s), bool)
-        new[1:] = (s[1:] != s[:-1]) | (w[1:] != w[:-1] + 1)
-        head = np.flatnonzero(new)
-        r = order[s[head]]
-        yield _rows(_MARK, doc[r], tag[r], a[r] + w[head], np.diff(np.append(head, len(s))), k1[r], k2[r])
+        for low in range(0, len(order), 1 << 16):
+            high = min(low + (1 << 16), len(order))
+            w = np.flatnonzero(marked[begin[low] : begin[high] if high < len(order) else len(marked)]) + begin[low]
+            s = np.searchsorted(begin, w, "right") - 1
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]) | (w[1:] != w[:-1] + 1)
+            head = np.flatnonzero(new)
+            r = order[s[head]]
+            yield _rows(_MARK, doc[r], tag[r], a[r] + w[head] - begin[s[head]], np.diff(np.append(head, len(s))), k1[r], k2[r])
 
 
-PIECES = "doc long, tag int, a int, n int, k1 long, k2 long, piece binary"
+PIECES = "doc long, tag long, a int, n int, k1 long, k2 long, piece binary"
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -450,7 +494,7 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows += [(w["a"], w["n"], w["k1"], w["k2"]) for w in want]
             piece += [raw[w["a"] : w["a"] + w["n"] - 1 + LENGTH] for w in want]
         a, n, k1, k2 = zip(*rows, strict=True) if rows else ([],) * 4
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((doc, tag, a, n, k1, k2, piece), kinds, strict=True)], ["doc", "tag", "a", "n", "k1", "k2", "piece"])
 
 
@@ -483,13 +527,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ``spans`` of every row.
 
     Null texts are empty; texts under 100 bytes lose nothing by themselves. Documents are ordered by doc_id and, where rows with different texts
-    share one, by the text's hash; rows without an id come last. Rows that repeat a doc_id with its text are one document and share its
+    share one, by the text's 64-bit hash; rows without an id come last, longer texts first. Rows that repeat a doc_id with its text are one document and share its
     result. Further columns are ignored; empty input gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
     unnamed = F.col("doc_id").isNull()
-    tag = F.hash(text).bitwiseAND(F.lit(-2)).bitwiseOR(unnamed.cast("int")).alias("tag")  # the last bit says that there is no id
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), tag, text.alias("text"))  # both joins read this one exchange
+    tag = F.xxhash64(text).bitwiseAND(F.lit(-2)).bitwiseOR(unnamed.cast("long")).alias("tag")  # the last bit says that there is no id
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST) - F.octet_length(text)).alias("doc"), tag, text.alias("text"))  # both joins read this one exchange
     cut = docs.mapInArrow(_cut, ROWS).repartition("k1").sortWithinPartitions("k1")
     found = stage(cut.mapInArrow(_meet, ROWS), "rl-meet")
     key = ["doc", "tag"]

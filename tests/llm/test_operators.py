@@ -198,15 +198,16 @@ def test_jaccard_of_a_large_open_group(spark, monkeypatch):
 
 
 def tag_of(spark, texts):
-    """32-bit hash that orders different texts of one doc_id."""
-    return {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in set(texts)], "t string").select("t", F.hash("t").alias("h")).collect()}
+    """64-bit hash that orders different texts of one doc_id."""
+    return {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in set(texts)], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
 
 
 def brute_repeats(spark, given):
     """For each row of (doc_id, text) what stays, by the rules for repeated and missing ids."""
     tags = tag_of(spark, [t or "" for _, t in given])
     seen, out = set(), {}
-    for i, _, t in sorted({(2**63 - 1 if i is None else i, tags[t or ""] & -2, t or "") for i, t in given}):
+    last = lambda t: 2**63 - 1 - len((t or "").encode())
+    for i, _, t in sorted({(last(t) if i is None else i, tags[t or ""] & -2, t or "") for i, t in given}):
         b = t.encode()
         covered = bytearray(len(b))
         for s in range(len(b) - 99):
@@ -216,7 +217,7 @@ def brute_repeats(spark, given):
             seen.add(w)
         kept = bytes(x for x, c in zip(b, covered, strict=True) if not c)
         out[i, t] = (len(b), len(b) - len(kept), len(re.findall(b"\1+", covered)), hashlib.sha256(kept).hexdigest())
-    return sorted([(i, *out[2**63 - 1 if i is None else i, t or ""]) for i, t in given], key=str)
+    return sorted([(i, *out[last(t) if i is None else i, t or ""]) for i, t in given], key=str)
 
 
 REPEATS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -240,10 +241,37 @@ def test_run_length_index_of_shared_ids(spark):
     assert rows(rl_index.remove_repeats(spark.createDataFrame(given, "doc_id long, text string")), *REPEATS) == brute_repeats(spark, given)
 
 
-@pytest.mark.parametrize(("run", "chunk", "block"), [(1 << 23, 1 << 21, 1 << 18), (1, 1, 256), (5000, 3000, 900)])
-def test_run_length_index_of_many_contexts(spark, monkeypatch, run, chunk, block):
-    """One passage in hundreds of different contexts: exact for any size of runs, chunks and blocks, and blocks stay bounded."""
-    for name, value in (("RUN", run), ("CHUNK", chunk), ("BLOCK", block)):
+def test_run_length_index_of_clashing_hashes(spark):
+    """Rows of one id, or without ids, whose 32-bit hashes are equal are documents of their own."""
+    made = spark.range(300_000).select(F.concat(F.lit("only this one says so "), F.sha2(F.col("id").cast("string"), 512), F.lit(" and no other")).alias("t"))
+    a, b = sorted(made.groupBy(F.hash("t")).agg(F.collect_list("t").alias("x")).where("size(x) > 1").first()["x"])[:2]
+    given = [(1, a), (5, a), (5, b), (None, a), (None, b), (None, b + " ")]
+    assert rows(rl_index.remove_repeats(spark.createDataFrame(given, "doc_id long, text string")), *REPEATS) == brute_repeats(spark, given)
+
+
+def test_run_length_index_memory():
+    """A hot minimizer costs its segments and a turn's windows, not all windows at once."""
+    import tracemalloc
+
+    rnd = np.random.default_rng(1)
+    passage = bytes(rnd.integers(97, 123, 120, np.uint8))
+    strings = [bytes(x) + passage for x in rnd.integers(97, 123, (40_000, 60), np.uint8)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rl_index, "TURN", 1 << 17)
+        patch.setattr(rl_index, "CHUNK", 1 << 18)
+        tracemalloc.start()
+        whole, marked, _ = rl_index._marked(strings, np.zeros(len(strings), np.uint64), np.zeros(len(strings), bool))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    marked = marked.reshape(len(strings), 81)
+    assert not marked[0].any() and marked[1:, 60:].all() and not marked[:, :40].any() and not whole.any()
+    assert most < 64 << 20
+
+
+@pytest.mark.parametrize(("run", "chunk", "block", "turn"), [(1 << 23, 1 << 21, 1 << 18, 1 << 22), (1, 1, 256, 50), (5000, 3000, 900, 1 << 22), (5000, 3000, 900, 700)])
+def test_run_length_index_of_many_contexts(spark, monkeypatch, run, chunk, block, turn):
+    """One passage in hundreds of different contexts: exact for any size of runs, chunks, turns and blocks, and blocks stay bounded."""
+    for name, value in (("RUN", run), ("CHUNK", chunk), ("BLOCK", block), ("TURN", turn)):
         monkeypatch.setattr(rl_index, name, value)
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
@@ -274,14 +302,14 @@ def plain_run(given):
     """The operator's tasks one after the other, without Spark."""
     import pyarrow as pa
 
-    docs = pa.RecordBatch.from_pydict({"doc": [i for i, _ in given], "tag": pa.array([0] * len(given), pa.int32()), "text": [t for _, t in given]})
+    docs = pa.RecordBatch.from_pydict({"doc": [i for i, _ in given], "tag": pa.array([0] * len(given), pa.int64()), "text": [t for _, t in given]})
     table = pa.Table.from_batches(rl_index._cut(iter([docs]))).sort_by("k1")
     met = pa.Table.from_batches(rl_index._meet(iter(table.to_batches())))
     texts = {i: t.encode() for i, t in given}
     keep = met.filter(pa.compute.not_equal(met["kind"], 0)).to_pylist()
     for r in keep:
         r["piece"] = texts[r["doc"]][r["a"] : r["a"] + r["n"] + 99] if r["kind"] == 1 else None
-    sent = pa.Table.from_pylist(keep, pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("a", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("piece", pa.binary())])).sort_by("k1")
+    sent = pa.Table.from_pylist(keep, pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("a", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("piece", pa.binary())])).sort_by("k1")
     yield met.filter(pa.compute.equal(met["kind"], 0)).to_pydict()
     for batch in rl_index._stream(iter(sent.to_batches())):
         yield batch.to_pydict()
