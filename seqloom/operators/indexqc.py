@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.functions.scalars import INCOMPARABLE, index_distance, pct, reverse_complement
+from seqloom.functions.scalars import INCOMPARABLE, pct, reverse_complement
 
-SOURCES = ("I1_I2_FASTQ", "FASTQ_headers", "Top_Unknown_Barcodes")
+SOURCES = ("I1_I2_FASTQ", "FASTQ_header", "Top_Unknown_Barcodes")
 
 
 def header_counts(pairs: DataFrame, first: str, second: str) -> DataFrame:
@@ -34,51 +36,102 @@ def candidates(expected: DataFrame) -> DataFrame:
     return expected.select("sample", F.inline(ways))
 
 
-NEAR = 2  # distances up to this are found by equal parts of barcodes
-DEALS = 64  # tasks that share one form's remaining barcodes
+DEAL = 50_000  # barcodes of one form that a task compares
+_ROWS = 4096  # barcodes that are compared at once
+FOUND = "observed_barcode string, count long, single boolean, nearest_sample string, nearest_expected string, distance int, orientation string, tied_best_candidates long"
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """Of pairs(observed_barcode, count, d, sample, orientation, expected): the nearest and how many are tied with it, by partial aggregates."""
-    at = pairs.groupBy("observed_barcode", "count", "d").agg(F.min(F.struct("sample", "orientation", "expected")).alias("b"), F.count("*").alias("n"))
-    best = at.groupBy("observed_barcode", "count").agg(F.min_by(F.struct("d", "b", "n"), "d").alias("x"))
-    return best.select("observed_barcode", "count", F.col("x.b.sample").alias("nearest_sample"), F.col("x.b.expected").alias("nearest_expected"), F.col("x.d").alias("distance"), F.col("x.b.orientation").alias("orientation"), F.col("x.n").alias("tied_best_candidates"))
+def closest(observed: np.ndarray, expected: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(least distance, first row of ``expected`` at it, rows at it) of each row of letters, and the number of pairs compared.
 
-
-def _parts(barcode: Column) -> Column:
-    """The barcode in NEAR + 1 parts: two barcodes of one form within NEAR substitutions have an equal one."""
-    size = F.length(barcode)
-    at = [F.floor(size * F.lit(i) / (NEAR + 1)).cast("int") for i in range(NEAR + 2)]
-    return F.array(*[F.substring(barcode, a + 1, b - a) for a, b in zip(at, at[1:])])  # noqa: B905
+    Within r substitutions one of r + 1 parts is equal, so only rows with an equal part are compared; r grows until something lies within it.
+    Where more rows share a part than there are, each is compared once. What shares not even a letter with any is as far from all.
+    """
+    n, length = observed.shape
+    least, first, tied = np.full(n, length), np.zeros(n, np.int64), np.full(n, len(expected), np.int64)
+    left, compared, r = np.arange(n), 0, 2
+    while len(left) and length:
+        r = min(r, length - 1)
+        at = [length * i // (r + 1) for i in range(r + 2)]
+        weight = powers_of(length)
+        ranges = []
+        for x, y in zip(at, at[1:]):  # noqa: B905
+            own, theirs = (m[:, x:y].astype(np.uint64) @ weight[: y - x] for m in (observed[left], expected))
+            order = np.argsort(theirs, kind="stable")
+            ranges.append((order, *(np.searchsorted(theirs[order], own, side) for side in ("left", "right"))))
+        many = sum(high - low for _, low, high in ranges)
+        every = many > len(expected)
+        best = np.full(len(left), length + 1)
+        for rows in np.array_split(np.arange(len(left)), max(1, -(-len(left) // _ROWS))):
+            some, whole = rows[~every[rows]], rows[every[rows]]
+            pairs = [np.zeros(0, np.int64)]
+            for order, low, high in ranges:
+                k = (high - low)[some]
+                pairs.append(np.repeat(some, k) * len(expected) + order[np.repeat(low[some] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))])
+            a, b = np.divmod(np.unique(np.concatenate(pairs)), len(expected))
+            a, b = np.concatenate([a, np.repeat(whole, len(expected))]), np.concatenate([b, np.tile(np.arange(len(expected)), len(whole))])
+            compared += len(a)
+            d = np.concatenate([np.zeros(0, np.int64), *((observed[left[a[i : i + 65536]]] != expected[b[i : i + 65536]]).sum(1) for i in range(0, len(a), 65536))])
+            np.minimum.at(best, a, d)
+            hit = d == best[a]
+            row = left[a[hit]]
+            fresh = np.unique(row)
+            tied[fresh], first[fresh] = 0, len(expected)
+            np.add.at(tied, row, 1)
+            np.minimum.at(first, row, b[hit])
+        within = (best <= r) | every & (best <= length)
+        least[left[within]] = best[within]
+        left = left[~within]
+        if r == length - 1:
+            break
+        r = 2 * r + 1
+    tied[left], first[left] = len(expected), 0
+    return least, first, tied, compared
+
+
+def powers_of(n: int) -> np.ndarray:
+    """Odd weights that tell parts of some letters apart."""
+    return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _letters(column: pa.ChunkedArray) -> np.ndarray:
+    values = column.to_pylist()
+    return np.frombuffer("".join(values).encode("ascii", "replace"), np.uint8).reshape(len(values), -1)
+
+
+def _compared(observed: pa.Table, expected: pa.Table) -> pa.Table:
+    """Barcodes of one form with the nearest expected ones; without any of the form they stay open."""
+    names = [x.split()[0] for x in FOUND.split(", ")]
+    have = [observed.column(c) for c in ("observed_barcode", "count", "single")]
+    if not observed.num_rows or not expected.num_rows:
+        none = lambda kind: pa.nulls(observed.num_rows, kind)
+        return pa.table([*have, none(pa.string()), none(pa.string()), none(pa.int32()), none(pa.string()), none(pa.int64())], names)
+    expected = expected.sort_by([(c, "ascending") for c in ("sample", "orientation", "expected")])
+    least, first, tied, _ = closest(_letters(observed.column("observed_barcode")), _letters(expected.column("expected")))
+    near = expected.take(pa.array(first))
+    return pa.table([*have, near.column("sample"), near.column("expected"), pa.array(least.astype(np.int32)), near.column("orientation"), pa.array(tied)], names)
 
 
 def nearest(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """The nearest expected barcode of each observed(barcode, count), with the number tied at its distance.
 
-    Barcodes of one form (the lengths of their parts) are compared. What lies within NEAR substitutions shares a part, so an equi-join on form and part finds
-    it with all its ties. Only what is left meets all expected barcodes of its form, dealt to DEALS tasks each; a barcode without any of its form
-    is INCOMPARABLE to all of its kind (single or dual). Equal barcodes are counted beforehand.
+    Barcodes of one form (the lengths of their parts) are compared, by equal parts and a growing radius (``closest``); a form's barcodes are dealt to
+    tasks of at most some ``DEAL``, each with the form's expected ones. A barcode without any of its form is INCOMPARABLE to all of its kind (single or
+    dual). Equal barcodes are counted beforehand. Ties go to the first sample, orientation and barcode.
     """
-    form = lambda c: F.transform(F.split(c, "[+]"), F.length)
-    single = ~F.col("observed_barcode").contains("+")
-    o = observed.select(F.col("barcode").alias("observed_barcode"), "count").withColumns({"form": form(F.col("observed_barcode")), "single": single})
-    e = candidates(expected).withColumnRenamed("barcode", "expected").withColumn("form", form(F.col("expected")))
-    distance = index_distance(F.col("observed_barcode"), F.col("expected"))
-    left = o.withColumn("parts", _parts(F.col("observed_barcode"))).select("*", F.posexplode("parts").alias("at", "part"))
-    right = e.withColumn("others", _parts(F.col("expected"))).select("*", F.posexplode("others").alias("at", "part"))
-    first = F.array_position(F.zip_with("parts", "others", lambda x, y: x == y), True) - 1  # so that a pair counts once
-    close = left.join(right, ["form", "single", "at", "part"]).where(F.col("at") == first).withColumn("d", distance).where(F.col("d") <= NEAR)
-    near = _best(close)
-    rest = o.join(near.select("observed_barcode"), "observed_barcode", "left_anti").withColumn("deal", F.pmod(F.xxhash64("observed_barcode"), F.lit(DEALS)))
-    dealt = e.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DEALS - 1).cast("long"))))
-    far = _best(rest.join(dealt, ["form", "single", "deal"]).withColumn("d", distance))
-    alone = rest.join(e.select("form", "single").distinct(), ["form", "single"], "left_anti")
+    form = lambda c: F.array_join(F.transform(F.split(c, "[+]"), F.length), "+")
+    deals = max(1, -(-observed.count() // DEAL))
+    name = F.col("barcode")
+    o = observed.select(name.alias("observed_barcode"), "count", (~name.contains("+")).alias("single"), form(name).alias("form"), F.pmod(F.xxhash64(name), F.lit(deals)).alias("deal"))
+    e = candidates(expected).withColumnRenamed("barcode", "expected")
+    dealt = e.select("single", "sample", "orientation", "expected", form(F.col("expected")).alias("form"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))).alias("deal"))
+    found = o.groupBy("form", "single", "deal").cogroup(dealt.groupBy("form", "single", "deal")).applyInArrow(_compared, FOUND)
     kind = e.groupBy("single").agg(F.min(F.struct("sample", "orientation", "expected")).alias("b"), F.count("*").alias("n"))
-    apart = alone.join(kind, "single").select(
-        "observed_barcode", "count", F.col("b.sample").alias("nearest_sample"), F.col("b.expected").alias("nearest_expected"), F.lit(INCOMPARABLE).alias("distance"),
-        F.col("b.orientation").alias("orientation"), F.col("n").alias("tied_best_candidates"),
+    either = lambda c, other: F.when(F.col("distance").isNull(), other).otherwise(F.col(c)).alias(c)
+    return found.join(F.broadcast(kind), "single").select(
+        "observed_barcode", "count", either("nearest_sample", F.col("b.sample")), either("nearest_expected", F.col("b.expected")), either("distance", F.lit(INCOMPARABLE)),
+        either("orientation", F.col("b.orientation")), either("tied_best_candidates", F.col("n")),
     )
-    return near.union(far).union(apart)
 
 
 def substitutions(near: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -135,15 +188,18 @@ def unit_figures(totals: DataFrame) -> DataFrame:
 
 
 def summary(near: DataFrame, max_distance: int = 2) -> DataFrame:
-    """One row: reads analysed, exactly expected and within the distance, the expected-G profile and the preferred orientation."""
-    reads = lambda ok: F.coalesce(F.sum(F.when(ok, F.col("count"))), F.lit(0))
-    d = F.col("distance")
-    figures = {"observed_index_reads_analyzed": d >= 0, "exact_expected_index_reads": d == 0, f"within_{max_distance}_bp_expected_reads": d <= max_distance, "incomparable_index_reads": d >= INCOMPARABLE}
-    voted = near.groupBy("orientation").agg(*[reads(ok).alias(n) for n, ok in figures.items()])
+    """One row: reads analysed, exactly expected and within the distance, the expected-G profile and the preferred orientation. One pass over ``near``."""
+    d, weight = F.col("distance"), F.col("count")
+    reads = lambda ok: F.coalesce(F.sum(F.when(ok, weight)), F.lit(0))
+    figures = {"observed_index_reads_analyzed": reads(d >= 0), "exact_expected_index_reads": reads(d == 0), f"within_{max_distance}_bp_expected_reads": reads(d <= max_distance), "incomparable_index_reads": reads(d >= INCOMPARABLE)}
+    letters = F.zip_with(F.split("nearest_expected", ""), F.split("observed_barcode", ""), lambda e, o: F.when(e == "G", o))  # what expected G bases were read as
+    at_g = lambda ok: F.coalesce(F.sum(F.when(d <= max_distance, weight * F.size(F.filter("_letters", ok)))), F.lit(0)).cast("long")
+    figures |= {"expected_G_position_weighted_reads_within_threshold": at_g(lambda x: x.isNotNull()), "expected_G_to_G": at_g(lambda x: x == "G"), "expected_G_to_N": at_g(lambda x: x == "N")}
+    voted = near.withColumn("_letters", letters).groupBy("orientation").agg(*[f.alias(n) for n, f in figures.items()])
     votes = F.struct(-F.col("observed_index_reads_analyzed"), F.col("orientation"))
     head = voted.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in figures], F.min_by("orientation", votes).alias("preferred_i5_orientation"))
-    names = {"expected_g": "expected_G_position_weighted_reads_within_threshold", "g_to_g": "expected_G_to_G", "g_to_n": "expected_G_to_N", "g_to_other": "expected_G_to_other", "g_to_n_percent": "expected_G_to_N_percent", "g_to_other_percent": "expected_G_to_other_percent"}
-    return one_row(head, expected_g(substitutions(near, max_distance)).withColumnsRenamed(names))
+    all_, right, n = (F.col(c) for c in ("expected_G_position_weighted_reads_within_threshold", "expected_G_to_G", "expected_G_to_N"))
+    return head.withColumns({"expected_G_to_other": all_ - right - n, "expected_G_to_N_percent": pct(n, all_), "expected_G_to_other_percent": pct(all_ - right - n, all_)})
 
 
 def one_row(*frames: DataFrame) -> DataFrame:

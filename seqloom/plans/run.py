@@ -12,7 +12,7 @@ import os
 import shutil
 import sys
 import time
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,10 +140,11 @@ def index_quality(spark: SparkSession, c: source.RunConfig, barcodes: dict[str,
     return figures
 
 
-def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict[str, dict]:
-    """Writes all outputs below ``c.outdir``; returns the metrics by sample and roll-up."""
+def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Callable[[str], object] = lambda text: None) -> dict[str, dict]:
+    """Writes all outputs below ``c.outdir``; returns the metrics by sample and roll-up. ``say`` is told of each step."""
     began = time.time()
     c = c.checked()
+    say("[1/6] designs and files")
     sink.prepare_folder(c.outdir, c.overwrite)
     at = lambda *p: os.path.join(c.outdir, *p)
     files = Files(c)
@@ -155,6 +156,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
     if n_twice:
         warnings.append(f"{n_twice} design sequences are listed more than once and can't be told apart")
 
+    say(f"[2/6] reads of {len(names)} samples in {len(files.files)} files")
     pairs = _kept(read_pairs(spark, c.input_dir, c.max_reads), at("tables", "reads"))
     index, left = _kept(files.index_reads(spark), at("tables", "index_reads")), _kept(files.leftover(spark), at("tables", "leftover_reads"))
     spiked, rest = None, pairs
@@ -163,7 +165,9 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
         spiked = _kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), at("tables", "spike_in"))
         rest = pairs.join(spiked, UNIT, "left_anti")
     evidence = _kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), at("tables", "evidence"))
+    say("[3/6] matching")
     units = _kept(classify(pairs, evidence, designs, c, spiked), at("tables", "units"))
+    say("[4/6] read quality and library statistics")
     qc_rows = run_quality(spark, files, files.quality(spark, pairs, index, left), c.outdir)
 
     rolled = library.with_rollups(units, F.col("is_undetermined"))
@@ -210,10 +214,12 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
         seen = units.join(designs.select("ref_index", "ids"), "ref_index", "left").withColumn("design_key", F.coalesce(key, F.lit("")))
         sink.write_observed(library.observed_sequences(seen), at("observed_sequences"))
 
+    say("[5/6] sample indexes")
     figures = index_quality(spark, c, index_sources(spark, pairs, index, left, c), rows, warnings, c.outdir)
     kinds: dict[str, dict] = {s: {} for s in rows}
     for r in categories.orderBy("sample", "category").collect():
         kinds[r["sample"]][r["category"]] = r["count"]
+    say("[6/6] reports")
     curves = "".join(f"<h3>{html.escape(s)}</h3>" + sink.curve(points) for s, points in _curves(full, rows))
     n_ids, n_unique = designs.agg(F.sum("n_ids"), F.count("*")).first()
     facts = {"design_ids": n_ids, "unique_designs": n_unique, "duplicated_designs": n_twice, "fastq_files": len(files.files), "samples": len(names), "units": rows[library.EVERYTHING]["total_units"]}
@@ -223,6 +229,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "") -> dict
     full.unpersist()
     designs.unpersist()
     sink.write_manifest(at("manifest.json"), __version__, command, asdict(c), names, facts, warnings, time.time() - began)
+    say(f"Done in {time.time() - began:.1f} seconds: {at('report.html')}, {at('RESULTS_TO_SHARE.txt')}")
     return rows
 
 
@@ -289,7 +296,7 @@ def main(argv: list[str] | None = None) -> int:
     path = given.pop("config")
     config = source.RunConfig.load(path) if path else source.RunConfig()
     config = replace(config, **{k: v for k, v in given.items() if v is not None})
-    analyse(SparkSession.builder.appName("seqloom").getOrCreate(), config, " ".join(["seqloom.plans.run", *(sys.argv[1:] if argv is None else argv)]))
+    analyse(SparkSession.builder.appName("seqloom").getOrCreate(), config, " ".join(["seqloom.plans.run", *(sys.argv[1:] if argv is None else argv)]), lambda text: print(text, flush=True))
     return 0
 
 

@@ -98,7 +98,7 @@ def write_tsvs(df: DataFrame, key: str, paths: Callable[[str], list[str]], order
 
 def write_observed(df: DataFrame, path: str) -> None:
     """Gzipped TSV parts, ordered by sample, falling count, design and sequence across the parts."""
-    ordered = df.orderBy("sample", F.desc("count"), "design_key", "observed")
+    ordered = df.withColumnRenamed("observed", "observed_target_sequence").orderBy("sample", F.desc("count"), "design_key", "observed_target_sequence")
     ordered.write.mode("errorifexists").option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
 
 

@@ -49,7 +49,9 @@ def genome(spark: SparkSession, path: str) -> DataFrame:
 
 def _delimited(path: str) -> list[list[str]]:
     with open_text(path) as f:
-        text = f.read().lstrip("﻿")
+        text = f.read().lstrip("\ufeff")
+    if not text.strip():
+        return []
     try:
         mark = csv.Sniffer().sniff(text[:8192], delimiters=",\t;").delimiter
     except csv.Error:
@@ -62,7 +64,7 @@ def design_rows(path: str, id_column: str = "Variant_ID", sequence_column: str =
     if path.lower().endswith(FASTA):
         rows = [(i, name, clean_dna(seq)) for i, (name, seq) in enumerate(fasta_records(path))]
     else:
-        head, *body = _delimited(path)
+        head, *body = _delimited(path) or [[]]
         at = {c.strip().lower(): i for i, c in enumerate(head)}
         try:
             a, b = at[id_column.strip().lower()], at[sequence_column.strip().lower()]
@@ -94,38 +96,53 @@ def designs(spark: SparkSession, path: str, left_primer: str, right_primer: str,
 
 
 def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """(sample, i7, i5), upper case, from the [Data] section or the whole file; rows without sample or i7 are skipped."""
-    rows = _delimited(path)
-    data = [i for i, r in enumerate(rows) if r and r[0].strip().lower() == "[data]"]
-    head, *body = rows[data[0] + 1 :] if data else rows
+    """(sample, i7, i5), upper case, from the [Data] section or the whole file; rows without sample or i7 are skipped.
+
+    Blank lines don't count. Of the names that a column may have, the first one that isn't blank in a row is taken. An empty sheet gives no rows.
+    """
+    rows = [r for r in _delimited(path) if any(c.strip() for c in r)]
+    data = [i for i, r in enumerate(rows) if r[0].strip().lower() == "[data]"]
+    head, *body = (rows[data[0] + 1 :] if data else rows) or [[]]
     names = [c.strip().lower() for c in head]
-    column = lambda *alias: next((names.index(a) for a in alias if a in names), None)
-    at = (column("sample_id", "sampleid", "sample_name", "samplename"), column("index", "index1"), column("index2"))
     out = []
     for row in body:
-        value = [row[i].strip().upper() if i is not None and i < len(row) else "" for i in at]
-        i7, i5 = (re.sub("[^ACGTN]", "", v) for v in value[1:])
-        if value[0] and i7:
-            out.append((value[0], i7, i5))
+        cells = dict(zip(names, (c.strip().upper() for c in row)))  # noqa: B905
+        value = lambda *alias: next((cells[a] for a in alias if cells.get(a)), "")  # noqa: B023, E731
+        sample, i7, i5 = value("sample_id", "sampleid", "sample_name", "samplename"), value("index", "index1"), value("index2")
+        i7, i5 = (re.sub("[^ACGTN]", "", v) for v in (i7, i5))
+        if sample and i7:
+            out.append((sample, i7, i5))
     return spark.createDataFrame(out, "sample string, i7 string, i5 string")
 
 
+def _whole_number(cell: str) -> int | None:
+    """A count as tables write it (1,234 or 1e3), cut to a whole number; None for other words and negative numbers."""
+    try:
+        n = int(float(cell.replace(",", "")))
+    except (ValueError, OverflowError):
+        return None
+    return n if n >= 0 else None
+
+
 def unknown_barcodes(spark: SparkSession, path: str) -> DataFrame:
     """(barcode, count) of a table of unassigned barcodes: columns named like index or barcode and like count are
-    looked at first, the others in order; a row without a count counts once."""
-    head, *body = _delimited(path)
+    looked at first, the others in order; a row without a count counts once. An empty table gives none."""
+    head, *body = _delimited(path) or [[]]
     order = lambda words: sorted(range(len(head)), key=lambda i: (not any(w in head[i].lower() for w in words), i))
     codes, numbers = order(("barcode", "index")), order(("count", "read", "cluster"))
     out = []
     for row in body:
         code = next((c for i in codes if i < len(row) and (c := row[i].strip().upper().replace("-", "+").replace("_", "+")) and re.fullmatch("[ACGTN+]+", c) and len(c.replace("+", "")) >= 6), None)
-        if code is None:
-            continue
-        n = next((int(float(v)) for i in numbers if i < len(row) and re.fullmatch(r"\d+(\.\d+)?", v := row[i].strip().replace(",", ""))), 1)
-        out.append((code, n))
+        if code is not None:
+            out.append((code, next((n for i in numbers if i < len(row) and (n := _whole_number(row[i].strip())) is not None), 1)))
     return spark.createDataFrame(out, "barcode string, count long").groupBy("barcode").agg(F.sum("count").alias("count"))
 
 
+# Other names that configurations give an option, and the words for yes and no.
+OPTION_NAMES = {"phix_enabled": "phix_qc"}
+YES_NO = {"1": True, "yes": True, "true": True, "on": True, "0": False, "no": False, "false": False, "off": False}
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """Options of a run; ``load`` reads them from an INI file, relative paths against its folder."""
@@ -159,14 +176,16 @@ class RunConfig:
         ini = configparser.ConfigParser(interpolation=None)
         if not ini.read(path):
             raise FileNotFoundError(path)
-        flat = {k: v.strip() for section in ini.sections() for k, v in ini[section].items() if v.strip()}
+        flat = {OPTION_NAMES.get(k, k): v.strip() for section in ini.sections() for k, v in ini[section].items() if v.strip()}
         known = {f.name: f.type for f in fields(RunConfig)}
         values: dict = {"write_observed_sequences": True}
         for k, v in flat.items():
             if k not in known:
                 continue
             kind = known[k]
-            values[k] = v.lower() in ("1", "yes", "true", "on") if kind == "bool" else int(v) if kind.startswith("int") else float(v) if kind.startswith("float") else v
+            if kind == "bool" and v.lower() not in YES_NO:
+                raise ValueError(f"{path}: {k} is yes or no, not {v!r}")
+            values[k] = YES_NO[v.lower()] if kind == "bool" else int(v) if kind.startswith("int") else float(v) if kind.startswith("float") else v
             if k in ("input_dir", "reference", "outdir", "sample_sheet", "top_unknown", "phix_reference") and "://" not in v:
                 values[k] = os.path.normpath(os.path.join(os.path.dirname(os.path.abspath(path)), v))
         return RunConfig(**values)

@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 import random
@@ -19,7 +20,10 @@ def run(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("run"))
     make_run(root)
     config = tables.RunConfig.load(f"{root}/run.ini")
-    return root, config, analyse(spark, config)
+    said = []
+    rows = analyse(spark, config, say=said.append)
+    assert [x[:5] for x in said[:-1]] == [f"[{i}/6]" for i in range(1, 7)] and said[-1].startswith("Done in ") and "report.html" in said[-1]
+    return root, config, rows
 
 
 def test_golden_figures(run):
@@ -64,10 +68,24 @@ def test_outputs(run):
     m = json.load(open(f"{out}/manifest.json"))
     assert len(m["reference_sha256"]) == 64 and m["sample_names"] == ["pDNA", "Undetermined"] and m["counts"]["units"] == 1093 and m["arguments"]["left_primer"] == LEFT and m["version"] and m["warnings"] == []
     assert sorted(os.listdir(f"{out}/tables")) == ["units"]
+    seen = spark_csv(f"{out}/observed_sequences")
+    assert seen[0] == ["sample", "design_key", "observed_target_sequence", "match_type", "count"] and sum(int(r[-1]) for r in seen[1:]) == 1043
+    assert {r["source"] for r in table(f"{out}/index_qc/top_observed_barcodes.tsv")} == {"I1_I2_FASTQ", "FASTQ_header", "Top_Unknown_Barcodes"}
     with pytest.raises(FileExistsError):
         analyse(None, config)
 
 
+def spark_csv(folder):
+    """Rows of gzipped TSV parts, the header once."""
+    found = []
+    for name in sorted(os.listdir(folder)):
+        if name.endswith(".gz"):
+            with gzip.open(f"{folder}/{name}", "rt") as lines:
+                head, *rows = (x.rstrip("\n").split("\t") for x in lines)
+            found += rows if found else [head, *rows]
+    return found
+
+
 def test_sample_files(run):
     root, _, rows = run
     m = table(f"{root}/out/samples/pDNA/pDNA_library_metrics.tsv")
