@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seqloom.functions.scalars import log10_count, pct
+from seqloom.operators.numbering import numbered
+from seqloom.sinks.store import kept
 
 ASSIGNED, EVERYTHING = "ALL_ASSIGNED", "ALL_WITH_UNDETERMINED"
 
@@ -75,10 +77,11 @@ def _spearman(cells: DataFrame, x: str, y: str, name: str, least: int = 3) -> Da
 def library_metrics(full: DataFrame) -> DataFrame:
     """One row per sample of full(sample, ref_index, n_ids, length, gc, exact, near, total).
 
-    Designs are added up to cells of equal length, gc and count first; everything is computed from those with their numbers, so
+    Designs are added up to cells of equal length, gc and count once; everything is computed from those with their numbers, so
     no window or sort sees single designs.
     """
     cells = full.groupBy("sample", "length", "gc", "total").agg(F.count("*").alias("m"), F.sum("n_ids").alias("ids"), F.sum("exact").alias("exact"), F.sum("near").alias("near"))
+    cells = kept(cells, "cells")
     own = W.partitionBy("sample")
     total, m = F.col("total"), F.col("m")
     steps = _steps(cells, "total").withColumns({"n": F.sum("m").over(own), "all": F.sum(m * total).over(own)})
@@ -140,9 +143,18 @@ def with_rollups(rows: DataFrame, undetermined: Column) -> DataFrame:
     return rows.withColumn("sample", F.explode(labels))
 
 
-def classification(rows: DataFrame, by: list[str], category: str) -> DataFrame:
-    """Count and percent of each category that occurs."""
-    n = rows.groupBy(*by, F.col(category).alias("category")).agg(F.count("*").alias("count"))
+def rolled_up(counts: DataFrame, keys: list[str], undetermined: Column) -> DataFrame:
+    """Additive counts(sample, keys, ..) of each sample, and summed for the roll-ups: few rows are repeated, not the units."""
+    sums = [c for c in counts.columns if c not in ("sample", *keys)]
+    return with_rollups(counts, undetermined).groupBy("sample", *keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def category_counts(rows: DataFrame, by: list[str], category: str) -> DataFrame:
+    return rows.groupBy(*by, F.col(category).alias("category")).agg(F.count("*").alias("count"))
+
+
+def classification(n: DataFrame, by: list[str]) -> DataFrame:
+    """Category counts with the percent of each category that occurs."""
     return n.withColumn("percent", pct(F.col("count"), F.sum("count").over(W.partitionBy(*by) if by else W.partitionBy(F.lit(0)))))
 
 
@@ -156,12 +168,15 @@ def rpm_matrix(full: DataFrame, keys: list[str], samples: list[str]) -> DataFram
     return frequencies(full).groupBy(*keys).pivot("sample", samples).agg(F.sum("reads_per_million"))
 
 
-def group_designs(rows: DataFrame, ordinal: str = "ord") -> DataFrame:
-    """Unique sequences of rows(ord, id, sequence) with their ids in input order; ref_index by (first id, sequence)."""
+def unique_designs(rows: DataFrame, ordinal: str = "ord") -> DataFrame:
+    """Unique sequences of rows(ord, id, sequence) with their ids in input order."""
     ids = F.transform(F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col("id").alias("id")))), lambda s: s["id"])
-    groups = rows.groupBy("sequence").agg(ids.alias("ids"))
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.col("ids")[0], "sequence")) - 1
-    return groups.withColumns({"ref_index": place, "n_ids": F.size("ids").cast("long")})
+    return rows.groupBy("sequence").agg(ids.alias("ids")).withColumn("n_ids", F.size("ids").cast("long"))
+
+
+def group_designs(rows: DataFrame, ordinal: str = "ord") -> DataFrame:
+    """The same with ref_index, their place by (first id, sequence)."""
+    return numbered(unique_designs(rows, ordinal).withColumn("first_id", F.col("ids")[0]), ["first_id", "sequence"], "ref_index").drop("first_id")
 
 
 def duplicates(groups: DataFrame) -> DataFrame:
@@ -172,8 +187,3 @@ def observed_sequences(matches: DataFrame) -> DataFrame:
     """Counts of observed targets without N by sample, design and match type."""
     seen = matches.where((F.col("observed") != "") & ~F.col("observed").contains("N"))
     return seen.groupBy("sample", "design_key", "observed", "match_type").agg(F.count("*").alias("count"))
-
-
-def first_rows(rows: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
-    """The first n rows of each group, as a run limited to n reads a sample takes them."""
-    return rows.withColumn("_place", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("_place") <= n).drop("_place")

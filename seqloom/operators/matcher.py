@@ -11,10 +11,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqloom.operators.qc import flat_letters
+
 COVERAGE = 0.95
 
 
@@ -55,45 +58,59 @@ def candidates(units: DataFrame, designs: DataFrame, key: list[str], signature:
     return sets.select(*key, F.explode(chosen).alias("ref_index"))
 
 
-def consensus(length: int, prefix: str | None, prefix_q: str | None, suffix: str | None, suffix_q: str | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """(bases, covered, disagreements) over a design's length: prefix from the left, suffix from the right; where they
-    disagree the better quality wins, the prefix on ties."""
-    base, qual = np.full(length, ord("N"), np.uint8), np.full(length, -1)
-
-    def values(q: str | None, n: int) -> np.ndarray:
-        have = np.maximum(0, np.frombuffer((q or "").encode("latin-1", "replace"), np.uint8).astype(int) - 33)[:n]
-        return np.concatenate([have, np.zeros(n - len(have), int)])
-
-    if prefix:
-        n = min(length, len(prefix))
-        base[:n] = np.frombuffer(prefix[:n].encode("ascii", "replace"), np.uint8)
-        qual[:n] = values(prefix_q, len(prefix))[:n]
-    apart = 0
-    if suffix:
-        n = min(length, len(suffix))
-        own, q = np.frombuffer(suffix[-n:].encode("ascii", "replace"), np.uint8), values(suffix_q, len(suffix))[-n:]
-        at = slice(length - n, length)
-        free = qual[at] < 0
-        differ = ~free & (base[at] != own)
-        apart = int(differ.sum())
-        take = free | differ & (q > qual[at])
-        base[at] = np.where(take, own, base[at])
-        qual[at] = np.where(take, q, qual[at])
-    return base, qual >= 0, apart
+def _spread(column: pa.Array, length: int, right: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(letters, whether a letter is there) of strings laid over ``length`` places, from the left or up to the right end."""
+    letters, at = flat_letters(column)
+    size = np.diff(at)[:, None]
+    place = np.arange(length) + (size - length if right else 0)
+    there = (place >= 0) & (place < size)
+    return np.append(letters, np.uint8(0))[np.where(there, place + at[:-1, None], len(letters))], there
+
+
+def consensus(length: int, prefix: pa.Array, prefix_q: pa.Array, suffix: pa.Array, suffix_q: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bases, covered, disagreements) of reads over designs of one length, a row each: prefixes from the left, suffixes from the right; where they
+    disagree the better quality wins, the prefix on ties. Bases without a quality have quality 0; uncovered places are N.
+    """
+
+    def side(bases: pa.Array, quality: pa.Array, right: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        letters, there = _spread(bases, length, right)
+        values, known = flat_letters(quality), pc.fill_null(pc.utf8_length(bases), 0).to_numpy(zero_copy_only=False)[:, None]
+        place = np.arange(length) + (known - length if right else 0)  # in the read, whose qualities count from its start
+        have = there & (place < np.diff(values[1])[:, None])
+        found = np.append(values[0], np.uint8(33))[np.where(have, place + values[1][:-1, None], len(values[0]))]
+        return letters, there, np.maximum(found, 33).astype(np.int16) - 33
+
+    (base, first, own), (other, second, theirs) = side(prefix, prefix_q, False), side(suffix, suffix_q, True)
+    differ = first & second & (base != other)
+    take = second & (~first | differ & (theirs > own))
+    base = np.where(take, other, np.where(first, base, np.uint8(ord("N"))))
+    return base, first | second, differ.sum(1)
+
+
+CELLS = 1 << 21  # letters that one step scores
 
 
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs, scored together where their designs have one length."""
+    names = ("sequence", "prefix", "prefix_q", "suffix", "suffix_q")
     for batch in batches:
-        names = ("sequence", "prefix", "prefix_q", "suffix", "suffix_q")
-        out = []
-        for seq, *reads in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names), strict=True):
-            base, covered, apart = consensus(len(seq), *reads)
-            wrong = int((covered & (base != np.frombuffer(seq.encode(), np.uint8))).sum())
-            out.append((wrong, apart, base.tobytes().decode(), bool(covered.sum() / len(seq) >= COVERAGE)))
-        cols = list(zip(*out, strict=True)) or [[]] * 4
-        keep = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] not in names]
-        kept = [n for n in batch.schema.names if n not in names]
-        yield pa.RecordBatch.from_arrays([*keep, *[pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.bool_()), strict=True)]], [*kept, "distance", "disagreements", "observed", "enough"])
+        size = pc.utf8_length(batch.column(batch.schema.get_field_index("sequence"))).to_numpy(zero_copy_only=False)
+        order = np.argsort(size, kind="stable")
+        i = 0
+        while i < len(order):
+            length = int(size[order[i]])
+            j = min(int(np.searchsorted(size[order], length, "right")), i + max(1, CELLS // max(1, length)))
+            some = batch.take(pa.array(order[i:j]))
+            design, *reads = (some.column(some.schema.get_field_index(c)) for c in names)
+            base, covered, apart = consensus(length, *reads)
+            wanted, _ = _spread(design, length, False)
+            wrong = (covered & (base != wanted)).sum(1)
+            ends = pa.py_buffer((np.arange(j - i + 1) * length).astype(np.int32))
+            observed = pa.Array.from_buffers(pa.string(), j - i, [None, ends, pa.py_buffer(np.ascontiguousarray(base))])
+            kept = [n for n in some.schema.names if n not in names]
+            columns = [*[some.column(some.schema.get_field_index(n)) for n in kept], pa.array(wrong.astype(np.int32)), pa.array(apart.astype(np.int32)), observed, pa.array(covered.sum(1) / length >= COVERAGE)]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "distance", "disagreements", "observed", "enough"])
+            i = j
 
 
 def match(units: DataFrame, designs: DataFrame, key: list[str], signature: int = 20, max_mismatches: int = 2) -> DataFrame:

@@ -26,7 +26,7 @@ _CODE[np.frombuffer(_BASES.encode(), np.uint8)] = np.arange(4)
 STEP = 1 << 20
 
 
-def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def flat_letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(letters of all rows, where each row's begin); nulls are empty, letters outside ASCII are one '?' each."""
     column = pc.fill_null(column.cast(pa.string()), "")
     if pc.sum(pc.binary_length(column)).as_py() != pc.sum(pc.utf8_length(column)).as_py():
@@ -53,7 +53,7 @@ def _steps(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nda
     i = 0
     while i < batch.num_rows:
         j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + STEP, "right")))
-        (bases, at), (quals, at_q) = _bytes(seq.slice(i, j - i)), _bytes(qual.slice(i, j - i))
+        (bases, at), (quals, at_q) = flat_letters(seq.slice(i, j - i)), flat_letters(qual.slice(i, j - i))
         if not np.array_equal(at, at_q):
             raise ValueError("a read has unequal numbers of bases and qualities")
         yield i, j, _CODE[bases], np.maximum(quals, 33) - np.uint8(33), at
@@ -85,7 +85,7 @@ def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
             for i, j, _, q, at in _steps(batch):
                 total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[at])  # noqa: B023, E731
                 own, size = code[i:j], np.diff(at)
-                ns = total(_bytes(seq.slice(i, j - i))[0] == n_base)
+                ns = total(flat_letters(seq.slice(i, j - i))[0] == n_base)
                 for name, value in (("total_reads", np.ones_like(size)), ("total_bases", size), ("q", total(q)), ("q20", total(q >= 20)), ("q30", total(q >= 30)), ("ns", ns), ("with_n", ns > 0)):
                     np.add.at(out[name], own, value)
                 np.minimum.at(out["min_length"], own, size)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
-from seqloom.operators import anchors, controls, indexqc, library, matcher, qc
+from seqloom.operators import anchors, controls, indexqc, library, matcher, numbering, qc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -147,18 +147,18 @@ def rpm_matrix(spark: SparkSession, d: str) -> DataFrame:
 c as (select sample, user_id, count(*) n from r group by 1, 2) select sample, count(*) designs, sum(n)::bigint reads, max(n) most, round(quantile_cont(n, 0.9), 6) p90 from c group by 1""")
 def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "events").select(F.col("event_type").alias("sample"), "user_id")
-    counts = library.with_rollups(rows, F.col("sample") == "error").groupBy("sample", "user_id").agg(F.count("*").alias("n"))
+    counts = library.rolled_up(rows.groupBy("sample", "user_id").agg(F.count("*").alias("n")), ["user_id"], F.col("sample") == "error")
     return _rounded(counts.groupBy("sample").agg(F.count("*").alias("designs"), F.sum("n").alias("reads"), F.max("n").alias("most"), F.percentile("n", F.lit(0.9)).alias("p90")))
 
 
 @query("select event_type category, count(*) count, round(100.0::double * count(*) / sum(count(*)) over (), 6) percent from events group by 1")
 def classification(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(library.classification(_t(spark, d, "events"), [], "event_type"))
+    return _rounded(library.classification(library.category_counts(_t(spark, d, "events"), [], "event_type"), []))
 
 
 @query("select l_linestatus sample, l_returnflag category, count(*) count, round(100.0::double * count(*) / sum(count(*)) over (partition by l_linestatus), 6) percent from lineitem group by 1, 2")
 def classification_by_sample(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(library.classification(_t(spark, d, "lineitem").withColumnRenamed("l_linestatus", "sample"), ["sample"], "l_returnflag"))
+    return _rounded(library.classification(library.category_counts(_t(spark, d, "lineitem").withColumnRenamed("l_linestatus", "sample"), ["sample"], "l_returnflag"), ["sample"]))
 
 
 @query(f"""with m as (select {_SAMPLE} sample, case l_returnflag when 'A' then 'exact' when 'R' then 'near' else case when l_discount < 0.03 then 'phix' else 'ambiguous' end end k, l_discount >= 0.02 l, l_tax >= 0.02 r, l_linenumber dis, l_quantity < 5 hm from lineitem),
@@ -199,14 +199,27 @@ def per_cycle_qc(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(qc.cycle_qc(_reads(spark, d), ["lang"]))
 
 
-@query(f"""with g as (select {_dna("text")} s from benchmark), w as (select s || left(s, 26) s from g where length(s) >= 27), st as (select s from w union all select {_rc("s")} from w),
-k as (select distinct substr(s, i::int, 27) kmer from (select s, unnest(range(1, length(s) - 25)) i from st)),
-r as (select doc_id, {_dna("text")} s from documents), p as (select doc_id, s, unnest(list_distinct(list_append(range(0, length(s) - 26, 7), length(s) - 27))) i from r where length(s) >= 27)
-select doc_id, count(*) hits from p where substr(s, i::int + 1, 27) in (select kmer from k) group by 1""")
-def spikein_kmers(spark: SparkSession, d: str) -> DataFrame:
+def _sql_kmers(k: int) -> str:
+    return f"""with g as (select {_dna("text")} s from benchmark), w as (select s || left(s, {k - 1}) s from g where length(s) >= {k}), st as (select s from w union all select {_rc("s")} from w),
+k as (select distinct substr(s, i::int, {k}) kmer from (select s, unnest(range(1, length(s) - {k - 2})) i from st)),
+r as (select doc_id, {_dna("text")} s from documents), p as (select doc_id, s, unnest(list_distinct(list_append(range(0, length(s) - {k - 1}, 7), length(s) - {k}))) i from r where length(s) >= {k})
+select doc_id, count(*) hits from p where substr(s, i::int + 1, {k}) in (select kmer from k) group by 1"""
+
+
+def _kmers(spark: SparkSession, d: str, k: int) -> DataFrame:
     genomes = _t(spark, d, "benchmark").select(S.text_dna(F.col("text")).alias("sequence"))
     units = _t(spark, d, "documents").select("doc_id", S.text_dna(F.col("text")).alias("s"))
-    return controls.kmer_hits(units, ["doc_id"], [F.col("s")], controls.genome_kmers(genomes, 27), 27)
+    return controls.kmer_hits(units, ["doc_id"], [F.col("s")], controls.genome_kmers(genomes, k), k)
+
+
+@query(_sql_kmers(27))
+def spikein_kmers(spark: SparkSession, d: str) -> DataFrame:
+    return _kmers(spark, d, 27)
+
+
+@query(_sql_kmers(51))
+def spikein_kmers_51(spark: SparkSession, d: str) -> DataFrame:
+    return _kmers(spark, d, 51)
 
 
 _ANCHOR = "CTACGACA"
@@ -258,6 +271,21 @@ def near_match(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(matcher.match(units, designs.select("ref_index", "sequence"), ["unit"], signature=8, max_mismatches=2))
 
 
+_FULL = _dna("p_name || p_type")
+
+
+@query(f"""with r as (select p_partkey unit, {_FULL} s from part), ids as (select s, min(unit) f from r group by 1), designs as (select s, row_number() over (order by f::varchar, s) - 1 ref_index from ids)
+select unit, case when unit % 3 < 2 then 'exact' else 'no_candidate' end match_type, case when unit % 3 < 2 then ref_index end ref_index, case when unit % 3 < 2 then s end observed, case when unit % 3 < 2 then 0 end::bigint distance, 0::bigint disagreements from r join designs using (s)""")
+def full_target_match(spark: SparkSession, d: str) -> DataFrame:
+    """Every part as a design, and as a pair whose whole target is read at its first or second place, or is none of the designs'."""
+    parts = _t(spark, d, "part").select("p_partkey", S.text_dna(F.concat("p_name", "p_type")).alias("s"))
+    designs = library.group_designs(parts.select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), F.col("s").alias("sequence")))
+    kind, none = F.col("p_partkey") % 3, F.lit(None).cast("string")
+    fulls = F.when(kind == 0, F.array("s")).when(kind == 1, F.array(F.lit("ACGT"), "s")).otherwise(F.array(F.lit("ACGT")))
+    units = parts.select(F.col("p_partkey").alias("unit"), *[none.alias(c) for c in ("prefix", "prefix_q", "suffix", "suffix_q")], fulls.alias("fulls"), F.lit(True).alias("left_anchor"), F.lit(False).alias("right_anchor"))
+    return _rounded(matcher.match(units, designs.select("ref_index", "sequence"), ["unit"]))
+
+
 # --- sample indexes: part type and name are the two parts of a barcode, each type is a sample
 
 _SQL_NEAR = f"""o as (select {_dna("p_type")} || '+' || {_dna("p_name")} b, count(*) n from part group by 1),
@@ -355,7 +383,7 @@ def observed_sequences(spark: SparkSession, d: str) -> DataFrame:
 @query(f"select {_dna('p_name')} sequence, string_agg(p_partkey::varchar, '|' order by p_partkey) ids, count(*) id_count from part group by 1 having count(*) > 1")
 def design_duplicates(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "part").select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("id"), S.text_dna(F.col("p_name")).alias("sequence"))
-    return library.duplicates(library.group_designs(rows))
+    return library.duplicates(library.unique_designs(rows))
 
 
 @query(f"select doc_id, {_rc(_dna('text', S.LETTER_BASES_N))} rc, round(100.0::double * {_n(_dna('text'), 'GC')} / nullif(length({_dna('text')}), 0), 6) gc_percent from documents")
@@ -414,8 +442,9 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select l_returnflag, l_orderkey, l_linenumber, l_partkey from (select *, row_number() over (partition by l_returnflag order by l_orderkey, l_linenumber, l_partkey) rn from lineitem) where rn <= 1000")
 def max_reads_prefix(spark: SparkSession, d: str) -> DataFrame:
-    rows = library.first_rows(_t(spark, d, "lineitem"), ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], 1000)
-    return _rounded(rows.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"))
+    rows = _t(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", F.expr("l_orderkey div 1024").alias("chunk"))
+    rows = numbering.first_rows(rows, ["l_returnflag"], ["chunk"], ["l_orderkey", "l_linenumber", "l_partkey"], 1000)
+    return _rounded(rows.drop("chunk"))
 
 
 @query("""with a as (select conv_id, turn // 2 ord, text from conversations where turn % 2 = 0), b as (select conv_id, turn // 2 ord, text from conversations where turn % 2 = 1)

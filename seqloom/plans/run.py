@@ -9,7 +9,6 @@ from __future__ import annotations
 import argparse
 import html
 import os
-import shutil
 import sys
 import time
 from collections.abc import Callable, Iterable, Iterator
@@ -22,6 +21,7 @@ from seqloom import __version__
 from seqloom.functions.scalars import INCOMPARABLE, canonical_read_id, header_index
 from seqloom.operators import anchors, controls, indexqc, library, matcher, qc
 from seqloom.sinks import tables as sink
+from seqloom.sinks.store import kept
 from seqloom.sources import tables as source
 from seqloom.sources.fastq import discover, read_fastq
 
@@ -43,12 +43,6 @@ def classify(pairs: DataFrame, evidence: DataFrame, designs: DataFrame, c: sourc
     return rows.join(info, UNIT)
 
 
-def _kept(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written once and read from there: what it takes is done once."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Files:
     """The FASTQ files of a run: which are read as pairs, as index reads, or are left over."""
 
@@ -157,33 +151,33 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
         warnings.append(f"{n_twice} design sequences are listed more than once and can't be told apart")
 
     say(f"[2/6] reads of {len(names)} samples in {len(files.files)} files")
-    pairs = _kept(read_pairs(spark, c.input_dir, c.max_reads), at("tables", "reads"))
-    index, left = _kept(files.index_reads(spark), at("tables", "index_reads")), _kept(files.leftover(spark), at("tables", "leftover_reads"))
+    pairs = kept(read_pairs(spark, c.input_dir, c.max_reads), "reads")
+    index, left = kept(files.index_reads(spark), "index-reads"), kept(files.leftover(spark), "leftover-reads")
     spiked, rest = None, pairs
     if c.phix_qc:
         kmers = controls.genome_kmers(source.genome(spark, c.phix_reference), c.phix_kmer_length)
-        spiked = _kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), at("tables", "spike_in"))
+        spiked = kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), "spike-in")
         rest = pairs.join(spiked, UNIT, "left_anti")
-    evidence = _kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), at("tables", "evidence"))
+    evidence = kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), "evidence")
     say("[3/6] matching")
-    units = _kept(classify(pairs, evidence, designs, c, spiked), at("tables", "units"))
+    classify(pairs, evidence, designs, c, spiked).write.parquet(at("tables", "units"))
+    units = spark.read.parquet(at("tables", "units"))
     say("[4/6] read quality and library statistics")
     qc_rows = run_quality(spark, files, files.quality(spark, pairs, index, left), c.outdir)
 
-    rolled = library.with_rollups(units, F.col("is_undetermined"))
-    counted = library.count_matches(rolled)
-    full = library.zero_filled(counted, designs, rolled).cache()
+    unassigned = F.lower("sample").startswith("undetermined")
+    totals = kept(library.rolled_up(library.sample_totals(units), [], unassigned), "totals")
+    full = library.zero_filled(library.rolled_up(library.count_matches(units), ["ref_index"], unassigned), designs, totals).cache()
     counts = library.frequencies(full)
     key = F.array_join("ids", "|")
     shown = counts.select(
         "sample", key.alias("sequence_key"), key.alias("variant_ids"), F.col("n_ids").alias("duplicate_id_count"), F.col("sequence").alias("target_sequence"), "length", F.col("gc").alias("gc_percent"),
         F.col("exact").alias("exact_count"), F.col("near").alias("near_count"), F.col("total").alias("total_count"), "frequency_percent", "reads_per_million", F.col("detected").cast("int").alias("detected"), "ref_index",
     )
-    totals = library.control_metrics(library.sample_totals(rolled)).drop("mapped_reads")
-    metrics = library.library_metrics(full).join(totals, "sample").withColumn("is_undetermined", F.lower("sample").startswith("undetermined"))
+    metrics = library.library_metrics(full).join(library.control_metrics(totals).drop("mapped_reads"), "sample").withColumn("is_undetermined", unassigned)
     rows = {r["sample"]: r.asDict() for r in metrics.toLocalIterator()}
     rows = {s: rows[s] for s in [*names, library.ASSIGNED, library.EVERYTHING] if s in rows}
-    categories = library.classification(rolled, ["sample"], "match_type")
+    categories = library.classification(library.rolled_up(library.category_counts(units, ["sample"], "match_type"), ["category"], unassigned), ["sample"])
 
     def paths(name: str):
         own = lambda s: at("samples", _file(s), f"{_file(s)}_{name}.tsv")
@@ -224,8 +218,6 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
     n_ids, n_unique = designs.agg(F.sum("n_ids"), F.count("*")).first()
     facts = {"design_ids": n_ids, "unique_designs": n_unique, "duplicated_designs": n_twice, "fastq_files": len(files.files), "samples": len(names), "units": rows[library.EVERYTHING]["total_units"]}
     _write_reports(c, command, facts, qc_rows, named, kinds, figures, curves, warnings)
-    for name in ("reads", "index_reads", "leftover_reads", "spike_in", "evidence"):  # the reads are the user's own; only the units stay
-        shutil.rmtree(at("tables", name), ignore_errors=True)
     full.unpersist()
     designs.unpersist()
     sink.write_manifest(at("manifest.json"), __version__, command, asdict(c), names, facts, warnings, time.time() - began)

@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from seqloom.operators.library import first_rows
+from seqloom.operators.numbering import first_rows
 from seqloom.sources import fastq
 
 
@@ -89,7 +89,7 @@ def test_read_budget(spark, folder):
     """The budget's rows are those of a window over all reads, and no partition reads more."""
     every = fastq.read_fastq(spark, folder, pairs="true")
     for budget in (1, 51, 60, 1000):
-        want = sorted(first_rows(every, ["sample"], ["chunk_key", "ord"], budget).collect())
+        want = sorted(first_rows(every, ["sample"], ["chunk_key"], ["ord"], budget).collect())
         for size in (400, fastq.SPLIT_BYTES):
             assert sorted(fastq.read_fastq(spark, folder, split_bytes=size, per_sample=budget, pairs="true").collect()) == want
             parts = fastq.plan(spark, folder, {"pairs": "true"}, size, budget)
