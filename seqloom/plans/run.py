@@ -100,14 +100,14 @@ def run_quality(spark: SparkSession, files: Files, reads: DataFrame, outdir: str
     rows = [r.asDict() for r in by_file.orderBy("sample", "read", "path").collect()]
     sink.write_rows(os.path.join(outdir, "run_qc_summary.tsv"), sink.FILE_COLUMNS, rows)
     cycles = about.join(qc.cycle_qc(reads, ["path"]), "path").withColumnsRenamed({f"{b}_percent": f"{b.upper()}_percent" for b in "acgtn"})
-    sink.write_tsv(cycles.orderBy("sample", "read", "path", "cycle").select(*sink.CYCLE_COLUMNS), os.path.join(outdir, "per_cycle_qc.tsv"))
+    sink.write_tsv(cycles, os.path.join(outdir, "per_cycle_qc.tsv"), ["sample", "read", "path", "cycle"], sink.CYCLE_COLUMNS)
     return rows
 
 
 def index_quality(spark: SparkSession, c: source.RunConfig, barcodes: dict[str, DataFrame], rows: dict[str, dict], warnings: list[str], outdir: str) -> dict:
     """Writes the index tables; returns the summary by name."""
     at = lambda name: os.path.join(outdir, "index_qc", name)
-    sink.write_tsv(indexqc.top_barcodes(barcodes), at("top_observed_barcodes.tsv"))
+    sink.write_tsv(indexqc.top_barcodes(barcodes), at("top_observed_barcodes.tsv"), [F.desc("count"), "barcode", F.array_position(F.array(*map(F.lit, indexqc.SOURCES)), F.col("source"))])
     sheet = source.sample_sheet(spark, c.sample_sheet) if c.sample_sheet else spark.createDataFrame([], "sample string, i7 string, i5 string")
     expected = sheet.count()
     some = [n for n, b in barcodes.items() if not b.isEmpty()]
@@ -117,9 +117,9 @@ def index_quality(spark: SparkSession, c: source.RunConfig, barcodes: dict[str,
         warnings.append("no barcodes in index reads, headers or a table of unknown ones")
     chosen = some[0] if some else indexqc.SOURCES[-1]
     near = indexqc.nearest(barcodes[chosen], sheet).cache()
-    shown = near.orderBy(F.desc("count"), "observed_barcode").withColumn("distance", F.when(F.col("distance") < INCOMPARABLE, F.col("distance")))
-    sink.write_tsv(shown, at("nearest_expected_barcodes.tsv"))
-    sink.write_tsv(indexqc.substitutions(near, c.max_index_distance).orderBy("index_read", "position", "expected_base", "observed_base"), at("index_position_substitutions.tsv"))
+    shown = near.withColumn("distance", F.when(F.col("distance") < INCOMPARABLE, F.col("distance")))
+    sink.write_tsv(shown, at("nearest_expected_barcodes.tsv"), [F.desc("count"), "observed_barcode"])
+    sink.write_tsv(indexqc.substitutions(near, c.max_index_distance), at("index_position_substitutions.tsv"), ["index_read", "position", "expected_base", "observed_base"])
     units = [(und, m["total_units"], m["phix_reads"]) for s, m in rows.items() if not s.startswith("ALL_") for und in (bool(m["is_undetermined"]),)]
     figures = {"expected_index_count": expected} | indexqc.unit_figures(spark.createDataFrame(units, "undetermined boolean, units long, phix long")).first().asDict()
     figures["index_substitution_analysis_source"] = chosen
@@ -145,7 +145,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
     names, warnings = files.samples(), files.warnings
     designs = source.designs(spark, c.reference, c.left_primer, c.right_primer, c.reference_mode, id_column=c.id_column, sequence_column=c.sequence_column).cache()
     twice = library.duplicates(designs).select(F.col("sequence").alias("target_sequence"), F.col("ids").alias("variant_ids"), "id_count")
-    sink.write_tsv(twice.orderBy("variant_ids"), at("design_sequence_duplicates.tsv"))
+    sink.write_tsv(twice, at("design_sequence_duplicates.tsv"), ["variant_ids"])
     n_twice = twice.count()
     if n_twice:
         warnings.append(f"{n_twice} design sequences are listed more than once and can't be told apart")
@@ -183,13 +183,11 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
         own = lambda s: at("samples", _file(s), f"{_file(s)}_{name}.tsv")
         return lambda s: [own(s), at("combined", f"{_file(s)}_{name}.tsv")] if s.startswith("ALL_") else [own(s)]
 
-    designs_of = lambda df: df.select("sample", *sink.DESIGN_COLUMNS)
-    by_design = shown.orderBy("sample", "ref_index")
-    sink.write_tsvs(designs_of(by_design), "sample", paths("variant_counts"), [], rows)
-    sink.write_tsvs(designs_of(by_design.where("total_count = 0")), "sample", paths("dropout_variants"), [], rows)
+    sink.write_tsvs(shown, "sample", paths("variant_counts"), ["ref_index"], rows, sink.DESIGN_COLUMNS)
+    sink.write_tsvs(shown.where("total_count = 0"), "sample", paths("dropout_variants"), ["ref_index"], rows, sink.DESIGN_COLUMNS)
     top = library.top_designs(shown.withColumn("total", F.col("total_count")), "sequence_key")
-    sink.write_tsvs(designs_of(top.orderBy("sample", "place")), "sample", paths("top_variants"), [], rows)
-    sink.write_tsvs(categories.orderBy("sample", "category"), "sample", paths("classification"), [], rows)
+    sink.write_tsvs(top, "sample", paths("top_variants"), ["place"], rows, sink.DESIGN_COLUMNS)
+    sink.write_tsvs(categories, "sample", paths("classification"), ["category"], rows, ["category", "count", "percent"])
     named = {s: {name: m.get(column) for name, column in sink.METRICS.items()} for s, m in rows.items()}
     for s, m in named.items():
         for path in paths("library_metrics")(s):
@@ -201,9 +199,10 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
     own = full.where(F.col("sample").isin(names))
     for name, matrix in (("variant_count_matrix", library.count_matrix(own, keys, names)), ("variant_rpm_matrix", library.rpm_matrix(own, keys, names))):
         columns = [key.alias("sequence_key"), key.alias("variant_ids"), F.col("sequence").alias("target_sequence"), "length", F.col("gc").alias("gc_percent"), *[F.col(f"`{n}`").alias(_file(n)) for n in names]]
-        sink.write_tsv(matrix.orderBy("ref_index").select(*columns), at("combined", f"{name}.tsv"))
-    sink.write_tsv(units.groupBy("sample", "orientation").agg(F.count("*").alias("units")).orderBy("sample", "orientation"), at("qc", "orientations.tsv"))
-    sink.write_tsv(units.where("distance is not null").groupBy("sample", "distance").agg(F.count("*").alias("units")).orderBy("sample", "distance"), at("qc", "distances.tsv"))
+        table = matrix.select("ref_index", *columns)
+        sink.write_tsv(table, at("combined", f"{name}.tsv"), ["ref_index"], table.columns[1:])
+    sink.write_tsv(units.groupBy("sample", "orientation").agg(F.count("*").alias("units")), at("qc", "orientations.tsv"), ["sample", "orientation"])
+    sink.write_tsv(units.where("distance is not null").groupBy("sample", "distance").agg(F.count("*").alias("units")), at("qc", "distances.tsv"), ["sample", "distance"])
     if c.write_observed_sequences:
         seen = units.join(designs.select("ref_index", "ids"), "ref_index", "left").withColumn("design_key", F.coalesce(key, F.lit("")))
         sink.write_observed(library.observed_sequences(seen), at("observed_sequences"))

@@ -1,24 +1,31 @@
-"""Report files: tables in TSV, an HTML page, a text summary and a manifest.
+"""Report files: tables in TSV, an HTML page, a text summary and a manifest, at a path or a URI that Arrow opens.
 
-Only aggregated frames come here (designs by samples at most). Their lines are formatted in tasks and streamed through
-the driver, which writes the files; the large table of observed sequences is written by the executors.
+Tables are written by the executors through a Spark data sink, a file a sample, and get their names when all tasks are done; the driver
+writes single figures and the reports.
 """
 
 from __future__ import annotations
 
 import hashlib
 import html
+import io
 import json
 import math
 import os
 import platform
-import shutil
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from seqloom.sources.fastq import located
 
 # Names and order of a sample's metrics in its file, with the column that holds each.
 METRICS = {
@@ -52,9 +59,15 @@ def cell(value: object) -> str:
     return str(value)
 
 
+def create(path: str) -> io.TextIOWrapper:
+    """A new text file at a path or URI; its folder is made."""
+    store, name = located(path)
+    store.create_dir(os.path.dirname(name), recursive=True)
+    return io.TextIOWrapper(store.open_output_stream(name), encoding="utf-8", newline="")
+
+
 def write_rows(path: str, names: list[str], rows: Iterable[dict]) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w", encoding="utf-8", newline="") as out:
+    with create(path) as out:
         out.write("\t".join(names) + "\n")
         for row in rows:
             out.write("\t".join(cell(row[n]) if n in row else "" for n in names) + "\n")
@@ -64,36 +77,97 @@ def write_figures(path: str, figures: dict) -> None:
     write_rows(path, ["metric", "value"], [{"metric": k, "value": v} for k, v in figures.items()])
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["\t".join(map(cell, r)) for r in rows], pa.string())], ["key", "line"])
-
-
-def write_tsv(df: DataFrame, path: str, order: list | None = None) -> None:
-    write_tsvs(df.select(F.lit("").alias("key"), "*"), "key", lambda _: [path], order or [], [""])
-
-
-def write_tsvs(df: DataFrame, key: str, paths: Callable[[str], list[str]], order: list, keys: Iterable[str]) -> None:
-    """A file for each of ``keys`` (and a copy at each further path), of the rows that have it, in order. One job writes all files."""
-    names = [c for c in df.columns if c != key]
-    header = "\t".join(names) + "\n"
-    for k in keys:
-        for path in paths(k):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            with open(path, "w", encoding="utf-8", newline="") as out:
-                out.write(header)
-    rows = df.orderBy(key, *order) if order else df
-    now, files = None, []
-    for r in rows.select(F.col(key).cast("string"), *names).mapInArrow(_lines, "key string, line string").toLocalIterator(prefetchPartitions=True):
-        if r["key"] != now:
-            for f in files:
-                f.close()
-            now, files = r["key"], [open(p, "a", encoding="utf-8", newline="") for p in paths(r["key"])]
-        for f in files:
-            f.write(r["line"] + "\n")
-    for f in files:
-        f.close()
+@dataclass
+class Written(WriterCommitMessage):
+    """Files that a task has written, by key, under names of its own."""
+
+    files: dict[str, str]
+
+
+class _TsvWriter(DataSourceArrowWriter):
+    """Each task formats its rows and writes a file for each of its keys; commit gives the files their names, abort removes them."""
+
+    def __init__(self, options: dict[str, str]):
+        self.paths: dict[str, list[str]] = json.loads(options["files"])
+        self.header = options["header"]
+        self.run = uuid.uuid4().hex
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        files: dict[str, str] = {}
+        out, now = None, object()
+        try:
+            for batch in iterator:
+                keys, *columns = (c.to_pylist() for c in batch.columns)
+                for key, row in zip(keys, zip(*columns, strict=True), strict=True):
+                    if key != now:
+                        if out is not None:
+                            out.close()
+                        if key in files:
+                            raise ValueError(f"rows of {key} don't come together")
+                        now, out = key, None
+                        if key in self.paths:
+                            files[key] = f"{self.paths[key][0]}.{self.run}-{TaskContext.get().taskAttemptId()}"
+                            out = create(files[key])
+                            out.write(self.header)
+                    if out is not None:
+                        out.write("\t".join(map(cell, row)) + "\n")
+            if out is not None:
+                out.close()
+        except BaseException:
+            if out is not None:
+                out.close()
+            self.abort([Written(files)])
+            raise
+        return Written(files)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        found: dict[str, str] = {}
+        for m in messages:
+            for key, path in (m.files if m else {}).items():
+                if key in found:
+                    raise ValueError(f"rows of {key} come from two tasks")
+                found[key] = path
+        for key, (path, *others) in self.paths.items():
+            store, name = located(path)
+            if key in found:
+                store.move(located(found[key])[1], name)
+            else:
+                with create(path) as out:
+                    out.write(self.header)
+            for other in others:
+                target = located(other)[1]
+                store.create_dir(os.path.dirname(target), recursive=True)
+                store.copy_file(name, target)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        for m in messages:
+            for path in (m.files if m else {}).values():
+                store, name = located(path)
+                store.delete_file(name)
+
+
+class TsvSink(DataSource):
+    """Options: files (JSON: key -> paths), header. The first column is the key; rows of a key come together, in order."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "seqloom_tsv"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _TsvWriter(dict(self.options))
+
+
+def write_tsv(df: DataFrame, path: str, order: list | None = None, names: list[str] | None = None) -> None:
+    """One file, written by one task."""
+    write_tsvs(df.withColumn("_file", F.lit("")), "_file", lambda _: [path], order or [], [""], names or df.columns)
+
+
+def write_tsvs(df: DataFrame, key: str, paths: Callable[[str], list[str]], order: list, keys: Iterable[str], names: list[str]) -> None:
+    """A file of ``names`` for each of ``keys`` (and a copy at each further path), of the rows that have it, by ``order``. One job writes all files, on the executors."""
+    spark = df.sparkSession
+    spark.dataSource.register(TsvSink)
+    rows = df.repartition(key).sortWithinPartitions(key, *order).select(F.col(key).cast("string").alias("_key"), *names)
+    rows.write.format("seqloom_tsv").option("files", json.dumps({k: paths(k) for k in keys})).option("header", "\t".join(names) + "\n").mode("append").save()
 
 
 def write_observed(df: DataFrame, path: str) -> None:
@@ -103,11 +177,12 @@ def write_observed(df: DataFrame, path: str) -> None:
 
 
 def prepare_folder(path: str, overwrite: bool) -> None:
-    if os.path.exists(path):
+    store, name = located(path)
+    if store.get_file_info(name).type != pafs.FileType.NotFound:
         if not overwrite:
             raise FileExistsError(path)
-        shutil.rmtree(path)
-    os.makedirs(path)
+        store.delete_dir(name)
+    store.create_dir(name, recursive=True)
 
 
 def fmt_int(value: float | None) -> str:
@@ -151,7 +226,7 @@ STYLE = "body{font:15px/1.4 sans-serif;max-width:70rem;margin:auto;padding:1rem}
 def write_report(path: str, title: str, sections: list[tuple[str, str]]) -> None:
     links = " · ".join(f"<a href='#s{i}'>{html.escape(name)}</a>" for i, (name, _) in enumerate(sections))
     parts = "".join(f"<section id=s{i}><h2>{html.escape(name)}</h2>{body}</section>" for i, (name, body) in enumerate(sections))
-    with open(path, "w", encoding="utf-8") as out:
+    with create(path) as out:
         out.write(f"<!DOCTYPE html><html lang=en><meta charset=utf-8><title>{html.escape(title)}</title><style>{STYLE}</style><h1>{html.escape(title)}</h1><nav>{links}</nav>{parts}</html>\n")
 
 
@@ -161,7 +236,7 @@ def listing(lines: list[str]) -> str:
 
 def write_summary(path: str, title: str, blocks: dict[str, list[str] | dict]) -> None:
     """Plain text to share: titled blocks of lines, or of figures by name."""
-    with open(path, "w", encoding="utf-8") as out:
+    with create(path) as out:
         out.write(f"{title}\n{'=' * len(title)}\n")
         for name, block in blocks.items():
             lines = [f"{k}: {_show(v, 4)}" for k, v in block.items()] if isinstance(block, dict) else block
@@ -175,5 +250,5 @@ def write_manifest(path: str, version: str, command: str, config: dict, samples:
         "pipeline": "seqloom", "version": version, "generated_at": time.strftime("%Y-%m-%dT%H:%M:%S"), "runtime_seconds": round(seconds, 3), "python": platform.python_version(), "command": command,
         "reference_path": config["reference"], "reference_sha256": digest, "input_dir": config["input_dir"], "sample_names": samples, "counts": counts, "arguments": config, "warnings": warnings,
     }
-    with open(path, "w", encoding="utf-8") as out:
+    with create(path) as out:
         json.dump(facts, out, indent=2, ensure_ascii=False)

@@ -74,7 +74,7 @@ class Chunk:
     files: dict[str, str]
 
 
-def _located(path: str) -> tuple[pafs.FileSystem, str]:
+def located(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path and its name there; a path without a scheme is local."""
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
@@ -85,7 +85,7 @@ def discover(root: str) -> tuple[list[Chunk], list[FastqFile], list[str]]:
     ``root`` is a folder or a URI that Arrow opens (file, hdfs, s3, gs); it is looked through with its subfolders.
     """
     files, warnings = [], []
-    store, base = _located(root)
+    store, base = located(root)
     for info in sorted(store.get_file_info(pafs.FileSelector(base, recursive=True)), key=lambda i: i.path.split("/")):
         if not info.is_file or not re.search(r"\.(fastq|fq)(\.gz)?$", info.path, re.I):
             continue
@@ -104,7 +104,7 @@ def discover(root: str) -> tuple[list[Chunk], list[FastqFile], list[str]]:
 
 
 def open_text(path: str) -> io.TextIOWrapper:
-    store, name = _located(path)
+    store, name = located(path)
     raw = store.open_input_stream(name, compression=None)
     return io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.lower().endswith(".gz") else raw, encoding="utf-8", errors="replace")
 
@@ -125,7 +125,7 @@ def _member_size(head: bytes) -> int | None:
 
 
 def is_blocked(path: str) -> bool:
-    store, name = _located(path)
+    store, name = located(path)
     with store.open_input_file(name) as f:
         return _member_size(f.read(128)) is not None
 
@@ -145,7 +145,7 @@ def _next_member(f: pa.NativeFile, at: int, size: int) -> int:
 
 def blocks(path: str, start: int, step: int = STEP) -> Iterator[tuple[int, bytes]]:
     """(offset, text) of the pieces of a plain file from ``start``, or of the members of blocked gzip from the first one there. Other gzip is read from its start."""
-    store, name = _located(path)
+    store, name = located(path)
     with store.open_input_file(name) as f:
         size = f.size()
         if not path.lower().endswith(".gz"):
@@ -417,7 +417,7 @@ def _count(spark: SparkSession, files: list[FastqFile], split_bytes: int, limit:
 
 
 def _size(path: str) -> int:
-    store, name = _located(path)
+    store, name = located(path)
     return store.get_file_info(name).size
 
 

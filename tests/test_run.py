@@ -126,7 +126,7 @@ def test_leftover_files_and_limits(spark, run, tmp_path):
     shutil.copytree(f"{root}/fastq", tmp_path / "fastq")
     os.makedirs(tmp_path / "fastq/more")
     shutil.copy(tmp_path / "fastq/pDNA_S1_L001_R1_001.fastq.gz", tmp_path / "fastq/more/pDNA_S1_L001_R1_001.fastq.gz")
-    config = replace(run[1], input_dir=str(tmp_path / "fastq"), outdir=str(tmp_path / "out"), max_reads=60, sample_sheet="", top_unknown="", phix_qc=False)
+    config = replace(run[1], input_dir=str(tmp_path / "fastq"), outdir=f"file://{tmp_path}/out", max_reads=60, sample_sheet="", top_unknown="", phix_qc=False)
     rows = analyse(spark, config)
     assert rows["ALL_WITH_UNDETERMINED"]["total_units"] == 120 and rows["ALL_WITH_UNDETERMINED"]["phix_reads"] == 0
     q = table(tmp_path / "out/run_qc_summary.tsv")
