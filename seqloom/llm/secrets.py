@@ -71,11 +71,13 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     """(ledger with the new pairs, versions(doc_id, blob)).
 
     ``versions(doc_id, text)``: null text is empty. The ledger has a row for each scanned pair:
-    blob, kind, version, spans. Rows that repeat, whole or in part, share their blob's one scan.
+    blob, kind, version, spans. Rows that repeat, whole or in part, share their blob's one scan: of each blob the text of one version is
+    scanned, and where rows repeat that version they are made one beforehand.
     """
     docs = versions.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = stage(docs.select("doc_id", "blob"), "secret-paths")
-    todo = paths.groupBy("blob").agg(F.min("doc_id").alias("rep"))
+    named = paths.groupBy("blob", "doc_id").agg(F.count("*").alias("n")).groupBy("blob").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "n")).alias("first"))
+    todo = named.select("blob", F.col("first.doc_id").alias("rep"), F.col("first.n").alias("n"))
     every = F.array(*[F.concat_ws(":", F.lit(r.kind), F.lit(r.version)) for r in rules])
     if ledger is None:
         todo = todo.withColumn("open", every)
@@ -83,14 +85,15 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         had = ledger.select("blob", F.concat_ws(":", "kind", "version").alias("pair")).groupBy("blob").agg(F.collect_set("pair").alias("had"))
         todo = todo.join(had, "blob", "left").withColumn("open", F.array_except(every, F.coalesce("had", F.array().cast("array<string>")))).drop("had")
         todo = todo.where(F.size("open") > 0)
-    todo = todo.withColumnRenamed("blob", "_blob").hint("shuffle_hash")
-    new = docs.join(todo, (docs["blob"] == F.col("_blob")) & docs["doc_id"].eqNullSafe(F.col("rep")))
+    todo = todo.withColumnRenamed("blob", "_blob")
+    met = docs.join(todo, (docs["blob"] == F.col("_blob")) & docs["doc_id"].eqNullSafe(F.col("rep"))).select("blob", "text", "open", "n")
+    new = met.where("n = 1").union(met.where("n > 1").dropDuplicates(["blob"]))
     scans = [
         F.when(F.array_contains("open", f"{r.kind}:{r.version}"), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), rule_hits(F.col("text"), r).alias("hits")))
         for r in rules
     ]
     wide = stage(new.select("blob", F.array_compact(F.array(*scans)).alias("scans")), "secret-scans")
-    rows = stage(spans_of(wide.dropDuplicates(["blob"]).select("blob", F.inline("scans"))), "secret-ledger")
+    rows = stage(spans_of(wide.select("blob", F.inline("scans"))), "secret-ledger")
     return (rows if ledger is None else ledger.select(rows.columns).union(rows)), paths
 
 

@@ -499,6 +499,29 @@ def test_secrets_are_linear_in_matches(spark):
     assert clean["text"] == "é" + "[SECRET] " * 50_000 + "[SECRET]é" * 50_000 and clean["n_chars"] == len(clean["text"])
 
 
+def test_each_blob_is_scanned_once(spark, monkeypatch):
+    """Rows that repeat an id with its text, or a text without ids, cost one scan; a second run over whole tables scans nothing."""
+    scans = []
+    kept = secrets.stage
+
+    def counted(df, name):
+        out = kept(df, name)
+        if name == "secret-scans":
+            scans.append(out.count())
+        return out
+
+    monkeypatch.setattr(secrets, "stage", counted)
+    a, b = "password=abcdefgh1", "nothing here"
+    given = spark.createDataFrame([(1, a)] * 30 + [(None, b)] * 40 + [(None, a)] * 10 + [(2, b), (2, b)] + [(None, None)] * 8, "doc_id long, text string")
+    report = secrets.report(given)
+    assert scans == [3] and report.count() == 90 and report.where("n_assign = 1").count() == 40
+    whole = read(spark, SF, "documents")
+    ledger, _ = secrets.scan(whole)
+    again = secrets.report(whole, ledger)
+    assert scans[1] == whole.select(F.coalesce("text", F.lit(""))).distinct().count() and scans[2] == 0
+    assert rows(again) == rows(secrets.report(whole))
+
+
 def test_secrets_that_overlap(spark):
     texts = ["0af9" * 8 + "api_key: abcdefgh1 é", "AKIA" + "Q" * 12 + "TOKEN=abcdefgh2", "secret=token : abcdefgh1", "é token=" + "f" * 40 + "=é", "password=AKIA" + "Z" * 20]
     got = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
