@@ -33,6 +33,24 @@ def read_pairs(spark: SparkSession, root: str, max_reads: int | None = None) ->
     return read_fastq(spark, root, pairs="true", per_sample=max_reads)
 
 
+def classified(pairs: DataFrame, designs: DataFrame, c: source.RunConfig, kmers: DataFrame | None) -> DataFrame:
+    """``pairs``, a stored table, with their spike-in units told by ``kmers`` and the others matched: ``classify``."""
+    spiked, rest = None, pairs
+    if kmers is not None:
+        spiked = kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), "spike-in")
+        rest = pairs.join(spiked, UNIT, "left_anti")
+    evidence = kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), "evidence")
+    return classify(pairs, evidence, designs, c, spiked)
+
+
+def spike_in_kmers(spark: SparkSession, c: source.RunConfig) -> DataFrame | None:
+    return controls.genome_kmers(source.genome(spark, c.phix_reference), c.phix_kmer_length) if c.phix_qc else None
+
+
+def run_designs(spark: SparkSession, c: source.RunConfig) -> DataFrame:
+    return source.designs(spark, c.reference, c.left_primer, c.right_primer, c.reference_mode, id_column=c.id_column, sequence_column=c.sequence_column)
+
+
 def classify(pairs: DataFrame, evidence: DataFrame, designs: DataFrame, c: source.RunConfig, spiked: DataFrame | None) -> DataFrame:
     """One row per unit: match_type, ref_index, observed, distance, disagreements, anchors, orientation, header mismatch."""
     info = pairs.select(*UNIT, (F.coalesce(canonical_read_id(F.col("h1")) != canonical_read_id(F.col("h2")), F.lit(False))).alias("header_mismatch"))
@@ -143,7 +161,7 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
     at = lambda *p: os.path.join(c.outdir, *p)
     files = Files(c)
     names, warnings = files.samples(), files.warnings
-    designs = source.designs(spark, c.reference, c.left_primer, c.right_primer, c.reference_mode, id_column=c.id_column, sequence_column=c.sequence_column).cache()
+    designs = run_designs(spark, c).cache()
     twice = library.duplicates(designs).select(F.col("sequence").alias("target_sequence"), F.col("ids").alias("variant_ids"), "id_count")
     sink.write_tsv(twice, at("design_sequence_duplicates.tsv"), ["variant_ids"])
     n_twice = twice.count()
@@ -153,14 +171,8 @@ def analyse(spark: SparkSession, c: source.RunConfig, command: str = "", say: Ca
     say(f"[2/6] reads of {len(names)} samples in {len(files.files)} files")
     pairs = kept(read_pairs(spark, c.input_dir, c.max_reads), "reads")
     index, left = kept(files.index_reads(spark), "index-reads"), kept(files.leftover(spark), "leftover-reads")
-    spiked, rest = None, pairs
-    if c.phix_qc:
-        kmers = controls.genome_kmers(source.genome(spark, c.phix_reference), c.phix_kmer_length)
-        spiked = kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), "spike-in")
-        rest = pairs.join(spiked, UNIT, "left_anti")
-    evidence = kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), "evidence")
     say("[3/6] matching")
-    classify(pairs, evidence, designs, c, spiked).write.parquet(at("tables", "units"))
+    classified(pairs, designs, c, spike_in_kmers(spark, c)).write.parquet(at("tables", "units"))
     units = spark.read.parquet(at("tables", "units"))
     say("[4/6] read quality and library statistics")
     qc_rows = run_quality(spark, files, files.quality(spark, pairs, index, left), c.outdir)

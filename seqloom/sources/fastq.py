@@ -7,6 +7,8 @@ framed by line count, some thousand reads at a time, which go to Spark as Arrow
 ``read_fastq`` also splits plain files by bytes and blocked gzip (whose members give their sizes) by members. One job counts the records of every
 range, each finding its first record by shape; prefix sums of the counts give ordinals, show where a mate's records lie, and cut a read budget to
 what each partition may read. Other gzip can't be split.
+
+``spark.readStream.format("fastq")`` follows a folder: every batch reads the chunks that have come since.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from itertools import islice, zip_longest
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from seqloom.functions.scalars import FILE_NAME, SHEET_NUMBER
 
@@ -320,24 +322,64 @@ class _Reader(DataSourceReader):
         return found or [Part((), (), (), 0, None)]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
-        if not partition.files:
-            return
-        first, *more = partition.files
-        names = [x.split()[0] for x in (PAIRS if self.pairs else READS).split(", ")]
-        kinds = {"ord": pa.int64(), "is_undetermined": pa.bool_()}
-        done = partition.first
-        for mates in zip_longest(*[batches(f.path, partition.take, p, s) for f, p, s in zip(partition.files, partition.places, partition.skips, strict=True)]):
-            n = len(mates[0][0]) if mates[0] else 0
-            if any(m is None or len(m[0]) != n for m in mates):
-                raise ValueError(f"{first.key}: the mates' files differ in their number of reads")
-            order, same = list(range(done, done + n)), lambda x: [x] * n  # noqa: B023
-            if self.pairs:
-                two = mates[1] if more else (same(None),) * 3
-                columns = [same(first.sample), same(first.undetermined), same(first.key), order, *mates[0], *two]
-            else:
-                columns = [same(first.path), same(first.sample), same(first.lane), same(first.read), same(first.chunk), order, *mates[0]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(k, pa.string())) for k, c in zip(names, columns, strict=True)], names)
-            done += n
+        return _rows(partition, self.pairs)
+
+
+def _rows(part: Part, pairs: bool) -> Iterator[pa.RecordBatch]:
+    """The records of a part as batches, with their ordinals."""
+    if not part.files:
+        return
+    first, *more = part.files
+    names = [x.split()[0] for x in (PAIRS if pairs else READS).split(", ")]
+    kinds = {"ord": pa.int64(), "is_undetermined": pa.bool_()}
+    done = part.first
+    for mates in zip_longest(*[batches(f.path, part.take, p, s) for f, p, s in zip(part.files, part.places, part.skips, strict=True)]):
+        n = len(mates[0][0]) if mates[0] else 0
+        if any(m is None or len(m[0]) != n for m in mates):
+            raise ValueError(f"{first.key}: the mates' files differ in their number of reads")
+        order, same = list(range(done, done + n)), lambda x: [x] * n  # noqa: B023
+        if pairs:
+            two = mates[1] if more else (same(None),) * 3
+            columns = [same(first.sample), same(first.undetermined), same(first.key), order, *mates[0], *two]
+        else:
+            columns = [same(first.path), same(first.sample), same(first.lane), same(first.read), same(first.chunk), order, *mates[0]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, kinds.get(k, pa.string())) for k, c in zip(names, columns, strict=True)], names)
+        done += n
+
+
+class _StreamReader(DataSourceStreamReader):
+    """A stream's offset is the list of chunks that are there whole: a chunk once all of ``mates`` have a file, a file by itself without ``pairs``.
+
+    A batch reads the chunks that its start doesn't list, so files may be removed once they are read. Files have to appear whole, as by a move.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        self.options = options
+        self.pairs = options.get("pairs", "false").lower() == "true"
+
+    def _there(self) -> dict[str, tuple[FastqFile, ...]]:
+        need = len(self.options.get("mates", "R1,R2").split(",")) if self.pairs else 1
+        return {g[0].key if self.pairs else g[0].path: g for g in wanted(self.options["path"], self.options) if len(g) == need}
+
+    def initialOffset(self) -> dict:
+        return {"seen": ""}
+
+    def latestOffset(self) -> dict:
+        return {"seen": "\n".join(sorted(self._there()))}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        new = sorted(set(end["seen"].split("\n")) - set(start["seen"].split("\n")))
+        there = self._there()
+        gone = [k for k in new if k and k not in there]
+        if gone:
+            raise FileNotFoundError(f"files of {gone[0]} went before they were read")
+        return [_whole(there[k], None) for k in new if k] or [Part((), (), (), 0, None)]
+
+    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+        return _rows(partition, self.pairs)
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class FastqSource(DataSource):
@@ -353,6 +395,9 @@ class FastqSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _StreamReader(dict(self.options))
+
 
 def wanted(root: str, options: dict[str, str]) -> list[tuple[FastqFile, ...]]:
     """The files that are read, those of mates together, in the order of their samples and chunks."""
