@@ -823,9 +823,45 @@ def test_vectors_in_a_dense_group(spark, size):
     assert (got <= close).all() and got.sum() >= 0.9999 * close.sum()
 
 
-def test_pivots_of_few_dimensions_miss_nothing():
-    for dimension in (2, 3, 4):
-        assert len(pivots.pivots_for(dimension, 2048)) < 2048
+def unit_rows(m):
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def described(v, labels):
+    """(fit on a sample, ordered pairs that meet of all with one label, links, links whose vectors share too few pivots)."""
+    some = np.random.default_rng(0).permutation(len(v))[: pivots.SAMPLE]
+    made = pivots.fit([labels[i] for i in some], v[some], len(v))
+    top = made.nearest(v, labels)
+    place = np.unique(labels, return_inverse=True)[1]
+    size = np.bincount((place[:, None] * len(made.points) + top).ravel()).astype(float)
+    a, b = np.nonzero(np.triu((v @ v.T >= pivots.COSINE) & (place[:, None] == place), 1))
+    lost = sum(int(((top[a[k : k + 5000], :, None] == top[b[k : k + 5000], None, :]).any(2).sum(1) < min(pivots.SHARED, top.shape[1])).sum()) for k in range(0, len(a), 5000))
+    return made, (size**2).sum() / (np.bincount(place).astype(float) ** 2).sum(), len(a), lost
+
+
+def test_pivots_fit_the_data():
+    """Pairs that meet: fewer with more vectors, also where all have a direction in common, and never more than all; links are kept."""
+    rng = np.random.default_rng(3)
+    middle = unit_rows(rng.standard_normal((1, 64)))
+    costs = []
+    for n in (3000, 12_000):
+        cone = unit_rows(np.sqrt(0.7) * middle + np.sqrt(0.3) * unit_rows(rng.standard_normal((n, 64))))
+        cone[: n // 8] = unit_rows(cone[n // 8 : n // 4][: n // 8] + 0.25 * unit_rows(rng.standard_normal((n // 8, 64))))
+        made, cost, links, lost = described(cone, ["a"] * n)
+        assert links > n // 9 and lost == 0 and made.mean.any()
+        costs.append(cost)
+    assert costs[1] < 0.7 * costs[0] and costs[1] < 0.4
+    flat = described(unit_rows(rng.standard_normal((12_000, 64))), ["a"] * 12_000)
+    assert flat[1] < 0.12 and flat[3] == 0
+    centres = unit_rows(rng.standard_normal((30, 32)))
+    labels = [str(i % 30) for i in range(3000)]
+    tight = unit_rows(centres[np.arange(3000) % 30] + 0.2 * unit_rows(rng.standard_normal((3000, 32))))
+    _, cost, links, lost = described(tight, labels)
+    assert links > 100_000 and lost == 0 and cost <= 1.001
+    for k in (1, 2, 3, 6):
+        low = unit_rows(rng.standard_normal((2000, k)) @ rng.standard_normal((k, 64)))
+        _, cost, links, lost = described(low, ["a"] * 2000)
+        assert links > 1000 and lost <= links // 1000 and cost <= 1.001
 
 
 def test_toxicity_on_held_out_rows(spark):
