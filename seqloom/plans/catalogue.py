@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
+from seqloom.functions.session import register
 from seqloom.operators import anchors, controls, indexqc, library, matcher, numbering, qc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -465,3 +466,26 @@ def leftover_files(spark: SparkSession, d: str) -> DataFrame:
     files = _t(spark, d, "part").select("p_partkey", chunk.alias("chunk"), F.when(F.col("p_partkey") % 2 == 0, "R1").otherwise("R2").alias("read"))
     paired = files.groupBy("chunk").agg(F.count_distinct("read").alias("n")).where("n = 2")
     return files.join(paired, "chunk", "left_anti").select("p_partkey", "chunk", "read")
+
+
+# --- SQL text with the session's functions
+
+
+@query(f"""with p as (select p_partkey, p_name, {_dna("p_name")} n, {_dna("p_type")} t from part) select p_partkey, {_rc("n")} rc, round(100.0::double * {_n("n", "GC")} / nullif(length(n), 0), 6) gc_percent,
+case when length(n) = length(t) then hamming(n, t) else greatest(length(n), length(t)) end differing, case when length(n) = length(t) then hamming(n, t) else 999 end index_distance, case when levenshtein(p_name, 'small ring') > 4 then 5 else levenshtein(p_name, 'small ring') end edits,
+case when length(n) between 6 and 40 then n end header_index, '@r' || p_partkey read_id from p""")
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    register(spark)
+    dna = lambda c: f"translate(upper(regexp_replace({c}, '[^A-Za-z]', '')), '{S.LETTERS}', '{S.LETTER_BASES}')"
+    text = f"""with p as (select p_partkey, p_name, {dna("p_name")} n, {dna("p_type")} t, concat('@r', p_partkey, '/1 1:N:0:', lower({dna("p_name")})) h from {{parts}})
+        select p_partkey, seq_reverse_complement(n) rc, round(seq_gc_percent(n), 6) gc_percent, cast(seq_differing(n, t) as bigint) differing, cast(seq_index_distance(n, t) as bigint) index_distance,
+        cast(seq_edits(p_name, 'small ring', 4) as bigint) edits, seq_header_index(h) header_index, seq_read_id(h) read_id from p"""
+    return spark.sql(text, parts=_t(spark, d, "part"))
+
+
+@query(f"""with r as (select doc_id, {_dna("text")} s from documents), p as (select doc_id, s, unnest(list_distinct(list_append(range(0, length(s) - 10, 5), length(s) - 11))) i from r where length(s) >= 11)
+select doc_id, count(*) windows, count(distinct substr(s, i::int + 1, 11)) kmers, max(i)::bigint last_place, min(substr(s, i::int + 1, 11)) first_kmer from p group by 1""")
+def sql_kmer_table(spark: SparkSession, d: str) -> DataFrame:
+    register(spark)
+    docs = _t(spark, d, "documents").select("doc_id", S.text_dna(F.col("text")).alias("seq"))
+    return spark.sql("select id doc_id, count(*) windows, count(distinct kmer) kmers, max(place) last_place, min(kmer) first_kmer from seq_kmers(table(select doc_id, seq from {docs}), 11, 5) group by id", docs=docs)
