@@ -7,7 +7,7 @@ substitution away. Candidates are scored by the quality-aware consensus of the t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -113,14 +113,14 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = j
 
 
-def match(units: DataFrame, designs: DataFrame, key: list[str], signature: int = 20, max_mismatches: int = 2) -> DataFrame:
-    """key, match_type, ref_index, observed, distance, disagreements for every unit of evidence.
+def match(units: DataFrame, designs: DataFrame, key: list[str], signature: int = 20, max_mismatches: int = 2, carry: Sequence[str] = ()) -> DataFrame:
+    """key, ``carry`` columns, match_type, ref_index, observed, distance, disagreements for every unit of evidence.
 
     A tie in distance is ambiguous whatever the distance; only then is the mismatch limit looked at.
     """
     designs = designs.select(F.col("ref_index").cast("int"), "sequence")
-    full = units.select(*key, F.posexplode("fulls").alias("pos", "sequence")).join(designs, "sequence")
-    exact = full.groupBy(*key).agg(F.min(F.struct("pos", "ref_index", "sequence")).alias("hit"))
+    full = units.select(*key, *carry, F.posexplode("fulls").alias("pos", "sequence")).join(designs, "sequence")
+    exact = full.groupBy(*key, *carry).agg(F.min(F.struct("pos", "ref_index", "sequence")).alias("hit"))
     rest = units.join(exact.select(*key), key, "left_anti")
     pairs = candidates(rest, designs, key, signature).join(designs, "ref_index").join(rest.select(*key, "prefix", "prefix_q", "suffix", "suffix_q"), key)
     schema = T.StructType([f for f in pairs.schema.fields if f.name not in ("sequence", "prefix", "prefix_q", "suffix", "suffix_q")] + T.StructType.fromDDL("distance int, disagreements int, observed string, enough boolean").fields)
@@ -129,7 +129,7 @@ def match(units: DataFrame, designs: DataFrame, key: list[str], signature: int =
         F.min(F.when(F.col("enough"), F.struct("distance", "disagreements", "ref_index", "observed"))).alias("b"),
         F.collect_list(F.when(F.col("enough"), F.col("distance"))).alias("all"),
     )
-    d = rest.select(*key, "left_anchor", "right_anchor").join(best, key, "left")
+    d = rest.select(*dict.fromkeys([*key, *carry, "left_anchor", "right_anchor"])).join(best, key, "left")
     tied = F.size(F.filter("all", lambda x: x == F.col("b.distance"))) > 1
     kind = (
         F.when(F.col("all").isNull(), F.when(F.col("left_anchor") | F.col("right_anchor"), "no_candidate").otherwise("anchor_missing"))
@@ -138,6 +138,6 @@ def match(units: DataFrame, designs: DataFrame, key: list[str], signature: int =
     )
     d = d.withColumn("match_type", kind)
     found = F.col("match_type").isin("exact", "near")
-    inexact = d.select(*key, "match_type", F.when(found, F.col("b.ref_index")).alias("ref_index"), F.col("b.observed").alias("observed"), F.col("b.distance").alias("distance"), F.coalesce("b.disagreements", F.lit(0)).alias("disagreements"))
-    hit = exact.select(*key, F.lit("exact").alias("match_type"), "hit.ref_index", F.col("hit.sequence").alias("observed"), F.lit(0).alias("distance"), F.lit(0).alias("disagreements"))
+    inexact = d.select(*key, *carry, "match_type", F.when(found, F.col("b.ref_index")).alias("ref_index"), F.col("b.observed").alias("observed"), F.col("b.distance").alias("distance"), F.coalesce("b.disagreements", F.lit(0)).alias("disagreements"))
+    hit = exact.select(*key, *carry, F.lit("exact").alias("match_type"), "hit.ref_index", F.col("hit.sequence").alias("observed"), F.lit(0).alias("distance"), F.lit(0).alias("disagreements"))
     return hit.union(inexact)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqloom.functions.scalars import pct
+from seqloom.sinks.store import kept
 
 _BASES = "ACGT"
 _READ_SUMS = ["total_reads", "total_bases", "min_length", "max_length", "q", "q20", "q30", "ns", "with_n"]
@@ -66,12 +67,7 @@ def _summed(reads: DataFrame, by: list[str], sums: list[str], run, extra: str =
     return reads.select(*by, "seq", "qual").mapInArrow(run, schema)
 
 
-def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
-    """Totals, lengths, mean quality and shares of good and N bases per group of reads(seq, qual).
-
-    Letters other than N count as bases; null reads are empty; unequal numbers of bases and qualities fail.
-    """
-
+def _read_sums(by: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_base = np.uint8(ord("N"))
         for batch in batches:
@@ -92,18 +88,10 @@ def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
                 np.maximum.at(out["max_length"], own, size)
             yield pa.RecordBatch.from_arrays([*keys, *[pa.array(out[c]) for c in _READ_SUMS]], [*by, *_READ_SUMS])
 
-    per, bases = _summed(reads, by, _READ_SUMS, run), F.sum("total_bases")
-    return per.groupBy(*by).agg(
-        F.sum("total_reads").alias("total_reads"), bases.alias("total_bases"), F.try_divide(bases.cast("double"), F.sum("total_reads").cast("double")).alias("mean_length"),
-        F.min("min_length").alias("min_length"), F.nullif(F.max("max_length"), F.lit(0)).alias("max_length"),
-        F.try_divide(F.sum("q").cast("double"), bases.cast("double")).alias("mean_q"), pct(F.sum("q20"), bases).alias("q20_base_percent"), pct(F.sum("q30"), bases).alias("q30_base_percent"),
-        pct(F.sum("ns"), bases).alias("n_base_percent"), pct(F.sum("with_n"), F.sum("total_reads")).alias("reads_with_n_percent"),
-    )
+    return run
 
 
-def cycle_qc(reads: DataFrame, by: list[str]) -> DataFrame:
-    """The same per position in the read, with base composition; other letters count as N."""
-
+def _cycle_sums(by: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -123,9 +111,53 @@ def cycle_qc(reads: DataFrame, by: list[str]) -> DataFrame:
                 columns = [*[k.take(pa.array(group)) for k in keys], pa.array(np.arange(cells) - begin[group] + 1), *[pa.array(x.astype(np.int64)) for x in sums]]
                 yield pa.RecordBatch.from_arrays(columns, [*by, "cycle", *_CYCLE_SUMS])
 
-    per, n = _summed(reads, by, _CYCLE_SUMS, run, "cycle long, "), F.sum("total_bases")
+    return run
+
+
+def _read_figures(per: DataFrame, by: list[str]) -> DataFrame:
+    bases = F.sum("total_bases")
+    return per.groupBy(*by).agg(
+        F.sum("total_reads").alias("total_reads"), bases.alias("total_bases"), F.try_divide(bases.cast("double"), F.sum("total_reads").cast("double")).alias("mean_length"),
+        F.min("min_length").alias("min_length"), F.nullif(F.max("max_length"), F.lit(0)).alias("max_length"),
+        F.try_divide(F.sum("q").cast("double"), bases.cast("double")).alias("mean_q"), pct(F.sum("q20"), bases).alias("q20_base_percent"), pct(F.sum("q30"), bases).alias("q30_base_percent"),
+        pct(F.sum("ns"), bases).alias("n_base_percent"), pct(F.sum("with_n"), F.sum("total_reads")).alias("reads_with_n_percent"),
+    )
+
+
+def _cycle_figures(per: DataFrame, by: list[str]) -> DataFrame:
+    n = F.sum("total_bases")
     share = lambda c: pct(F.sum(c), n)
     return per.groupBy(*by, "cycle").agg(
         n.alias("total_bases"), F.try_divide(F.sum("q").cast("double"), n.cast("double")).alias("mean_q"), share("q20").alias("q20_percent"), share("q30").alias("q30_percent"),
         *[share(b).alias(f"{b}_percent") for b in "acgt"], share("n").alias("n_percent"),
     )
+
+
+def read_qc(reads: DataFrame, by: list[str]) -> DataFrame:
+    """Totals, lengths, mean quality and shares of good and N bases per group of reads(seq, qual).
+
+    Letters other than N count as bases; null reads are empty; unequal numbers of bases and qualities fail.
+    """
+    return _read_figures(_summed(reads, by, _READ_SUMS, _read_sums(by)), by)
+
+
+def cycle_qc(reads: DataFrame, by: list[str]) -> DataFrame:
+    """The same per position in the read, with base composition; other letters count as N."""
+    return _cycle_figures(_summed(reads, by, _CYCLE_SUMS, _cycle_sums(by), "cycle long, "), by)
+
+
+def both_qc(reads: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(``read_qc``, ``cycle_qc``) from one pass over the reads, whose sums are kept; those of whole reads stand at cycle 0."""
+    names = list(dict.fromkeys([*_READ_SUMS, *_CYCLE_SUMS]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sums in (_read_sums(by), _cycle_sums(by)):
+                for part in sums(iter([batch])):
+                    rows = part.num_rows
+                    have = {n: part.column(part.schema.get_field_index(n)) for n in part.schema.names}
+                    cycle = have.get("cycle", pa.array(np.zeros(rows, np.int64)))
+                    yield pa.RecordBatch.from_arrays([*[have[c] for c in by], cycle, *[have.get(n, pa.nulls(rows, pa.int64())) for n in names]], [*by, "cycle", *names])
+
+    per = kept(_summed(reads, by, names, run, "cycle long, "), "quality")
+    return _read_figures(per.where("cycle = 0"), by), _cycle_figures(per.where("cycle > 0"), by)

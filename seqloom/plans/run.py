@@ -35,12 +35,14 @@ def read_pairs(spark: SparkSession, root: str, max_reads: int | None = None) ->
 
 def classified(pairs: DataFrame, designs: DataFrame, c: source.RunConfig, kmers: DataFrame | None) -> DataFrame:
     """``pairs``, a stored table, with their spike-in units told by ``kmers`` and the others matched: ``classify``."""
+    ids = [canonical_read_id(F.col(h)) for h in ("h1", "h2")]
+    pairs = pairs.withColumn("header_mismatch", F.coalesce(ids[0] != ids[1], F.lit(False)))
     spiked, rest = None, pairs
     if kmers is not None:
-        spiked = kept(controls.spike_in_units(pairs, UNIT, [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), "spike-in")
-        rest = pairs.join(spiked, UNIT, "left_anti")
-    evidence = kept(anchors.build_evidence(rest.select(*UNIT, "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches).drop("s1", "q1", "s2", "q2"), "evidence")
-    return classify(pairs, evidence, designs, c, spiked)
+        spiked = kept(controls.spike_in_units(pairs, [*UNIT, "header_mismatch"], [F.col("s1"), F.col("s2")], kmers, c.phix_kmer_length, c.phix_min_kmer_hits), "spike-in")
+        rest = pairs.join(spiked.select(*UNIT), UNIT, "left_anti")
+    evidence = anchors.build_evidence(rest.select(*UNIT, "header_mismatch", "s1", "q1", "s2", "q2"), c.left_primer, c.right_primer, c.anchor_mismatches)
+    return classify(kept(evidence.drop("s1", "q1", "s2", "q2"), "evidence"), designs, c, spiked)
 
 
 def spike_in_kmers(spark: SparkSession, c: source.RunConfig) -> DataFrame | None:
@@ -51,14 +53,12 @@ def run_designs(spark: SparkSession, c: source.RunConfig) -> DataFrame:
     return source.designs(spark, c.reference, c.left_primer, c.right_primer, c.reference_mode, id_column=c.id_column, sequence_column=c.sequence_column)
 
 
-def classify(pairs: DataFrame, evidence: DataFrame, designs: DataFrame, c: source.RunConfig, spiked: DataFrame | None) -> DataFrame:
+def classify(evidence: DataFrame, designs: DataFrame, c: source.RunConfig, spiked: DataFrame | None) -> DataFrame:
     """One row per unit: match_type, ref_index, observed, distance, disagreements, anchors, orientation, header mismatch."""
-    info = pairs.select(*UNIT, (F.coalesce(canonical_read_id(F.col("h1")) != canonical_read_id(F.col("h2")), F.lit(False))).alias("header_mismatch"))
-    found = matcher.match(evidence, designs, UNIT, c.signature_length, c.max_mismatches)
-    rows = evidence.select(*UNIT, "left_anchor", "right_anchor", "orientation").join(found, UNIT)
+    rows = matcher.match(evidence, designs, UNIT, c.signature_length, c.max_mismatches, carry=["left_anchor", "right_anchor", "orientation", "header_mismatch"])
     if spiked is not None:
         rows = rows.unionByName(spiked.withColumns({"match_type": F.lit("phix"), "disagreements": F.lit(0)}), allowMissingColumns=True)
-    return rows.join(info, UNIT)
+    return rows
 
 
 class Files:
@@ -114,10 +114,11 @@ def index_sources(spark: SparkSession, pairs: DataFrame, index: DataFrame, left:
 def run_quality(spark: SparkSession, files: Files, reads: DataFrame, outdir: str) -> list[dict]:
     """Writes quality by file and by cycle; returns the rows by file."""
     about = files.described(spark)
-    by_file = about.join(qc.read_qc(reads, ["path"]), "path", "left").fillna(0, ["total_reads", "total_bases", "min_length"]).select(*sink.FILE_COLUMNS)
+    by_read, by_cycle = qc.both_qc(reads, ["path"])
+    by_file = about.join(by_read, "path", "left").fillna(0, ["total_reads", "total_bases", "min_length"]).select(*sink.FILE_COLUMNS)
     rows = [r.asDict() for r in by_file.orderBy("sample", "read", "path").collect()]
     sink.write_rows(os.path.join(outdir, "run_qc_summary.tsv"), sink.FILE_COLUMNS, rows)
-    cycles = about.join(qc.cycle_qc(reads, ["path"]), "path").withColumnsRenamed({f"{b}_percent": f"{b.upper()}_percent" for b in "acgtn"})
+    cycles = about.join(by_cycle, "path").withColumnsRenamed({f"{b}_percent": f"{b.upper()}_percent" for b in "acgtn"})
     sink.write_tsv(cycles, os.path.join(outdir, "per_cycle_qc.tsv"), ["sample", "read", "path", "cycle"], sink.CYCLE_COLUMNS)
     return rows
 
