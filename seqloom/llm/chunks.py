@@ -100,26 +100,24 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats among one partition's chunks; all chunks of a digest are in it."""
-    held = []
+    """Repeats among chunks that come in order of digest and place: those of a digest after its first, wherever batches end."""
+    head: tuple | None = None  # digest and place of the last digest's first chunk
     for batch in batches:
         cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         known = cols[0].astype(bool)
         if known.any():
             yield batch.filter(pa.array(known))
-        held.append([c[~known] for c in cols[1:]])
-    if not held:
-        return
-    doc, tag, start, size, d1, d2 = (np.concatenate([h[i] for h in held]) for i in range(6))
-    del held
-    by = np.argsort(d1)
-    s = d1[by]
-    same = np.zeros(len(s) + 1, bool)
-    same[1:-1] = s[1:] == s[:-1]
-    by = by[same[:-1] | same[1:]]
-    doc, tag, start, size, d1, d2 = (c[by] for c in (doc, tag, start, size, d1, d2))
-    _, again = _order(d1, d2, doc, tag, start)
-    yield _rows(True, doc[again], tag[again], start[again], size[again], d1[again], d2[again])
+        doc, tag, start, size, d1, d2 = (c[~known] for c in cols[1:])
+        if not len(doc):
+            continue
+        new = np.ones(len(doc), bool)
+        new[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+        new[0] = head is None or (d1[0], d2[0]) != head[:2]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(doc)), -1))
+        own = [np.where(first < 0, 0 if head is None else h, c[first]) for c, h in zip((doc, tag, start), head[2:] if head else (0, 0, 0), strict=True)]
+        again = (doc != own[0]) | (tag != own[1]) | (start != own[2])  # a row that repeats the first's place isn't a repeat
+        head = (d1[-1], d2[-1], *(c[-1] for c in own))
+        yield _rows(True, doc[again], tag[again], start[again], size[again], d1[again], d2[again])
 
 
 def _tag(text) -> Column:
@@ -128,9 +126,13 @@ def _tag(text) -> Column:
 
 
 def repeated_runs(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """(doc, tag, spans): the byte runs of each text that repeat earlier text, ascending. A document is an id with a text's tag."""
+    """(doc, tag, spans): the byte runs of each text that repeat earlier text, ascending. A document is an id with a text's tag.
+
+    Null texts and rows without an id have none; a text of any length is cut whole. Chunks of a digest meet sorted and are streamed, so a frequent
+    one costs a task time, one row for each slice of text that holds it, but no memory.
+    """
     given = docs.select(F.col("doc_id").cast("long"), "text", _tag(F.col("text")).alias("tag")).where("doc_id is not null")
-    rows = given.mapInArrow(_chunk, ROWS).repartition("d1").mapInArrow(_meet, ROWS)
+    rows = given.mapInArrow(_chunk, ROWS).repartition("d1").sortWithinPartitions("d1", "d2", "doc", "tag", "start").mapInArrow(_meet, ROWS)
     marks = rows.select("doc", "tag", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
     line = W.partitionBy("doc", "tag").orderBy("start")
     runs = marks.withColumn("new", (F.coalesce(F.lag("end").over(line), F.lit(-1)) != F.col("start")).cast("int"))
@@ -175,5 +177,5 @@ def drop_repeats(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
     """
     key, tag, own = (free_name(docs, c) for c in ("_doc", "_tag", "_spans"))
     runs = repeated_runs(docs, least_run).select(F.col("doc").alias(key), F.col("tag").alias(tag), F.col("spans").alias(own))
-    joined = docs.join(runs.hint("shuffle_hash"), (docs["doc_id"] == F.col(key)) & (_tag(docs["text"]) == F.col(tag)), "left")
+    joined = docs.join(runs, (docs["doc_id"] == F.col(key)) & (_tag(docs["text"]) == F.col(tag)), "left")
     return joined.drop(key, tag).mapInArrow(_without, docs.schema)

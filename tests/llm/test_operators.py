@@ -371,6 +371,26 @@ def test_marks_depend_on_samples():
         assert set(zip(*map(np.ndarray.tolist, rl_index.long_matches(strings, group, none)), strict=True)) != right
 
 
+@pytest.mark.parametrize("step", [1, 2, 7, 1000])
+def test_chunks_meet_across_batches(step):
+    """Repeats of a digest are found wherever batches end; rows that repeat a place are none, and known ones pass."""
+    rnd = random.Random(step)
+    given = sorted((rnd.randrange(4), rnd.randrange(2), rnd.randrange(5), rnd.randrange(2), rnd.randrange(3)) for _ in range(300))  # d1, d2, doc, tag, start
+    first = {}
+    for d1, d2, *place in given:
+        first.setdefault((d1, d2), place)
+    want = sorted(r for r in given if first[r[:2]] != list(r[2:]))
+    col = lambda k: np.array([r[k] for r in given], np.int64)
+    known = np.arange(len(given)) % 11 == 0
+    table = [chunks._rows(False, col(2), col(3), col(4), col(4), col(0), col(1)), chunks._rows(True, col(2), col(3), col(4), col(4), col(0), col(1))]
+    batches = []
+    for i in range(0, len(given), step):
+        mine = np.arange(i, min(i + step, len(given)))
+        batches += [table[0].take(mine)] + ([table[1].take(mine[known[mine]])] if known[mine].any() else [])
+    got = [tuple(r[k] for k in ("d1", "d2", "doc", "tag", "start")) for b in chunks._meet(iter(batches)) for r in b.to_pylist()]
+    assert sorted(got) == sorted(want + [r for r, k in zip(given, known, strict=True) if k])
+
+
 def test_chunks(crowded, empty):
     seen, want = set(), {}
     for i, b in sorted(first_ids().items()):
