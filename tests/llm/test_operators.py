@@ -959,7 +959,8 @@ def test_toxicity_edges(docs, crowded, empty, spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
-    c.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        c.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     r = c.execute(queries.ORACLE_SQL[name])
     at = [[x[0] for x in r.description].index(k) for k in df.columns]
