@@ -133,7 +133,7 @@ def test_copies(docs):
     given = [(r.doc_id, r.text) for r in docs.collect()]
     want = brute_copies(given)
     assert rows(radix.copies(crowd(docs)), "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want
-    assert rows(radix.copies(docs, first=1, growth=2, most=256)) == want  # many rounds
+    assert rows(radix.copies(docs, first=1, growth=8, most=2048)) == want  # many rounds
     assert radix.copies(docs.limit(0)).count() == 0 and radix.drop_copies(docs.limit(0)).count() == 0
     left = radix.drop_copies(crowd(docs))
     assert left.columns == crowd(docs).columns
