@@ -74,13 +74,25 @@ def _spearman(cells: DataFrame, x: str, y: str, name: str, least: int = 3) -> Da
     return joint.groupBy("sample").agg(F.when(F.sum("m") >= least, F.try_divide(total(a * b) - total(a) * total(b) / n, F.sqrt(var(a) * var(b)))).alias(name))
 
 
+CELL = ["sample", "length", "gc", "total"]
+
+
+def summed_cells(cells: DataFrame) -> DataFrame:
+    """Cells(sample, length, gc, total, m, ids, exact, near) with equal keys added up."""
+    return cells.groupBy(*CELL).agg(*[F.sum(c).alias(c) for c in ("m", "ids", "exact", "near")])
+
+
 def library_metrics(full: DataFrame) -> DataFrame:
     """One row per sample of full(sample, ref_index, n_ids, length, gc, exact, near, total).
 
     Designs are added up to cells of equal length, gc and count once; everything is computed from those with their numbers, so
     no window or sort sees single designs.
     """
-    cells = full.groupBy("sample", "length", "gc", "total").agg(F.count("*").alias("m"), F.sum("n_ids").alias("ids"), F.sum("exact").alias("exact"), F.sum("near").alias("near"))
+    return cell_metrics(full.groupBy(*CELL).agg(F.count("*").alias("m"), F.sum("n_ids").alias("ids"), F.sum("exact").alias("exact"), F.sum("near").alias("near")))
+
+
+def cell_metrics(cells: DataFrame) -> DataFrame:
+    """The statistics of ``library_metrics`` from its cells: m designs of one length, gc and total, with the sums of their ids, exact and near."""
     cells = kept(cells, "cells")
     own = W.partitionBy("sample")
     total, m = F.col("total"), F.col("m")

@@ -6,14 +6,17 @@ text become bases (``text_dna``) or qualities. All queries read whole tables and
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import scalars as S
 from seqloom.functions.session import register
 from seqloom.operators import anchors, controls, indexqc, library, matcher, numbering, qc
+from seqloom.sinks.store import shared_dir
+from seqloom.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -70,9 +73,11 @@ def _designs(spark: SparkSession, d: str) -> DataFrame:
     return parts.withColumns({"length": F.length("sequence"), "gc": S.gc_percent(F.col("sequence"))})
 
 
-def _matches(spark: SparkSession, d: str) -> DataFrame:
+def _matches(spark: SparkSession, d: str, which: Column | None = None) -> DataFrame:
     kind = F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "R", "near").otherwise("ambiguous")
-    return _t(spark, d, "lineitem").select(F.expr(_SAMPLE).alias("sample"), F.col("l_partkey").alias("ref_index"), kind.alias("match_type"))
+    lines = _t(spark, d, "lineitem")
+    lines = lines if which is None else lines.where(which)
+    return lines.select(F.expr(_SAMPLE).alias("sample"), F.col("l_partkey").alias("ref_index"), kind.alias("match_type"))
 
 
 def _full(spark: SparkSession, d: str) -> DataFrame:
@@ -110,6 +115,24 @@ def library_metrics(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(library.library_metrics(_full(spark, d)))
 
 
+_ARRIVALS = ("1994-01-01", "1996-01-01", None)
+
+
+@query(ORACLE_SQL["library_metrics"])
+def followed_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The same, kept up to date by a stream: line items come in three batches by shipping date, the last with those that have none, and
+    each batch is followed from the checkpoint of the one before."""
+    folder = f"{shared_dir(spark)}/seqloom-follow-{uuid.uuid4().hex}"
+    designs, since = _designs(spark, d), F.lit(False)
+    for number, end in enumerate(_ARRIVALS):
+        upto = F.coalesce(F.col("l_shipdate") < end, F.lit(False)) if end else F.lit(True)
+        counts = library.count_matches(_matches(spark, d, upto & ~since))
+        counts.withColumn("ref_index", F.col("ref_index").cast("long")).write.parquet(f"{folder}/counts/batch={number}")
+        since = upto
+        incremental.follow_counts(spark, designs, f"{folder}/counts", f"{folder}/cells", f"{folder}/checkpoint", once=True).awaitTermination()
+    return _rounded(incremental.latest_metrics(spark, designs, f"{folder}/cells", _matches(spark, d)))
+
+
 @query(f"with {_SQL_COUNTS} select sample, ref_index, sequence from f where total = 0")
 def dropout_designs(spark: SparkSession, d: str) -> DataFrame:
     return library.dropouts(_full(spark, d)).select("sample", "ref_index", "sequence")

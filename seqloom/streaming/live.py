@@ -1,7 +1,8 @@
 """A run that follows its folder: chunks are matched as they arrive, and the library's statistics are those of all chunks so far.
 
-Each batch adds the counts of its chunks under its number, so a batch that is run again after a failure replaces its own. All counters are additive:
-the statistics after a batch come from the sums of the counts, never from reads again.
+Each batch adds the counts of its chunks, rolled up, under its number, so a batch that is run again after a failure replaces its own. All counters are additive:
+the statistics after a batch come from the sums of the counts (``metrics_so_far``), or from states that change with the designs of the batch alone
+(``follow_metrics``), never from reads again.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from seqloom.plans.run import classified, run_designs, spike_in_kmers
 from seqloom.sinks.store import kept
 from seqloom.sources.fastq import FastqSource
 from seqloom.sources.tables import RunConfig
+from seqloom.streaming import incremental
 
 
 def stream_reads(spark: SparkSession, root: str, **options: str) -> DataFrame:
@@ -23,6 +25,10 @@ def stream_reads(spark: SparkSession, root: str, **options: str) -> DataFrame:
     return spark.readStream.format("fastq").options(**options).load(root)
 
 
+def _rolled(counts: DataFrame, keys: list[str]) -> DataFrame:
+    return library.rolled_up(counts, keys, F.lower("sample").startswith("undetermined"))
+
+
 def follow(spark: SparkSession, c: RunConfig, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Starts counting the pairs below ``c.input_dir`` into ``out``; ``once`` takes what is there and ends."""
     c = c.checked()
@@ -31,21 +37,32 @@ def follow(spark: SparkSession, c: RunConfig, out: str, checkpoint: str, once: b
 
     def add(batch: DataFrame, number: int) -> None:
         units = kept(classified(kept(batch, "stream-reads"), designs, c, kmers), "stream-units")
-        for name, counts in (("counts", library.count_matches(units)), ("totals", library.sample_totals(units))):
+        for name, counts in (("counts", _rolled(library.count_matches(units), ["ref_index"])), ("totals", _rolled(library.sample_totals(units), []))):
             counts.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
 
     writer = stream_reads(spark, c.input_dir, pairs="true").writeStream.option("checkpointLocation", checkpoint).foreachBatch(add)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _summed(spark: SparkSession, out: str, name: str, keys: list[str]) -> DataFrame:
+    parts = spark.read.parquet(f"{out}/{name}").drop("batch")
+    return parts.groupBy("sample", *keys).agg(*[F.sum(x).alias(x) for x in parts.columns if x not in ("sample", *keys)])
+
+
 def metrics_so_far(spark: SparkSession, c: RunConfig, out: str) -> DataFrame:
     """The run's metrics by sample and roll-up from the counts of all batches."""
+    totals = kept(_summed(spark, out, "totals", []), "totals")
+    full = library.zero_filled(_summed(spark, out, "counts", ["ref_index"]), run_designs(spark, c), totals)
+    return library.library_metrics(full).join(library.control_metrics(totals).drop("mapped_reads"), "sample")
 
-    def summed(name: str, keys: list[str]) -> DataFrame:
-        parts = spark.read.parquet(f"{out}/{name}").drop("batch")
-        sums = parts.groupBy("sample", *keys).agg(*[F.sum(x).alias(x) for x in parts.columns if x not in ("sample", *keys)])
-        return library.rolled_up(sums, keys, F.lower("sample").startswith("undetermined"))
 
-    totals = kept(summed("totals", []), "totals")
-    full = library.zero_filled(summed("counts", ["ref_index"]), run_designs(spark, c), totals)
-    return library.library_metrics(full).join(library.control_metrics(totals).drop("mapped_reads"), "sample")
+def follow_metrics(spark: SparkSession, c: RunConfig, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Keeps the library's cells below ``out`` up to date with the counts that ``follow`` writes there."""
+    return incremental.follow_counts(spark, run_designs(spark, c), f"{out}/counts", f"{out}/cells", checkpoint, once)
+
+
+def followed_metrics(spark: SparkSession, c: RunConfig, out: str) -> DataFrame:
+    """``metrics_so_far`` by way of the cells: no count of an earlier batch is read again."""
+    totals = kept(_summed(spark, out, "totals", []), "totals")
+    metrics = incremental.latest_metrics(spark, run_designs(spark, c), f"{out}/cells", totals)
+    return metrics.join(library.control_metrics(totals).drop("mapped_reads"), "sample")
