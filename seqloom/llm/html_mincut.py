@@ -8,6 +8,9 @@ from boilerplate.
 The classifier is trained here, on a bounded sample of pages (``pages``), from what the markup itself says:
 blocks in article or main elements against blocks in navigation, header, footer, aside and form elements. Blocks
 are also shown to it with those elements hidden, so that it learns from text and links as well.
+
+Readers' comments needn't be named so: what repeats after prose under bylines, or stands below a heading that says comments, is
+a feature of its own (``replies``).
 """
 
 from __future__ import annotations
@@ -43,6 +46,13 @@ GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|bo
 
 # What holds for an element or one it lies in.
 IN_GOOD, IN_BAD, BAD_NAMED, GOOD_NAMED, IN_PROSE, IN_HEADING = (1 << i for i in range(6))
+# Dates, times of day and spans of time as bylines give them; headings over comments.
+DATED = re.compile(r"\b\d{4}[-/.]\d{1,2}[-/.]\d{1,2}\b|\b\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4}\b|\b\d{1,2}:\d\d\b|\b\d{1,2}\.? (?:de )?[^\W\d]{3,10}\.?,?(?: de)? \d{4}\b|\b[^\W\d]{3,10}\.? \d{1,2},? \d{4}\b|\b(?:\d+|an?) [^\W\d]{1,8} ago\b|\b(?:hace|vor|il y a) (?:\d+|un[ea]?|eine[mr]?)\b", re.I)
+ABOVE_REPLIES = re.compile(r"\W*\d*\W*(?:(?:user|reader|visitor)s?\W{0,2}s? )?(?:comments?|responses?|replies|reactions?|opinions|kommentare?|commentaires?|r\u00e9actions?|comentarios?|opiniones)(?: from (?:our )?readers)?\W*\d*\W*", re.I)
+LEVELS = 5  # ancestors of a block that may be the element of one comment
+BYLINE = 8  # words
+LONGEST_HEADING = 100  # characters of a heading over comments
+NO_REPLY = frozenset("html body main table tbody thead tr td th dl dt dd ul ol p".split())
 FAR = 32  # steps between blocks in the document tree beyond which an edge has no weight
 
 
@@ -54,6 +64,7 @@ class Node:
     parent: Node | None
     depth: int
     marks: int
+    names: str = ""
 
 
 ROOT = Node("", None, 0, 0)
@@ -66,6 +77,8 @@ class Block:
     text: str
     node: Node
     link: int
+    time: str = ""  # what of it lies in time elements
+    reply: bool = False
 
 
 def _child(parent: Node, tag: str, attributes: str) -> Node:
@@ -75,7 +88,7 @@ def _child(parent: Node, tag: str, attributes: str) -> Node:
         marks |= BAD_NAMED if BAD_NAME.search(names) else GOOD_NAMED if GOOD_NAME.search(names) else 0
     marks |= (IN_GOOD if tag in GOOD else 0) | (IN_BAD if tag in BAD else 0) | (IN_PROSE if tag in ("p", "pre", "blockquote") else 0)
     marks |= IN_HEADING if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else 0
-    return Node(tag, parent, parent.depth + 1, marks)
+    return Node(tag, parent, parent.depth + 1, marks, names)
 
 
 # Which open element the start of another one closes.
@@ -96,13 +109,14 @@ def parse(page: str) -> list[Block]:
     held: list[str] = []
     linked = 0
     anchors = 0
+    timed: list[str] = []
 
     def flush() -> None:
-        nonlocal held, linked
+        nonlocal held, linked, timed
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, stack[-1], min(linked, len(text))))
-        held, linked = [], 0
+            out.append(Block(text, stack[-1], min(linked, len(text)), " ".join("".join(timed).split())))
+        held, linked, timed = [], 0, []
 
     def close(place: int) -> None:
         for node in stack[place:]:
@@ -121,6 +135,8 @@ def parse(page: str) -> list[Block]:
         if raw:
             held.append(html.unescape(raw))
             linked += len(raw) if anchors else 0
+            if opened["time"]:
+                timed.append(html.unescape(raw))
         tag = (m[3] or "").lower()
         if not tag:
             continue
@@ -149,6 +165,8 @@ def parse(page: str) -> list[Block]:
             stack.append(_child(stack[-1], tag, m[4]))
     held.append(html.unescape(page[at:]))
     flush()
+    for i in replies(out):
+        out[i].reply = True
     return out
 
 
@@ -164,7 +182,68 @@ def apart(a: Node, b: Node) -> int:
     return steps
 
 
-FEATURES = 14
+def _signed(blocks: list[Block]) -> bool:
+    """Whether a short block at the start or end holds a date, and something else is said in it or in a short block before it."""
+    before = False
+    for b in [*blocks[:2], *blocks[2:][-1:]]:
+        if b.text.count(" ") >= BYLINE:
+            before = False
+            continue
+        rest = DATED.sub("", b.text.replace(b.time, "", 1) if b.time else b.text)
+        named = any(c.isalpha() for c in rest)
+        if (b.time or rest != b.text) and (named or before):
+            return True
+        before = named
+    return False
+
+
+def replies(blocks: list[Block]) -> set[int]:
+    """Places of blocks that look like readers' comments: in signed elements without a heading that repeat side by side, or below a heading that says so.
+
+    Only what follows prose can be one. A block looks at ``LEVELS`` of its ancestors and is in at most as many elements, so the work is linear in a page.
+    """
+    inside: dict[Node, list[int]] = {}
+    prose = len(blocks)  # the first block of prose
+    for i, b in enumerate(blocks):
+        if prose == len(blocks) and (b.node.marks & IN_PROSE or b.text.count(" ") >= BYLINE) and b.link * 2 < len(b.text) and not b.node.marks & (IN_BAD | BAD_NAMED | IN_HEADING):
+            prose = i
+        node: Node | None = b.node
+        for _ in range(LEVELS):
+            if node is None or node is ROOT:
+                break
+            if node.tag not in NO_REPLY:
+                inside.setdefault(node, []).append(i)
+            node = node.parent
+    alike: dict[tuple[Node | None, str, str], list[Node]] = {}
+    for node, own in inside.items():
+        if len(own) > 1 and not any(blocks[i].node.tag in ("h1", "h2", "h3") for i in own) and _signed([blocks[i] for i in own]):
+            alike.setdefault((node.parent, node.tag, node.names), []).append(node)
+    found = {i for nodes in alike.values() if len(nodes) > 1 and inside[nodes[0]][0] > prose for node in nodes for i in inside[node]}
+    below: Node | None = None  # the heading's parent
+    level = ""
+    for i, b in enumerate(blocks):
+        heading = b.node.marks & IN_HEADING
+        if below is not None and (b.node.tag == level or not _within(b.node, below)):
+            below = None
+        if below is None and heading and i > prose and b.node.tag != "h1" and len(b.text) < LONGEST_HEADING and ABOVE_REPLIES.fullmatch(b.text):
+            below, level = b.node.parent, b.node.tag
+        if below is not None:
+            found.add(i)
+    return found
+
+
+def _within(node: Node | None, other: Node) -> bool:
+    for _ in range(FAR):
+        if node is None or node.depth < other.depth:
+            return False
+        if node is other:
+            return True
+        node = node.parent
+    return False
+
+
+FEATURES = 15
+HEADING_TIE = 2.0
 
 
 def features(b: Block, hide: bool = False) -> list[float]:
@@ -187,12 +266,13 @@ def features(b: Block, hide: bool = False) -> list[float]:
         float(bool(marks & IN_HEADING)),
         float("\N{COPYRIGHT SIGN}" in b.text),
         float(words <= 3),
+        float(b.reply),
     ]
 
 
 def weak_label(b: Block) -> int | None:
     """What the markup says of a block: 1 content, 0 boilerplate, None nothing."""
-    if b.node.marks & (IN_BAD | BAD_NAMED):
+    if b.reply or b.node.marks & (IN_BAD | BAD_NAMED):
         return 0
     return 1 if b.node.marks & IN_GOOD else None
 
@@ -211,7 +291,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Known before any page is seen; what training starts from and shrinks to.
-PRIOR = np.array([-1.0, 4.0, -7.0, -7.0, 1.0, -2.0, 1.0, 0.5, 0.5, 0.5, -0.5, 0.0, -1.0, -0.5])
+PRIOR = np.array([-1.0, 4.0, -7.0, -7.0, 1.0, -2.0, 1.0, 0.5, 0.5, 0.5, -0.5, 0.0, -1.0, -0.5, -16.0])
 
 
 def train(pages: DataFrame, most: int = 400, rounds: int = 200, shrink: float = 0.02) -> np.ndarray:
@@ -309,7 +389,8 @@ def extract(page: str, weights: np.ndarray, tie: float = 0.6) -> str:
         if i:
             steps = apart(blocks[i - 1].node, b.node)
             if steps <= FAR:
-                edges.append((i - 1, i, tie * 0.5**steps))
+                over = blocks[i - 1].node.marks & IN_HEADING and not b.node.marks & IN_HEADING and steps <= 2  # a heading goes with what it stands over
+                edges.append((i - 1, i, HEADING_TIE if over else tie * 0.5**steps))
         parent = b.node.parent
         if parent is not None and parent is not ROOT:
             if parent in last and last[parent] < i - 1:

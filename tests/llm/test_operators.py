@@ -762,9 +762,59 @@ def test_html():
     assert html_mincut.extract("", w) == "" and html_mincut.extract("<nav>x</nav>", w) == "" and html_mincut.parse("plain <b>text") [0].text == "plain text"
 
 
+REPLIES = {
+    "signed": '<div class="user-opinions"><div class="o"><b>Ann Lee</b> <time>yesterday</time><p>I liked this text a lot, and so did all my friends.</p></div><div class="o"><b>Bob</b> 4 May 2024<p>No. It is all wrong.</p></div></div>',
+    "list": '<ol class="q"><li><cite>Ann</cite> 2 hours ago<p>I liked this text a lot, and so did all my friends.</p></li><li><cite>Bob</cite><div>04.05.2024, 12:30</div><p>No.</p></li></ol>',
+    "headed": '<section class="z"><h3>3 Comments</h3><p>I liked this text a lot, and so did all my friends.</p><p>No.</p></section>',
+}
+UNMARKED = [("<article>", '<div class="c7">'), ("</article>", "</div>"), ("<nav>", '<div class="x1">'), ("</nav>", "</div>"), ("<footer>", '<div class="x2">'), ("</footer>", "</div>")]
+
+
+def _article(page):
+    """What a page of the given tables says, read off its markup."""
+    inner = re.search("<article>(.*?)</article>", page, re.S)[1]
+    parts = [" ".join(html.unescape(re.sub("<[^>]+>", "", p)).split()) for p in re.split("</?(?:p|h1)>", inner.replace("<br>", " "))]
+    return "\n".join(p for p in parts if p)
+
+
+@pytest.fixture(scope="module")
+def html_weights(spark):
+    return html_mincut.train(read(spark, SF, "pages"))
+
+
+def test_html_without_marked_parts(spark, html_weights):
+    """Pages whose article, menu and footer are unnamed div elements give the same text."""
+    for r in read(spark, SF, "pages").collect():
+        page = r["html"]
+        for old, new in UNMARKED:
+            page = page.replace(old, new)
+        assert html_mincut.extract(page, html_weights) == _article(r["html"])
+
+
+@pytest.mark.parametrize("replies", REPLIES.values(), ids=REPLIES)
+@pytest.mark.parametrize("place", ["inside", "after", "unmarked"])
+def test_html_with_readers_comments(spark, html_weights, replies, place):
+    for r in read(spark, SF, "pages").collect():
+        page = r["html"].replace("</article>", replies + "</article>" if place == "inside" else "</article>" + replies)
+        for old, new in UNMARKED if place == "unmarked" else []:
+            page = page.replace(old, new)
+        assert html_mincut.extract(page, html_weights) == _article(r["html"])
+
+
+def test_html_keeps_what_is_no_comment(html_weights):
+    """Dated tables, lists and sections of an article stay, and so does prose about comments."""
+    live = """<div class="c"><h1>Live</h1><p>What happened on the day, told from hour to hour by our people.</p><div class="e"><h3>Ten</h3><p>10:30 The train left the station with all its guests.</p></div>
+    <div class="e"><h3>Eleven</h3><p>11:30 The train came back.</p></div></div>"""
+    assert html_mincut.extract(live, html_weights).split("\n")[2:] == ["Ten", "10:30 The train left the station with all its guests.", "Eleven", "11:30 The train came back."]
+    old = """<article><h1>History</h1><p>The town has a long history, which begins with its mill.</p><table><tr><td>12 May 1900</td><td>The mill is built</td></tr><tr><td>13 May 1910</td><td>The mill burns</td></tr></table>
+    <ul><li>12 May 1920<p>The bridge.</p></li><li><time>3 May 1921</time><p>The church.</p></li></ul><h2>Comments on the text</h2><p>Scholars have said much about it.</p></article>"""
+    assert html_mincut.extract(old, html_weights).split("\n") == [b.text for b in html_mincut.parse(old)]
+    assert html_mincut.replies([]) == set()
+
+
 @pytest.mark.parametrize(
     "page",
-    ["<a \"" * 260_000, "<div>" * 210_000, "<div>x" * 170_000, "<font>x<table><tr><td>y" * 45_000, "<font>" * 170_000, "<p title=\"x>y" * 80_000, "<a =\">\"" * 140_000, "<i>" * 170_000 + "</b><p>x" * 60_000,
+    ["<p>a b c d e</p>" + "<div><b>Ann</b> 4 May 2024<p>x</div>" * 25_000, "<p>a b c d e<h2>" + "!" * 1_000_000, "<p>a b c d e<h2>Comments</h2>" + "<div>y" * 100_000, "<time>" * 100_000 + "z " * 400_000, "<a \"" * 260_000, "<div>" * 210_000, "<div>x" * 170_000, "<font>x<table><tr><td>y" * 45_000, "<font>" * 170_000, "<p title=\"x>y" * 80_000, "<a =\">\"" * 140_000, "<i>" * 170_000 + "</b><p>x" * 60_000,
      "<!--" * 260_000, "<![CDATA[" * 110_000, "<script>" * 130_000, "<a class='" * 100_000, "&amp" * 200_000, "<p>a<p>b.<nav>c</nav>" * 50_000, "<" * 1_000_000, "class=" * 170_000 + "<p class" + " " * 500_000 + ">"],
 )
 def test_html_is_linear_in_a_page(page):
@@ -802,9 +852,7 @@ def test_html_table(spark):
     assert html_mincut.main_text(odd.limit(0)).count() == 0
     texts = {r["page_id"]: r["text"] for r in html_mincut.main_text(pages).collect()}
     for r in pages.collect():
-        inner = re.search("<article>(.*?)</article>", r["html"], re.S)[1]
-        parts = [" ".join(html.unescape(re.sub("<[^>]+>", "", p)).split()) for p in re.split("</?(?:p|h1)>", inner.replace("<br>", " "))]
-        assert texts[r["page_id"]] == "\n".join(p for p in parts if p)
+        assert texts[r["page_id"]] == _article(r["html"])
 
 
 def test_vectors(spark):
