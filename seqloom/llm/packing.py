@@ -64,7 +64,7 @@ def pack(lengths: np.ndarray, window: int = WINDOW, linear: float = 1.0, quadrat
     rest = lengths - done
     for doc in np.argsort(-rest, kind="stable"):
         n = int(rest[doc])
-        if not n:
+        if n < 2:
             break
         fits = np.where(room >= n, cost, np.inf)
         best = int(np.argmin(fits))
@@ -80,7 +80,16 @@ def pack(lengths: np.ndarray, window: int = WINDOW, linear: float = 1.0, quadrat
             n -= m
             if not n:
                 break
-    return pieces
+    return pieces + _single(np.flatnonzero(rest == 1), lengths, room, cost, used, linear + quadratic)
+
+
+def _single(docs: np.ndarray, lengths: np.ndarray, room: np.ndarray, cost: np.ndarray, used: np.ndarray, step: float) -> list[tuple[int, int, int, int, int]]:
+    """Pieces of what is left as one token of each document, all at once: places are taken by what their sequence costs before, then by sequence."""
+    seq = np.repeat(np.arange(len(room)), room)
+    nth = np.arange(len(seq)) - np.repeat(np.cumsum(room) - room, room)
+    order = np.lexsort((seq, cost[seq] + nth * step))[: len(docs)]
+    columns = docs, lengths[docs] - 1, np.ones(len(docs), np.int64), seq[order], used[seq[order]] + nth[order]
+    return list(zip(*(c.tolist() for c in columns), strict=True))
 
 
 class WordCodec:
@@ -98,6 +107,7 @@ class WordCodec:
     OPENING = b"<|"
     LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")  # as they are after normalisation: a-z and the small letters of Latin-1
     MOST, KEEP_BYTES = 8 << 20, 32 << 20
+    PROBES = ("The Quick  brown\n\nfox's 12,345.6 can't", " lead and trail \t ", "a-b_c(d)e~f ~ 1st x2y", "\u00c4\u00d6 na\u00efve e\u0301 \u4e2d\u6587 \u65e5\u672c \U0001f600.", "HTTP://Some.Where/a?b=c&d")
 
     def __init__(self, path: str, keep: int = 1_000_000):
         from tokenizers import Tokenizer
@@ -108,8 +118,22 @@ class WordCodec:
         spelling = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelt = {c: spelling.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
         self.keep = keep
-        (self.mark,) = self._ids(self.MARK)
+        marks = self._ids(self.MARK)
+        if len(marks) != 1 or self.merges.__class__.__name__ != "BPE":
+            raise ValueError(f"{path} doesn't suit WordCodec: it has to be a byte-pair vocabulary with {self.MARK} as one entry")
+        self.mark = int(marks[0])
         self._forget()
+        if not all(map(self._suits, self.PROBES)):
+            raise ValueError(f"{path} doesn't suit WordCodec: it has to lower-case, drop white space and join nothing across it")
+        self._forget()
+
+    def _suits(self, text: str) -> bool:
+        """Whether a probe's pieces give the ids of the whole; other rules also show in ids that don't part at the mark."""
+        raw = np.frombuffer(text.encode(), np.uint8)
+        try:
+            return np.array_equal(self.encode(raw, np.array([0, len(raw)]))[0], self._ids(text))
+        except ValueError:
+            return False
 
     def _forget(self) -> None:
         self.known = pa.array([], pa.binary())

@@ -663,6 +663,51 @@ def test_packing_balances_cost():
     assert sum(n for _, _, n, _, _ in pieces) == lengths.sum()
 
 
+def _plain_pack(lengths, window):
+    """The greedy rule one document after the other; what fits nowhere goes over the sequences of least cost."""
+    room = packing.capacities(int(lengths.sum()), window).tolist()
+    cost, used, pieces, seq = [0.0] * len(room), [0] * len(room), [], 0
+    rest = []
+
+    def put(doc, start, n, s):
+        pieces.append((doc, start, n, s, used[s]))
+        used[s], room[s], cost[s] = used[s] + n, room[s] - n, cost[s] + n + n * n / 1024
+
+    for doc, n in enumerate(lengths.tolist()):
+        for start in range(0, n - n % window, window):
+            put(doc, start, window, seq)
+            seq += 1
+        if n % window:
+            rest.append((-(n % window), doc))
+    for n, doc in sorted(rest):
+        n, start = -n, int(lengths[doc]) + n
+        fitting = [s for s in range(len(room)) if room[s] >= n]
+        for s in [min(fitting, key=lambda s: cost[s])] if fitting else sorted(range(len(room)), key=lambda s: (room[s] == 0, cost[s])):
+            m = min(n, room[s])
+            if m:
+                put(doc, start, m, s)
+                start, n = start + m, n - m
+    return pieces
+
+
+def test_packing_of_single_tokens():
+    """Documents of one token are placed at once, as one after the other would be; a million of them take seconds."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        lengths = rng.choice([1, 1, 1, 2, 3, 17, 40], rng.integers(1, 90))
+        assert packing.pack(lengths, 16) == _plain_pack(lengths, 16)
+    began = time.time()
+    pieces = packing.pack(np.ones(1_000_001, np.int64))
+    assert time.time() - began < 10 and len({(s, o) for _, _, _, s, o in pieces}) == 1_000_001
+
+
+def test_codec_refuses_other_vocabularies():
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="doesn't suit"):
+        packing.WordCodec(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_codec_equals_plain_encoding(monkeypatch):
     import public_tokenizers
 
