@@ -20,7 +20,7 @@ from seqloom.operators.qc import flat_letters
 
 MOST_KEPT = 4 << 20  # codes that are sent to all tasks: 64 MB
 WORD = 31  # bases in one number
-STEP = 1 << 20  # bases that are worked on together
+STEP = 1 << 18  # bases that are worked on together, of whatever reads: some 30 MB of a worker
 _CODE = np.full(256, 4, np.uint8)
 _CODE[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
 
@@ -33,18 +33,21 @@ def packed(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     base = _CODE[letters]
     bad = np.concatenate([[0], np.cumsum(base > 3)])
     single = np.append(base & 3, np.zeros(k, np.uint8)).astype(np.int64)
+    over = max(0, k - WORD)
+    return _code(single, over)[:n], _code(single, k - over)[over : over + n], bad[k:] == bad[:-k]
 
-    def code(size: int) -> np.ndarray:
-        """Codes of ``size`` bases from every place on."""
-        if size <= 1:
-            return single if size else np.zeros_like(single)
-        half = size // 2
-        left = code(half)
-        out = (left << np.int64(2 * half)) | np.concatenate([left[half:], np.zeros(half, np.int64)])
-        return (out << np.int64(2)) | np.concatenate([single[2 * half :], np.zeros(2 * half, np.int64)]) if size % 2 else out
 
-    over = max(0, k - WORD)
-    return code(over)[:n], code(k - over)[over : over + n], bad[k:] == bad[:-k]
+def _code(single: np.ndarray, size: int) -> np.ndarray:
+    """Codes of ``size`` bases from every place on.
+
+    Not an inner function of ``packed``: one that calls itself is a reference cycle, which keeps the arrays it sees until Python looks for cycles.
+    """
+    if size <= 1:
+        return single if size else np.zeros_like(single)
+    half = size // 2
+    left = _code(single, half)
+    out = (left << np.int64(2 * half)) | np.concatenate([left[half:], np.zeros(half, np.int64)])
+    return (out << np.int64(2)) | np.concatenate([single[2 * half :], np.zeros(2 * half, np.int64)]) if size % 2 else out
 
 
 def probed(lengths: np.ndarray, k: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,18 +59,32 @@ def probed(lengths: np.ndarray, k: int, stride: int) -> tuple[np.ndarray, np.nda
     return read, np.minimum(turn * stride, last[read])
 
 
+def window_steps(at: np.ndarray, k: int, stride: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first letter, end letter, read, place in it) of the windows at 0, stride, 2 * stride, .. and the last one; none of reads under k.
+
+    ``at`` says where each read begins. A step has the windows that begin in STEP letters, be these many reads or a part of one; its end lies k - 1 letters further.
+    """
+    last = np.diff(at) - k
+    for begin in range(0, int(at[-1]), STEP):
+        end = min(begin + STEP, int(at[-1]))
+        i, j = int(np.searchsorted(at, begin, "right")) - 1, int(np.searchsorted(at, end, "left"))
+        own, first = last[i:j], np.maximum(begin - at[i:j], 0)
+        turns = -(-first // stride)
+        many = np.maximum(-(-np.minimum(end - at[i:j], own + 1) // stride) - turns, 0)
+        many += (own % stride > 0) & (own >= first) & (own < end - at[i:j])
+        read = np.repeat(np.arange(j - i), many)
+        turn = np.arange(len(read)) - np.repeat(np.cumsum(many) - many, many) + turns[read]
+        yield begin, min(end + k - 1, int(at[-1])), read + i, np.minimum(turn * stride, own[read])
+
+
 def _codes(column: pa.Array, k: int, stride: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, high, low) of the windows that a column's reads are probed at; whole reads, about STEP bases at a time. Windows with other letters match nothing."""
+    """(row, high, low) of the windows that a column's reads are probed at, in steps of ``window_steps``. Windows with other letters match nothing."""
     letters, at = flat_letters(column)
-    i = 0
-    while i < len(column):
-        j = max(i + 1, int(np.searchsorted(at, at[i] + STEP, "right")) - 1)
-        high, low, good = packed(letters[at[i] : at[j]], k)
-        row, place = probed(np.diff(at[i : j + 1]), k, stride)
-        where = place + at[i:j][row] - at[i]
+    for begin, end, row, place in window_steps(at, k, stride):
+        high, low, good = packed(letters[begin:end], k)
+        where = at[row] + place - begin
         ok = good[where]
-        yield row[ok] + i, high[where[ok]], low[where[ok]]
-        i = j
+        yield row[ok], high[where[ok]], low[where[ok]]
 
 
 def genome_kmers(genomes: DataFrame, k: int, circular: bool = True) -> DataFrame:

@@ -1,6 +1,8 @@
 """Packed k-mers, consensus in batches and numbering against plain versions."""
 
+import gc
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,39 @@ def test_kmer_hits(spark, k, stride):
     assert controls.kmer_hits(frame, ["u"], [F.col("s1")], table.limit(0), k).count() == 0
 
 
+@pytest.mark.parametrize("k", [51])
+@pytest.mark.parametrize("reads", [200, 1])
+def test_windows_in_bounded_memory(k, reads):
+    """Many reads or a long one: no array grows with a batch, and none waits for Python to look for cycles."""
+    letters = np.random.default_rng(k).choice(np.frombuffer(b"ACGT", np.uint8), 8_000_000).tobytes().decode()
+    column = pa.array([letters[i::reads] for i in range(reads)])
+    want = reads * (1 - (k - len(letters) // reads) // 7)
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        assert sum(len(row) for row, _, _ in controls._codes(column, k, 7)) == want
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
+@pytest.mark.parametrize(("k", "stride", "step"), [(1, 1, 1), (5, 7, 3), (5, 3, 13), (9, 1, 64), (40, 7, 11)])
+def test_windows_over_steps(monkeypatch, k, stride, step):
+    monkeypatch.setattr(controls, "STEP", step)
+    rnd = random.Random(k)
+    reads = ["".join(rnd.choice("ACGTACGTACGTN") for _ in range(rnd.choice([0, 1, k - 1, k, k + 1, 90]))) for _ in range(40)] + [None, ""]
+    got = [(int(r), int(h), int(w)) for row, high, low in controls._codes(pa.array(reads), k, stride) for r, h, w in zip(row, high, low, strict=True)]
+    want = []
+    for r, s in enumerate(reads):
+        for i in sorted({*range(0, len(s) - k + 1, stride), len(s) - k}) if s and len(s) >= k else ():
+            if set(s[i : i + k]) <= set("ACGT"):
+                value = sum("ACGT".index(c) << 2 * (k - 1 - j) for j, c in enumerate(s[i : i + k]))
+                want.append((r, value >> 62 if k > 31 else 0, value & (1 << 62) - 1))
+    assert got == want
+
+
 def test_consensus_in_batches(monkeypatch):
     """Bases, coverage and disagreements of each row, whatever the lengths of reads and qualities."""
     rnd = random.Random(2)
