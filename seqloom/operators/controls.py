@@ -20,7 +20,7 @@ from seqloom.operators.qc import flat_letters
 
 MOST_KEPT = 4 << 20  # codes that are sent to all tasks: 64 MB
 WORD = 31  # bases in one number
-STEP = 1 << 18  # bases that are worked on together, of whatever reads: some 30 MB of a worker
+STEP = 1 << 18  # bases that are worked on together, of whatever reads: some 40 MB of a worker
 _CODE = np.full(256, 4, np.uint8)
 _CODE[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4)
 

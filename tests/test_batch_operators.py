@@ -54,7 +54,7 @@ def test_kmer_hits(spark, k, stride):
     assert controls.kmer_hits(frame, ["u"], [F.col("s1")], table.limit(0), k).count() == 0
 
 
-@pytest.mark.parametrize("k", [51])
+@pytest.mark.parametrize("k", [51, 27])
 @pytest.mark.parametrize("reads", [200, 1])
 def test_windows_in_bounded_memory(k, reads):
     """Many reads or a long one: no array grows with a batch, and none waits for Python to look for cycles."""
@@ -66,7 +66,7 @@ def test_windows_in_bounded_memory(k, reads):
     tracemalloc.start()
     try:
         assert sum(len(row) for row, _, _ in controls._codes(column, k, 7)) == want
-        assert tracemalloc.get_traced_memory()[1] < 40e6
+        assert tracemalloc.get_traced_memory()[1] < 60e6
     finally:
         tracemalloc.stop()
         gc.enable()
