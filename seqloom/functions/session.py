@@ -1,7 +1,7 @@
 """The sequence functions in SQL text: ``register(spark)`` gives a session its functions and table function.
 
 Scalar functions are SQL expressions that Catalyst inlines. ``seq_kmers(TABLE(..), k, stride)`` takes rows (id, seq) and gives (id, place, kmer) of every
-``stride``-th window and the last one, whole batches at a time. FASTQ folders are read by ``CREATE TEMPORARY VIEW .. USING fastq OPTIONS (path ..)``.
+``stride``-th window and the last one, a step of ``window_steps`` at a time. FASTQ folders are read by ``CREATE TEMPORARY VIEW .. USING fastq OPTIONS (path ..)``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions.scalars import COMPLEMENT, INCOMPARABLE, INDEX_FIELD
-from seqloom.operators.controls import probed
+from seqloom.operators.controls import window_steps
 from seqloom.operators.qc import flat_letters
 from seqloom.sources.fastq import FastqSource
 
@@ -40,12 +40,14 @@ class Kmers:
     def eval(self, batch: pa.RecordBatch, k: pa.Array, stride: pa.Array) -> Iterator[pa.Table]:
         size, step = k[0].as_py(), stride[0].as_py()
         letters, at = flat_letters(batch.column(1))
-        row, place = probed(np.diff(at), size, step)
-        where = np.append(letters, np.zeros(size, np.uint8))
-        window = where[(at[:-1][row] + place)[:, None] + np.arange(size)] if len(row) else np.zeros((0, size), np.uint8)
-        ends = pa.py_buffer((np.arange(len(row) + 1) * size).astype(np.int32))
-        kmers = pa.Array.from_buffers(pa.string(), len(row), [None, ends, pa.py_buffer(np.ascontiguousarray(window))])
-        yield pa.table({"id": batch.column(0).cast(pa.int64()).take(pa.array(row)), "place": pa.array(place, pa.int64()), "kmer": kmers})
+        ids = batch.column(0).cast(pa.int64())
+        for begin, end, row, place in window_steps(at, size, step):
+            if not len(row):
+                continue
+            window = np.lib.stride_tricks.sliding_window_view(letters[begin:end], size)[at[row] + place - begin]
+            ends = pa.py_buffer((np.arange(len(row) + 1) * size).astype(np.int32))
+            kmers = pa.Array.from_buffers(pa.string(), len(row), [None, ends, pa.py_buffer(np.ascontiguousarray(window))])
+            yield pa.table({"id": ids.take(pa.array(row)), "place": pa.array(place, pa.int64()), "kmer": kmers})
 
 
 def register(spark: SparkSession) -> None:

@@ -50,15 +50,6 @@ def _code(single: np.ndarray, size: int) -> np.ndarray:
     return (out << np.int64(2)) | np.concatenate([single[2 * half :], np.zeros(2 * half, np.int64)]) if size % 2 else out
 
 
-def probed(lengths: np.ndarray, k: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
-    """(read, place in it) of the windows at 0, stride, 2 * stride, .. and the last one; none of reads under k."""
-    last = lengths - k
-    many = np.where(last >= 0, last // stride + 1 + (last % stride > 0), 0)
-    read = np.repeat(np.arange(len(lengths)), many)
-    turn = np.arange(len(read)) - np.repeat(np.cumsum(many) - many, many)
-    return read, np.minimum(turn * stride, last[read])
-
-
 def window_steps(at: np.ndarray, k: int, stride: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first letter, end letter, read, place in it) of the windows at 0, stride, 2 * stride, .. and the last one; none of reads under k.
 
